@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import encode_digests
 from tidemark.llm.licenses import license_scan
+from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import url_filter
 
@@ -16,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -33,7 +38,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op7_url_filter, op8_license_scan, op9_bpe)
+    f.__name__: f for f in (op1_simhash, op5_token_counts, op7_url_filter, op8_license_scan, op9_bpe)
 }
 
 SQL: dict[str, str] = {
