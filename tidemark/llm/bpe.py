@@ -29,7 +29,7 @@ from tidemark.llm.common import blocks, pick, strings
 
 #: Characters of text in a block; words kept in a worker's cache.
 BLOCK_CHARS = 4_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -46,42 +46,38 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.wide = max(ranks.values(), default=0) + 2
+        self.wide = max(ranks.values(), default=0) + 1
         self.first = [ranks.get(bytes([b]), -1) for b in range(256)]
-        self.merged: dict[int, int] = {}
-
-    def pair(self, a: int, b: int) -> int:
-        """Rank of the token that a and b make, -1 if they make none."""
-        r = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        self.merged[a * self.wide + b] = r
-        return r
+        # rank of the token that each pair of tokens makes
+        self.merged = {
+            ranks[w[:i]] * self.wide + ranks[w[i:]]: r
+            for w, r in ranks.items()
+            for i in range(1, len(w))
+            if w[:i] in ranks and w[i:] in ranks
+        }
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word."""
-        ranks, first, merged, wide, pair = self.ranks, self.first, self.merged, self.wide, self.pair
-        sym: list[int] = [-1]  # -1 closes a word, -2 is a place merged away
+        ranks, first, wide, merged = self.ranks, self.first, self.wide, self.merged.get
+        end = -1 - wide * wide  # closes a word: no pair with it is in the table
+        sym: list[int] = [end]  # a place merged away holds the same
         starts: list[int] = []
         for w in words:
             starts.append(len(sym))
-            whole = ranks.get(w)
-            if whole is None:
-                sym += [first[b] for b in w]
+            if w in ranks:
+                sym.append(ranks[w])
             else:
-                sym.append(whole)
-            sym.append(-1)
+                sym += [first[b] for b in w]
+            sym.append(end)
         nxt = list(range(1, len(sym) + 1))
         prv = list(range(-1, len(sym) - 1))
         index: dict[int, list[int]] = {}
-        for p in range(len(sym) - 1):
-            a, b = sym[p], sym[p + 1]
-            if a >= 0 and b >= 0:
-                key = a * wide + b
-                r = merged[key] if key in merged else pair(a, b)
-                if r >= 0:
-                    if r in index:
-                        index[r].append(p)
-                    else:
-                        index[r] = [p]
+        for p, r in enumerate([merged(a * wide + b) for a, b in zip(sym, sym[1:], strict=False)]):
+            if r is not None:
+                if r in index:
+                    index[r].append(p)
+                else:
+                    index[r] = [p]
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -89,36 +85,27 @@ class MergeReplay:
             places = index.pop(r)
             places.sort()
             for p in places:
-                a = sym[p]
-                if a < 0:
-                    continue
                 q = nxt[p]
-                b = sym[q]
-                if b < 0 or merged.get(a * wide + b, -1) != r:
+                if merged(sym[p] * wide + sym[q]) != r:  # a neighbour's merge has changed this pair
                     continue
                 n = nxt[q]
-                sym[p], sym[q] = r, -2
+                sym[p], sym[q] = r, end
                 nxt[p], prv[n] = n, p
-                left, c = prv[p], sym[n]
-                a = sym[left]
-                if a >= 0:
-                    key = a * wide + r
-                    m = merged[key] if key in merged else pair(a, r)
-                    if m >= 0:
-                        if m in index:
-                            index[m].append(left)
-                        else:
-                            index[m] = [left]
-                            heapq.heappush(heap, m)
-                if c >= 0:
-                    key = r * wide + c
-                    m = merged[key] if key in merged else pair(r, c)
-                    if m >= 0:
-                        if m in index:
-                            index[m].append(p)
-                        else:
-                            index[m] = [p]
-                            heapq.heappush(heap, m)
+                left = prv[p]
+                m = merged(sym[left] * wide + r)
+                if m is not None:
+                    if m in index:
+                        index[m].append(left)
+                    else:
+                        index[m] = [left]
+                        heapq.heappush(heap, m)
+                m = merged(r * wide + sym[n])
+                if m is not None:
+                    if m in index:
+                        index[m].append(p)
+                    else:
+                        index[m] = [p]
+                        heapq.heappush(heap, m)
         ends = [*starts[1:], len(sym)]
         return [[s for s in sym[i : j - 1] if s >= 0] for i, j in zip(starts, ends, strict=True)]
 
@@ -142,11 +129,11 @@ class Codec:
         self.back: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        new = list(words.difference(self.ids))
-        if len(self.ids) + len(new) > self.most:
-            self.ids.clear()
-            self.back.clear()
-            new = list(words)
+        new = words.difference(self.ids)
+        if len(self.ids) + len(new) > self.most:  # what this block uses stays
+            self.ids = {w: self.ids[w] for w in words - new}
+            self.back = {w: self.back[w] for w in words - new}
+        new = list(new)
         for w, ids in zip(new, self.replay.encode([w.encode() for w in new]), strict=True):
             self.ids[w] = b"".join([b" %d" % i for i in ids])
             self.back[w] = self.replay.decode(ids)
@@ -160,8 +147,14 @@ class Codec:
             yield b"".join(map(ids, words)), b"".join(map(back, words))
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(vocabulary: str, pattern: str) -> Codec:
+    """The worker's codec, whose cache serves one task after the other."""
+    return Codec(vocabulary, pattern)
+
+
 def _hashed(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    codec = Codec(vocabulary, pattern)
+    codec = codec_of(vocabulary, pattern)
     sha = hashlib.sha256
     for batch in batches:
         texts = strings(batch.column(1))
@@ -178,7 +171,7 @@ def _hashed(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) ->
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    codec = Codec(vocabulary, pattern)
+    codec = codec_of(vocabulary, pattern)
     for batch in batches:
         texts = strings(batch.column(1))
         for i, j in blocks([len(t) for t in texts], BLOCK_CHARS):

@@ -27,7 +27,7 @@ from tidemark.llm.bpe import pretokenizer
 from tidemark.llm.common import blocks, pick, read_or_empty, shared_dir, strings
 
 BLOCK_CHARS = 2_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
 
@@ -64,10 +64,10 @@ class JsonCounter:
     def block(self, texts: list[str]) -> list[int]:
         split = [self.pieces(t) for t in texts]
         words = set().union(*split)
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(words)
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:  # what this block uses stays
+            self.known = {w: self.known[w] for w in words - new}
+        new = list(new)
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
