@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import encode_digests
+from tidemark.llm.decontam import leaks
 from tidemark.llm.licenses import license_scan
+from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import url_filter
@@ -21,6 +23,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -38,7 +48,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op5_token_counts, op7_url_filter, op8_license_scan, op9_bpe)
+    f.__name__: f for f in (op1_simhash, op3_decontamination, op4_quality_rules, op5_token_counts, op7_url_filter, op8_license_scan, op9_bpe)
 }
 
 SQL: dict[str, str] = {
