@@ -10,6 +10,7 @@ from tidemark.llm.bpe import encode_digests
 from tidemark.llm.decontam import leaks
 from tidemark.llm.licenses import license_scan
 from tidemark.llm.quality_rules import quality_rules
+from tidemark.llm.secret_scan import secret_scan
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import url_filter
@@ -35,6 +36,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
 
@@ -48,7 +53,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_decontamination, op4_quality_rules, op5_token_counts, op7_url_filter, op8_license_scan, op9_bpe)
+    f.__name__: f for f in (op1_simhash, op3_decontamination, op4_quality_rules, op5_token_counts, op6_secret_scan, op7_url_filter, op8_license_scan, op9_bpe)
 }
 
 SQL: dict[str, str] = {

@@ -188,6 +188,16 @@ def near_links(fps: DataFrame, radius: int = 2) -> DataFrame:
     return buckets.select("members").mapInArrow(lambda b: _bucket_links(b, radius), "x long, y long")
 
 
+def near_duplicates_of(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id) of every distinct fingerprint of ``marked`` (doc_id, fp)."""
+    folded = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "folded")
+    roots = components(near_links(folded.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
+    rooted = folded.join(roots, "fp").select("fp", "root", "first_id")
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("least_id"))
+    grouped = rooted.join(least, "root").select("fp", "least_id")
+    return folded.join(grouped, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 3, radius: int = 2, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -203,14 +213,33 @@ def near_duplicates(
     them, and the last join's copies side can be split by AQE.
     """
     marked = materialise(fingerprints(docs, width, id_col=id_col, text_col=text_col), "fingerprints")
-    folded = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "folded")
-    roots = components(near_links(folded.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
-    rooted = folded.join(roots, "fp").select("fp", "root", "first_id")
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    grouped = rooted.join(least, "root").select("fp", "least_id")
-    named = folded.join(grouped, "fp", "left").select(
-        "fp", F.coalesce("least_id", "first_id").alias("component_id")
-    )
-    return marked.join(named, "fp").select(
+    return marked.join(near_duplicates_of(marked, radius), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(
+    docs: DataFrame, width: int = 3, radius: int = 2, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` less near-duplicates: of each component the least doc_id stays.
+
+    All columns stay as they are.  Rows that repeat the id that stays are cut down
+    to one.  A row without an id goes if its component has a document with one;
+    of components without any id one row stays.  Empty tables stay empty.
+    """
+    marked = materialise(fingerprints(docs, width, id_col=id_col, text_col=text_col), "fingerprints")
+    named = near_duplicates_of(marked, radius)
+    gone = (
+        marked.join(named, "fp")
+        .where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("_gone"))
+    )
+    gone = materialise(gone.distinct(), "gone")
+    kept = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    # ids that stand in several rows still: only these rows are brought together
+    again = marked.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    again = materialise(again.join(gone, F.col("_again").eqNullSafe(F.col("_gone")), "left_anti"), "again")
+    if again.isEmpty():
+        return kept
+    same = kept[id_col].eqNullSafe(again["_again"])
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
