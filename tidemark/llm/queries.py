@@ -13,6 +13,7 @@ from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secret_scan import secret_scan
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.toxicity import toxicity
 from tidemark.llm.url_filter import url_filter
 
 
@@ -24,6 +25,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,7 +58,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_decontamination, op4_quality_rules, op5_token_counts, op6_secret_scan, op7_url_filter, op8_license_scan, op9_bpe)
+    f.__name__: f for f in (op1_simhash, op2_toxicity, op3_decontamination, op4_quality_rules, op5_token_counts, op6_secret_scan, op7_url_filter, op8_license_scan, op9_bpe)
 }
 
 SQL: dict[str, str] = {
