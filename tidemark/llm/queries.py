@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import encode_digests
 from tidemark.llm.decontam import leaks
+from tidemark.llm.kneser_ney import quality_classifier
 from tidemark.llm.licenses import license_scan
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secret_scan import secret_scan
@@ -57,9 +58,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_toxicity, op3_decontamination, op4_quality_rules, op5_token_counts, op6_secret_scan, op7_url_filter, op8_license_scan, op9_bpe)
-}
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_toxicity, op3_decontamination, op4_quality_rules, op5_token_counts,
+        op6_secret_scan, op7_url_filter, op8_license_scan, op9_bpe, op10_quality_classifier,
+    )
+}
 
 SQL: dict[str, str] = {
     "op7_url_filter": r"""
