@@ -27,7 +27,7 @@ SIZES = (3, 4, 5, 6)
 BITS = 18
 DIM = 8
 #: Bound of the training sample: so many documents of label 1, and twice as many of label 0.
-MOST_ROWS = 2500
+MOST_ROWS = 1500
 #: Buckets of fewer training texts than this are left at zero: they would only be learnt by heart.
 MIN_BAGS = 3
 EPOCHS = 10
@@ -69,12 +69,16 @@ def _block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of one text and their shares."""
+    """Buckets of one text and their counts, scaled down to 16 bits where a count needs more."""
     chars, _ = _block([text])
     if len(chars) < max(SIZES):
         chars = np.concatenate([chars, np.zeros(max(SIZES), np.uint8)])
     buckets, counts = np.unique(np.concatenate([b for _, b in ngrams(chars)]), return_counts=True)
-    return buckets, (counts / max(1, counts.sum())).astype(np.float32)
+    return buckets, (counts >> max(0, int(counts.max(initial=1)).bit_length() - 16)).astype(np.uint16)
+
+
+def shares(counts: np.ndarray) -> np.ndarray:
+    return (counts / max(1, int(counts.sum()))).astype(np.float32)
 
 
 @dataclass
@@ -101,8 +105,6 @@ class Model:
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, prior: float, seed: int = 7) -> Model:
     """Joint training of bucket embeddings and softmax; classes weigh as in ``prior``."""
     rng = np.random.default_rng(seed)
-    met = np.bincount(np.concatenate([b for b, _ in bags]), minlength=1 << BITS) >= MIN_BAGS
-    bags = [(b[met[b]], s[met[b]]) for b, s in bags]
     emb = np.zeros((1 << BITS, DIM), np.float32)  # a bucket that training does not meet says nothing
     soft = (rng.standard_normal((DIM, 2)) * 0.5).astype(np.float32)
     bias = np.zeros(2, np.float32)
@@ -160,9 +162,9 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column(0),
                 pa.array([b for b, _ in rows], pa.list_(pa.int32())),
-                pa.array([s for _, s in rows], pa.list_(pa.float32())),
+                pa.array([c.view(np.int16) for _, c in rows], pa.list_(pa.int16())),
             ],
-            ["label", "buckets", "shares"],
+            ["label", "buckets", "counts"],
         )
 
 
@@ -185,16 +187,20 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
         sample = part if sample is None else sample.unionAll(part)
     # the sample has at most 3 * most rows
     rows = docs.join(F.broadcast(sample), "doc_id").select("label", "text")
-    got = rows.mapInArrow(_bags, "label int, buckets array<int>, shares array<float>").toArrow()
+    got = rows.mapInArrow(_bags, "label int, buckets array<int>, counts array<smallint>").toArrow()
     if not got.num_rows:
         return flat
-    columns = []
-    for name in ("buckets", "shares"):
-        column = got.column(name).combine_chunks()
-        flat_values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-        columns.append([flat_values[offsets[i] : offsets[i + 1]] for i in range(len(column))])
-    bags = list(zip(*columns, strict=True))
     y = got.column("label").to_numpy().astype(np.int64)
+    met = np.zeros(1 << BITS, np.int32)
+    for batch in got.to_batches():
+        met += np.bincount(batch.column(1).flatten().to_numpy(), minlength=1 << BITS).astype(np.int32)
+    bags = []
+    for batch in got.to_batches():
+        (b, starts), (c, _) = ((x.values.to_numpy(), x.offsets.to_numpy()) for x in (batch.column(1), batch.column(2)))
+        for i, j in zip(starts, starts[1:], strict=False):
+            known = met[b[i:j]] >= MIN_BAGS
+            bags.append((b[i:j][known], shares(c[i:j].view(np.uint16))[known]))
+    del got
     keys = np.array([int(b[:8].sum()) * 1009 + len(b) for b, _ in bags])
     order = np.lexsort((y, keys))  # whatever order the rows came in
     return train([bags[i] for i in order], y[order], prior)
