@@ -40,11 +40,12 @@ def vintage_list(vintages: DataFrame, library: str, symbol: str) -> DataFrame:
 
 def records(rows: DataFrame) -> DataFrame:
     """Each row as JSON: times in ISO form, NaN as null."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     cols = [
         F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name) if f.dataType.typeName() in ("double", "float") else F.col(f.name)
         for f in rows.schema
     ]
-    return rows.select(F.to_json(F.struct(*cols), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'", "ignoreNullFields": "false"}).alias("record"))
+    return rows.select(F.to_json(F.struct(*cols), {"timestampFormat": iso, "timestampNTZFormat": iso, "ignoreNullFields": "false"}).alias("record"))
 
 
 def catalog(vintages: DataFrame) -> DataFrame:

@@ -80,11 +80,14 @@ class Store:
             df = self.spark.createDataFrame([], VINTAGES)
         return df if library is None else df.where(F.col("library") == library)
 
-    def _rows(self, library: str) -> DataFrame | None:
-        try:
-            return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/observations/{library}")
-        except AnalysisException:
+    def _rows(self, library: str, commits: DataFrame) -> DataFrame | None:
+        """Rows of the named commits only: files of others, and of broken commits, are not even listed."""
+        base = f"{self.root}/observations/{library}"
+        ids = sorted(r["commit_id"] for r in commits.select("commit_id").distinct().collect())  # metadata
+        if not ids:
             return None
+        reader = self.spark.read.option("basePath", base).option("mergeSchema", "true")
+        return reader.parquet(*(f"{base}/commit_id={i}" for i in ids))
 
     def _heads(self, library: str, as_of: datetime | None, strictly: bool = False) -> DataFrame:
         """(symbol, chain) of the newest vintage known at a moment; of equal ones the last committed."""
@@ -96,10 +99,10 @@ class Store:
     # -- reads --------------------------------------------------------------
 
     def _series(self, library: str, heads: DataFrame) -> DataFrame | None:
-        rows = self._rows(library)
+        links = heads.select("symbol", F.posexplode("chain").alias("_place", "commit_id"))
+        rows = self._rows(library, links)
         if rows is None:
             return None
-        links = heads.select("symbol", F.posexplode("chain").alias("_place", "commit_id"))
         key = ["symbol", "valid_time", *EXTRA_KEYS.get(library, ())]
         # vintages are metadata, a row per symbol and commit; AQE broadcasts them while they are small
         joined = rows.join(links, ["symbol", "commit_id"])
@@ -115,15 +118,17 @@ class Store:
         commit is an error, as its columns are not known.
         """
         if LIBRARY_MODE[library] == "degenerate":
-            rows = self._rows(library)
-            done = self.vintages(library).select("commit_id").distinct()
-            out = None if rows is None else rows.join(done, "commit_id", "left_semi").withColumn("library", F.lit(library))
+            out = self._rows(library, self.vintages(library))
+            out = None if out is None else out.withColumn("library", F.lit(library))
             if out is not None and as_of is not None:
                 out = out.where(F.col("fetched_at") <= F.lit(as_of))
         else:
             out = self._series(library, self._heads(library, as_of))
         if out is None:
-            raise KeyError(f"nothing committed to {library}")
+            every = self._rows(library, self.vintages(library))
+            if every is None:
+                raise KeyError(f"nothing committed to {library}")
+            out = every.withColumn("library", F.lit(library)).where(F.lit(False))  # typed, but empty
         if symbols is not None:
             out = out.where(F.col("symbol").isin(*symbols))
         if start is not None:
@@ -160,10 +165,9 @@ class Store:
             new = new.drop(order) if order else new
             key = ["library", "symbol", "valid_time", *extra]
             if mode == "degenerate":
-                old = self._rows(library)
+                old = self._rows(library, self.vintages(library))
                 if old is not None:
-                    done = self.vintages(library).select("commit_id").distinct()
-                    old = old.join(done, "commit_id", "left_semi").withColumn("library", F.lit(library))
+                    old = old.withColumn("library", F.lit(library))
                     new = new.join(old.select(*key), key, "left_anti")
                 heads = None
             else:

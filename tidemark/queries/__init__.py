@@ -1,4 +1,10 @@
 """Registered queries: one function and, where SQL can say it, one DuckDB statement per operator."""
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from tidemark.queries import analytics, holdings, ingestion
+
+_ALL = {**analytics.ENTRIES, **holdings.ENTRIES, **ingestion.ENTRIES}
+
+QUERIES = {name: entry[0] for name, entry in _ALL.items()}
+SQL: dict[str, str] = {name: entry[1] for name, entry in _ALL.items() if entry[1]}
