@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import blocks, pick, strings
 
 #: Characters of text in a block; words kept in a worker's cache.
-BLOCK_CHARS = 4_000_000
-CACHE_WORDS = 700_000
+BLOCK_CHARS = 1_000_000
+CACHE_WORDS = 300_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 

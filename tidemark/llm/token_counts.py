@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import pretokenizer
 from tidemark.llm.common import blocks, pick, read_or_empty, shared_dir, strings
 
-BLOCK_CHARS = 2_000_000
-CACHE_WORDS = 1_000_000
+BLOCK_CHARS = 1_000_000
+CACHE_WORDS = 500_000
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
 
