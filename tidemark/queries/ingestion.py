@@ -148,7 +148,7 @@ def _lines(s, d, element: str) -> DataFrame:
     li = table(s, d, "lineitem").where("l_orderkey < 2000").groupBy("l_orderkey").agg(F.max("l_quantity").alias("q"))
     code = F.get(codes, (F.col("l_orderkey") % 4).cast("int"))
     cells = [F.lpad(F.when((F.col("l_orderkey") + m) % 9 == 0, F.lit("-9999.")).otherwise(F.format_string("%.0f.", F.col("q") + m)), 7, " ") for m in range(12)]
-    return li.select(F.concat(code, F.lit("0"), F.lit(element), F.format_string("%04d", F.col("l_orderkey")), *cells).alias("value"))
+    return li.select(F.concat(code, F.lit("0"), F.lit(element), F.format_string("%04d", F.col("l_orderkey") + 1000), *cells).alias("value"))
 
 
 def a15(s, d):
@@ -271,8 +271,8 @@ def _instant(minutes: str, begin: str) -> str:
 
 _AVOID = "NOT (month(day) IN (10, 11) AND isodow(day) = 7 AND hour IN (2)) AND NOT (month(day) IN (3, 4) AND isodow(day) = 7 AND hour IN (3))"
 _LINES = """li AS (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem WHERE l_orderkey < 2000 GROUP BY 1),
-cells AS (SELECT 'NOAA.HDD.' || (['CONUS', 'NORTHEAST', 'TEXAS'])[l_orderkey % 4 + 1] AS instrument_id, make_timestamp(l_orderkey, m + 1, 1, 0, 0, 0) AS valid_time,
-  CASE WHEN (l_orderkey + m) % 9 = 0 THEN NULL ELSE round(q + m)::DOUBLE END AS v FROM li, range(12) r(m) WHERE l_orderkey % 4 < 3 AND l_orderkey > 0)"""
+cells AS (SELECT 'NOAA.HDD.' || (['CONUS', 'NORTHEAST', 'TEXAS'])[l_orderkey % 4 + 1] AS instrument_id, make_timestamp(1000 + l_orderkey, m + 1, 1, 0, 0, 0) AS valid_time,
+  CASE WHEN (l_orderkey + m) % 9 = 0 THEN NULL ELSE round(q + m)::DOUBLE END AS v FROM li, range(12) r(m) WHERE l_orderkey % 4 < 3)"""
 _MATCH = "list_filter([" + ", ".join(
     "CASE WHEN " + " OR ".join(f"contains(lower(title), '{w}')" for w in landed.KEYWORDS.get(s, (s.lower(),))) + f" THEN '{s}' END"
     for s in ("CL=F", "BZ=F", "NG=F", "MARKETS")
