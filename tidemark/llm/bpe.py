@@ -58,6 +58,8 @@ class MergeReplay:
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word."""
+        if not words:
+            return []
         ranks, first, wide, merged = self.ranks, self.first, self.wide, self.merged.get
         end = -1 - wide * wide  # closes a word: no pair with it is in the table
         sym: list[int] = [end]  # a place merged away holds the same

@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -191,20 +192,24 @@ def tiles(stretches: list[tuple[int, list[int]]], item: list[int], least: int) -
                         m += 1
                     if m >= n:
                         out.append((-m, p, r, q))
-        return sorted(out)
+        return out
 
     length = max(least, min(len(item), max((len(t) for _, t in runs), default=0)))
     while True:
-        again = False
-        for m, p, r, q in matches(length):
-            m = -m
-            if item_free[p : p + m].all() and free[r][q : q + m].all():
-                item_free[p : p + m] = free[r][q : q + m] = False
-                found.append((runs[r][0] + q, p, m))
-            else:
-                again = True  # what is left of it may still be long enough
-        if again:
-            continue
+        heap = matches(length)
+        heapq.heapify(heap)
+        while heap:
+            m, p, r, q = heapq.heappop(heap)
+            open_ = item_free[p : p - m] & free[r][q : q - m]
+            if open_.all():
+                item_free[p : p - m] = free[r][q : q - m] = False
+                found.append((runs[r][0] + q, p, -m))
+                continue
+            # what earlier tiles leave of it goes on as shorter matches
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], open_.view(np.int8), [0]])))
+            for i, j in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                if j - i >= length:
+                    heapq.heappush(heap, (i - j, p + i, r, q + i))
         if length == least:
             return found
         length = max(least, length // 2)

@@ -85,9 +85,11 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, width: int = 3, *, id_col: str = "doc_id", text_col: str = "text", id_type: str = "long"
+) -> DataFrame:
     """(doc_id, fp long): the 64 bits as a signed number; a text without words has 0."""
-    return pick(docs, id_col, text_col).mapInArrow(lambda b: _fingerprints(b, width), "doc_id long, fp long")
+    return pick(docs, id_col, text_col).mapInArrow(lambda b: _fingerprints(b, width), f"doc_id {id_type}, fp long")
 
 
 class BitPlanes:
@@ -189,13 +191,15 @@ def near_links(fps: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_duplicates_of(marked: DataFrame, radius: int) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of ``marked`` (doc_id, fp)."""
+    """(fp, root, component_id) of every distinct fingerprint of ``marked`` (doc_id, fp); root is the component's least one."""
     folded = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "folded")
     roots = components(near_links(folded.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
     rooted = folded.join(roots, "fp").select("fp", "root", "first_id")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    grouped = rooted.join(least, "root").select("fp", "least_id")
-    return folded.join(grouped, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
+    grouped = rooted.join(least, "root").select("fp", "root", "least_id")
+    return folded.join(grouped, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least_id", "first_id").alias("component_id")
+    )
 
 
 def near_duplicates(
@@ -223,23 +227,32 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` less near-duplicates: of each component the least doc_id stays.
 
-    All columns stay as they are.  Rows that repeat the id that stays are cut down
-    to one.  A row without an id goes if its component has a document with one;
-    of components without any id one row stays.  Empty tables stay empty.
+    All columns stay as they are.  Of a component exactly one row stays: rows of one
+    id and text are cut down to one, of several texts under one id the one whose hash
+    is least stays, and a row without an id only where no row has one.  Empty tables
+    stay empty.
     """
-    marked = materialise(fingerprints(docs, width, id_col=id_col, text_col=text_col), "fingerprints")
-    named = near_duplicates_of(marked, radius)
-    gone = (
-        marked.join(named, "fp")
-        .where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_gone"))
-    )
+    copy = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    marked = materialise(
+        fingerprints(docs.select(F.struct(F.col(id_col).alias("i"), copy.alias("c")).alias("k"), F.col(text_col).alias("t")), width, id_col="k", text_col="t", id_type="struct<i:bigint,c:bigint>")
+        .select(F.col("doc_id.i").alias("doc_id"), F.col("doc_id.c").alias("copy"), "fp"),
+        "fingerprints",
+    )
+    rooted = marked.join(near_duplicates_of(marked, radius).select("fp", "root"), "fp")
+    row = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "copy")
+    first = rooted.groupBy("root").agg(F.min(row).alias("first"))
+    gone = rooted.join(first, "root").where(~row.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_d"), F.col("copy").alias("_c"))
     gone = materialise(gone.distinct(), "gone")
-    kept = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
-    # ids that stand in several rows still: only these rows are brought together
-    again = marked.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
-    again = materialise(again.join(gone, F.col("_again").eqNullSafe(F.col("_gone")), "left_anti"), "again")
+
+    def same(other: DataFrame):
+        return docs[id_col].eqNullSafe(other["_d"]) & (copy == other["_c"])
+
+    kept = docs.join(gone, same(gone), "left_anti")
+    # rows that stand there several times still: only these are brought together
+    again = marked.groupBy(F.col("doc_id").alias("_d"), F.col("copy").alias("_c")).count().where("count > 1")
+    both = again["_d"].eqNullSafe(gone["_d"]) & (again["_c"] == gone["_c"])
+    again = materialise(again.join(gone, both, "left_anti").select("_d", "_c"), "again")
     if again.isEmpty():
         return kept
-    same = kept[id_col].eqNullSafe(again["_again"])
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
+    once = docs.join(again, same(again), "left_semi").withColumn("_copy", copy).dropDuplicates([id_col, "_copy"]).drop("_copy")
+    return kept.join(again, same(again), "left_anti").unionByName(once)
