@@ -266,7 +266,7 @@ def judged(
         rejected = rejected | o
     return seen.join(F.broadcast(wide), "_stratum", "left").select(
         "_id", "_doc", "_m", failed.alias("base_failed"), (~rejected).alias("kept"),
-        F.array_compact(F.array(*(F.when(o, F.lit(r.measure)) for o, r in zip(over, rules, strict=True)))).alias("broken"),
+        F.concat_ws(",", *(F.when(o, F.lit(r.measure)) for o, r in zip(over, rules, strict=True))).alias("broken"),
     )
 
 

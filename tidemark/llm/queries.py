@@ -11,6 +11,7 @@ from tidemark.llm.decontam import leaks
 from tidemark.llm.kneser_ney import quality_classifier
 from tidemark.llm.licenses import license_scan
 from tidemark.llm.quality_rules import quality_rules
+from tidemark.llm.quality_sql import SQL as QUALITY_SQL
 from tidemark.llm.secret_scan import secret_scan
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
@@ -71,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_quality_rules": QUALITY_SQL,
     "op7_url_filter": r"""
 WITH u AS (
   SELECT page_id,

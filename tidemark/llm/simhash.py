@@ -197,9 +197,11 @@ def near_duplicates_of(marked: DataFrame, radius: int) -> DataFrame:
     rooted = folded.join(roots, "fp").select("fp", "root", "first_id")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("least_id"))
     grouped = rooted.join(least, "root").select("fp", "root", "least_id")
-    return folded.join(grouped, "fp", "left").select(
+    named = folded.join(grouped, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least_id", "first_id").alias("component_id")
     )
+    # as a table of its own it is shuffled anew for each join, and AQE can then split a fingerprint with many copies
+    return materialise(named, "named")
 
 
 def near_duplicates(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import pretokenizer
-from tidemark.llm.common import blocks, pick, read_or_empty, shared_dir, strings
+from tidemark.llm.common import blocks, materialise, pick, read_or_empty, shared_dir, strings
 
 BLOCK_CHARS = 1_000_000
 CACHE_WORDS = 500_000
@@ -157,12 +157,15 @@ def token_counts(
         return of_version.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # two writers may add one digest
 
     digested = pick(docs, id_col, text_col).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    keys = digested.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
+    keys = materialise(keys, "digests")
     missing = digested.join(cached().select("digest"), "digest", "left_anti")
     distinct = missing.groupBy("digest").agg(F.first("text").alias("text"))
     counted = distinct.mapInArrow(lambda b: _count(b, path), "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
+    # as a table of its own it is shuffled anew for the join, and AQE can then split a digest with many copies
+    needed = cached().join(keys.select("digest").distinct(), "digest", "left_semi")
     return (
-        digested.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-        .join(cached(), "digest", "left")
+        keys.join(materialise(needed, "counts"), "digest", "left")
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
     )
