@@ -25,11 +25,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import blocks, pick, strings
+from tidemark.llm.common import decoded, pick, text_blocks
 
-#: Characters of text in a block; words kept in a worker's cache.
-BLOCK_CHARS = 1_000_000
-CACHE_WORDS = 300_000
+#: Bytes of text in a block; words kept in a worker's cache.
+BLOCK_BYTES = 1_000_000
+CACHE_WORDS = 150_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -159,13 +159,12 @@ def _hashed(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) ->
     codec = codec_of(vocabulary, pattern)
     sha = hashlib.sha256
     for batch in batches:
-        texts = strings(batch.column(1))
         n, a, b = [], [], []
-        for i, j in blocks([len(t) for t in texts], BLOCK_CHARS):
-            for ids, decoded in codec.block(texts[i:j]):
+        for _, _, texts in text_blocks(batch.column(1), BLOCK_BYTES):
+            for ids, back in codec.block(decoded(texts)):
                 n.append(ids.count(b" "))
                 a.append(sha(ids[1:]).hexdigest())
-                b.append(sha(decoded).hexdigest())
+                b.append(sha(back).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -175,9 +174,8 @@ def _hashed(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) ->
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) -> Iterator[pa.RecordBatch]:
     codec = codec_of(vocabulary, pattern)
     for batch in batches:
-        texts = strings(batch.column(1))
-        for i, j in blocks([len(t) for t in texts], BLOCK_CHARS):
-            ids = [[int(x) for x in ids.split()] for ids, _ in codec.block(texts[i:j])]
+        for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
+            ids = [[int(x) for x in ids.split()] for ids, _ in codec.block(decoded(texts))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
             )

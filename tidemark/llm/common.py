@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,14 +66,6 @@ def pick(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: s
     )
 
 
-def strings(column: pa.Array) -> list[str]:
-    """Python strings of an Arrow column; null becomes empty, broken UTF-8 U+FFFD."""
-    try:
-        return [x or "" for x in column.to_pylist()]
-    except UnicodeDecodeError:
-        return [(x or b"").decode("utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
-
-
 def blocks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges [i, j) of consecutive rows whose sizes add up to about ``most``."""
     start = total = 0
@@ -83,3 +76,19 @@ def blocks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(i, j, UTF-8 texts of rows i to j) of an Arrow column of strings, about ``most`` bytes at a time.
+
+    Only one block's texts are Python objects at once, whatever the batch holds.
+    """
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for i, j in blocks(sizes, most):
+        yield i, j, [x or b"" for x in column.slice(i, j - i).cast(pa.binary()).to_pylist()]
+    pa.default_memory_pool().release_unused()
+
+
+def decoded(texts: list[bytes]) -> list[str]:
+    """Python strings; broken UTF-8 becomes U+FFFD."""
+    return [t.decode("utf-8", "replace") for t in texts]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, materialise, pick
+from tidemark.llm.common import materialise, pick, text_blocks
 
 SEED_TOKENS = 5
 COVERAGE = 0.5
@@ -113,11 +113,10 @@ _STRETCH = "doc_id long, copy long, start int, tokens array<long>, seeds array<l
 def _stretches(batches: Iterator[pa.RecordBatch], k: int, wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     keep = None if wanted is None else SeedFilter(wanted)
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
         ids, copies = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         out: list[tuple] = []
-        for i, j in blocks([len(t) for t in texts], BLOCK_BYTES):
-            tokens, owner = token_hashes(texts[i:j])
+        for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
+            tokens, owner = token_hashes(texts)
             at = seed_starts(owner, k)
             seeds = window_hashes(tokens, at, at + k)
             if keep is not None:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, materialise, pick
+from tidemark.llm.common import materialise, pick, text_blocks
 
 ORDER = 5
 STRATA = ("en", "de", "fr", "es", "other")
@@ -66,10 +66,9 @@ def grams(texts: list[bytes], strata: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
         strata, train = batch.column(2).to_numpy(), batch.column(3).to_numpy(zero_copy_only=False)
-        for i, j in blocks([len(t) for t in texts], BLOCK_BYTES):
-            keys, owner = grams(texts[i:j], strata[i:j])
+        for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
+            keys, owner = grams(texts, strata[i:j])
             # training grams and others side by side: the last bit says which
             both, n = np.unique(keys << 1 | train[i:j][owner], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(both >> 1), pa.array(n * (both & 1))], ["key", "n"])
@@ -109,14 +108,14 @@ class Table:
 def _sums(batches: Iterator[pa.RecordBatch], keys, values) -> Iterator[pa.RecordBatch]:
     table = Table(keys.value, values.value)
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
         strata = batch.column(2).to_numpy()
-        total = []
-        for i, j in blocks([len(t) for t in texts], BLOCK_BYTES):
-            got, owner = grams(texts[i:j], strata[i:j])
+        total, sizes = [], []
+        for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
+            got, owner = grams(texts, strata[i:j])
             total.append(np.bincount(owner, table[got], j - i) if len(got) else np.zeros(j - i))
+            sizes += map(len, texts)
         sums = np.concatenate(total) if total else np.zeros(0)
-        sizes = pa.array([len(t) for t in texts], pa.int64())
+        sizes = pa.array(sizes, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), batch.column(4), sizes, pa.array(sums)],
             ["doc_id", "stratum", "fold", "n_bytes", "log_p"],

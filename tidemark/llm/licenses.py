@@ -20,11 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import pick
+from tidemark.llm.common import pick, text_blocks
 
 W = rb"[0-9a-z\x80-\xff]"
 N = rb"[^0-9a-z\x80-\xff]+"
 
+BLOCK_BYTES = 4_000_000
 #: Phrases of the contract and their labels.
 BASE = ((b"cc by", "cc-by"), (b"general public license", "gpl"), (b"all rights reserved", "reserved"))
 
@@ -228,7 +229,7 @@ SCHEMA = pa.schema(
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [scan(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+        rows = [scan(t) for _, _, texts in text_blocks(batch.column(1), BLOCK_BYTES) for t in texts]
         columns = list(zip(*rows, strict=True)) if rows else [()] * 7
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(SCHEMA)[1:], strict=True))], schema=SCHEMA

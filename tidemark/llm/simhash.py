@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, materialise, pick
+from tidemark.llm.common import materialise, pick, text_blocks
 from tidemark.llm.components import components
 
 SEED = 42
@@ -79,8 +79,7 @@ def fingerprint_texts(texts: list[bytes], width: int) -> np.ndarray:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        parts = [fingerprint_texts(texts[i:j], width) for i, j in blocks([len(t) for t in texts], BLOCK_BYTES)]
+        parts = [fingerprint_texts(texts, width) for _, _, texts in text_blocks(batch.column(1), BLOCK_BYTES)]
         fps = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 

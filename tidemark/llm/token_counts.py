@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import pretokenizer
-from tidemark.llm.common import blocks, materialise, pick, read_or_empty, shared_dir, strings
+from tidemark.llm.common import decoded, materialise, pick, read_or_empty, shared_dir, text_blocks
 
-BLOCK_CHARS = 1_000_000
-CACHE_WORDS = 500_000
+BLOCK_BYTES = 1_000_000
+CACHE_WORDS = 300_000
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
 
@@ -125,9 +125,9 @@ def tokenizer_version(path: str) -> str:
 def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     count = counter(path)
     for batch in batches:
-        texts, n = strings(batch.column(1)), []
-        for i, j in blocks([len(t) for t in texts], BLOCK_CHARS):
-            n += count.block(texts[i:j])
+        n = []
+        for _, _, texts in text_blocks(batch.column(1), BLOCK_BYTES):
+            n += count.block(decoded(texts))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["digest", "n_tokens"])
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, pick
+from tidemark.llm.common import pick, text_blocks
 
 SIZES = (3, 4, 5, 6)
 BITS = 18
@@ -208,8 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
 
 def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        parts = [model.value.scores(texts[i:j]) for i, j in blocks([len(t) for t in texts], BLOCK_BYTES)]
+        parts = [model.value.scores(texts) for _, _, texts in text_blocks(batch.column(1), BLOCK_BYTES)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(np.concatenate(parts) if parts else np.zeros(0))], ["doc_id", "score"]
         )
