@@ -132,6 +132,17 @@ def c09(s, d):
     return m.groupBy(F.array_join("failed", ",").alias("failed")).agg(F.count("*").alias("n"))
 
 
+def c10(s, d):
+    """The declared gates, by the rows of the given table that each of their libraries would hold."""
+    all_ = None
+    for g in gate.GATES.values():
+        rows = gate.describe(s, g).withColumn("gate", F.lit(g.name))
+        all_ = rows if all_ is None else all_.unionByName(rows)
+    used = _ids(s, d)
+    used = routing.gates(routing.route(used).select("library", "symbol")).groupBy("gate").agg(F.count("*").alias("n_rows"))
+    return all_.join(F.broadcast(used), "gate").groupBy("gate", "n_rows").agg(F.count("*").alias("n_columns"), F.count_if("in_key").alias("n_key"))
+
+
 def c12(s, d):
     v = vintages(s, d).where((F.col("instrument_id") != "error") | (F.col("valid_time") < F.lit(datetime(2024, 1, 20, tzinfo=UTC))))
     return gate.lagging(v, 3, "instrument_id")
@@ -314,6 +325,10 @@ def k02(s, d):
     return rounded(observe.capped(bars(s, d), 5_000_000).select("Symbol", "Datetime", "Close"))
 
 
+def k03(s, d):
+    return d14(s, d)
+
+
 def k04(s, d):
     v = filled_store(s, d).vintages()
     return observe.libraries(v).join(observe.symbols(v, "power.lmp"))
@@ -396,6 +411,9 @@ WHERE isodow(x) < 6)::INTEGER AS n_days FROM orders"""),
 FROM events GROUP BY 1"""),
     "C09_row_failures": (c09, f"""WITH {_REGION} SELECT concat_ws(',', CASE WHEN respondent IS NULL THEN 'not_null:respondent' END, CASE WHEN no_number THEN 'dtype:value' END,
 CASE WHEN abs(value) > 1e7 THEN 'band:value' END) AS failed, count(*) AS n FROM region_rows GROUP BY 1"""),
+    "C10_describe": (c10, f"""WITH {_ROUTED}, g AS (SELECT CASE library WHEN 'power.demand' THEN 'POWER_REGION' WHEN 'power.lmp' THEN 'ERCOT_SPP'
+WHEN 'prices.spot' THEN 'FRED_SPOT' WHEN 'weather' THEN 'NOAA_HDDCDD' END AS gate FROM routed)
+SELECT gate, count(*) AS n_rows, CASE gate WHEN 'FRED_SPOT' THEN 3 ELSE 4 END::BIGINT AS n_columns, 2::BIGINT AS n_key FROM g WHERE gate IS NOT NULL GROUP BY 1"""),
     "C12_lagging": (c12, """WITH v AS (SELECT event_type AS instrument_id, max(date_trunc('hour', ts)) AS newest FROM events WHERE event_type <> 'error' OR date_trunc('hour', ts) < TIMESTAMP '2024-01-20' GROUP BY 1)
 SELECT instrument_id, newest FROM v WHERE newest < (SELECT max(newest) FROM v) - INTERVAL 3 DAY"""),
     "D01_canonical": (d01, f"WITH {VINTAGES} SELECT instrument_id AS symbol, valid_time, round(arg_max(value, event_id), 6) AS value, 'x' AS source FROM vintages GROUP BY 1, 2"),
@@ -423,6 +441,8 @@ FROM bars WHERE "Symbol" IN ('click', 'view')"""),
 SELECT 's' || k AS source, k = 0 AS vintage_reconstructed, count(*) AS n FROM x GROUP BY 1, 2"""),
     "K01_series": (k01, _read_sql("k < 2 AND symbol = 'click' AND valid_time >= TIMESTAMP '2024-01-05'")),
     "K02_row_cap": (k02, f'WITH {BARS} SELECT "Symbol", "Datetime", round("Close", 6) AS "Close" FROM bars'),
+    "K03_curve": (k03, f"""WITH {BARS} SELECT CASE "Symbol" WHEN 'click' THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time, round("Close", 6) AS "Close"
+FROM bars WHERE "Symbol" IN ('click', 'view')"""),
     "K04_libraries": (k04, "SELECT DISTINCT 'power.lmp' AS library, event_type AS symbol FROM events"),
     "K05_latest_as_of": (k05, "SELECT TIMESTAMP '2024-01-24' AS as_of FROM events LIMIT 1"),
     "K06_records": (k06, """SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}' AS record FROM orders"""),

@@ -24,7 +24,6 @@ def _payload(s: SparkSession, d: str, fmt: str, extra: dict) -> DataFrame:
     return text.select("_order", F.from_json("t", landed.RECORDS).alias("j")).select("_order", "j.*")
 
 
-_NUMBER = F.when
 _BAD = "n/a"
 
 
@@ -63,6 +62,11 @@ def _report(s, d, fields: dict) -> DataFrame:
     return text.select("_order", F.from_json("t", landed.REPORT).alias("j")).select("_order", "j.*")
 
 
+def _day():
+    """Order dates, Sundays moved to Monday: clocks change on Sundays, and DuckDB has its own rule for repeated hours."""
+    return F.to_date("o_orderdate") + F.when(F.dayofweek("o_orderdate") == 1, 1).otherwise(0)
+
+
 _POINTS = ("HB_NORTH", "LZ_WEST", "HB_OTHER", "RESOURCE_1", "LZ_SOUTH")
 
 
@@ -72,15 +76,15 @@ def _point():
 
 def _real_time(s, d):
     return _report(s, d, {
-        "deliveryDate": F.date_format("o_orderdate", "yyyy-MM-dd"), "deliveryHour": (F.col("o_orderkey") % 24 + 1).cast("string"),
+        "deliveryDate": F.date_format(_day(), "yyyy-MM-dd"), "deliveryHour": (F.col("o_orderkey") % 24 + 1).cast("string"),
         "deliveryInterval": (F.col("o_orderkey") % 4 + 1).cast("string"), "settlementPoint": _point(),
-        "settlementPointPrice": F.format_string("%.2f", "o_totalprice"), "DSTFlag": F.lit("false"),
+        "settlementPointPrice": F.format_string("%.2f", F.col("o_totalprice") / 1000), "DSTFlag": F.lit("false"),
     })
 
 
 def _hourly_report(s, d, day: str, more: dict):
     return _report(s, d, {
-        day: F.date_format("o_orderdate", "yyyy-MM-dd"), "hourEnding": F.format_string("%02d:00", F.col("o_orderkey") % 24 + 1), **more, "DSTFlag": F.lit("false"),
+        day: F.date_format(_day(), "yyyy-MM-dd"), "hourEnding": F.format_string("%02d:00", F.col("o_orderkey") % 24 + 1), **more, "DSTFlag": F.lit("false"),
     })
 
 
@@ -94,13 +98,19 @@ def a06(s, d):
 
 
 def a07(s, d):
-    raw = _hourly_report(s, d, "deliveryDate", {"settlementPoint": _point(), "settlementPointPrice": F.format_string("%.2f", "o_totalprice")})
-    return rounded(landed.day_ahead_prices(raw), 2)
+    return rounded(landed.day_ahead_prices(_day_ahead(s, d)), 2)
+
+
+def _day_ahead(s, d):
+    return _hourly_report(s, d, "deliveryDate", {"settlementPoint": _point(), "settlementPointPrice": F.format_string("%.2f", F.col("o_totalprice") / 1000)})
 
 
 def a08(s, d):
-    raw = _hourly_report(s, d, "operatingDay", {"coast": F.lit("1"), "total": F.format_string("%.2f", "o_totalprice")})
-    return rounded(landed.system_load(raw), 2)
+    return rounded(landed.system_load(_load(s, d)), 2)
+
+
+def _load(s, d):
+    return _hourly_report(s, d, "operatingDay", {"coast": F.lit("1"), "total": F.floor(F.col("o_totalprice") / 10).cast("string")})
 
 
 def a09(s, d):
@@ -108,7 +118,7 @@ def a09(s, d):
 
     o = table(s, d, "orders")
     end = (F.col("o_orderkey") % 24 + 1).cast("int") * 60
-    return o.select("o_orderkey", local_ending_to_utc(F.to_date("o_orderdate"), end, F.lit(True), 60, landed.CENTRAL).alias("valid_time"))
+    return o.select("o_orderkey", local_ending_to_utc(_day(), end, F.lit(True), 60, landed.CENTRAL).alias("valid_time"))
 
 
 def a10(s, d):
@@ -127,14 +137,19 @@ def a12(s, d):
     return landed.unlisted_points(_real_time(s, d))
 
 
-def a13(s, d):
+def _spot(s, d, ids):
     e = table(s, d, "events")
     rec = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.when(F.col("event_id") % 5 == 0, F.lit(".")).otherwise(F.format_string("%.2f", "value")).alias("value"))
-    one = e.groupBy(F.concat(F.lit("FRED."), F.upper("event_type"), F.lit(".SPOT")).alias("instrument_id")).agg(
+    one = e.groupBy(ids.alias("instrument_id")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("i"), rec.alias("r")))).alias("a")
     )
     raw = one.select("instrument_id", F.lit(0).alias("_order"), F.from_json(F.to_json(F.struct(F.transform("a", lambda x: x["r"]).alias("observations"))), landed.OBSERVATIONS).alias("j"))
-    return rounded(landed.spot(raw.select("instrument_id", "_order", "j.*"), F.col("instrument_id")))
+    return raw.select("instrument_id", "_order", "j.*")
+
+
+def a13(s, d):
+    raw = _spot(s, d, F.concat(F.lit("FRED."), F.upper("event_type"), F.lit(".SPOT")))
+    return rounded(landed.spot(raw, F.col("instrument_id")))
 
 
 def a14(s, d):
@@ -212,10 +227,10 @@ def a25(s, d):
 # -- pipelines ----------------------------------------------------------------
 
 
-def _pipeline(name: str, library: str, raw):
+def _pipeline(name: str, library: str, raw, at: datetime = datetime(2024, 1, 31, tzinfo=UTC)):
     def run(s, d):
         store = scratch_store(s)
-        ingest(store, name, *raw(s, d), as_of=datetime(2024, 1, 31, tzinfo=UTC), fetched_at=AT)
+        ingest(store, name, *raw(s, d), as_of=at, fetched_at=at)
         rows = store.read(library)
         bad = read_back(store, name, library).agg(F.count("*").alias("n_failures"))
         return rows.groupBy("library", "symbol").agg(F.count("*").alias("n")).join(F.broadcast(bad))
@@ -223,16 +238,50 @@ def _pipeline(name: str, library: str, raw):
     return run
 
 
-def _shifted(raw: DataFrame, days: int) -> DataFrame:
-    return raw.withColumn("Datetime", F.col("Datetime") + F.make_dt_interval(days=F.lit(days)))
-
-
 def e01(s, d):
     names = F.create_map(*(F.lit(x) for kv in {"click": "CME.CL.FRONT", "view": "CME.BZ.FRONT", "error": "CME.NG.FRONT"}.items() for x in kv))
     b = bars(s, d).where(F.col("Symbol").isin("click", "view", "error")).withColumn("id", names[F.col("Symbol")])
     return _pipeline("intraday_bars", "prices.intraday", lambda *_: (b, F.col("id")))(s, d)
 
 
+def e02(s, d):
+    series = F.when(F.col("event_id") % 3 == 0, F.lit("FRED.WTI.SPOT")).when(F.col("event_id") % 3 == 1, F.lit("FRED.BRENT.SPOT")).otherwise(F.lit("FRED.HENRYHUB.SPOT"))
+    return _pipeline("spot_prices", "prices.spot", lambda *_: (_spot(s, d, series), F.col("instrument_id")))(s, d)
+
+
+def e03(s, d):
+    """Degree days of three regions, one year for each of the first hundred orders, 2000 to 2024."""
+    li = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").alias("q")).where("l_orderkey < 100")
+    code = F.get(F.array(*map(F.lit, ("110", "101", "041", "999"))), (F.col("l_orderkey") % 4).cast("int"))
+    cells = [F.lpad(F.format_string("%.0f.", F.col("q") + m), 7, " ") for m in range(12)]
+    lines = lambda e: li.select(F.concat(code, F.lit("0"), F.lit(e), F.format_string("%04d", F.floor(F.col("l_orderkey") / 4) + 2000), *cells).alias("value"))
+    both = landed.degree_days(lines("25"), "25", "hdd"), landed.degree_days(lines("26"), "26", "cdd")
+    return _pipeline("degree_days", "weather", lambda *_: both, datetime(2025, 1, 6, tzinfo=UTC))(s, d)
+
+
+NEW_YEAR = datetime(1996, 1, 2, tzinfo=UTC)
+
+
+def e08(s, d):
+    return _pipeline("real_time_prices", "power.lmp", lambda *_: (_real_time(s, d),), NEW_YEAR)(s, d)
+
+
+def e09(s, d):
+    return _pipeline("day_ahead_prices", "power.dalmp", lambda *_: (_day_ahead(s, d),), NEW_YEAR)(s, d)
+
+
+def e10(s, d):
+    return _pipeline("system_load", "power.load", lambda *_: (_load(s, d),), NEW_YEAR)(s, d)
+
+
+def c11(s, d):
+    """Committed rows read back through their gate long after: they are stale, and nothing else is wrong with them."""
+    store = scratch_store(s)
+    raw = _payload(s, d, "yyyy-MM-dd'T'HH", {"respondent": F.upper("event_type"), "type": F.lit("D"), "value": _value()})
+    ingest(store, "hourly_region", raw, as_of=datetime(2024, 1, 31, tzinfo=UTC), fetched_at=AT)
+    return read_back(store, "hourly_region", "power.demand", datetime(2024, 3, 1, tzinfo=UTC))
+
+
 def e04(s, d):
     raw = _payload(s, d, "yyyy-MM-dd", {"value": _value()})
     return _pipeline("gas_storage", "fundamentals.eia", lambda *_: (raw, "EIA.NG.STORAGE.LOWER48"))(s, d)
@@ -260,16 +309,21 @@ def e11(s, d):
 
 
 _V = "CASE WHEN event_id % 13 = 0 THEN NULL ELSE round(value, 2) END"
-_ORDERS = f"""o AS (SELECT o_orderkey, o_orderdate::DATE AS day, o_totalprice, (['HB_NORTH', 'LZ_WEST', 'HB_OTHER', 'RESOURCE_1', 'LZ_SOUTH'])[o_orderkey % 5 + 1] AS point,
+_ORDERS = f"""o AS (SELECT o_orderkey, o_orderdate::DATE + CASE WHEN dayofweek(o_orderdate) = 0 THEN 1 ELSE 0 END AS day, o_totalprice, (['HB_NORTH', 'LZ_WEST', 'HB_OTHER', 'RESOURCE_1', 'LZ_SOUTH'])[o_orderkey % 5 + 1] AS point,
   o_orderkey % 24 + 1 AS hour, o_orderkey % 4 + 1 AS quarter FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')"""
 
 
-def _instant(minutes: str, begin: str) -> str:
-    """The UTC instant of an ending, as DuckDB has it; repeated hours are standard time there without a flag."""
-    return f"((day + to_minutes(({begin})::INTEGER)) AT TIME ZONE 'America/Chicago' AT TIME ZONE 'UTC' + to_minutes({minutes}))"
+def _instant(begin: str, minutes: int) -> str:
+    return f"(((day + to_minutes(({begin})::INTEGER)) AT TIME ZONE 'America/Chicago') AT TIME ZONE 'UTC' + INTERVAL {minutes} MINUTE)"
 
 
-_AVOID = "NOT (month(day) IN (10, 11) AND isodow(day) = 7 AND hour IN (2)) AND NOT (month(day) IN (3, 4) AND isodow(day) = 7 AND hour IN (3))"
+_LAST = "QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY o_orderkey DESC) = 1"
+_QUARTER, _HOUR = _instant("(hour - 1) * 60 + (quarter - 1) * 15", 15), _instant("(hour - 1) * 60", 60)
+_PRICES = f"""{_ORDERS}, rt AS (SELECT point, {_QUARTER} AS valid_time, round(o_totalprice / 1000, 2) AS price FROM o
+  WHERE point IN ('HB_NORTH', 'LZ_WEST', 'LZ_SOUTH') {_LAST.format(key="point, " + _QUARTER)}),
+da AS (SELECT point, {_HOUR} AS valid_time, round(o_totalprice / 1000, 2) AS price FROM o
+  WHERE point IN ('HB_NORTH', 'LZ_WEST', 'LZ_SOUTH') {_LAST.format(key="point, " + _HOUR)}),
+load AS (SELECT {_HOUR} AS valid_time, floor(o_totalprice / 10)::DOUBLE AS value FROM o {_LAST.format(key=_HOUR)})"""
 _LINES = """li AS (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem WHERE l_orderkey < 2000 GROUP BY 1),
 cells AS (SELECT 'NOAA.HDD.' || (['CONUS', 'NORTHEAST', 'TEXAS'])[l_orderkey % 4 + 1] AS instrument_id, make_timestamp(1000 + l_orderkey, m + 1, 1, 0, 0, 0) AS valid_time,
   CASE WHEN (l_orderkey + m) % 9 = 0 THEN NULL ELSE round(q + m)::DOUBLE END AS v FROM li, range(12) r(m) WHERE l_orderkey % 4 < 3)"""
@@ -287,12 +341,13 @@ FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour
 FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id DESC) = 1"""),
     "A04_hour": (a04, "SELECT event_id, date_trunc('hour', ts) AS valid_time FROM events"),
     "A05_report_rows": (a05, f"WITH {_ORDERS} SELECT point AS settlement_point, hour::INTEGER AS hour, count(*) AS n FROM o GROUP BY 1, 2"),
-    "A06_real_time_prices": (a06, None),
-    "A07_day_ahead_prices": (a07, None),
-    "A08_system_load": (a08, None),
-    "A09_hour_ending": (a09, None),
+    "A06_real_time_prices": (a06, f"WITH {_PRICES} SELECT 'ERCOT.SPP.' || point AS instrument_id, valid_time, point AS settlement_point, price FROM rt"),
+    "A07_day_ahead_prices": (a07, f"WITH {_PRICES} SELECT 'ERCOT.DASPP.' || point AS instrument_id, valid_time, point AS settlement_point, price FROM da"),
+    "A08_system_load": (a08, f"WITH {_PRICES} SELECT 'ERCOT.LOAD.SYSTEM' AS instrument_id, valid_time, value FROM load"),
+    "A09_hour_ending": (a09, f"""WITH o AS (SELECT o_orderkey, o_orderdate::DATE + CASE WHEN dayofweek(o_orderdate) = 0 THEN 1 ELSE 0 END AS day, o_orderkey % 24 + 1 AS hour FROM orders)
+SELECT o_orderkey, {_HOUR} AS valid_time FROM o"""),
     "A10_minutes": (a10, "SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN (o_orderkey % 24 + 1)::INTEGER * 60 END AS minutes FROM orders"),
-    "A11_settlement_points": (a11, None),
+    "A11_settlement_points": (a11, f"WITH {_PRICES} SELECT point AS settlement_point, count(*) AS n FROM rt GROUP BY 1"),
     "A12_unlisted_points": (a12, f"WITH {_ORDERS} SELECT DISTINCT point AS settlement_point FROM o WHERE point = 'HB_OTHER'"),
     "A13_spot": (a13, """SELECT 'FRED.' || upper(event_type) || '.SPOT' AS instrument_id, date_trunc('day', ts) AS valid_time, round(arg_min(value, event_id), 6) AS value
 FROM events WHERE event_id % 5 <> 0 GROUP BY 1, 2"""),
@@ -314,6 +369,14 @@ NULL::BIGINT AS "OpenInterest" FROM bars WHERE "Symbol" IN ('click', 'view')""")
     "A25_revision_window": (a25, f"""WITH {BARS} SELECT "Symbol", count(*) AS n, min("Datetime") AS first_time FROM bars WHERE "Datetime" >= TIMESTAMP '2024-01-18' GROUP BY 1"""),
     "E01_intraday_bars": (e01, """SELECT 'prices.intraday' AS library, CASE event_type WHEN 'click' THEN 'CL_FRONT' WHEN 'view' THEN 'BZ_FRONT' ELSE 'NG_FRONT' END AS symbol,
 count(DISTINCT date_trunc('hour', ts)) AS n, 0::BIGINT AS n_failures FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY 2"""),
+    "E02_spot_prices": (e02, """SELECT 'prices.spot' AS library, CASE event_id % 3 WHEN 0 THEN 'wti_spot' WHEN 1 THEN 'brent_spot' ELSE 'henryhub_spot' END AS symbol,
+count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 5 <> 0 GROUP BY 2"""),
+    "E03_degree_days": (e03, """SELECT 'weather' AS library, (['hdd_conus', 'hdd_northeast', 'hdd_texas'])[l_orderkey % 4 + 1] AS symbol, count(DISTINCT l_orderkey) * 12 AS n,
+0::BIGINT AS n_failures FROM lineitem WHERE l_orderkey < 100 AND l_orderkey % 4 < 3 GROUP BY 2"""),
+    "E08_real_time_prices": (e08, f"WITH {_PRICES} SELECT 'power.lmp' AS library, lower(point) AS symbol, count(*) AS n, 0::BIGINT AS n_failures FROM rt GROUP BY 2"),
+    "E09_day_ahead_prices": (e09, f"WITH {_PRICES} SELECT 'power.dalmp' AS library, lower(point) AS symbol, count(*) AS n, 0::BIGINT AS n_failures FROM da GROUP BY 2"),
+    "E10_system_load": (e10, f"WITH {_PRICES} SELECT 'power.load' AS library, 'system' AS symbol, count(*) AS n, 0::BIGINT AS n_failures FROM load"),
+    "C11_read_back": (c11, """SELECT 'age' AS "check", 'valid_time' AS "column", 1::BIGINT AS n_failed FROM events LIMIT 1"""),
     "E04_gas_storage": (e04, "SELECT 'fundamentals.eia' AS library, 'ng_storage_lower48' AS symbol, count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 13 <> 0"),
     "E05_crude_stocks": (e05, "SELECT 'fundamentals.eia' AS library, 'pet_crude_stocks' AS symbol, count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 13 <> 0"),
     "E06_hourly_region": (e06, "SELECT 'power.demand' AS library, event_type AS symbol, count(DISTINCT date_trunc('hour', ts)) AS n, 0::BIGINT AS n_failures FROM events GROUP BY 2"),
