@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 #: Words of the corpus contracts: runs of anything but the ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
+#: Rows of an Arrow batch of texts; a few MB.
+BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,8 +59,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def pick(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the columns an operator reads, under its own names; null text counts as empty.
 
-    Any further column of ``df``, whatever its name, is left behind.
+    Any further column of ``df``, whatever its name, is left behind.  The session's Arrow
+    batches are cut to ``BATCH_ROWS``: rows of whole texts are long, and a batch is held
+    by the JVM and by the Python worker at once.
     """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
