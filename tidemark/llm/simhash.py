@@ -233,13 +233,25 @@ def one_of_each(
     is least stays, and a row without an id only where no row has one.  Empty tables
     stay empty.
     """
-    copy = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    source = keyed(docs, id_col, text_col)
     marked = materialise(
-        fingerprints(docs.select(F.struct(F.col(id_col).alias("i"), copy.alias("c")).alias("k"), F.col(text_col).alias("t")), width, id_col="k", text_col="t", id_type="struct<i:bigint,c:bigint>")
+        fingerprints(source, width, id_col="k", text_col="t", id_type="struct<i:bigint,c:bigint>")
         .select(F.col("doc_id.i").alias("doc_id"), F.col("doc_id.c").alias("copy"), "fp"),
         "fingerprints",
     )
-    rooted = marked.join(near_duplicates_of(marked, radius).select("fp", "root"), "fp")
+    return first_of_each(docs, marked, near_duplicates_of(marked, radius), id_col=id_col, text_col=text_col)
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(k, t): the id with a hash of the text, which tells rows of one id apart, and the text."""
+    copy = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return docs.select(F.struct(F.col(id_col).alias("i"), copy.alias("c")).alias("k"), F.col(text_col).alias("t"))
+
+
+def first_of_each(docs: DataFrame, marked: DataFrame, named: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that stay; ``marked``: (doc_id, copy, fp) of each, ``named``: (fp, root) of each fp."""
+    copy = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rooted = marked.select("doc_id", "copy", "fp").join(named.select("fp", "root"), "fp")
     row = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "copy")
     first = rooted.groupBy("root").agg(F.min(row).alias("first"))
     gone = rooted.join(first, "root").where(~row.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_d"), F.col("copy").alias("_c"))

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import encode_digests
 from tidemark.llm.decontam import without_leaks
+from tidemark.llm.jaccard import one_of_each
 from tidemark.llm.quality_rules import keep_good
 from tidemark.llm.secret_scan import redacted
-from tidemark.llm.simhash import one_of_each
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least doc_id."""
+    """One document of each group of near-duplicates (five words, 0.8), the one with the least doc_id."""
     return one_of_each(docs)
 
 
