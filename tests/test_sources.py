@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import business_days, local_ending_to_utc
 from tidemark.operators import observe
+from tidemark.queries import ingestion
 from tidemark.plans.pipelines import ingest, read_back
 from tidemark.operators.store import Store
 from tidemark.sources import landed
@@ -105,3 +106,13 @@ def test_streams(spark, tmp_path):
         q = commit_stream(once, store, "stream").option("checkpointLocation", str(tmp_path / f"c{_}")).trigger(availableNow=True).start()
         q.awaitTermination()
     assert store.read("power.demand").count() == len(rows)
+
+
+def test_envelopes_are_bounded(spark, tmp_path):
+    rows = spark.range(4500).selectExpr("id event_id", "timestamp'2024-01-05 03:00:00' ts", "'click' event_type", "cast(id as double) value")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    size = lambda df, c: df.agg(F.max(F.size(c)), F.sum(F.size(c))).first()
+    assert tuple(size(ingestion._spot(spark, str(tmp_path), F.lit("X")), "observations")) == (1000, 4500)
+    assert tuple(size(ingestion._payload(spark, str(tmp_path), "yyyy-MM-dd", {"value": F.col("value")}), "response.data")) == (1000, 4500)
+    assert [r.value for r in ingestion.a13(spark, str(tmp_path)).collect()] == [1.0]  # event 0 has no number
+    assert [r.value for r in ingestion.a02(spark, str(tmp_path)).collect()] == [4499.0]

@@ -15,11 +15,19 @@ from tidemark.sources import landed
 AT = datetime(2024, 2, 1, tzinfo=UTC)
 
 
+#: Events of an envelope at most, so that no row grows with the table.
+ENVELOPE = 1000
+
+
+def _envelope():
+    return F.floor(F.col("event_id") / ENVELOPE)
+
+
 def _payload(s: SparkSession, d: str, fmt: str, extra: dict) -> DataFrame:
-    """One JSON envelope per day of events, read back with the declared schema; ``_order`` is the day."""
+    """JSON envelopes of up to ``ENVELOPE`` events, read back with the declared schema; ``_order`` is that of their ids."""
     e = table(s, d, "events")
     record = F.struct(F.date_format("ts", fmt).alias("period"), *(c.alias(k) for k, c in extra.items()))
-    days = e.groupBy(F.to_date("ts").alias("_order")).agg(F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("i"), record.alias("r")))).alias("a"))
+    days = e.groupBy(_envelope().alias("_order")).agg(F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("i"), record.alias("r")))).alias("a"))
     text = days.select("_order", F.to_json(F.struct(F.struct(F.transform("a", lambda x: x["r"]).alias("data")).alias("response"))).alias("t"))
     return text.select("_order", F.from_json("t", landed.RECORDS).alias("j")).select("_order", "j.*")
 
@@ -140,10 +148,10 @@ def a12(s, d):
 def _spot(s, d, ids):
     e = table(s, d, "events")
     rec = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.when(F.col("event_id") % 5 == 0, F.lit(".")).otherwise(F.format_string("%.2f", "value")).alias("value"))
-    one = e.groupBy(ids.alias("instrument_id")).agg(
+    some = e.groupBy(ids.alias("instrument_id"), _envelope().alias("_order")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("i"), rec.alias("r")))).alias("a")
     )
-    raw = one.select("instrument_id", F.lit(0).alias("_order"), F.from_json(F.to_json(F.struct(F.transform("a", lambda x: x["r"]).alias("observations"))), landed.OBSERVATIONS).alias("j"))
+    raw = some.select("instrument_id", "_order", F.from_json(F.to_json(F.struct(F.transform("a", lambda x: x["r"]).alias("observations"))), landed.OBSERVATIONS).alias("j"))
     return raw.select("instrument_id", "_order", "j.*")
 
 
