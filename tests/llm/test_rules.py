@@ -137,6 +137,38 @@ def test_random_runs_are_found_and_words_left_alone(docs_of):
     assert sum(bool(s) for i, s in got.items() if i not in planted) == 0
 
 
+def test_keys_of_letters_or_digits_only(docs_of):
+    rng = random.Random(6)
+    rows, planted = [], {}
+    key = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    kinds = (
+        lambda: key(string.ascii_lowercase, 60), lambda: key(string.ascii_letters, 60), lambda: "-".join(key(string.digits, 5) for _ in range(12)),
+        lambda: prose(rng)[:90].replace(" ", "-").strip("-"), lambda: "2024-01-01/2024-01-02/2024-01-03/2024-01-04/2024-01-05/2024-01-06/2024-01-07/2024-01-08",
+    )
+    for i in range(1000):
+        t, s = prose(rng), kinds[i % 5]()
+        if i % 5 < 3:
+            planted[i] = f"random:{len(t) + 1}:{len(t) + 1 + len(s)}"
+        rows.append((i, f"{t} {s} end"))
+    got = {r.doc_id: r.spans for r in secret_scan.secret_scan(docs_of(rows)).collect()}
+    for k in range(3):
+        ids = [i for i in planted if i % 5 == k]
+        assert sum(got[i] == planted[i] for i in ids) >= 0.75 * len(ids), k
+    assert sum(bool(s) for i, s in got.items() if i not in planted) == 0
+
+
+def test_a_key_that_a_fixed_span_touches_is_redacted_whole(docs_of):
+    rng = random.Random(7)
+    rows, keys = [], {}
+    for i in range(400):
+        s = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(60))
+        if i % 4 == 0:
+            keys[i] = s = s[:10] + "AKIA" + "".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(16)) + "x" + s[10:]
+        rows.append((i, f"{prose(rng)} {s} end"))
+    got = {r.doc_id: r.text for r in secret_scan.redacted(docs_of(rows)).collect()}
+    assert sum(k[-12:] not in got[i] and k[:8] not in got[i] for i, k in keys.items()) >= 0.5 * len(keys)
+
+
 def test_redaction(docs_of):
     df = docs_of([(i, t) for i, t in enumerate(SECRETS)] + [(50, None), (51, "clean")])
     got = {r.doc_id: r for r in secret_scan.redacted(df, length_col="n_chars").collect()}

@@ -1,7 +1,7 @@
 """Secret scans: three fixed patterns, and a battery of randomness tests.
 
 Long runs of letters, digits and ``+ / _ -`` are candidates.  From the characters of
-a run its encoding is inferred (hex, base32, base64, letters with digits), and its
+a run its encoding is inferred (digits, letters, hex, base32, base64, letters with digits), and its
 symbols are tested against that alphabet: a chi-squared test of uniformity, a runs
 test about the alphabet's middle, and lag-1 serial correlation.  Three times the
 least p-value says how well the run passes for random.
@@ -35,15 +35,17 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST = 20
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % LEAST
 FDR = 0.05
-#: Least lengths of the classes after the first; and the number of bars between p-values 0 and 1.
-LENGTHS = (24, 28, 32, 36, 40, 48, 64, 96, 160)
+#: Least numbers of symbols of the classes after the first, and in the first; and the number of bars between p-values 0 and 1.
+FEWEST = LEAST // 2
+LENGTHS = (LEAST, 24, 28, 32, 36, 40, 48, 64, 96, 160)
 BARS = 50
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-#: encoding, test for it, alphabet; the first that fits is taken.  ``None``: not tested.
+#: encoding, test for it, alphabet; the first that fits is taken.
 ENCODINGS = (
-    ("number", r"^[0-9+/_-]+$", None),
-    ("words", r"^[A-Za-z+/_-]+$", None),
+    ("base10", r"^[0-9+/_-]+$", DIGITS),
+    ("base26", r"^([a-z+/_-]+|[A-Z+/_-]+)$", LOWER),
+    ("base52", r"^[A-Za-z+/_-]+$", UPPER + LOWER),
     ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", DIGITS + "abcdef"),
     ("base32", r"^[A-Z2-7]+$", UPPER + "234567"),
     ("base36", r"^([a-z0-9_-]+|[A-Z0-9_-]+)$", DIGITS + LOWER),
@@ -129,7 +131,7 @@ def randomness(places: Column, size: Column) -> Column:
 def _decoy(text: Column) -> Column:
     """One stretch of the text's letters, in the form of a run to be tested; none in a short text."""
     h = F.xxhash64(text)
-    n = F.get(F.array(F.lit(LEAST), *map(F.lit, LENGTHS)), F.pmod(h, F.lit(len(LENGTHS) + 1)).cast("int"))
+    n = F.get(F.array(F.lit(FEWEST), *map(F.lit, LENGTHS)), F.pmod(h, F.lit(len(LENGTHS) + 1)).cast("int"))
     room = F.greatest(F.char_length(text) - 3 * n, F.lit(1))
     start = F.pmod(F.shiftright(h, 8), room).cast("int")
     letters = F.lower(F.substring(F.regexp_replace(F.substring(text, start + 1, 3 * n), "[^A-Za-z]", ""), F.lit(1), n))
@@ -139,7 +141,7 @@ def _decoy(text: Column) -> Column:
 
 
 def _tested(runs: Column, decoys: Column) -> Column:
-    """(start, end, decoy, class, bar) of each run that has an encoding with an alphabet, and of the decoys."""
+    """(start, end, decoy, class, bar) of each run, and of the decoys; a run's class is by the symbols that are tested."""
     named = F.transform(runs, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["found"].alias("found"), encoding(r["found"]).alias("encoding")))
     lettered = F.filter(
         F.transform(
@@ -149,10 +151,12 @@ def _tested(runs: Column, decoys: Column) -> Column:
                 alphabet(r["encoding"]).alias("alphabet"),
                 F.when(r["encoding"].isin("hex"), F.lower(r["found"]))
                 .when(r["encoding"] == "base36", F.regexp_replace(F.lower(r["found"]), "[_-]", ""))
+                .when(r["encoding"] == "base26", F.regexp_replace(F.lower(r["found"]), "[+/_-]", ""))
+                .when(r["encoding"].isin("base10", "base52"), F.regexp_replace(r["found"], "[+/_-]", ""))
                 .otherwise(r["found"]).alias("found"),
             ),
         ),
-        lambda r: r["alphabet"].isNotNull() & (F.char_length(r["found"]) >= LEAST // 2),
+        lambda r: F.char_length(r["found"]) >= FEWEST,
     )
     placed = F.transform(
         lettered,
@@ -162,12 +166,11 @@ def _tested(runs: Column, decoys: Column) -> Column:
             F.transform(F.split(r["found"], ""), lambda c: F.instr(r["alphabet"], c) - 1).alias("places"),
         ),
     )
-    length = lambda r: r["end"] - r["start"]
     return F.transform(
         F.concat(placed, decoys),
         lambda r: F.struct(
             r["start"].alias("start"), r["end"].alias("end"), r["decoy"].alias("decoy"),
-            F.aggregate(F.array(*map(F.lit, LENGTHS)), F.lit(0), lambda a, least: a + (length(r) >= least).cast("int")).alias("class"),
+            F.aggregate(F.array(*map(F.lit, LENGTHS)), F.lit(0), lambda a, least: a + (F.size(r["places"]) >= least).cast("int")).alias("class"),
             F.floor(randomness(r["places"], r["size"]) * BARS).cast("int").alias("bar"),
         ),
     )
@@ -227,8 +230,8 @@ def scanned(docs: DataFrame, fdr: float = FDR, *, id_col: str = "doc_id", text_c
         needed = F.lit(BARS + 1)
         for c, b in bars.items():
             needed = F.when(r["class"] == c, F.lit(b)).otherwise(needed)
-        apart = ~F.exists("_base", lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"]))
-        return ~r["decoy"] & (r["bar"] >= needed) & apart
+        within = F.exists("_base", lambda s: (s["start"] <= r["start"]) & (r["end"] <= s["end"]))
+        return ~r["decoy"] & (r["bar"] >= needed) & ~within
 
     more = F.transform(
         F.filter("_runs", passes), lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end"))
@@ -245,8 +248,8 @@ def secret_scan(docs: DataFrame, fdr: float = FDR, *, id_col: str = "doc_id", te
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every row of ``docs``.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and then
-    kind.  A random run that overlaps a span of the fixed patterns is not reported
-    again.  A null or empty text has no spans.  Repeated rows give a row each; null
+    kind.  A random run that lies within a span of the fixed patterns is not reported
+    again; one that only overlaps it is.  A null or empty text has no spans.  Repeated rows give a row each; null
     ids are carried; further columns are ignored.
     """
     count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
