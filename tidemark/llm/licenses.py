@@ -31,7 +31,9 @@ BASE = ((b"cc by", "cc-by"), (b"general public license", "gpl"), (b"all rights r
 
 #: label, keyword that the name needs, the name's words ("(x)?" optional), SPDX identifiers, URL part.
 NAMES = (
-    ("mit", "mit", "mit|expat|x11", "mit", "opensource.org/licenses/mit"),
+    ("mit", "mit", "mit", "mit", "opensource.org/licenses/mit"),
+    ("mit", "expat", "expat", "", ""),
+    ("mit", "x11", "x11", "", ""),
     ("mit-0", "mit", "mit no attribution", "mit-0", "opensource.org/licenses/mit-0"),
     ("apache-1.1", "apache", "apache (software )?(license )?(version |v ?)?1 1", "apache-1.1", "apache.org/licenses/license-1.1"),
     ("apache-2.0", "apache", "apache (software )?(license )?(version |v ?)?2( 0)?", "apache-2.0", "apache.org/licenses/license-2.0"),
@@ -102,7 +104,7 @@ TEXTS = (
     ("isc", "permission to", "permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification"),
     ("gpl", "redistribute", "redistribute it and or modify it under the terms of the gnu (lesser |affero )?general public license"),
-    ("apache-2.0", "apache", "you may not use this file except in compliance with the license"),
+    ("apache-2.0", "compliance", "you may not use this file except in compliance with the license"),
     ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license"),
     ("unlicense", "unencumbered", "free and unencumbered software released into the public domain"),
     ("public-domain", "public domain", "(dedicated|released|placed) (in)?to the public domain"),
