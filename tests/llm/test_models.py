@@ -214,3 +214,15 @@ def test_classifier_keeps_clean_and_rejects_junk(spark, docs_of):
     assert sum(got[i].kept for i in range(400)) >= 398 and not any(got[i].kept for i, _, _ in junk)
     assert got[2000].kept and got[2001].kept and got[2001].threshold is None
     assert kneser_ney.quality_classifier(docs_of([(1, "x")]).where("false"), labels).count() == 0
+
+
+def test_repeated_ids_give_one_training_row(spark, docs_of, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(passage(rng, 20))) for i in range(30)]
+    rows += [(7, " ".join(passage(rng, 20))) for _ in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(30)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda bags, y, prior: seen.append((len(bags), int(y.sum()))))
+    for given in (rows, rows[::-1], [(i, t) for i, t in dict(rows).items()]):
+        toxicity.fit(docs_of(given).select("doc_id", "text"), labels)
+    assert len(set(seen)) == 1 and seen[0][0] <= 30

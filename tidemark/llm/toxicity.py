@@ -185,8 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
     for label in (0, 1):
         part = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most * (2 - label))
         sample = part if sample is None else sample.unionAll(part)
-    # the sample has at most 3 * most rows
-    rows = docs.join(F.broadcast(sample), "doc_id").select("label", "text")
+    # the sample has at most 3 * most ids; of a repeated one a row is taken, whatever order they come in
+    rows = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id")
+    rows = rows.agg(F.min_by(F.struct("label", "text"), F.xxhash64("text")).alias("row")).select("row.label", "row.text")
     got = rows.mapInArrow(_bags, "label int, buckets array<int>, counts array<smallint>").toArrow()
     if not got.num_rows:
         return flat
