@@ -69,5 +69,5 @@ def test_tiles_give_the_same(docs_of):
 
 
 def test_threshold_is_met_exactly():
-    sets = [jaccard.np.arange(a, b) for a, b in ((0, 9), (1, 10), (100, 104), (100, 105), (200, 204), (201, 205))]
+    sets = [jaccard.np.arange(a, b, dtype=jaccard.np.uint64) for a, b in ((0, 9), (1, 10), (100, 104), (100, 105), (200, 204), (201, 205))]
     assert list(jaccard.links_of(sets, 0.8)) == [(0, 1), (2, 3)]

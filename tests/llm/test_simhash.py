@@ -100,7 +100,7 @@ def test_planes_give_a_star_per_member_at_most():
     links = list(BitPlanes(members, 2).links())
     assert len(links) < len(members) and len({b for _, b in links}) == len(links)
     of = dict(zip(members, roots(members, 2), strict=True))
-    assert all(of[a] == of[b] for a, b in links)
+    assert all(of[members[a]] == of[members[b]] for a, b in links)
     assert len(members) - len(links) == len(set(of.values()))
 
 
@@ -120,3 +120,28 @@ def test_one_of_each(docs_of):
     assert sorted(map(str, ids)) == sorted(map(str, want))
     assert one_of_each(docs_of([(1, "x")]).where("false")).count() == 0
     assert near_duplicates(docs_of([(1, "x")]).where("false")).count() == 0
+
+
+def test_planes_of_any_width_and_radius():
+    rng = random.Random(3)
+    for width, radius in ((64, 2), (64, 5), (256, 80), (256, 17)):
+        base = rng.getrandbits(width)
+        members = [base]
+        for _ in range(300):
+            x = rng.choice(members)
+            for _ in range(rng.randrange(2 * radius)):
+                x ^= 1 << rng.randrange(width)
+            members.append(x)
+        planes = BitPlanes(members, radius, width)
+        for q in members[::29] + [rng.getrandbits(width), base ^ ((1 << radius + 1) - 1)]:
+            assert planes.near(q) == [i for i, m in enumerate(members) if (m ^ q).bit_count() <= radius]
+    same = BitPlanes([5, 5, 5], 1)  # no bit varies
+    assert same.near(5) == same.near(4) == [0, 1, 2] and same.near(2) == []
+
+
+def test_clashing_names_and_repeats(spark):
+    rows = [(1, "one two three four", "a"), (1, "one two three four", "b"), (2, "quite another text here", "c"), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _copy string").selectExpr("*", "'x' as _d", "'y' as _c", "'z' as root", "'w' as row")
+    got = one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r._copy) for r in got.collect()), key=str) == [(1, "a"), (2, "c"), (None, None)]

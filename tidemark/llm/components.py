@@ -22,10 +22,15 @@ def _star_round(links: DataFrame) -> DataFrame:
 
     Large star: every neighbour above a node is hung on the node's least neighbour.
     Small star: a node and its lower neighbours are hung on the least of them.
+
+    Skew: the first join is by a key of its own, so that both sides are shuffled for it
+    and AQE can split a node with very many neighbours.
     """
     both = links.unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
     least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-    large = both.join(least, "x").where(F.col("y") > F.col("x")).select(F.col("y").alias("x"), F.col("m").alias("y"))
+    key = F.bitwise_not("x").alias("k")
+    large = both.select(key, "x", "y").join(least.select(key, "m"), "k")
+    large = large.where(F.col("y") > F.col("x")).select(F.col("y").alias("x"), F.col("m").alias("y"))
     large = large.where(F.col("x") != F.col("y")).distinct()
     low = large.groupBy("x").agg(F.min("y").alias("m"))
     hung = large.join(low, "x").select(F.col("y").alias("x"), F.col("m").alias("y"))

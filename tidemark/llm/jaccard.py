@@ -1,18 +1,22 @@
-"""Near-duplicates by the Jaccard similarity of their word shingles.
+"""Near-duplicates by SimHash bit planes with an exact Jaccard similarity behind them.
 
-Shingles: the distinct XXH64 of a text's runs of ``width`` words.  Texts of equal sets
-are folded into one row.
+Shingles: a text's distinct runs of ``width`` words, as 64-bit hashes.  Texts of equal
+sets are folded into one row.
 
-Candidates: ``BANDS`` keys of ``ROWS`` min-hashes each.  A pair at similarity 0.8 shares
-no key with a chance of (1 - 0.8^5)^40 = 1.2e-7, a more similar one with less.  Texts
-that share a key are linked to the least of them, and components of those links bring
-all pairs that share one together.
+Candidates: at a similarity of 0.8 fingerprints of 256 bits differ by about 39 bits, so
+by the pigeonhole principle keys of their own bits would have 4 bits each and single
+nothing out.  Candidates share one of ``BANDS`` keys of ``ROWS`` min-hashes instead: a
+pair at 0.8 shares none with a chance of (1 - 0.8^4)^24 = 3.2e-6, a more similar one with
+less.  Texts that share a key are linked to the least of them, and components of those
+links bring all pairs that share one together.
 
 Links: only candidates' sets are shuffled, to the tiles of their component: a component
 of more than ``TILE`` shingles is cut into chunks, and each pair of chunks is a tile.
-In a tile a text is compared exactly with all that are still open, which are left as soon
-as they are linked.  So a tile gives at most one link per text, and together the tiles
-connect what pairs of the wanted similarity connect.
+In a tile each text has a SimHash of 256 bits, stored as vertical planes.  A text is
+compared with a whole block of texts by carry-save counters, the block is left once all
+are beyond ``RADIUS``, and only what is within it is compared exactly.  A text is left
+out as soon as it is linked, so a tile gives at most one link per text, and together the
+tiles connect what pairs of the wanted similarity connect.
 """
 
 from __future__ import annotations
@@ -27,11 +31,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, pick, text_blocks
 from tidemark.llm.components import components
-from tidemark.llm.simhash import BLOCK_BYTES, SEED, first_of_each, keyed, shingles
+from tidemark.llm.decontam import window_hashes
+from tidemark.llm.simhash import BLOCK_BYTES, SEED, BitPlanes, first_of_each, keyed, votes
 
 WIDTH = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 24, 4
+#: Bits of a fingerprint, and those in which candidates may differ: 0.8 gives 39 at large sets and 48 at the smallest, at a
+#: standard deviation of 6; texts with nothing in common differ by 128.
+BITS, RADIUS = 256, 80
 #: Shingles of a chunk of a component, about.
 TILE = 1_000_000
 
@@ -39,12 +47,26 @@ _RNG = np.random.default_rng(SEED)
 _TIMES = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Byte to a number from 1 on, A-Z as a-z; 0 is the ASCII white space that parts words.
+_CHAR = np.array([0 if b == 32 or 9 <= b <= 13 else 1 + (b | 32 if 65 <= b <= 90 else b) for b in range(256)], np.uint64)
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
-    """Each text's distinct shingle hashes, sorted; none for a text without words."""
-    digest = xxhash.xxh64_intdigest
-    return [np.unique(np.array([digest(s, SEED) for s in shingles(t, width)], np.uint64)) for t in texts]
+    """Each text's distinct shingle hashes, sorted; none for a text without words, one of all for one of fewer words."""
+    chars = _CHAR[np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)]
+    steps = np.diff((chars != 0).astype(np.int8))
+    starts, ends = np.flatnonzero(steps == 1) + 1, np.flatnonzero(steps == -1) + 1
+    words = window_hashes(chars, starts, ends)
+    offsets = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    first = np.searchsorted(starts, offsets)  # each text's first word, and the end
+    n = np.diff(first)
+    # places where a shingle begins, and where it ends
+    at = np.arange(len(words))
+    last = np.repeat(first[1:], n)
+    begin = at[(at + width <= last) | (at == np.repeat(first[:-1], n))]
+    hashes = window_hashes(words, begin, np.minimum(begin + width, last[begin]))
+    cut = np.searchsorted(begin, first)
+    return [np.unique(hashes[i:j]) for i, j in zip(cut, cut[1:], strict=False)]
 
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
@@ -61,6 +83,18 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
+def wide_fingerprints(sets: list[np.ndarray]) -> list[int]:
+    """A SimHash of ``BITS`` bits of each of the sets, none of them empty."""
+    flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets], np.int64)
+    out = [0] * len(sets)
+    for k in range(BITS // 64):
+        mixed = (flat ^ _PLUS[k]) * _TIMES[k]
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX
+        for i, part in enumerate(votes(mixed ^ (mixed >> np.uint64(29)), sizes).tolist()):
+            out[i] |= part << 64 * k
+    return out
+
+
 def _marks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
@@ -82,35 +116,24 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 def links_of(sets: list[np.ndarray], least: float) -> Iterator[tuple[int, int]]:
     """A star for each group of the sets (none empty) that chains of similar ones connect."""
-    sizes = np.array([len(s) for s in sets])
-    ends = np.cumsum(sizes)
-    places = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    marked = np.zeros(len(places), np.int32)
-    open_, flat = np.arange(len(sets)), places
-    while len(open_):
-        root = int(open_[0])
-        open_, flat = open_[1:], flat[sizes[root] :]
-        stack = [root]
-        while stack and len(open_):
-            q = stack.pop()
-            own = places[ends[q] - sizes[q] : ends[q]]
-            marked[own] = 1
-            common = np.add.reduceat(marked[flat], np.cumsum(sizes[open_]) - sizes[open_])
-            marked[own] = 0
-            near = common / (sizes[q] + sizes[open_] - common) >= least
-            if near.any():
-                for k in open_[near].tolist():
-                    stack.append(k)
-                    yield root, k
-                flat = flat[np.repeat(~near, sizes[open_])]
-                open_ = open_[~near]
+    if not sets:
+        return
+
+    def alike(i: int, j: int) -> bool:
+        a, b = sets[i], sets[j]
+        if min(len(a), len(b)) < least * max(len(a), len(b)):
+            return False
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return common >= least * (len(a) + len(b) - common)
+
+    yield from BitPlanes(wide_fingerprints(sets), RADIUS, BITS).links(alike)
 
 
 def _tile_links(tile: pa.Table, least: float) -> pa.Table:
     fps, members = tile.column("fp").to_numpy(), tile.column("members").combine_chunks()
     if isinstance(members, pa.ChunkedArray):
         members = pa.concat_arrays(members.chunks)
-    flat, at = members.values.to_numpy(), members.offsets.to_numpy()
+    flat, at = members.values.to_numpy().view(np.uint64), members.offsets.to_numpy()
     pairs = list(links_of([flat[i:j] for i, j in zip(at, at[1:], strict=False)], least))
     return pa.table({c: pa.array(fps[[p[k] for p in pairs]] if pairs else [], pa.int64()) for k, c in enumerate("xy")})
 
@@ -118,6 +141,8 @@ def _tile_links(tile: pa.Table, least: float) -> pa.Table:
 def similar_links(sets: DataFrame, least: float, tile: int = TILE) -> DataFrame:
     """Links (x, y) that connect what pairs of one part at or over ``least`` connect; ``sets``: (fp, part, members)."""
     parts = sets.groupBy("part").agg(F.ceil(F.sum(F.size("members")) / tile).cast("int").alias("chunks"))
+    # a table of its own, so that AQE can split a part with very many sets in the join
+    parts = materialise(parts, "parts")
     dealt = sets.join(parts, "part").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select("part", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "fp", "members")
@@ -146,6 +171,8 @@ def one_of_each(
     folded = materialise(marked.groupBy("fp").agg(F.min(row).alias("row"), F.first("keys").alias("keys")), "folded")
     keys = folded.select("fp", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("fp").alias("x"), F.max("fp").alias("z")).where("x < z").select("key", "x")
+    # a table of its own, so that AQE can split a key that very many sets share
+    shared = materialise(shared, "shared-keys")
     parts = components(keys.join(shared, "key").where("fp <> x").select("x", F.col("fp").alias("y")))
     # one text of each set that shares a key
     picked = folded.select("fp", "row").join(parts.select(F.col("node").alias("fp"), F.col("root").alias("part")), "fp")

@@ -35,6 +35,8 @@ SEED = 42
 BLOCK_BYTES = 1_000_000
 #: Members of a bucket that one big integer covers.
 PLANE_BITS = 2048
+#: Parts that the fingerprints of one component are dealt over.
+SALTS = 32
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -92,29 +94,35 @@ def fingerprints(
 
 
 class BitPlanes:
-    """Vertical bit planes of one bucket's fingerprints."""
+    """Vertical bit planes of one bucket's fingerprints, of ``width`` bits each."""
 
-    def __init__(self, members: list[int], radius: int):
+    def __init__(self, members: list[int], radius: int, width: int = 64):
         varying = 0
         for m in members:
             varying |= m ^ members[0]
-        self.bits = [j for j in range(64) if varying >> j & 1]
+        self.bits = [j for j in range(width) if varying >> j & 1]
         self.members, self.radius, self.depth = members, radius, radius.bit_length()
+        # a block is looked at for places beyond the radius after so many planes
+        self.every = 1 if self.depth < 4 else 16
         self.planes, self.open = [], []
         for start in range(0, len(members), PLANE_BITS):
             part = members[start : start + PLANE_BITS]
             self.planes.append([sum((m >> j & 1) << i for i, m in enumerate(part)) for j in self.bits])
             self.open.append((1 << len(part)) - 1)
 
-    def take_near(self, q: int) -> list[int]:
-        """Open places within the radius of fingerprint ``q``; they are closed by this."""
+    def near(self, q: int) -> list[int]:
+        """Open places within the radius of fingerprint ``q``."""
         found = []
+        fixed = (q ^ self.members[0]) & ~sum(1 << j for j in self.bits)
+        spent = fixed.bit_count()  # bits in which all members are alike
+        if spent > self.radius:
+            return found
         for b, planes in enumerate(self.planes):
             alive = self.open[b]
             if not alive:
                 continue
-            counters = [0] * self.depth
-            for j, plane in zip(self.bits, planes, strict=True):
+            counters = [-(spent >> k & 1) for k in range(self.depth)]
+            for at, (j, plane) in enumerate(zip(self.bits, planes, strict=True), 1):
                 carry = (alive & ~plane) if q >> j & 1 else (alive & plane)
                 for k in range(self.depth):
                     counters[k], carry = counters[k] ^ carry, counters[k] & carry
@@ -122,18 +130,25 @@ class BitPlanes:
                         break
                 else:
                     alive &= ~carry  # past what the counters hold
-                if carry or (self.radius + 1) & self.radius:
+                if at % self.every == 0 or at == len(planes):
                     alive &= ~self._beyond(counters)
                 if not alive:
                     break
-            if alive:
-                self.open[b] &= ~alive
-                while alive:
-                    low = alive & -alive
-                    found.append(b * PLANE_BITS + low.bit_length() - 1)
-                    alive ^= low
+            while alive:
+                low = alive & -alive
+                found.append(b * PLANE_BITS + low.bit_length() - 1)
+                alive ^= low
         return found
 
+    def close(self, place: int) -> None:
+        """Leave a place out of what is still compared."""
+        b, bit = divmod(place, PLANE_BITS)
+        self.open[b] &= ~(1 << bit)
+
+    def is_open(self, place: int) -> bool:
+        b, bit = divmod(place, PLANE_BITS)
+        return bool(self.open[b] >> bit & 1)
+
     def _beyond(self, counters: list[int]) -> int:
         """Places whose counter is over the radius."""
         over, same = 0, -1
@@ -145,18 +160,23 @@ class BitPlanes:
                 same &= ~counters[k]
         return over
 
-    def links(self) -> Iterator[tuple[int, int]]:
-        """A star for each group of members that chains of near ones connect."""
-        for i, root in enumerate(self.members):
-            b, bit = divmod(i, PLANE_BITS)
-            if not self.open[b] >> bit & 1:
+    def links(self, alike=None) -> Iterator[tuple[int, int]]:
+        """Places (root, other): a star for each group of members that chains of near ones connect.
+
+        ``alike`` (place, place), if given, has the last word on each near pair.
+        """
+        for root in range(len(self.members)):
+            if not self.is_open(root):
                 continue
-            self.open[b] &= ~(1 << bit)
+            self.close(root)
             stack = [root]
             while stack:
-                for k in self.take_near(stack.pop()):
-                    stack.append(self.members[k])
-                    yield root, self.members[k]
+                q = stack.pop()
+                for k in self.near(self.members[q]):
+                    if alike is None or alike(q, k):
+                        self.close(k)
+                        stack.append(k)
+                        yield root, k
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
@@ -164,9 +184,9 @@ def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         x, y = [], []
         for members in batch.column(0).to_pylist():
             for a, b in BitPlanes([m & (1 << 64) - 1 for m in members], radius).links():
-                x.append(a)
-                y.append(b)
-        columns = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (x, y)]
+                x.append(members[a])
+                y.append(members[b])
+        columns = [pa.array(c, pa.int64()) for c in (x, y)]
         yield pa.RecordBatch.from_arrays(columns, ["x", "y"])
 
 
@@ -249,12 +269,22 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, marked: DataFrame, named: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that stay; ``marked``: (doc_id, copy, fp) of each, ``named``: (fp, root) of each fp."""
+    """The rows of ``docs`` that stay; ``marked``: (doc_id, copy, fp) of each, ``named``: (fp, root) of each fp.
+
+    Skew: copies are folded map-side to one row for each fp, and the fps of one root are
+    dealt over ``SALTS`` parts for the join with its first row; the join by fp is between
+    two tables, so that AQE can split an fp with many copies.
+    """
     copy = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    rooted = marked.select("doc_id", "copy", "fp").join(named.select("fp", "root"), "fp")
     row = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "copy")
-    first = rooted.groupBy("root").agg(F.min(row).alias("first"))
-    gone = rooted.join(first, "root").where(~row.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_d"), F.col("copy").alias("_c"))
+    folded = marked.groupBy("fp").agg(F.min(row).alias("own")).join(named.select("fp", "root"), "fp")
+    folded = materialise(folded, "firsts")
+    shared = folded.groupBy("root").agg(F.min("own").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = materialise(shared.select("root", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")), "shared")
+    salted = folded.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    first = salted.join(shared, ["root", "salt"], "left").select("fp", F.coalesce("first", "own").alias("first"))
+    rooted = marked.select("doc_id", "copy", "fp").join(materialise(first, "first"), "fp")
+    gone = rooted.where(~row.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_d"), F.col("copy").alias("_c"))
     gone = materialise(gone.distinct(), "gone")
 
     def same(other: DataFrame):
@@ -267,5 +297,7 @@ def first_of_each(docs: DataFrame, marked: DataFrame, named: DataFrame, *, id_co
     again = materialise(again.join(gone, both, "left_anti").select("_d", "_c"), "again")
     if again.isEmpty():
         return kept
-    once = docs.join(again, same(again), "left_semi").withColumn("_copy", copy).dropDuplicates([id_col, "_copy"]).drop("_copy")
+    whole = docs.join(again, same(again), "left_semi")
+    whole = whole.select(F.struct(whole[id_col].alias("i"), copy.alias("c")).alias("key"), F.struct(*(whole[c] for c in whole.columns)).alias("row"))
+    once = whole.groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
     return kept.join(again, same(again), "left_anti").unionByName(once)
