@@ -86,6 +86,29 @@ def test_other_libraries(docs_of):
     assert [got[i][1] for i in range(3)] == [len(sp.encode(t)) for t in texts]
 
 
+def test_a_tokenizer_with_a_normalizer(docs_of):
+    path = P.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["Hello   THERE", "naïve café", "", "a<|endoftext|> b", "x-y's"]
+    got = counts(docs_of(list(enumerate(texts))), tokenizer=path)
+    assert [got[i][1] for i in range(5)] == [len(library.encode(t, add_special_tokens=False)) for t in texts]
+
+
+def test_copies_are_encoded_once(spark, docs_of, tmp_path):
+    texts = ["one text", "another one", None]
+    rows = [(i % 7 if i % 5 else None, texts[i % 3]) for i in range(60)] + [(100 + i, f"alone {i}") for i in range(9)]
+    for n, cached in ((12, ()), (60, rows[60:])):  # with few misses they are picked, with many the others left out
+        cache = str(tmp_path / f"cache{n}")
+        if cached:
+            token_counts(docs_of(list(cached)), cache_path=cache).count()
+        got = token_counts(docs_of(rows), cache_path=cache)
+        assert sorted((r.doc_id, r.n_tokens) for r in got.collect() if r.doc_id is not None) == sorted(
+            (i, len(LIBRARY.encode(t or "", add_special_tokens=False))) for i, t in rows if i is not None
+        )
+        assert got.count() == len(rows)
+        assert spark.read.parquet(cache).select("digest").distinct().count() == 12
+
+
 def test_empty_tables(docs_of):
     none = docs_of([(1, "x")]).where("false")
     assert encode(none).count() == encode_digests(none).count() == token_counts(none).count() == 0

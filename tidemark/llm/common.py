@@ -22,14 +22,17 @@ BATCH_ROWS = 1000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where a session names none (tests, notebooks in local mode) a temporary one
-    is set on the context, once.
+    Where a session in local mode names none (tests, notebooks) a temporary one is
+    set on the context, once.  On a cluster the setting is needed: a folder of one
+    machine would be missed by the others.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -2,18 +2,22 @@
 
 The cache is a Parquet table of (content digest, tokenizer digest) to token count.
 Documents are reduced to digests; digests that the cache has are only joined.  Of
-the others one text per digest is encoded, however many copies there are, and the
-counts are appended before the final join.
-
-Shuffles: the texts of misses once, by digest, after a map-side pick of one text
-per digest and task (so a group of copies costs one row per task); and rows of
-(doc_id, digest, bytes) for the join, where AQE splits hot digests.
+the others one row stands for all copies, its text is encoded, and the counts are
+appended before the final join.
+
+Everything is decided on narrow rows: distinct digests (folded map-side), an anti join
+with the cache, and the least doc_id of each digest that is missing.  Those rows, or the
+rows that are not to be read where these are fewer, then filter the texts by (doc_id,
+digest).  That table is broadcast while it is small; beyond that the join shuffles
+texts by a key that copies do not share.  Rows equal in both are encoded once per task.
+The last join is on (digest, bytes) rows, where AQE splits a digest with many copies.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import uuid
 from collections.abc import Iterator
@@ -32,11 +36,12 @@ CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
 
 class JsonCounter:
-    """Counts of a byte-level BPE in a ``tokenizers`` file.
+    """Counts of a ``tokenizers`` file.
 
-    Such a tokenizer first cuts out its special strings, then splits by its
-    pattern, and never merges across a cut.  So the library encodes each distinct
-    piece once, and a text's count is the sum over its pieces.
+    A byte-level BPE without a normalizer first cuts out its special strings, then
+    splits by its pattern, and never merges across a cut.  So the library encodes each
+    distinct piece once, and a text's count is the sum over its pieces.  With any other
+    tokenizer whole texts are encoded.
     """
 
     def __init__(self, path: str):
@@ -46,6 +51,15 @@ class JsonCounter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        step = made.get("pre_tokenizer") or {}
+        added = made.get("added_tokens") or []
+        self.whole = not (
+            made.get("normalizer") is None and (made.get("model") or {}).get("type") == "BPE" and step.get("type") == "ByteLevel"
+            and step.get("use_regex", True) and not step.get("add_prefix_space")
+            and all(t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in added)
+        )
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
         self.special = sorted(special, key=len, reverse=True)
         self.split = pretokenizer(public_tokenizers.PATTERN).findall
@@ -62,6 +76,8 @@ class JsonCounter:
         return self.split(text)
 
     def block(self, texts: list[str]) -> list[int]:
+        if self.whole:
+            return [len(self.tokenizer.encode(t, add_special_tokens=False)) for t in texts]
         split = [self.pieces(t) for t in texts]
         words = set().union(*split)
         new = words.difference(self.known)
@@ -123,9 +139,12 @@ def tokenizer_version(path: str) -> str:
 
 
 def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    count = counter(path)
+    count, done = counter(path), set()
     for batch in batches:
-        n = []
+        # rows that are equal in id and text were all picked: one of them is enough
+        digests = batch.column(0).to_pylist()
+        new = [i for i, d in enumerate(digests) if d not in done and not done.add(d)]
+        batch, n = batch.take(pa.array(new, pa.int64())), []
         for _, _, texts in text_blocks(batch.column(1), BLOCK_BYTES):
             n += count.block(decoded(texts))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["digest", "n_tokens"])
@@ -159,9 +178,21 @@ def token_counts(
     digested = pick(docs, id_col, text_col).withColumn("digest", F.unhex(F.sha2("text", 256)))
     keys = digested.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     keys = materialise(keys, "digests")
-    missing = digested.join(cached().select("digest"), "digest", "left_anti")
-    distinct = missing.groupBy("digest").agg(F.first("text").alias("text"))
-    counted = distinct.mapInArrow(lambda b: _count(b, path), "digest binary, n_tokens long")
+    # of each missing digest the least id, a null one last
+    rows = keys.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("_d"))).alias("row"))
+    rows = rows.join(cached().select("digest"), "digest", "left_anti").select(F.col("digest").alias("_g"), "row._d")
+    wanted = materialise(rows, "misses")
+
+    def same(other: DataFrame):
+        return (F.col("digest") == other["_g"]) & F.col("doc_id").eqNullSafe(other["_d"])
+
+    others = keys.join(wanted, same(wanted), "left_anti").select(F.col("digest").alias("_g"), F.col("doc_id").alias("_d")).distinct()
+    others = materialise(others, "no-misses")
+    if wanted.count() <= others.count():
+        missing = digested.join(wanted, same(wanted), "left_semi")
+    else:
+        missing = digested.join(others, same(others), "left_anti")
+    counted = missing.select("digest", "text").mapInArrow(lambda b: _count(b, path), "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
     # as a table of its own it is shuffled anew for the join, and AQE can then split a digest with many copies
     needed = cached().join(keys.select("digest").distinct(), "digest", "left_semi")
