@@ -5,6 +5,7 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import duckdb
@@ -143,16 +144,16 @@ def test_keys_of_letters_or_digits_only(docs_of):
     key = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
     kinds = (
         lambda: key(string.ascii_lowercase, 60), lambda: key(string.ascii_letters, 60), lambda: "-".join(key(string.digits, 5) for _ in range(12)),
-        lambda: prose(rng)[:90].replace(" ", "-").strip("-"), lambda: "2024-01-01/2024-01-02/2024-01-03/2024-01-04/2024-01-05/2024-01-06/2024-01-07/2024-01-08",
+        lambda: key(string.ascii_uppercase + "234567", 60), lambda: prose(rng)[:90].replace(" ", "-").strip("-"), lambda: "2024-01-01/2024-01-02/2024-01-03/2024-01-04/2024-01-05/2024-01-06/2024-01-07/2024-01-08",
     )
     for i in range(1000):
-        t, s = prose(rng), kinds[i % 5]()
-        if i % 5 < 3:
+        t, s = prose(rng), kinds[i % 6]()
+        if i % 6 < 4:
             planted[i] = f"random:{len(t) + 1}:{len(t) + 1 + len(s)}"
         rows.append((i, f"{t} {s} end"))
     got = {r.doc_id: r.spans for r in secret_scan.secret_scan(docs_of(rows)).collect()}
-    for k in range(3):
-        ids = [i for i in planted if i % 5 == k]
+    for k in range(4):
+        ids = [i for i in planted if i % 6 == k]
         assert sum(got[i] == planted[i] for i in ids) >= 0.75 * len(ids), k
     assert sum(bool(s) for i, s in got.items() if i not in planted) == 0
 
@@ -169,6 +170,30 @@ def test_a_key_that_a_fixed_span_touches_is_redacted_whole(docs_of):
     assert sum(k[-12:] not in got[i] and k[:8] not in got[i] for i, k in keys.items()) >= 0.5 * len(keys)
 
 
+def test_long_texts_of_hits(docs_of):
+    """A fixed span and a run every few characters, over megabytes: no work grows with the square of the hits."""
+    rng = random.Random(8)
+    token = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    parts = [f"{token('0123456789abcdef', 26)} {token(string.ascii_letters + string.digits, 24)} é token={token('abcdef', 8)}" for _ in range(10_000)]
+    rows = [(i, prose(rng)) for i in range(40)] + [(100, " ".join(parts))]
+    start = time.monotonic()
+    got = {r.doc_id: r for r in secret_scan.secret_scan(docs_of(rows, extra=False)).collect()}
+    fixed = [s for s in got[100].spans.split(",") if not s.startswith("random")]
+    assert tuple(got[100])[1:5] == brute_secrets(rows[-1][1])[:4] and fixed == brute_secrets(rows[-1][1])[4].split(",")
+    text = {r.doc_id: r.text for r in secret_scan.redacted(docs_of(rows, extra=False)).collect()}
+    assert "token" not in text[100] and text[100].count("é") == 10_000 and text[5] == rows[5][1]
+    assert time.monotonic() - start < 60
+
+
+def test_running(spark):
+    rng = random.Random(9)
+    rows = [([rng.randrange(-50, 50) for _ in range(n)],) for n in (0, 1, 2, 3, 10, 99, 100, 101)]
+    df = spark.createDataFrame(rows, "x array<int>")
+    got = df.select("x", secret_scan.running(F.col("x"), lambda a, b: a + b).alias("s"), secret_scan.running(F.col("x"), F.greatest).alias("m")).collect()
+    for r in got:
+        assert r.s == [sum(r.x[: i + 1]) for i in range(len(r.x))] and r.m == [max(r.x[: i + 1]) for i in range(len(r.x))]
+
+
 def test_redaction(docs_of):
     df = docs_of([(i, t) for i, t in enumerate(SECRETS)] + [(50, None), (51, "clean")])
     got = {r.doc_id: r for r in secret_scan.redacted(df, length_col="n_chars").collect()}

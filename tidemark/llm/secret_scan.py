@@ -6,16 +6,20 @@ symbols are tested against that alphabet: a chi-squared test of uniformity, a ru
 test about the alphabet's middle, and lag-1 serial correlation.  Three times the
 least p-value says how well the run passes for random.
 
-How often does plain language pass?  Every document gives one decoy, the letters of
-a stretch of its prose at a place and length that the text's hash picks, and it
-takes the same tests over 26 letters.  For each class of lengths, and each bar on
-the p-value, the share of decoys over the bar, times the number of candidates, is
-the expected number of false findings; the lowest bar at which that is at most
-``fdr`` of the findings is used.  Short runs, on which the tests have little power,
-so meet a high bar or are not reported at all.
+How often does plain language pass?  Every document gives a decoy for each kind of
+alphabet (up to 16 symbols, up to 36, more): what a stretch of its prose holds of that
+alphabet, at a place and length that the text's hash picks, and it takes the same tests
+over that alphabet.  For each class of alphabet and length, and each bar on the p-value,
+the share of decoys over the bar, times the number of candidates, is the expected
+number of false findings; the lowest bar at which that is at most ``fdr`` of the
+findings is used.  Short runs, on which the tests have little power, so meet a high
+bar or are not reported at all.
+
+The work on a text with n findings grows with n^1.5 at most: running sums and maxima
+are taken in blocks of about sqrt(n), and nothing compares findings pair by pair.
 
 DataFrame operations only.  Texts are read in one narrow pass; nothing is shuffled
-but counts by length class and p-value.
+but counts by class and p-value.
 """
 
 from __future__ import annotations
@@ -53,33 +57,61 @@ ENCODINGS = (
     ("base64url", r"^", UPPER + LOWER + DIGITS + "-_"),
 )
 
+#: Alphabets of the decoys, what is no symbol of them in lower-cased or whole prose, and prose taken for each symbol.
+DECOYS = ((DIGITS + "abcdef", "[^0-9a-f]", True, 8), (LOWER, "[^a-z]", True, 3), (UPPER + LOWER + DIGITS + "+/", "[^A-Za-z0-9+/]", False, 3))
+
 _PLACED = "array<struct<start:int,end:int,decoy:boolean,size:int,places:array<int>>>"
 _EMPTY = "array<struct<start:int,end:int,found:string>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def running(values: Column, merge, kind: str = "int") -> Column:
+    """Of an array x1, x2, ...: x1, merge(x1, x2), ... for an associative ``merge``; in blocks, as appending copies an array."""
+
+    def all_of(xs: Column) -> Column:
+        return F.aggregate(
+            xs,
+            F.array().cast(f"array<{kind}>"),
+            lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) > 0, merge(F.try_element_at(acc, F.lit(-1)), x)).otherwise(x))),
+        )
+
+    def joined(inner: Column) -> Column:
+        ends = all_of(F.transform(inner, lambda xs: F.try_element_at(xs, F.lit(-1))))
+        return let(
+            ends,
+            lambda e: F.flatten(F.transform(inner, lambda xs, j: F.when(j == 0, xs).otherwise(F.transform(xs, lambda x: merge(F.get(e, j - 1), x))))),
+        )
+
+    def blocks(xs: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(xs).cast("double"))).cast("int")
+        firsts = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width).cast("int"))
+        return let(F.transform(firsts, lambda b: all_of(F.slice(xs, b * width + 1, width))), joined)
+
+    return let(values, lambda xs: F.when(F.size(xs) > 0, blocks(xs)).otherwise(xs))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost matches that don't overlap: (start, end, found), in code points.
 
     The lengths of what stands between the matches, and of the matches, add up to
     their places.
     """
-    pieces = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")
-    )
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.char_length(p["gap"])
-        end = start + F.char_length(F.coalesce(p["found"], F.lit("")))
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), p["found"].alias("found")))
-        return F.struct(
-            end.alias("at"), F.when(p["found"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], one)).alias("spans")
+    def placed(pieces: Column) -> Column:
+        ends = running(F.transform(pieces, lambda p: p["gap"] + F.char_length(p["found"])), lambda a, b: a + b)
+        return F.transform(
+            F.arrays_zip(ends.alias("end"), pieces.alias("p")),
+            lambda z: F.struct((z["end"] - F.char_length(z["p"]["found"])).alias("start"), z["end"].alias("end"), z["p"]["found"].alias("found")),
         )
 
-    none = F.array().cast(_EMPTY)
-    spans = F.aggregate(
-        pieces, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"]
-    )
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    pieces = F.filter(F.arrays_zip(gaps.alias("gap"), found.alias("found")), lambda p: p["found"].isNotNull())
+    return F.when(text.rlike(pattern), let(pieces, placed)).otherwise(F.array().cast(_EMPTY))
 
 
 def normal_tail(z: Column) -> Column:
@@ -128,20 +160,24 @@ def randomness(places: Column, size: Column) -> Column:
     return F.least(F.lit(1.0), 3 * F.least(uniform, of_runs, serial))
 
 
-def _decoy(text: Column) -> Column:
-    """One stretch of the text's letters, in the form of a run to be tested; none in a short text."""
+def _decoys(text: Column) -> Column:
+    """Stretches of the text's prose, one for each of ``DECOYS``, in the form of runs to be tested; none in a short text."""
     h = F.xxhash64(text)
     n = F.get(F.array(F.lit(FEWEST), *map(F.lit, LENGTHS)), F.pmod(h, F.lit(len(LENGTHS) + 1)).cast("int"))
-    room = F.greatest(F.char_length(text) - 3 * n, F.lit(1))
-    start = F.pmod(F.shiftright(h, 8), room).cast("int")
-    letters = F.lower(F.substring(F.regexp_replace(F.substring(text, start + 1, 3 * n), "[^A-Za-z]", ""), F.lit(1), n))
-    places = F.transform(F.split(letters, ""), lambda c: F.instr(F.lit(LOWER), c) - 1)
-    one = F.struct(F.lit(0).alias("start"), n.alias("end"), F.lit(True).alias("decoy"), F.lit(26).alias("size"), places.alias("places"))
-    return F.when(F.char_length(letters) == n, F.array(one)).otherwise(F.array().cast(_PLACED))
+    out = []
+    for letters, other, lower, times in DECOYS:
+        room = F.greatest(F.char_length(text) - times * n, F.lit(1))
+        start = F.pmod(F.shiftright(h, 8), room).cast("int")
+        stretch = F.substring(text, start + 1, times * n)
+        symbols = F.substring(F.regexp_replace(F.lower(stretch) if lower else stretch, other, ""), F.lit(1), n)
+        places = F.transform(F.split(symbols, ""), lambda c, letters=letters: F.instr(F.lit(letters), c) - 1)
+        one = F.struct(F.lit(0).alias("start"), n.alias("end"), F.lit(True).alias("decoy"), F.lit(len(letters)).alias("size"), places.alias("places"))
+        out.append(F.when(F.char_length(symbols) == n, one))
+    return F.array_compact(F.array(*out))
 
 
 def _tested(runs: Column, decoys: Column) -> Column:
-    """(start, end, decoy, class, bar) of each run, and of the decoys; a run's class is by the symbols that are tested."""
+    """(start, end, decoy, class, bar) of each run, and of the decoys; a run's class is by its alphabet and the symbols that are tested."""
     named = F.transform(runs, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["found"].alias("found"), encoding(r["found"]).alias("encoding")))
     lettered = F.filter(
         F.transform(
@@ -170,16 +206,20 @@ def _tested(runs: Column, decoys: Column) -> Column:
         F.concat(placed, decoys),
         lambda r: F.struct(
             r["start"].alias("start"), r["end"].alias("end"), r["decoy"].alias("decoy"),
-            F.aggregate(F.array(*map(F.lit, LENGTHS)), F.lit(0), lambda a, least: a + (F.size(r["places"]) >= least).cast("int")).alias("class"),
+            F.aggregate(
+                F.array(*map(F.lit, LENGTHS)),
+                F.when(r["size"] <= 16, 0).when(r["size"] <= 36, len(LENGTHS) + 1).otherwise(2 * len(LENGTHS) + 2),
+                lambda a, least: a + (F.size(r["places"]) >= least).cast("int"),
+            ).alias("class"),
             F.floor(randomness(r["places"], r["size"]) * BARS).cast("int").alias("bar"),
         ),
     )
 
 
 def _bars(scanned: DataFrame, fdr: float) -> dict[int, int]:
-    """The lowest bar of each length class at which decoys foretell at most ``fdr`` false findings.
+    """The lowest bar of each class at which decoys foretell at most ``fdr`` false findings.
 
-    What comes to the driver is one count per length class, bar and kind.
+    What comes to the driver is one count per class, bar and kind.
     """
     counts = scanned.select(F.inline("_runs")).groupBy("class", "decoy", "bar").count().collect()
     bars = {}
@@ -222,7 +262,7 @@ def scanned(docs: DataFrame, fdr: float = FDR, *, id_col: str = "doc_id", text_c
             )
         ),
     )
-    df = df.withColumn("_decoys", _decoy(text)).withColumn("_runs", _tested(F.col("_found"), F.col("_decoys")))
+    df = df.withColumn("_decoys", _decoys(text)).withColumn("_runs", _tested(F.col("_found"), F.col("_decoys")))
     df = materialise(df.select("_doc", *(["_text"] if carry else []), "_base", "_runs"), "scanned")
     bars = _bars(df, fdr)
 
@@ -230,12 +270,19 @@ def scanned(docs: DataFrame, fdr: float = FDR, *, id_col: str = "doc_id", text_c
         needed = F.lit(BARS + 1)
         for c, b in bars.items():
             needed = F.when(r["class"] == c, F.lit(b)).otherwise(needed)
-        within = F.exists("_base", lambda s: (s["start"] <= r["start"]) & (r["end"] <= s["end"]))
-        return ~r["decoy"] & (r["bar"] >= needed) & ~within
+        return ~r["decoy"] & (r["bar"] >= needed)
 
-    more = F.transform(
-        F.filter("_runs", passes), lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end"))
-    )
+    def spans_of(array: Column, kind: int) -> Column:
+        return F.transform(array, lambda r: F.struct(r["start"].alias("start"), F.lit(kind).alias("kind"), r["end"].alias("end")))
+
+    def not_within(both: Column) -> Column:
+        """Random spans that end beyond all fixed ones which begin no later."""
+        reach = running(F.transform(both, lambda s: F.when(s["kind"] == 3, 0).otherwise(s["end"])), F.greatest)
+        zipped = F.arrays_zip(both.alias("s"), reach.alias("reach"))
+        kept = F.filter(zipped, lambda z: (z["s"]["kind"] == 3) & (z["s"]["end"] > z["reach"]))
+        return F.transform(kept, lambda z: z["s"])
+
+    more = let(F.array_sort(F.concat("_base", spans_of(F.filter("_runs", passes), 3))), not_within)
     return df.select("_doc", *(["_text"] if carry else []), "_base", F.array_sort(F.concat("_base", more)).alias("spans"))
 
 
@@ -269,18 +316,29 @@ def redacted(
     where the text changes.  All rows stay, null texts stay null.
     """
     seen = scanned(docs, fdr, id_col=id_col, text_col=text_col, carry=True)
+    text = F.col("_text")
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("_text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        new = F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit(mark)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), new.alias("out"))
+    def gaps(reach: Column) -> Column:
+        """What stands between the spans, also before the first and after the last: (from, to)."""
+        before = F.concat(F.array(F.lit(0)), F.slice(reach, F.lit(1), F.size(reach) - 1))
+        zipped = F.arrays_zip(before.alias("from"), F.transform("spans", lambda s: s["start"]).alias("to"))
+        last = F.struct(F.try_element_at(reach, F.lit(-1)).alias("from"), F.char_length(text).alias("to"))
+        return F.concat(F.filter(zipped, lambda g: g["from"] <= g["to"]), F.array(last))
 
-    clean = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        step,
-        lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["at"] + 1, F.char_length("_text"))),
-    )
+    def cut(pieces: Column) -> Column:
+        """The pieces' text, cut from stretches of about sqrt(n) pieces, as finding a place in a text takes as long as what stands before."""
+        width = F.ceil(F.sqrt(F.size(pieces).cast("double"))).cast("int")
+        firsts = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / width).cast("int"))
+
+        def of_block(block: Column) -> Column:
+            low, high = F.get(block, 0)["from"], F.try_element_at(block, F.lit(-1))["to"]
+            inner = lambda part: F.transform(block, lambda p: F.substring(part, p["from"] - low + 1, p["to"] - p["from"]))
+            return let(F.substring(text, low + 1, high - low), inner)
+
+        return F.array_join(F.flatten(F.transform(firsts, lambda b: let(F.slice(pieces, b * width + 1, width), of_block))), mark)
+
+    reach = running(F.transform("spans", lambda s: s["end"]), F.greatest)
+    clean = let(reach, lambda r: let(gaps(r), cut))
     seen = seen.withColumn("_clean", F.when(F.size("spans") > 0, clean))
     return seen.select(
         *(
