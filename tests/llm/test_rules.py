@@ -262,6 +262,14 @@ LICENSES = {
     "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
     "see https://creativecommons.org/licenses/by-sa/4.0/ for it": "cc-by-sa-4.0",
     "accby licensed to nobody, commit often": "",
+    "Licensed under GPL": "gpl",
+    "distributed under the terms of the GNU General Public License, with no more said": "gpl",
+    "under a BSD license": "bsd",
+    "CC-BY-SA 2.0": "cc-by,cc-by-sa",
+    "Eclipse Public License - v 2.0": "epl-2.0",
+    "the FreeBSD system runs on": "bsd-2-clause",
+    "either version 2 of the License, or (at your option) any later version": "gpl-2.0-or-later",
+    "For personal use only. Reprinted with permission.": "noncommercial,permission",
 }
 
 
@@ -292,6 +300,34 @@ def test_contained_detections_are_suppressed():
     assert found[2].label == "apache-2.0" and found[2].priority == 3
 
 
+def test_suppression_against_every_pair():
+    pieces = ["licensed under", "the", "gnu", "gpl", "version 2", "general public license", "v3", "mit license", "spdx-license-identifier: mit", "cc by", "sa 4.0",
+              "in the public domain", "(dedicated to the public domain)", "apache license", "2.0", "https://opensource.org/licenses/mit", "x"]
+    rng, seen = random.Random(10), 0
+    for _ in range(2000):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))).encode()
+        every = [(m.start(), m.end(), r) for r in licenses.rules() if all(k in text for k in r.keywords) for m in r.regex.finditer(text)]
+
+        def beaten(d, by):
+            inside = by[0] <= d[0] and d[1] <= by[1]
+            longer = by[1] - by[0] > d[1] - d[0]
+            return inside and (by[2].priority > d[2].priority or (by[2].priority == d[2].priority and (longer or by[2].order < d[2].order)))
+
+        want = [d for d in every if not any(beaten(d, k) for k in every)]
+        assert sorted((s, e, r.order) for s, e, r in licenses.detect(text)) == sorted((s, e, r.order) for s, e, r in want)
+        seen += len(every) - len(want)
+    assert seen > 300
+
+
+def test_many_detections_and_places(docs_of):
+    text = "é GPL v2 and the Apache License, Version 2.0; " * 20_000
+    start = time.monotonic()
+    assert len(licenses.detect(text.encode().lower())) == 40_000
+    assert time.monotonic() - start < 20
+    rows = [(r.doc_id, r.label, text[r.start : r.end]) for r in licenses.license_spans(docs_of([(1, text[:92]), (2, None), (None, "")])).collect()]
+    assert rows == [(1, "gpl-2.0", "GPL v2"), (1, "apache-2.0", "Apache License, Version 2.0")] * 2
+
+
 def written(parsed):
     """A text for each way through the alternatives and options of a parsed pattern."""
     out = [b""]

@@ -3,8 +3,11 @@
 Each license has a hand-written name pattern; each kind of signature (SPDX tag,
 grant, URL, plain mention) wraps every name, which gives hundreds of rules, and
 the grants' own wording adds more.  A rule runs only where its keywords stand in
-the text.  Detections then compete: rules are ordered by priority, and one whose
-interval lies within that of an earlier or equal rule is suppressed.
+the text.  Detections then compete: one that lies within the interval of another of
+higher priority, or within a longer one (or an equal one of an earlier rule) of the same
+priority, is suppressed; a longer one of lower priority suppresses nothing.  So a name
+without a version gives way to the same name with one.  One sweep over the detections by
+place, with the furthest end seen of each priority, settles all of that.
 
 Map-only: one pass over each text in Arrow batches, one row out per row in.
 """
@@ -92,6 +95,21 @@ NAMES = (
     ("cc-by-nc-4.0", "cc by", "cc by nc 4( 0)?", "cc-by-nc-4.0", "creativecommons.org/licenses/by-nc/4"),
     ("cc-by-nc-sa-4.0", "cc by", "cc by nc sa( 4( 0)?)?", "cc-by-nc-sa-4.0", "creativecommons.org/licenses/by-nc-sa"),
     ("cc-by-nc-nd-4.0", "cc by", "cc by nc nd( 4( 0)?)?", "cc-by-nc-nd-4.0", "creativecommons.org/licenses/by-nc-nd"),
+    ("gpl", "gpl", "(gnu )?gpl", "", ""),
+    ("gpl", "general public", "(gnu )?general public license", "", ""),
+    ("lgpl", "lgpl", "(gnu )?lgpl", "", ""),
+    ("lgpl", "lesser general", "(gnu )?lesser general public license", "", ""),
+    ("agpl", "agpl", "(gnu )?agpl", "", ""),
+    ("apache", "apache", "apache (software )?license", "", ""),
+    ("bsd", "bsd", "bsd", "", ""),
+    ("mpl", "mozilla", "mozilla public license", "", ""),
+    ("epl", "eclipse", "eclipse public license", "", ""),
+    ("artistic", "artistic", "artistic license", "", ""),
+    ("ms-pl", "microsoft public", "microsoft public license", "ms-pl", "opensource.org/licenses/ms-pl"),
+    ("ms-rl", "microsoft reciprocal", "microsoft reciprocal license", "ms-rl", "opensource.org/licenses/ms-rl"),
+    ("cc-by-sa", "cc by", "cc by sa( [0-9]( [0-9])?)?", "cc-by-sa-[12].[05]", "creativecommons.org/licenses/by-sa/2"),
+    ("cc-by-nc", "cc by", "cc by nc( [0-9]( [0-9])?)?", "cc-by-nc-[123].[05]", "creativecommons.org/licenses/by-nc/2"),
+    ("cc-by-nd", "cc by", "cc by nd [0-9]( [0-9])?", "cc-by-nd-[123].[05]", ""),
     ("cc-by-sa", "creative commons", "creative commons attribution share ?alike", "", ""),
     ("cc-by-nc", "creative commons", "creative commons attribution non ?commercial", "", ""),
     ("cc-by-nd", "creative commons", "creative commons attribution no ?deriv(ative)?s?", "", ""),
@@ -112,6 +130,38 @@ TEXTS = (
     ("proprietary", "proprietary", "proprietary and confidential"),
     ("proprietary", "reproduced", "may not be reproduced (or distributed )?without (prior )?(written )?permission"),
     ("copyright", "copyright", "copyright (c )?(19|20)[0-9][0-9]"),
+    ("mit", "permission notice", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("as-is", "warranty", "(software|work|program|material) is provided as is (and )?without (any )?(express or implied )?warranty"),
+    ("bsd", "redistributions", "redistributions (of source code|in binary form) must (retain|reproduce) the above copyright notice"),
+    ("bsd-3-clause", "endorse", "names of its contributors may be used to endorse or promote products"),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display"),
+    ("apache-2.0", "applicable", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2.0", "contributor", "licensed to the apache software foundation (asf )?under one or more contributor license agreements"),
+    ("gpl", "free software", "(this program|this file|this library|it) is free software you can redistribute it"),
+    ("gpl-2.0-or-later", "later", "either version 2 of the license or (at your option )?any later version"),
+    ("gpl-3.0-or-later", "later", "either version 3 of the license or (at your option )?any later version"),
+    ("gpl", "received", "you should have received a copy of the gnu general public license"),
+    ("lgpl", "received", "you should have received a copy of the gnu (lesser|library) general public license"),
+    ("agpl", "received", "you should have received a copy of the gnu affero general public license"),
+    ("zlib", "altered", "altered source versions must be plainly marked as such"),
+    ("bsl-1.0", "accompanying", "copy of the software and accompanying documentation covered by this license"),
+    ("wtfpl", "public license", "do what the fuck you want to public license"),
+    ("cc0-1.0", "waiv", "waiv(ed|ing) all (of his or her )?(copyright|rights to the work)"),
+    ("json", "good", "the software shall be used for good not evil"),
+    ("beerware", "beer", "beer ware license"),
+    ("openssl", "openssl", "includes software developed by the openssl project"),
+    ("epl", "accompanying", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("mpl-2.0", "mpl", "if a copy of the mpl was not distributed with this file"),
+    ("unlicense", "anyone", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("public-domain", "disclaims", "the author disclaims copyright to this source code"),
+    ("public-domain", "copyright", "no (known )?copyright restrictions"),
+    ("proprietary", "proprietary", "(confidential and )?proprietary information of"),
+    ("proprietary", "unauthorized", "unauthorized copying of this (file|software|document)"),
+    ("proprietary", "reproduced", "no part of this (publication|document|work|book) may be reproduced"),
+    ("proprietary", "internal use", "for internal use only"),
+    ("noncommercial", "commercial", "(for non ?commercial use only|not for commercial use)"),
+    ("noncommercial", "personal", "for personal use only"),
+    ("permission", "permission", "(reprinted|used|reproduced) (with|by) (the )?(kind )?permission"),
 )
 
 #: kind, priority, confidence, what stands around the name, a word that it needs.
@@ -181,15 +231,14 @@ def detect(text: bytes) -> list[tuple[int, int, Rule]]:
             for r in under:
                 if all(k in text for k in r.keywords[1:]):
                     found += [(m.start(), m.end(), r) for m in r.regex.finditer(text)]
+    # by start, long ones first: what contains a detection comes before it
     found.sort(key=lambda d: (d[0], -d[1], d[2].order))
-    # suppressed: within an interval that is longer or of an earlier rule, and of no lower priority or longer
+    reach: dict[int, int] = {}  # furthest end so far of each priority
     kept: list[tuple[int, int, Rule]] = []
     for s, e, r in found:
-        rivals = [k for k in kept if k[0] <= s and e <= k[1]]
-        if any(k[2].priority >= r.priority or (k[1] - k[0]) > (e - s) for k in rivals):
-            continue
-        kept = [k for k in kept if not (s <= k[0] and k[1] <= e)]
-        kept.append((s, e, r))
+        if all(p < r.priority or end < e for p, end in reach.items()):
+            kept.append((s, e, r))
+        reach[r.priority] = max(e, reach.get(r.priority, 0))
     return kept
 
 
@@ -238,15 +287,21 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _places(text: bytes, at: list[int]) -> list[int]:
+    """Code points before each of the byte places: bytes that begin a character."""
+    begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
+    return np.concatenate([[0], np.cumsum(begins)])[at].tolist()
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
     names = ["doc_id", "label", "start", "end", "confidence"]
     for batch in batches:
-        rows = [
-            (i, r.label, len(t[:s].decode("utf-8", "replace")), len(t[:e].decode("utf-8", "replace")), r.confidence)
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True)
-            for s, e, r in detect(t.lower())
-        ]
+        rows = []
+        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            found = detect(t.lower())
+            starts, ends = _places(t, [s for s, _, _ in found]), _places(t, [e for _, e, _ in found])
+            rows += [(i, r.label, s, e, r.confidence) for s, e, (_, _, r) in zip(starts, ends, found, strict=True)]
         columns = list(zip(*rows, strict=True)) if rows else [()] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -266,7 +321,11 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def license_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, label, start, end, confidence): every detection kept, in code points, end exclusive."""
+    """(doc_id, label, start, end, confidence): every detection kept, in code points, end exclusive.
+
+    Null and empty texts have none; repeated rows give theirs each; null ids are carried;
+    an empty table gives an empty result.
+    """
     return pick(docs, id_col, text_col).mapInArrow(
         _spans, "doc_id long, label string, start long, end long, confidence double"
     )
