@@ -58,21 +58,65 @@ def test_binomial_tail(spark):
         assert got == pytest.approx(1.0 if k > n * p else exact, rel=1e-9)
 
 
-def test_cutoffs_are_the_strictest_that_pass(spark):
+def tail(k, n, p):
+    return sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1)) if k <= n * p else 1
+
+
+def test_cutoffs_are_the_strictest_that_pass_together(spark):
     rng = random.Random(2)
-    rows = [("en", rng.random() ** 4) for _ in range(3000)] + [("de", rng.random() ** 4) for _ in range(40)]
-    rule = quality_rules.Rule("m", tuple(1 - i / 20 for i in range(20)))
-    got = {r.stratum: r for r in quality_rules.cutoffs(spark.createDataFrame(rows, "stratum string, m double"), [rule], ["en", "de"], 0.05, 0.05).collect()}
-    level, best = 0.05 / 2, None
-    values = [v for s, v in rows if s == "en"]
-    for c in rule.cutoffs:
-        k, n = sum(v > c for v in values), len(values)
-        p = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(0.05) + (n - i) * math.log(0.95)) for i in range(k + 1)) if k <= n * 0.05 else 1
-        if p > level:
+    rows = [("en", i % 2 == 0, round(rng.random() ** 4, 2), round(rng.random() ** 2, 2)) for i in range(6000)]  # with ties at the cutoffs
+    rows += [("de", i % 2 == 0, rng.random() ** 4, rng.random()) for i in range(40)] + [("fr", False, 0.1, 0.1)] * 500
+    rules = [quality_rules.Rule("a", tuple(round(1 - i / 20, 2) for i in range(20))), quality_rules.Rule("b", tuple(round(1 - i / 50, 2) for i in range(9)))]
+    df = spark.createDataFrame(rows, "stratum string, aim boolean, a double, b double")
+    got = {(r.stratum, r.measure): r for r in quality_rules.cutoffs(df, rules, ["en", "de", "fr"], 0.05, 0.05).collect()}
+    half = [[r[2:] for r in rows if r[0] == "en" and r[1] is x] for x in (False, True)]
+    aims = [max((j for j, c in enumerate(r.cutoffs) if sum(v[k] > c for v in half[1]) <= 0.05 / 4 * len(half[1])), default=-1) for k, r in enumerate(rules)]
+    best = None
+    for short in range(19, -1, -1):
+        cuts = {k: r.cutoffs[aims[k] - short] for k, r in enumerate(rules) if aims[k] >= short}
+        n_over = sum(any(v[k] > c for k, c in cuts.items()) for v in half[0])
+        if tail(n_over, len(half[0]), 0.05) > 0.05 / 3:
             break
-        best = (c, k)
-    assert (got["en"].cutoff, got["en"].n_over) == best
-    assert "de" not in got  # 40 good documents can't show so small a risk
+        best = (cuts, n_over)
+    assert best and best[0]
+    assert {k: (got["en", r.measure].cutoff, got["en", r.measure].n_over) for k, r in enumerate(rules) if ("en", r.measure) in got} == {k: (c, best[1]) for k, c in best[0].items()}
+    assert all(s == "en" for s, _ in got)  # 20 good documents can't show so small a risk, and without aims there is no setting
+
+
+def test_guarantee_holds_over_all_rules(spark):
+    """Good documents that each rule hits apart from the others: their union must stay under the risk."""
+    rng = random.Random(11)
+    rows = [("en", i % 2 == 0, *((rng.random() if i % 7 == k else 0.0) for k in range(5))) for i in range(20_000)]
+    rules = [quality_rules.Rule(f"m{k}", tuple(1 - i / 100 for i in range(100))) for k in range(5)]
+    df = spark.createDataFrame(rows, "stratum string, aim boolean, m0 double, m1 double, m2 double, m3 double, m4 double")
+    cuts = {r.measure: r.cutoff for r in quality_rules.cutoffs(df, rules, ["en"], 0.02, 0.05).collect()}
+    assert len(cuts) == 5
+    assert sum(1 / 7 * (1 - c) for c in cuts.values()) <= 0.02  # what is lost of all such documents
+
+
+def test_sql_where_cutoffs_are_active(spark, docs_of):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for i in range(1300):
+        words = [word() for _ in range(60)]
+        if i % 211 == 3:
+            words = [w + "#" for w in words]
+        if i % 13 == 5:  # long words are rare among good ones
+            words = [w * 3 for w in words]
+        rows.append((i, " ".join(words), "de" if i % 50 == 1 else "en"))
+    rows += [(i + 2000, rows[i][1], "en") for i in range(60)] + ODD
+    labels = [(i, int(i % 13 != 5), 0) for i in range(1300)] + [(i + 2000, int(i % 13 != 5), 0) for i in range(60)]
+    df = docs_of(rows, extra=False)
+    got = [tuple(r) for r in quality_rules.quality_rules(df, labelled(spark, labels)).collect()]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, lang varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", [(r[0], r[1], r[2] if len(r) > 2 else "en") for r in rows])
+    con.execute("create table labels (doc_id bigint, quality integer, toxic integer)")
+    con.executemany("insert into labels values (?, ?, ?)", labels)
+    assert Counter(got) == Counter(con.execute(queries.SQL["op4_quality_rules"]).fetchall())
+    broken = Counter(r[-1] for r in got)
+    assert broken["mean_word_chars"] > 50  # the method's verdict, not the base's
 
 
 def test_rules_apply_and_keep_columns(spark, docs_of):

@@ -1,17 +1,26 @@
 """Quality rules whose cutoffs carry a guarantee on false rejection.
 
-Each rule rejects a document when one measure lies over a cutoff.  The cutoffs
-come from labelled documents: for every stratum and rule the candidates are tried
-from the most lenient on, and each must reject the hypothesis "this cutoff rejects
-more than ``risk`` of the good documents" by the exact binomial tail
-P(Bin(n, risk) <= k), where k of n good documents lie over it.  Trying stops at the
-first failure (a fixed sequence needs no correction within itself); across strata
-and rules the level is divided by their number (Bonferroni).  So with probability
-``1 - error`` no stratum loses more than ``risk`` of its good documents to any rule.
-Where labels are too few to show that, the rule does not apply in that stratum.
+Each rule rejects a document when one measure lies over a cutoff.  The cutoffs of a
+stratum come from its labelled good documents, distinct texts only (copies are no
+independent trials), in two halves by a digest of the text:
+
+1. Aims.  On one half each rule takes the strictest of its candidates that loses no
+   more than its part of half the ``risk``.  Nothing is guaranteed by that.
+2. Test.  On the other half all rules are tried together, from the most lenient on:
+   first every rule so many candidates short of its aim, then one fewer, and so on.
+   Each setting must reject the hypothesis "these rules together reject more than
+   ``risk`` of the good documents" by the exact binomial tail P(Bin(n, risk) <= k),
+   where k of n good documents lie over a cutoff.  Trying stops at the first failure,
+   and a fixed sequence needs no correction within itself; across strata the level is
+   divided by their number (Bonferroni).
+
+So with probability ``1 - error`` no stratum loses more than ``risk`` of its good
+documents to all of its rules taken together.  Where labels are too few to show that
+(458 distinct texts in the second half, as the parameters are), no rule applies there.
 
 All of it is DataFrame operations.  A text is read once, in one narrow pass; what
-is shuffled are rows of measures (for the join with the labels) and counts.
+is shuffled are rows of measures (for the join with the labels, and one for each labelled text) and
+counts.
 """
 
 from __future__ import annotations
@@ -185,40 +194,53 @@ def cutoffs(
     risk: float = RISK,
     error: float = ERROR,
 ) -> DataFrame:
-    """(stratum, measure, cutoff, n_good, n_over, p_value): the strictest cutoff that passes.
+    """(stratum, measure, cutoff, n_good, n_over, p_value): the strictest setting that passes.
 
-    ``labelled``: (stratum, one column per measure) of the good documents.  Rows
-    are few: at most one per stratum and rule.
+    ``labelled``: (stratum, aim boolean, one column per measure) of the good documents;
+    ``aim`` says in which half a row is.  n_good, n_over and p_value are those of all
+    rules together.  Rows are few: at most one per stratum and rule.
     """
-    level = error / (len(strata) * len(rules))
-    rows = [(r.measure, j, c) for r in rules for j, c in enumerate(r.cutoffs)]
-    grid = labelled.sparkSession.createDataFrame(rows, "measure string, step int, cutoff double")
-    # how many candidates a document lies over: candidates fall, so these are the last ones
-    over = F.array(
-        *(
-            F.struct(
-                F.lit(r.measure).alias("measure"),
-                reduce(add, [(F.col(r.measure) <= c).cast("int") for c in r.cutoffs]).alias("step"),
-            )
-            for r in rules
-        )
-    )
-    hist = labelled.select("stratum", F.inline(over)).groupBy("stratum", "measure", "step").count()
-    every = hist.groupBy("stratum", "measure").agg(F.sum("count").alias("n_good"))
-    at = Window.partitionBy("stratum", "measure").orderBy("step")
-    steps = (
-        F.broadcast(grid)  # one row for each candidate cutoff of the parameters
-        .join(every, "measure")
-        .join(hist, ["stratum", "measure", "step"], "left")
+    spark = labelled.sparkSession
+    # candidates fall, so a document lies over those from this step on
+    over = [reduce(add, [(F.col(r.measure) <= c).cast("int") for c in r.cutoffs]) for r in rules]
+    rows = labelled.select("stratum", "aim", F.array(*over).alias("steps"))
+
+    halves = rows.where("aim")
+    grid = spark.createDataFrame([(i, j) for i, r in enumerate(rules) for j in range(len(r.cutoffs))], "rule int, step int")
+    hist = halves.select("stratum", F.posexplode("steps").alias("rule", "step")).groupBy("stratum", "rule", "step").count()
+    every = halves.groupBy("stratum").agg(F.count("*").alias("n"))
+    lost = F.sum(F.coalesce("count", F.lit(0))).over(Window.partitionBy("stratum", "rule").orderBy("step"))
+    # one row for each candidate cutoff of the parameters, and one for each stratum
+    tried = F.broadcast(grid).crossJoin(every).join(hist, ["stratum", "rule", "step"], "left").withColumn("lost", lost)
+    aims = tried.where(F.col("lost") <= risk / (2 * len(rules)) * F.col("n")).groupBy("stratum", "rule").agg(F.max("step").alias("aim"))
+    aims = aims.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "aim"))).alias("m"))
+    aims = aims.select("stratum", F.transform(F.sequence(F.lit(0), F.lit(len(rules) - 1)), lambda i: F.coalesce(F.get(F.array(F.col("m")), 0)[i], F.lit(-1))).alias("aims"))
+
+    # a document lies over some cutoff while the rules are no further from their aims than this
+    nearest = F.array_max(F.zip_with("aims", "steps", lambda a, s: F.when(a >= 0, a - s).otherwise(-1)))
+    tested = rows.where("not aim").join(F.broadcast(aims), "stratum").select("stratum", nearest.alias("short"))
+    hist = tested.groupBy("stratum", "short").count()
+    every = tested.groupBy("stratum").agg(F.count("*").alias("n_good"))
+    grid = spark.createDataFrame([(j,) for j in range(max(len(r.cutoffs) for r in rules))], "short int")
+    at = Window.partitionBy("stratum").orderBy(F.desc("short"))
+    best = (
+        F.broadcast(grid)
+        .crossJoin(every)
+        .join(hist, ["stratum", "short"], "left")
         .withColumn("n_over", F.sum(F.coalesce("count", F.lit(0))).over(at))
         .withColumn("p_value", binomial_tail(F.col("n_over"), F.col("n_good"), risk))
-        .withColumn("failed", F.max((F.col("p_value") > level).cast("int")).over(at))
+        .withColumn("failed", F.max((F.col("p_value") > error / len(strata)).cast("int")).over(at))
+        .where("failed = 0")
+        .groupBy("stratum")
+        .agg(F.min_by(F.struct("short", "n_good", "n_over", "p_value"), "short").alias("b"))
     )
+    names = F.array(*(F.struct(F.lit(r.measure).alias("measure"), F.array(*map(F.lit, r.cutoffs)).alias("cutoffs")) for r in rules))
+    step = F.get("aims", F.col("i")) - F.col("b.short")
     return (
-        steps.where("failed = 0")
-        .groupBy("stratum", "measure")
-        .agg(F.max_by(F.struct("cutoff", "n_good", "n_over", "p_value"), "step").alias("best"))
-        .select("stratum", "measure", "best.*")
+        best.join(F.broadcast(aims), "stratum")
+        .select("stratum", "aims", "b", F.posexplode(names).alias("i", "rule"))
+        .where(step >= 0)
+        .select("stratum", "rule.measure", F.get("rule.cutoffs", step).alias("cutoff"), "b.n_good", "b.n_over", "b.p_value")
     )
 
 
@@ -240,20 +262,21 @@ def judged(
     ``carry`` keeps the whole row of ``docs`` in ``_doc`` (for a filter); else only
     the id.  A row's own measures decide on it, so repeated ids do no harm.  A
     document counts as good for the calibration if all its labels say 1; it must
-    also have passed the base rules.
+    also have passed the base rules, and of equal texts one counts.
     """
     row = F.struct(*(F.col(c) for c in docs.columns)) if carry else F.struct(F.col(id_col))
     narrow = docs.select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"), row.alias("_doc")
     )
-    seen = measured(narrow, "_text").select("_id", "_doc", "_m", stratum(F.col("_lang"), strata).alias("_stratum"))
+    key = F.md5(F.coalesce("_text", F.lit(""))).alias("_key")
+    seen = measured(narrow, "_text").select("_id", "_doc", "_m", key, stratum(F.col("_lang"), strata).alias("_stratum"))
     seen = materialise(seen, "measures")
     good = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q")).where("q = 1")
     m = _measures(F.col("_m"))
-    calibration = (
-        seen.where(~base_failed(F.col("_m")))
-        .select("_id", F.col("_stratum").alias("stratum"), *(m[r.measure].alias(r.measure) for r in rules))
-        .join(good.select("_id"), "_id", "left_semi")
+    texts = seen.where(~base_failed(F.col("_m"))).select("_id", "_stratum", "_key", "_m").join(good.select("_id"), "_id", "left_semi")
+    texts = texts.groupBy("_stratum", "_key").agg(F.first("_m").alias("_m"))  # equal texts have equal measures
+    calibration = texts.select(
+        F.col("_stratum").alias("stratum"), (F.col("_key") < "8").alias("aim"), *(m[r.measure].alias(r.measure) for r in rules)
     )
     cut = cutoffs(calibration, rules, strata, risk, error)
     wide = cut.groupBy(F.col("stratum").alias("_stratum")).pivot("measure", [r.measure for r in rules]).agg(F.first("cutoff"))
@@ -276,7 +299,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     ``broken`` lists the measures over their cutoffs.  A null text has no words
     (and fails the base); a null or unknown language is judged in the stratum
     "other"; null ids are carried, but never labelled.  Repeated rows give a row
-    each.  Empty ``docs`` give an empty result; empty ``labels`` leave the base rules.
+    each; a measure equal to its cutoff is not over it.  Empty ``docs`` give an empty
+    result; empty ``labels`` leave the base rules.
     """
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged(docs, labels, **options).select(
@@ -285,5 +309,5 @@ def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns; nulls, repeats and empty tables as in ``quality_rules``."""
     return judged(docs, labels, carry=True, **options).where("kept").select("_doc.*")
