@@ -61,11 +61,14 @@ def test_near_dedup_against_brute_force(spark, docs_of):
 
 
 def test_tiles_give_the_same(docs_of):
-    rng = random.Random(4)
-    words = [f"w{i}" for i in range(100)]
-    rows = [(i, " ".join(edited(rng, words, 1 + i % 3))) for i in range(150)]
-    got = jaccard.one_of_each(docs_of(rows), tile=2000).collect()
+    """Components of many chunks: chains of near copies, groups beside the largest, and one group whose texts are all near a center."""
+    rng, rows = random.Random(4), []
+    for n in (1, 3, 4, 5):
+        words = [f"w{n}x{i}" for i in range(100)]
+        rows += [(len(rows) + i, " ".join(edited(rng, words, 1 + i % n))) for i in range(60)]
+    got = jaccard.one_of_each(docs_of(rows), tile=1000).collect()
     assert sorted((r.doc_id for r in got), key=str) == brute(rows)
+    assert 4 < len(got) < 200
 
 
 def test_threshold_is_met_exactly():

@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 #: Rows of an Arrow batch of texts; a few MB.
 BATCH_ROWS = 1000
+#: Most rows of keys and decisions that are handed to every executor, so that texts need no shuffle; some 50 bytes each.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +51,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a table of narrow rows, marked for broadcast if it has at most ``most`` rows; else joined as Spark sees fit."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet table at ``path``, or an empty one where there is none yet."""
     try:

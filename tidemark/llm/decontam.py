@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, pick, text_blocks
+from tidemark.llm.common import materialise, pick, small, text_blocks
 
 SEED_TOKENS = 5
 COVERAGE = 0.5
@@ -302,8 +302,12 @@ def leaks(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col="doc_id", text_col="text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
+
+    Of rows with one doc_id only those whose own text holds an item go; null ids and
+    texts, repeats and empty tables are as in ``leaks``.
+    """
     found = leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    found = materialise(found.select(F.col("doc_id").alias("_d"), F.col("copy").alias("_c")).distinct(), "leaks")
+    found = small(materialise(found.select(F.col("doc_id").alias("_d"), F.col("copy").alias("_c")).distinct(), "leaks"))
     same = docs[id_col].eqNullSafe(found["_d"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == found["_c"])
     return docs.join(found, same, "left_anti")

@@ -10,13 +10,17 @@ pair at 0.8 shares none with a chance of (1 - 0.8^4)^24 = 3.2e-6, a more similar
 less.  Texts that share a key are linked to the least of them, and components of those
 links bring all pairs that share one together.
 
-Links: only candidates' sets are shuffled, to the tiles of their component: a component
-of more than ``TILE`` shingles is cut into chunks, and each pair of chunks is a tile.
-In a tile each text has a SimHash of 256 bits, stored as vertical planes.  A text is
-compared with a whole block of texts by carry-save counters, the block is left once all
-are beyond ``RADIUS``, and only what is within it is compared exactly.  A text is left
-out as soon as it is linked, so a tile gives at most one link per text, and together the
-tiles connect what pairs of the wanted similarity connect.
+Links: only candidates' sets are shuffled, to tiles in which each text has a SimHash of
+256 bits, stored as vertical planes.  A text is compared with a whole block of texts by
+carry-save counters, the block is left once all are beyond ``RADIUS``, and only what is
+within it is compared exactly.  A text is left out as soon as it is linked, so a tile
+gives at most one link per text.
+
+A component of at most ``TILE`` shingles is one tile.  A larger one is cut into chunks,
+and each chunk is a tile together with ``CENTERS`` texts of the component.  A group of
+near copies is mostly connected by that, in time that grows with its size.  The texts
+beside its largest connected part then meet every chunk, in tiles of their own, so that
+all pairs of the wanted similarity are connected in the end.
 """
 
 from __future__ import annotations
@@ -26,10 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, pick, text_blocks
+from tidemark.llm.common import BROADCAST_ROWS, materialise, pick, small, text_blocks
 from tidemark.llm.components import components
 from tidemark.llm.decontam import window_hashes
 from tidemark.llm.simhash import BLOCK_BYTES, SEED, BitPlanes, first_of_each, keyed, votes
@@ -40,8 +44,8 @@ BANDS, ROWS = 24, 4
 #: Bits of a fingerprint, and those in which candidates may differ: 0.8 gives 39 at large sets and 48 at the smallest, at a
 #: standard deviation of 6; texts with nothing in common differ by 128.
 BITS, RADIUS = 256, 80
-#: Shingles of a chunk of a component, about.
-TILE = 1_000_000
+#: Shingles of a chunk of a component, about; texts of a larger component that all its chunks are compared with.
+TILE, CENTERS = 50_000, 8
 
 _RNG = np.random.default_rng(SEED)
 _TIMES = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -134,19 +138,48 @@ def _tile_links(tile: pa.Table, least: float) -> pa.Table:
     if isinstance(members, pa.ChunkedArray):
         members = pa.concat_arrays(members.chunks)
     flat, at = members.values.to_numpy().view(np.uint64), members.offsets.to_numpy()
-    pairs = list(links_of([flat[i:j] for i, j in zip(at, at[1:], strict=False)], least))
+    fps, places = np.unique(fps, return_index=True)  # rows of one id and text give their set each
+    pairs = list(links_of([flat[at[i] : at[i + 1]] for i in places.tolist()], least))
     return pa.table({c: pa.array(fps[[p[k] for p in pairs]] if pairs else [], pa.int64()) for k, c in enumerate("xy")})
 
 
+_DEALT = ["part", "a", "b", "fp", "members"]
+
+
+def _tiled(dealt: DataFrame, least: float) -> DataFrame:
+    return dealt.select(*_DEALT).groupBy("part", "a", "b").applyInArrow(lambda t: _tile_links(t, least), "x long, y long")
+
+
 def similar_links(sets: DataFrame, least: float, tile: int = TILE) -> DataFrame:
-    """Links (x, y) that connect what pairs of one part at or over ``least`` connect; ``sets``: (fp, part, members)."""
+    """Links (x, y) that connect what pairs of one part at or over ``least`` connect; ``sets``: (fp, part, members), a table."""
+    place = F.xxhash64("fp").alias("place")
     parts = sets.groupBy("part").agg(F.ceil(F.sum(F.size("members")) / tile).cast("int").alias("chunks"))
-    # a table of its own, so that AQE can split a part with very many sets in the join
-    parts = materialise(parts, "parts")
-    dealt = sets.join(parts, "part").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("part", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "fp", "members")
-    return dealt.groupBy("part", "a", "b").applyInArrow(lambda t: _tile_links(t, least), "x long, y long")
+    parts = small(materialise(parts, "parts"))
+    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    dealt = sets.join(parts, "part").withColumn("a", chunk).withColumn("b", F.lit(-1))
+    # of a part in chunks the texts whose hash is least are its centers; a task's own least ones are enough to find them
+    ranked = dealt.where("chunks > 1").select("part", "fp", "chunks", place).distinct()
+    near = Window.partitionBy("part", F.pmod("place", F.lit(64))).orderBy("place")
+    ranked = ranked.withColumn("n", F.row_number().over(near)).where(F.col("n") <= CENTERS)
+    ranked = ranked.withColumn("n", F.row_number().over(Window.partitionBy("part").orderBy("place"))).where(F.col("n") <= CENTERS)
+    centers = small(materialise(ranked.select("part", "fp"), "centers"))
+    center = dealt.join(centers, ["part", "fp"], "left_semi").withColumn("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    links = materialise(_tiled(dealt.unionByName(center), least), "links")
+
+    large = dealt.where("chunks > 1").select("part", "fp", "chunks").distinct()
+    named = large.join(components(links).select(F.col("node").alias("fp"), "root"), "fp", "left")
+    named = materialise(named.select("part", "fp", F.coalesce("root", "fp").alias("root")), "connected")
+    most = named.groupBy("part", "root").agg(F.count("*").alias("n")).groupBy("part").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    beside = small(materialise(named.join(F.broadcast(most) if most.count() <= BROADCAST_ROWS else most, "part").where("root <> main").select("part", "fp"), "beside"))
+    # what is beside the largest part meets every chunk, itself included
+    few = dealt.join(beside, ["part", "fp"], "left_semi")
+    sizes = few.groupBy("part").agg(F.ceil(F.sum(F.size("members")) / tile).cast("int").alias("groups"))
+    sizes = small(materialise(sizes, "groups"))
+    own = few.join(sizes, "part").withColumn("b", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("groups")).cast("int"))
+    own = own.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    others = dealt.join(sizes, "part").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    more = _tiled(own.select(*_DEALT).unionByName(others.select(*_DEALT)), least)
+    return links.unionByName(materialise(more, "more-links"))
 
 
 def one_of_each(
@@ -176,10 +209,9 @@ def one_of_each(
     parts = components(keys.join(shared, "key").where("fp <> x").select("x", F.col("fp").alias("y")))
     # one text of each set that shares a key
     picked = folded.select("fp", "row").join(parts.select(F.col("node").alias("fp"), F.col("root").alias("part")), "fp")
-    picked = materialise(picked.select("fp", "part", F.col("row.doc_id").alias("_d"), F.col("row.copy").alias("_c")), "picked")
+    picked = small(materialise(picked.select("fp", "part", F.col("row.doc_id").alias("_d"), F.col("row.copy").alias("_c")), "picked"))
     texts = source.join(picked, source["k.i"].eqNullSafe(picked["_d"]) & (source["k.c"] == picked["_c"])).select("fp", "t", "part")
-    sets = texts.mapInArrow(lambda b: _sets(b, width), "fp long, part long, members array<long>")
-    sets = materialise(sets.groupBy("fp", "part").agg(F.first("members").alias("members")), "sets")
+    sets = materialise(texts.mapInArrow(lambda b: _sets(b, width), "fp long, part long, members array<long>"), "sets")
     roots = components(similar_links(sets, least, tile)).select(F.col("node").alias("fp"), "root")
     named = folded.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
     return first_of_each(docs, marked, materialise(named, "named"), id_col=id_col, text_col=text_col)

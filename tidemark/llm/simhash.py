@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, pick, text_blocks
+from tidemark.llm.common import materialise, pick, small, text_blocks
 from tidemark.llm.components import components
 
 SEED = 42
@@ -285,7 +285,7 @@ def first_of_each(docs: DataFrame, marked: DataFrame, named: DataFrame, *, id_co
     first = salted.join(shared, ["root", "salt"], "left").select("fp", F.coalesce("first", "own").alias("first"))
     rooted = marked.select("doc_id", "copy", "fp").join(materialise(first, "first"), "fp")
     gone = rooted.where(~row.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_d"), F.col("copy").alias("_c"))
-    gone = materialise(gone.distinct(), "gone")
+    gone = small(materialise(gone.distinct(), "gone"))
 
     def same(other: DataFrame):
         return docs[id_col].eqNullSafe(other["_d"]) & (copy == other["_c"])
@@ -297,6 +297,7 @@ def first_of_each(docs: DataFrame, marked: DataFrame, named: DataFrame, *, id_co
     again = materialise(again.join(gone, both, "left_anti").select("_d", "_c"), "again")
     if again.isEmpty():
         return kept
+    again = small(again)
     whole = docs.join(again, same(again), "left_semi")
     whole = whole.select(F.struct(whole[id_col].alias("i"), copy.alias("c")).alias("key"), F.struct(*(whole[c] for c in whole.columns)).alias("row"))
     once = whole.groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")

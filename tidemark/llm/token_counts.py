@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import pretokenizer
-from tidemark.llm.common import decoded, materialise, pick, read_or_empty, shared_dir, text_blocks
+from tidemark.llm.common import decoded, materialise, pick, read_or_empty, shared_dir, small, text_blocks
 
 BLOCK_BYTES = 1_000_000
 CACHE_WORDS = 300_000
@@ -189,9 +189,9 @@ def token_counts(
     others = keys.join(wanted, same(wanted), "left_anti").select(F.col("digest").alias("_g"), F.col("doc_id").alias("_d")).distinct()
     others = materialise(others, "no-misses")
     if wanted.count() <= others.count():
-        missing = digested.join(wanted, same(wanted), "left_semi")
+        missing = digested.join(small(wanted), same(wanted), "left_semi")
     else:
-        missing = digested.join(others, same(others), "left_anti")
+        missing = digested.join(small(others), same(others), "left_anti")
     counted = missing.select("digest", "text").mapInArrow(lambda b: _count(b, path), "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
     # as a table of its own it is shuffled anew for the join, and AQE can then split a digest with many copies
