@@ -10,8 +10,8 @@ MONTH_CODES = "FGHJKMNQUVXZ"
 
 
 def number(c: Column | str) -> Column:
-    """A double; text that is none becomes null."""
-    return F.try_cast(F.col(c) if isinstance(c, str) else c, "double") if hasattr(F, "try_cast") else (F.col(c) if isinstance(c, str) else c).try_cast("double")
+    """A double; text that is none becomes null, and so does NaN, which stands for a missing value."""
+    return F.nanvl((F.col(c) if isinstance(c, str) else c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def business_days(start: Column, end: Column) -> Column:

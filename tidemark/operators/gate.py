@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import business_days
+from tidemark.functions import business_days, number
 
 
 @dataclass(frozen=True)
@@ -66,12 +66,17 @@ GATES = {
 }
 
 
+#: Cases that an error shows of each check.
+CASES = 10
+
+
 class QualityGateError(ValueError):
-    """A batch that its gate refuses; ``failures`` has (check, column, n_failed)."""
+    """A batch that its gate refuses; ``failures`` has check, column, n_failed and some cases of each."""
 
     def __init__(self, gate: str, failures: list):
         self.failures = failures
-        super().__init__(f"{gate}: " + "; ".join(f"{f['check']}({f['column']}): {f['n_failed']}" for f in failures))
+        shown = lambda f: f" ({', '.join(f['cases'])})" if f.get("cases") else ""
+        super().__init__(f"{gate}: " + "; ".join(f"{f['check']}({f['column']}): {f['n_failed']}{shown(f)}" for f in failures))
 
 
 def describe(spark: SparkSession, gate: Gate) -> DataFrame:
@@ -93,10 +98,12 @@ def row_checks(gate: Gate, columns: list[str]) -> list[tuple[str, str, Column]]:
         if f.name not in columns:
             continue
         raw, value = F.col(f.name), F.col(f"_c.{f.name}")
+        # NaN is a missing value, as null is
+        nan = F.coalesce(F.isnan(raw.try_cast("double")), F.lit(False)) if f.dtype == "double" else F.lit(False)
         sentinel = raw.try_cast("double") == F.lit(gate.sentinel) if gate.sentinel is not None and f.dtype == "double" else F.lit(False)
-        checks.append(("dtype", f.name, raw.isNotNull() & value.isNull() & ~sentinel))
+        checks.append(("dtype", f.name, raw.isNotNull() & value.isNull() & ~sentinel & ~nan))
         if not f.nullable:
-            checks.append(("not_null", f.name, raw.isNull()))
+            checks.append(("not_null", f.name, raw.isNull() | nan))
         if f.low is not None or f.high is not None:
             inside = F.lit(True)
             if f.low is not None:
@@ -118,7 +125,7 @@ def marked(df: DataFrame, gate: Gate) -> DataFrame:
 
 
 def coerced_column(f: Field, gate: Gate) -> Column:
-    c = F.col(f.name).try_cast(f.dtype)
+    c = number(f.name) if f.dtype == "double" else F.col(f.name).try_cast(f.dtype)
     if gate.sentinel is not None and f.dtype == "double":
         c = F.nullif(c, F.lit(gate.sentinel))
     return c.alias(f.name)
@@ -153,11 +160,36 @@ def failures(df: DataFrame, gate: Gate, as_of: datetime | None = None) -> DataFr
     return found
 
 
+def failure_cases(df: DataFrame, gate: Gate, wanted: list[tuple[str, str]] | None = None, most: int = CASES) -> DataFrame:
+    """(check, column, failure_case): values that fail, up to ``most`` of each check on rows or keys.
+
+    ``wanted`` names the checks (check, column) to look at; without it all are.
+    """
+    both = df.withColumn("_c", F.struct(*(coerced_column(f, gate) for f in gate.all_fields if f.name in df.columns)))
+    out = df.sparkSession.createDataFrame([], "check string, column string, failure_case string")
+
+    def some(check: str, column: str, bad: DataFrame, value: Column) -> DataFrame:
+        return bad.select(F.lit(check).alias("check"), F.lit(column).alias("column"), F.coalesce(value.cast("string"), F.lit("null")).alias("failure_case")).limit(most)
+
+    for check, column, bad in row_checks(gate, df.columns):
+        if wanted is None or (check, column) in wanted:
+            out = out.unionAll(some(check, column, both.where(bad), F.col(column)))
+    key = ",".join(gate.all_key)
+    if all(k in df.columns for k in gate.all_key) and (wanted is None or ("unique", key) in wanted):
+        repeated = both.groupBy(*(F.col(f"_c.{k}").alias(k) for k in gate.all_key)).count().where("count > 1")
+        out = out.unionAll(some("unique", key, repeated, F.concat_ws(",", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in gate.all_key))))
+    return out
+
+
 def validate(df: DataFrame, gate: Gate, as_of: datetime | None = None) -> DataFrame:
     """The coerced frame, or a QualityGateError with every failed check."""
     found = failures(df, gate, as_of).collect()  # at most one row per check
     if found:
-        raise QualityGateError(gate.name, [r.asDict() for r in found])
+        cases = failure_cases(df, gate, [(r["check"], r["column"]) for r in found])
+        some: dict[tuple[str, str], list[str]] = {}
+        for r in cases.collect():  # at most CASES rows per check
+            some.setdefault((r["check"], r["column"]), []).append(r["failure_case"])
+        raise QualityGateError(gate.name, [r.asDict() | {"cases": some.get((r["check"], r["column"]), [])} for r in found])
     return coerced(df, gate)
 
 
@@ -167,8 +199,3 @@ def lagging(df: DataFrame, days: int = 3, by: str = "symbol") -> DataFrame:
     all_newest = df.agg(F.max("valid_time").alias("all_newest"))
     # one row on the right
     return newest.join(F.broadcast(all_newest)).where(F.col("newest") < F.col("all_newest") - F.make_dt_interval(days=F.lit(days))).select(by, "newest")
-
-
-def repeats(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
-

@@ -118,9 +118,10 @@ def contracts_for(spark: SparkSession, commodity: str | None = None) -> DataFram
 
 
 def libraries_of_symbols(df: DataFrame) -> DataFrame:
-    """``df`` (symbol) with the library and mode of the instruments that have a row of their own."""
+    """``df`` (symbol) with the library and mode of the instruments that have a row of their own; another symbol fails the job."""
     dim = instruments(df.sparkSession).select("symbol", "library", "mode")
-    return df.join(F.broadcast(dim), "symbol", "left")
+    known = F.assert_true(F.col("library").isNotNull(), F.concat(F.lit("unknown symbol "), F.coalesce("symbol", F.lit("null"))))
+    return df.join(F.broadcast(dim), "symbol", "left").withColumn("_known", known).where("_known is null").drop("_known")
 
 
 def modes_of_libraries(df: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from tidemark.operators.routing import LIBRARY_MODE
 
 VINTAGES = (
     "library string, symbol string, commit_id string, commit_seq long, as_of timestamp, fetched_at timestamp, mode string, "
-    "vintage_reconstructed boolean, row_count long, min_valid_time timestamp, max_valid_time timestamp, chain array<string>"
+    "vintage_reconstructed boolean, row_count long, min_valid_time timestamp, max_valid_time timestamp, chain array<string>, batch string"
 )
 PROVENANCE = ("as_of", "fetched_at", "source", "source_url", "vintage_reconstructed")
 #: Columns that tell rows of one symbol and time apart.
@@ -70,16 +70,32 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def keep(self, rows: DataFrame, folder: str) -> DataFrame:
+        """``rows``, written under the root and read back."""
+        path = f"{self.root}/{folder}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     # -- tables -------------------------------------------------------------
 
     def vintages(self, library: str | None = None) -> DataFrame:
         """All committed vintages."""
         try:
             df = self.spark.read.schema(VINTAGES).parquet(f"{self.root}/vintages")
-        except AnalysisException:
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise  # a broken table is not an empty one
             df = self.spark.createDataFrame([], VINTAGES)
         return df if library is None else df.where(F.col("library") == library)
 
+    def _overlapping(self, vintages: DataFrame, start, end) -> DataFrame:
+        """Vintages with rows in a range of valid times."""
+        if start is not None:
+            vintages = vintages.where(F.col("max_valid_time") >= F.lit(start))
+        if end is not None:
+            vintages = vintages.where(F.col("min_valid_time") <= F.lit(end))
+        return vintages
+
     def _rows(self, library: str, commits: DataFrame) -> DataFrame | None:
         """Rows of the named commits only: files of others, and of broken commits, are not even listed."""
         base = f"{self.root}/observations/{library}"
@@ -98,8 +114,10 @@ class Store:
 
     # -- reads --------------------------------------------------------------
 
-    def _series(self, library: str, heads: DataFrame) -> DataFrame | None:
+    def _series(self, library: str, heads: DataFrame, start=None, end=None) -> DataFrame | None:
         links = heads.select("symbol", F.posexplode("chain").alias("_place", "commit_id"))
+        if start is not None or end is not None:
+            links = links.join(self._overlapping(self.vintages(library), start, end).select("symbol", "commit_id"), ["symbol", "commit_id"], "left_semi")
         rows = self._rows(library, links)
         if rows is None:
             return None
@@ -117,13 +135,14 @@ class Store:
         Before a symbol's first vintage it has no rows.  A library without any
         commit is an error, as its columns are not known.
         """
+        wanted = (lambda v: v) if symbols is None else (lambda v: v.where(F.col("symbol").isin(*symbols)))
         if LIBRARY_MODE[library] == "degenerate":
-            out = self._rows(library, self.vintages(library))
+            out = self._rows(library, self._overlapping(wanted(self.vintages(library)), start, end))
             out = None if out is None else out.withColumn("library", F.lit(library))
             if out is not None and as_of is not None:
                 out = out.where(F.col("fetched_at") <= F.lit(as_of))
         else:
-            out = self._series(library, self._heads(library, as_of))
+            out = self._series(library, wanted(self._heads(library, as_of)), start, end)
         if out is None:
             every = self._rows(library, self.vintages(library))
             if every is None:
@@ -137,26 +156,54 @@ class Store:
             out = out.where(F.col("valid_time") <= F.lit(end))
         return out
 
+    def series(self, library: str, symbol: str, as_of: datetime | None = None, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+        """One symbol's rows; a symbol that was never committed is an error, one not yet known at ``as_of`` is empty."""
+        if self.vintages(library).where(F.col("symbol") == symbol).isEmpty():
+            raise KeyError(f"unknown symbol {symbol!r} in {library}")
+        return self.read(library, as_of, [symbol], start, end)
+
+    def latest(self, library: str) -> DataFrame:
+        """(symbol, as_of, commit_seq) of each symbol's newest vintage."""
+        newest = F.max(F.struct("as_of", "commit_seq")).alias("v")
+        return self.vintages(library).groupBy("symbol").agg(newest).select("symbol", "v.as_of", "v.commit_seq")
+
     def curve(self, library: str, contracts: DataFrame, as_of: datetime | None = None) -> DataFrame:
         """Rows of all ``contracts`` (symbol) in one read."""
-        return self.read(library, as_of).join(F.broadcast(contracts.select("symbol")), "symbol", "left_semi")
+        return self.read(library, as_of).join(contracts.select("symbol"), "symbol", "left_semi")
 
     # -- commits ------------------------------------------------------------
 
     def commit(
         self, rows: DataFrame, *, as_of: datetime, fetched_at: datetime, source: str, source_url: str = "",
-        reconstructed: bool = False, order: str | None = None, force: bool = False,
+        reconstructed: bool = False, order: str | None = None, force: bool = False, batch: str | None = None,
     ) -> list[str]:
         """Commit routed rows (library, symbol, mode, valid_time, values); returns the commit ids.
 
         A symbol that has a vintage at ``as_of`` already, or whose rows say nothing
         new, is left out; ``force`` commits it all the same.  One job per library,
         whatever the number of symbols.
+
+        ``batch`` names a part of a stream.  A part that was committed to a library
+        before is left out of it, and parts of one ``as_of`` build on each other, in a
+        replaced series too: together they are what was known at that moment.
+
+        The rows are written once, to a folder that is removed at the end, and all
+        steps read them from there.
         """
+        staged = f"{self.root}/staging/{uuid.uuid4().hex}"
+        rows.write.parquet(staged)
+        try:
+            return self._commit(self.spark.read.schema(rows.schema).parquet(staged), as_of, fetched_at, source, source_url, reconstructed, order, force, batch)
+        finally:
+            self._delete(staged)
+
+    def _commit(self, rows, as_of, fetched_at, source, source_url, reconstructed, order, force, batch) -> list[str]:
         ids = []
         libraries = [r["library"] for r in rows.select("library").distinct().collect()]  # at most those of the dimension table
         for library in sorted(libraries):
             mode, extra = LIBRARY_MODE[library], EXTRA_KEYS.get(library, ())
+            if batch is not None and not self.vintages(library).where(F.col("batch") == batch).isEmpty():
+                continue
             part = rows.where(F.col("library") == library).drop("mode")
             new = canonical(
                 part, extra, order, as_of=as_of, fetched_at=fetched_at, source=source, source_url=source_url,
@@ -165,26 +212,31 @@ class Store:
             new = new.drop(order) if order else new
             key = ["library", "symbol", "valid_time", *extra]
             if mode == "degenerate":
-                old = self._rows(library, self.vintages(library))
+                span = part.agg(F.min("valid_time"), F.max("valid_time")).first()
+                old = None if span[0] is None else self._rows(library, self._overlapping(self.vintages(library), *span))
                 if old is not None:
                     old = old.withColumn("library", F.lit(library))
                     new = new.join(old.select(*key), key, "left_anti")
                 heads = None
             else:
-                if not force:
+                if not force and batch is None:
                     same_time = self.vintages(library).where(F.col("as_of") == F.lit(as_of)).select("symbol").distinct()
                     new = new.join(same_time, "symbol", "left_anti")
-                heads = self._heads(library, as_of, strictly=True)
+                heads = self._heads(library, as_of, strictly=batch is None)
+                if batch is not None and mode == "bitemporal_replace":  # only what this moment has brought so far
+                    now = self.vintages(library).where(F.col("as_of") == F.lit(as_of))
+                    heads = now.groupBy("symbol").agg(F.max_by("chain", "commit_seq").alias("chain"))
+                heads = heads.join(part.select("symbol").distinct(), "symbol", "left_semi")
                 base = self._series(library, heads)
                 if base is not None and not force:
                     values = [c for c in new.columns if c not in (*key, *PROVENANCE)]
-                    differs = changed(new, base.join(new.select("symbol").distinct(), "symbol", "left_semi"), key, values, mode == "bitemporal_replace")
+                    differs = changed(new, base, key, values, mode == "bitemporal_replace" and batch is None)
                     new = new.join(differs, ["library", "symbol"], "left_semi")
-            done = self._write(library, mode, new.drop("library"), heads, as_of, fetched_at, reconstructed)
+            done = self._write(library, mode, new.drop("library"), heads, as_of, fetched_at, reconstructed, batch)
             ids += [done] if done else []
         return ids
 
-    def _write(self, library, mode, rows: DataFrame, heads: DataFrame | None, as_of, fetched_at, reconstructed) -> str | None:
+    def _write(self, library, mode, rows: DataFrame, heads: DataFrame | None, as_of, fetched_at, reconstructed, batch=None) -> str | None:
         commit_id = uuid.uuid4().hex
         path = f"{self.root}/observations/{library}/commit_id={commit_id}"
         rows.write.parquet(path)
@@ -193,14 +245,14 @@ class Store:
             F.count("*").alias("row_count"), F.min("valid_time").alias("min_valid_time"), F.max("valid_time").alias("max_valid_time")
         )
         own = F.array(F.lit(commit_id))
-        if mode == "bitemporal_merge" and heads is not None:
+        if heads is not None and (mode == "bitemporal_merge" or batch is not None):
             written = written.join(heads, "symbol", "left").withColumn("chain", F.concat(F.coalesce("chain", F.array().cast("array<string>")), own))
         else:
             written = written.withColumn("chain", own)
         stamped = written.withColumns(
             {
                 "library": F.lit(library), "commit_id": F.lit(commit_id), "commit_seq": F.lit(seq).cast("long"),
-                "as_of": F.lit(as_of), "fetched_at": F.lit(fetched_at), "mode": F.lit(mode), "vintage_reconstructed": F.lit(reconstructed),
+                "as_of": F.lit(as_of), "fetched_at": F.lit(fetched_at), "mode": F.lit(mode), "vintage_reconstructed": F.lit(reconstructed), "batch": F.lit(batch).cast("string"),
             }
         ).select(*(c.split()[0] for c in VINTAGES.split(", ")))
         if stamped.isEmpty():

@@ -43,10 +43,12 @@ def ingest(store: Store, name: str, *raw, as_of: datetime, fetched_at: datetime,
     """Run a pipeline on landed payloads; (instrument_id, n_rows) of the batch.
 
     Age is gated against the end of the period where there is one, else ``as_of``.
-    One plan and one partitioned write for all instruments of a library.
+    The payloads are parsed once, into a table that gate, commit and count read.  One
+    plan and one partitioned write for all instruments of a library.
     """
     p = PIPELINES[name]
-    rows = G.validate(p.shape(*raw), G.GATES[p.gate], period_end or as_of)
+    shaped = store.keep(p.shape(*raw), "runs")
+    rows = G.validate(shaped, G.GATES[p.gate], period_end or as_of)
     late = period_end is not None and reconstructed(period_end, fetched_at, p.grace_days)
     batch = routed(rows)
     store.commit(batch, as_of=as_of, fetched_at=fetched_at, source=p.source, source_url=source_url, reconstructed=late)

@@ -119,6 +119,18 @@ def j10(s, d):
     return rounded(sentiment.prices_with_sentiment(bars(s, d), news(s, d)).select("Symbol", "Datetime", "Close", "sentiment_score", "confidence", "news_count"))
 
 
+def j05(s, d):
+    """Both sides on New York's clock, brought to UTC before they meet."""
+    zone = "America/New_York"
+    b, n = (landed.to_utc(df, "Datetime", zone) for df in (bars(s, d), news(s, d)))
+    return rounded(sentiment.prices_with_sentiment(b, n).select("Symbol", "Datetime", "Close", "sentiment_score", "confidence", "news_count"))
+
+
+def j06(s, d):
+    """Scores are stamped with the end of their window: no article of a window is later than its stamp."""
+    return sentiment.window_scores(news(s, d), 60, "mean").groupBy("window_end").agg(F.sum("news_count").alias("news_count"))
+
+
 def j11(s, d):
     none = news(s, d).where(F.lit(False))
     return sentiment.prices_with_sentiment(bars(s, d), none).select("Symbol", "Datetime", "sentiment_score", "confidence", "news_count")
@@ -293,6 +305,10 @@ SELECT "Commodity", CASE WHEN span > 0 AND b > f THEN 'contango' WHEN span > 0 A
     "J04_article_symbols": (j04, f"""WITH {_SCORED}, x AS (SELECT *, {_MATCHED} AS own FROM scored)
 SELECT event_id, unnest(CASE WHEN len(own) > 0 THEN own WHEN impact_sector = 'Oil' THEN ['CL=F'] WHEN impact_sector = 'Natural Gas' THEN ['NG=F']
 WHEN impact_sector = 'Brent' THEN ['BZ=F'] ELSE ['CL=F', 'BZ=F', 'NG=F'] END) AS "Symbol", sentiment_score FROM x"""),
+    "J05_both_sides_utc": (j05, f"""WITH {BARS}, {_WINDOWS} SELECT b."Symbol", (b."Datetime" AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS "Datetime", round(b."Close", 6) AS "Close",
+round(coalesce(w.sentiment_score, 0), 6) AS sentiment_score, round(coalesce(w.confidence, 0), 6) AS confidence, coalesce(w.news_count, 0) AS news_count
+FROM bars b ASOF LEFT JOIN w ON b."Symbol" = w."Symbol" AND b."Datetime" >= w.window_end"""),
+    "J06_window_end": (j06, f"""WITH {NEWS} SELECT date_trunc('hour', "Datetime") + INTERVAL 1 HOUR AS window_end, count(*) AS news_count FROM news GROUP BY 1"""),
     "J07_window_mean": (_scores("mean"), f"""WITH {_WINDOWS} SELECT "Symbol", window_end, round(sentiment_score, 6) AS sentiment_score, round(confidence, 6) AS confidence, news_count FROM w"""),
     "J08_window_weighted": (_scores("weighted"), f"""WITH {NEWS} SELECT "Symbol", {_END} AS window_end,
 round(CASE WHEN sum(confidence) <> 0 THEN sum(sentiment_score * confidence) / sum(confidence) ELSE avg(sentiment_score) END, 6) AS sentiment_score,

@@ -41,8 +41,8 @@ VINTAGES = """vintages AS (
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every seventh event as a scored article."""
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 7 == 0)
+    """Every event as a scored article."""
+    e = table(spark, sf_dir, "events")
     return e.select(
         F.col("ts").alias("Datetime"), F.col("event_type").alias("Symbol"), F.concat(F.lit("headline "), "event_id").alias("news_title"),
         F.concat(F.lit("https://news.example/"), F.col("event_id") % 1000).alias("news_url"),
@@ -54,7 +54,7 @@ NEWS = """news AS (
   SELECT ts AS "Datetime", event_type AS "Symbol", 'headline ' || event_id AS news_title,
          'https://news.example/' || (event_id % 1000) AS news_url, (event_id % 21 - 10) / 10.0::DOUBLE AS sentiment_score,
          (event_id % 5) / 4.0::DOUBLE AS confidence
-  FROM events WHERE event_id % 7 = 0)"""
+  FROM events)"""
 
 #: Headlines that articles take in turn.
 HEADLINES = (
@@ -64,8 +64,8 @@ HEADLINES = (
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third event as an article with one of the headlines."""
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 3 == 0)
+    """Every event as an article with one of the headlines."""
+    e = table(spark, sf_dir, "events")
     titles = F.array(*map(F.lit, HEADLINES))
     return e.select(
         F.get(titles, (F.col("event_id") % len(HEADLINES)).cast("int")).alias("title"), F.lit(None).cast("string").alias("summary"),
@@ -77,7 +77,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARTICLES = """articles AS (
   SELECT (%s)[event_id %% %d + 1] AS title, 'https://news.example/' || (event_id %% 500) AS url, ts AS published_at,
          event_type AS source, event_id
-  FROM events WHERE event_id %% 3 = 0)""" % ("[" + ", ".join("'" + h + "'" for h in HEADLINES) + "]", len(HEADLINES))
+  FROM events)""" % ("[" + ", ".join("'" + h + "'" for h in HEADLINES) + "]", len(HEADLINES))
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ from tidemark.operators.store import Store, as_of_rows, canonical, reconstructed
 from tidemark.queries.derived import BARS, CONTRACTS, VINTAGES, bars, contracts, rounded, table, vintages
 
 T = datetime(2024, 1, 20, tzinfo=UTC)
+#: After the second of three batches.
+THEN = datetime(2024, 1, 25, tzinfo=UTC)
 NOW = datetime(2024, 2, 2, 12, tzinfo=UTC)
 
 
@@ -64,6 +66,13 @@ def b05(s, d):
     return routing.modes_of_libraries(known)
 
 
+def b05b(s, d):
+    """Library and mode by symbol, for symbols that lines name in turn."""
+    names = F.array(*map(F.lit, ("wti_spot", "CL_FRONT", "hdd_texas", "pet_crude_stocks")))
+    lines = table(s, d, "lineitem").select(F.get(names, (F.col("l_orderkey") % 4).cast("int")).alias("symbol"))
+    return routing.libraries_of_symbols(lines).groupBy("symbol", "library", "mode").agg(F.count("*").alias("n"))
+
+
 def b06(s, d):
     return routing.gates(routing.route(_ids(s, d)).select("instrument_id", "library", "symbol")).select("instrument_id", "gate")
 
@@ -103,7 +112,7 @@ def c04(s, d):
 
 
 def c05(s, d):
-    return gate.failures(_region(s, d).where(F.lit(False)), gate.GATES["POWER_REGION"]).where(F.col("check") == "rows")
+    return gate.failures(_region(s, d).where(F.col("value") == "of no event"), gate.GATES["POWER_REGION"]).where(F.col("check") == "rows")
 
 
 def c06(s, d):
@@ -153,17 +162,24 @@ def c12(s, d):
 
 def scratch_store(s: SparkSession) -> Store:
     """A store in a folder of its own under the shared folder of the cluster."""
-    base = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-store-")
+    base = s.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not s.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-store-")
     return Store(s, f"{base.rstrip('/')}/store-{uuid.uuid4().hex}")
 
 
-def _batches(s, d, library_prefix: str, days=(8, 16, 24)) -> list[tuple[datetime, DataFrame]]:
-    """Three batches of the same series: what each of three moments knew, the value scaled by its number."""
-    e = table(s, d, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("valid_time")).agg(F.max("value").alias("v"), F.max("event_id").alias("e"))
+def _batches(s, d, library_prefix: str, days=(12, 22, 32)) -> list[tuple[datetime, DataFrame]]:
+    """Three batches of the same series: the twelve days before each of three moments ten days apart, the value scaled by its number.
+
+    Each hour is in one batch at least, and what two of them hold is revised by the second.
+    """
+    e = table(s, d, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("valid_time")).agg(F.max("value").alias("v"))
     out = []
     for k, day in enumerate(days):
-        at = datetime(2024, 1, day, tzinfo=UTC)
-        known = e.where((F.col("valid_time") < F.lit(at)) & (F.col("valid_time") >= F.lit(at - timedelta(days=12))) & (F.col("e") % 3 != k))
+        at = datetime(2024, 1, 1, tzinfo=UTC) + timedelta(days=day - 1)
+        known = e.where((F.col("valid_time") < F.lit(at)) & (F.col("valid_time") >= F.lit(at - timedelta(days=12))))
         rows = known.select(
             F.concat(F.lit(library_prefix), F.upper("event_type")).alias("instrument_id"), "valid_time",
             F.col("event_type").alias("settlement_point"), (F.col("v") * (k + 1)).alias("price"),
@@ -179,10 +195,10 @@ def filled_store(s, d, prefix="ERCOT.SPP.") -> Store:
     return store
 
 
-_BATCHES = """e AS (SELECT event_type, date_trunc('hour', ts) AS valid_time, max(value) AS v, max(event_id) AS i FROM events GROUP BY 1, 2),
+_BATCHES = """e AS (SELECT event_type, date_trunc('hour', ts) AS valid_time, max(value) AS v FROM events GROUP BY 1, 2),
 batches AS (SELECT k, event_type AS symbol, valid_time, v * (k + 1) AS price, as_of FROM e,
-  (VALUES (0, TIMESTAMP '2024-01-08'), (1, TIMESTAMP '2024-01-16'), (2, TIMESTAMP '2024-01-24')) AS b(k, as_of)
-  WHERE valid_time < as_of AND valid_time >= as_of - INTERVAL 12 DAY AND i % 3 <> k)"""
+  (VALUES (0, TIMESTAMP '2024-01-12'), (1, TIMESTAMP '2024-01-22'), (2, TIMESTAMP '2024-02-01')) AS b(k, as_of)
+  WHERE valid_time < as_of AND valid_time >= as_of - INTERVAL 12 DAY)"""
 
 
 def _read_sql(where: str, order: str = "k DESC", more: str = "TRUE") -> str:
@@ -202,12 +218,12 @@ def d02(s, d):
     store = filled_store(s, d)
     at, rows = _batches(s, d, "ERCOT.SPP.")[1]
     store.commit(routing.routed(rows.withColumn("price", F.col("price") + 1)), as_of=at, fetched_at=at, source="again")
-    return rounded(store.read("power.lmp", T).select(*_SERIES))
+    return rounded(store.read("power.lmp", THEN).select(*_SERIES))
 
 
 def d03(s, d):
     store = filled_store(s, d)
-    at = datetime(2024, 1, 28, tzinfo=UTC)
+    at = datetime(2024, 2, 3, tzinfo=UTC)
     same = store.read("power.lmp").select("settlement_point", "valid_time", "price", F.concat(F.lit("ERCOT.SPP."), F.upper("symbol")).alias("instrument_id"))
     touched = same.withColumn("price", F.when(F.col("settlement_point") == "click", F.col("price") + 1).otherwise(F.col("price")))
     store.commit(routing.routed(touched), as_of=at, fetched_at=at, source="again")
@@ -224,7 +240,7 @@ def d05(s, d):
     b = _batches(s, d, "ERCOT.SPP.")
     for at, rows in (b[0], b[2], b[1]):
         store.commit(routing.routed(rows), as_of=at, fetched_at=at, source="test")
-    old, new = store.read("power.lmp", T), store.read("power.lmp")
+    old, new = store.read("power.lmp", THEN), store.read("power.lmp")
     return rounded(old.select(F.lit("T").alias("moment"), *_SERIES).unionByName(new.select(F.lit("latest").alias("moment"), *_SERIES)))
 
 
@@ -238,7 +254,7 @@ def d06(s, d):
             F.concat(F.lit("NOAA.HDD."), F.coalesce(names[F.col("settlement_point")], F.lit("NORTHEAST"))).alias("instrument_id"), "valid_time", "price"
         )
         store.commit(routing.routed(named.groupBy("instrument_id", "valid_time").agg(F.max("price").alias("price"))), as_of=at, fetched_at=at, source="t")
-    return rounded(store.read("weather", T).groupBy("valid_time").agg(F.sum("price").alias("price"), F.count("*").alias("n")), 3)
+    return rounded(store.read("weather", THEN).groupBy("valid_time").agg(F.sum("price").alias("price"), F.count("*").alias("n")), 3)
 
 
 def d07(s, d):
@@ -254,11 +270,11 @@ def d08(s, d):
 
 
 def d08b(s, d):
-    return rounded(filled_store(s, d).read("power.lmp", T).select(*_SERIES))
+    return rounded(filled_store(s, d).read("power.lmp", THEN).select(*_SERIES))
 
 
 def d09(s, d):
-    return rounded(_degenerate(s, d).read("power.demand", T).select("symbol", "valid_time", "price"))
+    return rounded(_degenerate(s, d).read("power.demand", THEN).select("symbol", "valid_time", "price"))
 
 
 def d10(s, d):
@@ -272,8 +288,7 @@ def d11(s, d):
 
 
 def d12(s, d):
-    v = filled_store(s, d).vintages()
-    return v.groupBy("symbol").agg(F.max("as_of").alias("as_of"), F.max("commit_seq").alias("commit_seq"))
+    return filled_store(s, d).latest("power.lmp")
 
 
 def d13(s, d):
@@ -317,7 +332,7 @@ def d17(s, d):
 
 
 def k01(s, d):
-    r = filled_store(s, d).read("power.lmp", T, ["click"], datetime(2024, 1, 5, tzinfo=UTC))
+    r = filled_store(s, d).series("power.lmp", "click", THEN, datetime(2024, 1, 5, tzinfo=UTC))
     return rounded(r.select(*_SERIES))
 
 
@@ -331,7 +346,7 @@ def k03(s, d):
 
 def k04(s, d):
     v = filled_store(s, d).vintages()
-    return observe.libraries(v).join(observe.symbols(v, "power.lmp"))
+    return observe.libraries(v).join(observe.symbols(v, "power.lmp").withColumn("library", F.lit("power.lmp")), "library")
 
 
 def k05(s, d):
@@ -394,6 +409,8 @@ ENTRIES = {
     "B04_contracts_of": (b04, """SELECT 'crude' AS commodity, (event_id % 3)::INTEGER AS contract_order, CASE event_id % 3 WHEN 0 THEN 'CL_CLF26' ELSE 'CL_CLG26' END AS symbol,
 round(sum(value), 3) AS value FROM events WHERE event_id % 3 < 2 GROUP BY 2, 3"""),
     "B05_modes": (b05, f"WITH {_ROUTED} SELECT DISTINCT library, {_MODE} AS mode FROM routed WHERE library IS NOT NULL"),
+    "B05_libraries": (b05b, """WITH x AS (SELECT l_orderkey % 4 AS i FROM lineitem) SELECT (['wti_spot', 'CL_FRONT', 'hdd_texas', 'pet_crude_stocks'])[i + 1] AS symbol,
+(['prices.spot', 'prices.intraday', 'weather', 'fundamentals.eia'])[i + 1] AS library, (['degenerate', 'degenerate', 'bitemporal_replace', 'bitemporal_merge'])[i + 1] AS mode, count(*) AS n FROM x GROUP BY 1, 2, 3"""),
     "B06_gates": (b06, f"""WITH {_ROUTED} SELECT instrument_id, CASE library WHEN 'power.demand' THEN 'POWER_REGION' WHEN 'power.lmp' THEN 'ERCOT_SPP'
 WHEN 'prices.spot' THEN 'FRED_SPOT' WHEN 'weather' THEN 'NOAA_HDDCDD' END AS gate FROM routed"""),
     "C01_dtype": (c01, f"""WITH {_REGION} SELECT 'dtype' AS "check", 'value' AS "column", count(*) AS n_failed FROM region_rows WHERE no_number HAVING count(*) > 0"""),
@@ -401,7 +418,7 @@ WHEN 'prices.spot' THEN 'FRED_SPOT' WHEN 'weather' THEN 'NOAA_HDDCDD' END AS gat
     "C03_band": (c03, f"""WITH {_REGION} SELECT 'band' AS "check", 'value' AS "column", count(*) AS n_failed FROM region_rows WHERE abs(value) > 1e7 HAVING count(*) > 0"""),
     "C04_unique": (c04, f"""WITH {_REGION}, k AS (SELECT 1 FROM region_rows GROUP BY instrument_id, valid_time HAVING count(*) > 1)
 SELECT 'unique' AS "check", 'instrument_id,valid_time' AS "column", count(*) AS n_failed FROM k HAVING count(*) > 0"""),
-    "C05_row_floor": (c05, """SELECT 'rows' AS "check", '' AS "column", 1::BIGINT AS n_failed"""),
+    "C05_row_floor": (c05, """SELECT 'rows' AS "check", '' AS "column", 1::BIGINT AS n_failed FROM events WHERE value::VARCHAR = 'of no event' HAVING count(*) = 0"""),
     "C06_age": (c06, """WITH m AS (SELECT max(date_trunc('hour', ts))::DATE AS day FROM events), n AS (
 SELECT (SELECT count(*) FROM range(day::TIMESTAMP, TIMESTAMP '2024-02-02', INTERVAL 1 DAY) r(x) WHERE isodow(x) < 6) AS age FROM m)
 SELECT 'age' AS "check", 'valid_time' AS "column", 1::BIGINT AS n_failed FROM n WHERE age > 2"""),
@@ -444,7 +461,7 @@ SELECT 's' || k AS source, k = 0 AS vintage_reconstructed, count(*) AS n FROM x
     "K03_curve": (k03, f"""WITH {BARS} SELECT CASE "Symbol" WHEN 'click' THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time, round("Close", 6) AS "Close"
 FROM bars WHERE "Symbol" IN ('click', 'view')"""),
     "K04_libraries": (k04, "SELECT DISTINCT 'power.lmp' AS library, event_type AS symbol FROM events"),
-    "K05_latest_as_of": (k05, "SELECT TIMESTAMP '2024-01-24' AS as_of FROM events LIMIT 1"),
+    "K05_latest_as_of": (k05, f"WITH {_BATCHES} SELECT max(as_of) AS as_of FROM batches"),
     "K06_records": (k06, """SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}' AS record FROM orders"""),
     "K07_catalog": (k07, f"""WITH {_BATCHES} SELECT 'power.lmp' AS library, symbol, count(DISTINCT valid_time) AS row_count, max(valid_time) AS latest_valid_time, 'bitemporal_merge' AS mode,
 count(DISTINCT k) AS vintage_count, 0.0::DOUBLE AS reconstructed_pct FROM batches GROUP BY 2"""),

@@ -36,7 +36,7 @@ _BAD = "n/a"
 
 
 def _value():
-    return F.when(F.col("event_id") % 13 == 0, F.lit(_BAD)).otherwise(F.format_string("%.2f", F.col("value")))
+    return F.when(F.col("event_id") % 13 == 0, F.lit(_BAD)).when(F.col("event_id") % 17 == 0, F.lit("NaN")).otherwise(F.format_string("%.2f", F.col("value")))
 
 
 def a01(s, d):
@@ -60,7 +60,7 @@ def a04(s, d):
 
 def _report(s, d, fields: dict) -> DataFrame:
     """Paged envelopes of order rows: arrays of text, and the list of their fields."""
-    o = table(s, d, "orders").where("o_orderdate < timestamp'1996-01-01'")
+    o = table(s, d, "orders")
     row = F.array(*fields.values())
     pages = o.groupBy((F.col("o_orderkey") / 1000).cast("int").alias("_order")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("i"), row.alias("r")))).alias("a")
@@ -82,11 +82,15 @@ def _point():
     return F.get(F.array(*map(F.lit, _POINTS)), (F.col("o_orderkey") % 5).cast("int"))
 
 
+def _price():
+    return F.when(F.col("o_orderkey") % 11 == 0, F.lit("NaN")).otherwise(F.format_string("%.2f", F.col("o_totalprice") / 1000))
+
+
 def _real_time(s, d):
     return _report(s, d, {
         "deliveryDate": F.date_format(_day(), "yyyy-MM-dd"), "deliveryHour": (F.col("o_orderkey") % 24 + 1).cast("string"),
         "deliveryInterval": (F.col("o_orderkey") % 4 + 1).cast("string"), "settlementPoint": _point(),
-        "settlementPointPrice": F.format_string("%.2f", F.col("o_totalprice") / 1000), "DSTFlag": F.lit("false"),
+        "settlementPointPrice": _price(), "DSTFlag": F.lit("false"),
     })
 
 
@@ -110,7 +114,7 @@ def a07(s, d):
 
 
 def _day_ahead(s, d):
-    return _hourly_report(s, d, "deliveryDate", {"settlementPoint": _point(), "settlementPointPrice": F.format_string("%.2f", F.col("o_totalprice") / 1000)})
+    return _hourly_report(s, d, "deliveryDate", {"settlementPoint": _point(), "settlementPointPrice": _price()})
 
 
 def a08(s, d):
@@ -118,7 +122,7 @@ def a08(s, d):
 
 
 def _load(s, d):
-    return _hourly_report(s, d, "operatingDay", {"coast": F.lit("1"), "total": F.floor(F.col("o_totalprice") / 10).cast("string")})
+    return _hourly_report(s, d, "operatingDay", {"coast": F.lit("1"), "total": F.when(F.col("o_orderkey") % 11 == 0, F.lit("NaN")).otherwise(F.floor(F.col("o_totalprice") / 10).cast("string"))})
 
 
 def a09(s, d):
@@ -147,7 +151,7 @@ def a12(s, d):
 
 def _spot(s, d, ids):
     e = table(s, d, "events")
-    rec = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.when(F.col("event_id") % 5 == 0, F.lit(".")).otherwise(F.format_string("%.2f", "value")).alias("value"))
+    rec = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.when(F.col("event_id") % 5 == 0, F.lit(".")).when(F.col("event_id") % 17 == 0, F.lit("NaN")).otherwise(F.format_string("%.2f", "value")).alias("value"))
     some = e.groupBy(ids.alias("instrument_id"), _envelope().alias("_order")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("i"), rec.alias("r")))).alias("a")
     )
@@ -166,9 +170,9 @@ def a14(s, d):
 
 
 def _lines(s, d, element: str) -> DataFrame:
-    """Fixed-width lines: a region and year per pair of line items."""
+    """Fixed-width lines: a region and one of 8000 years for each order, the greatest quantity of those that meet in one."""
     codes = F.array(*map(F.lit, ("110", "101", "041", "999")))
-    li = table(s, d, "lineitem").where("l_orderkey < 2000").groupBy("l_orderkey").agg(F.max("l_quantity").alias("q"))
+    li = table(s, d, "lineitem").groupBy((F.col("l_orderkey") % 8000).alias("l_orderkey")).agg(F.max("l_quantity").alias("q"))
     code = F.get(codes, (F.col("l_orderkey") % 4).cast("int"))
     cells = [F.lpad(F.when((F.col("l_orderkey") + m) % 9 == 0, F.lit("-9999.")).otherwise(F.format_string("%.0f.", F.col("q") + m)), 7, " ") for m in range(12)]
     return li.select(F.concat(code, F.lit("0"), F.lit(element), F.format_string("%04d", F.col("l_orderkey") + 1000), *cells).alias("value"))
@@ -258,8 +262,8 @@ def e02(s, d):
 
 
 def e03(s, d):
-    """Degree days of three regions, one year for each of the first hundred orders, 2000 to 2024."""
-    li = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").alias("q")).where("l_orderkey < 100")
+    """Degree days of three regions, 2000 to 2024: each order in one of the years, the greatest quantity of those that meet in one."""
+    li = table(s, d, "lineitem").groupBy((F.col("l_orderkey") % 100).alias("l_orderkey")).agg(F.max("l_quantity").alias("q"))
     code = F.get(F.array(*map(F.lit, ("110", "101", "041", "999"))), (F.col("l_orderkey") % 4).cast("int"))
     cells = [F.lpad(F.format_string("%.0f.", F.col("q") + m), 7, " ") for m in range(12)]
     lines = lambda e: li.select(F.concat(code, F.lit("0"), F.lit(e), F.format_string("%04d", F.floor(F.col("l_orderkey") / 4) + 2000), *cells).alias("value"))
@@ -267,19 +271,20 @@ def e03(s, d):
     return _pipeline("degree_days", "weather", lambda *_: both, datetime(2025, 1, 6, tzinfo=UTC))(s, d)
 
 
-NEW_YEAR = datetime(1996, 1, 2, tzinfo=UTC)
+#: The day after the newest order.
+AFTER = datetime(2001, 8, 2, tzinfo=UTC)
 
 
 def e08(s, d):
-    return _pipeline("real_time_prices", "power.lmp", lambda *_: (_real_time(s, d),), NEW_YEAR)(s, d)
+    return _pipeline("real_time_prices", "power.lmp", lambda *_: (_real_time(s, d),), AFTER)(s, d)
 
 
 def e09(s, d):
-    return _pipeline("day_ahead_prices", "power.dalmp", lambda *_: (_day_ahead(s, d),), NEW_YEAR)(s, d)
+    return _pipeline("day_ahead_prices", "power.dalmp", lambda *_: (_day_ahead(s, d),), AFTER)(s, d)
 
 
 def e10(s, d):
-    return _pipeline("system_load", "power.load", lambda *_: (_load(s, d),), NEW_YEAR)(s, d)
+    return _pipeline("system_load", "power.load", lambda *_: (_load(s, d),), AFTER)(s, d)
 
 
 def c11(s, d):
@@ -316,9 +321,9 @@ def e11(s, d):
     return ingest(store, "hourly_region", raw, as_of=datetime(2024, 1, 31, tzinfo=UTC), fetched_at=AT)
 
 
-_V = "CASE WHEN event_id % 13 = 0 THEN NULL ELSE round(value, 2) END"
+_V = "CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN NULL ELSE round(value, 2) END"
 _ORDERS = f"""o AS (SELECT o_orderkey, o_orderdate::DATE + CASE WHEN dayofweek(o_orderdate) = 0 THEN 1 ELSE 0 END AS day, o_totalprice, (['HB_NORTH', 'LZ_WEST', 'HB_OTHER', 'RESOURCE_1', 'LZ_SOUTH'])[o_orderkey % 5 + 1] AS point,
-  o_orderkey % 24 + 1 AS hour, o_orderkey % 4 + 1 AS quarter FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')"""
+  o_orderkey % 24 + 1 AS hour, o_orderkey % 4 + 1 AS quarter FROM orders)"""
 
 
 def _instant(begin: str, minutes: int) -> str:
@@ -328,11 +333,11 @@ def _instant(begin: str, minutes: int) -> str:
 _LAST = "QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY o_orderkey DESC) = 1"
 _QUARTER, _HOUR = _instant("(hour - 1) * 60 + (quarter - 1) * 15", 15), _instant("(hour - 1) * 60", 60)
 _PRICES = f"""{_ORDERS}, rt AS (SELECT point, {_QUARTER} AS valid_time, round(o_totalprice / 1000, 2) AS price FROM o
-  WHERE point IN ('HB_NORTH', 'LZ_WEST', 'LZ_SOUTH') {_LAST.format(key="point, " + _QUARTER)}),
+  WHERE o_orderkey % 11 <> 0 AND point IN ('HB_NORTH', 'LZ_WEST', 'LZ_SOUTH') {_LAST.format(key="point, " + _QUARTER)}),
 da AS (SELECT point, {_HOUR} AS valid_time, round(o_totalprice / 1000, 2) AS price FROM o
-  WHERE point IN ('HB_NORTH', 'LZ_WEST', 'LZ_SOUTH') {_LAST.format(key="point, " + _HOUR)}),
-load AS (SELECT {_HOUR} AS valid_time, floor(o_totalprice / 10)::DOUBLE AS value FROM o {_LAST.format(key=_HOUR)})"""
-_LINES = """li AS (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem WHERE l_orderkey < 2000 GROUP BY 1),
+  WHERE o_orderkey % 11 <> 0 AND point IN ('HB_NORTH', 'LZ_WEST', 'LZ_SOUTH') {_LAST.format(key="point, " + _HOUR)}),
+load AS (SELECT {_HOUR} AS valid_time, floor(o_totalprice / 10)::DOUBLE AS value FROM o WHERE o_orderkey % 11 <> 0 {_LAST.format(key=_HOUR)})"""
+_LINES = """li AS (SELECT l_orderkey % 8000 AS l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY 1),
 cells AS (SELECT 'NOAA.HDD.' || (['CONUS', 'NORTHEAST', 'TEXAS'])[l_orderkey % 4 + 1] AS instrument_id, make_timestamp(1000 + l_orderkey, m + 1, 1, 0, 0, 0) AS valid_time,
   CASE WHEN (l_orderkey + m) % 9 = 0 THEN NULL ELSE round(q + m)::DOUBLE END AS v FROM li, range(12) r(m) WHERE l_orderkey % 4 < 3)"""
 _MATCH = "list_filter([" + ", ".join(
@@ -342,7 +347,7 @@ _MATCH = "list_filter([" + ", ".join(
 
 ENTRIES = {
     "A01_weekly": (a01, f"""SELECT 'EIA.NG.STORAGE.LOWER48' AS instrument_id, date_trunc('day', ts) AS valid_time, round(arg_min(value, event_id), 6) AS value
-FROM events WHERE event_id % 13 <> 0 GROUP BY 2"""),
+FROM events WHERE event_id % 13 <> 0 AND event_id % 17 <> 0 GROUP BY 2"""),
     "A02_hourly_region": (a02, f"""SELECT 'EIA930.D.' || upper(event_type) AS instrument_id, date_trunc('hour', ts) AS valid_time, upper(event_type) AS respondent, {_V} AS value
 FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id DESC) = 1"""),
     "A03_hourly_by_fuel": (a03, f"""SELECT 'EIA930.GEN_FUEL.ERCO' AS instrument_id, date_trunc('hour', ts) AS valid_time, 'ERCO' AS respondent, upper(event_type) AS fuel_type, {_V} AS value
@@ -358,7 +363,7 @@ SELECT o_orderkey, {_HOUR} AS valid_time FROM o"""),
     "A11_settlement_points": (a11, f"WITH {_PRICES} SELECT point AS settlement_point, count(*) AS n FROM rt GROUP BY 1"),
     "A12_unlisted_points": (a12, f"WITH {_ORDERS} SELECT DISTINCT point AS settlement_point FROM o WHERE point = 'HB_OTHER'"),
     "A13_spot": (a13, """SELECT 'FRED.' || upper(event_type) || '.SPOT' AS instrument_id, date_trunc('day', ts) AS valid_time, round(arg_min(value, event_id), 6) AS value
-FROM events WHERE event_id % 5 <> 0 GROUP BY 1, 2"""),
+FROM events WHERE event_id % 5 <> 0 AND event_id % 17 <> 0 GROUP BY 1, 2"""),
     "A14_newest_file": (a14, "SELECT 'climdiv-hddcst-v1.0.0-' || strftime(max(o_orderdate), '%Y%m%d') AS name FROM orders"),
     "A15_degree_days": (a15, f"WITH {_LINES} SELECT instrument_id, valid_time, v AS hdd FROM cells"),
     "A16_both_degree_days": (a16, f"""WITH {_LINES} SELECT instrument_id, valid_time, CASE WHEN instrument_id <> 'NOAA.HDD.CONUS' THEN v END AS hdd, v AS cdd FROM cells WHERE v IS NOT NULL"""),
@@ -378,15 +383,15 @@ NULL::BIGINT AS "OpenInterest" FROM bars WHERE "Symbol" IN ('click', 'view')""")
     "E01_intraday_bars": (e01, """SELECT 'prices.intraday' AS library, CASE event_type WHEN 'click' THEN 'CL_FRONT' WHEN 'view' THEN 'BZ_FRONT' ELSE 'NG_FRONT' END AS symbol,
 count(DISTINCT date_trunc('hour', ts)) AS n, 0::BIGINT AS n_failures FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY 2"""),
     "E02_spot_prices": (e02, """SELECT 'prices.spot' AS library, CASE event_id % 3 WHEN 0 THEN 'wti_spot' WHEN 1 THEN 'brent_spot' ELSE 'henryhub_spot' END AS symbol,
-count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 5 <> 0 GROUP BY 2"""),
-    "E03_degree_days": (e03, """SELECT 'weather' AS library, (['hdd_conus', 'hdd_northeast', 'hdd_texas'])[l_orderkey % 4 + 1] AS symbol, count(DISTINCT l_orderkey) * 12 AS n,
-0::BIGINT AS n_failures FROM lineitem WHERE l_orderkey < 100 AND l_orderkey % 4 < 3 GROUP BY 2"""),
+count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 5 <> 0 AND event_id % 17 <> 0 GROUP BY 2"""),
+    "E03_degree_days": (e03, """SELECT 'weather' AS library, (['hdd_conus', 'hdd_northeast', 'hdd_texas'])[l_orderkey % 4 + 1] AS symbol, count(DISTINCT l_orderkey % 100) * 12 AS n,
+0::BIGINT AS n_failures FROM lineitem WHERE l_orderkey % 4 < 3 GROUP BY 2"""),
     "E08_real_time_prices": (e08, f"WITH {_PRICES} SELECT 'power.lmp' AS library, lower(point) AS symbol, count(*) AS n, 0::BIGINT AS n_failures FROM rt GROUP BY 2"),
     "E09_day_ahead_prices": (e09, f"WITH {_PRICES} SELECT 'power.dalmp' AS library, lower(point) AS symbol, count(*) AS n, 0::BIGINT AS n_failures FROM da GROUP BY 2"),
     "E10_system_load": (e10, f"WITH {_PRICES} SELECT 'power.load' AS library, 'system' AS symbol, count(*) AS n, 0::BIGINT AS n_failures FROM load"),
     "C11_read_back": (c11, """SELECT 'age' AS "check", 'valid_time' AS "column", 1::BIGINT AS n_failed FROM events LIMIT 1"""),
-    "E04_gas_storage": (e04, "SELECT 'fundamentals.eia' AS library, 'ng_storage_lower48' AS symbol, count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 13 <> 0"),
-    "E05_crude_stocks": (e05, "SELECT 'fundamentals.eia' AS library, 'pet_crude_stocks' AS symbol, count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 13 <> 0"),
+    "E04_gas_storage": (e04, "SELECT 'fundamentals.eia' AS library, 'ng_storage_lower48' AS symbol, count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 13 <> 0 AND event_id % 17 <> 0"),
+    "E05_crude_stocks": (e05, "SELECT 'fundamentals.eia' AS library, 'pet_crude_stocks' AS symbol, count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 13 <> 0 AND event_id % 17 <> 0"),
     "E06_hourly_region": (e06, "SELECT 'power.demand' AS library, event_type AS symbol, count(DISTINCT date_trunc('hour', ts)) AS n, 0::BIGINT AS n_failures FROM events GROUP BY 2"),
     "E07_hourly_by_fuel": (e07, "SELECT 'power.generation_by_fuel' AS library, 'erco' AS symbol, count(DISTINCT (event_type, date_trunc('hour', ts))) AS n, 0::BIGINT AS n_failures FROM events"),
     "E11_fan_out": (e11, """SELECT 'EIA930.' || CASE event_id % 2 WHEN 0 THEN 'D' ELSE 'NG' END || '.' || upper(event_type) AS instrument_id, count(DISTINCT date_trunc('hour', ts)) AS n_rows FROM events GROUP BY 1"""),

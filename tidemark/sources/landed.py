@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import MONTH_CODES, hour_ending_minutes, local_ending_to_utc, one_per_key
+from tidemark.functions import MONTH_CODES, hour_ending_minutes, local_ending_to_utc, number, one_per_key
 from tidemark.operators.routing import REGIONS
 
 #: Hubs and load zones that are kept.
@@ -36,8 +36,8 @@ OBSERVATIONS = "observations array<struct<date:string,value:string>>"
 
 
 def _records(raw: DataFrame, array: str, *more: str) -> DataFrame:
-    """Records in order: ``_place`` is (order of the payload, place in it)."""
-    order = F.col("_order") if "_order" in raw.columns else F.monotonically_increasing_id()
+    """Records in order: of the payload (``_order``, or else a hash of its content, so that the split of files does not matter), and the place in it."""
+    order = F.col("_order") if "_order" in raw.columns else F.xxhash64(array)
     return raw.select(*more, order.alias("_file"), F.posexplode(array).alias("_pos", "r"))
 
 
@@ -52,7 +52,7 @@ def weekly(raw: DataFrame, instrument_id: str) -> DataFrame:
     """Weekly fundamentals: dates at midnight, values that are no numbers dropped, first of a date kept."""
     rows = _records(raw, "response.data").select(
         F.lit(instrument_id).alias("instrument_id"), F.col("r.period").try_cast("timestamp").alias("valid_time"),
-        F.col("r.value").try_cast("double").alias("value"), "_file", "_pos",
+        number("r.value").alias("value"), "_file", "_pos",
     )
     return _keep(rows.where("valid_time is not null and value is not null"), ["valid_time"], "first")
 
@@ -66,7 +66,7 @@ def hourly_region(raw: DataFrame) -> DataFrame:
     """Hourly series by type and area: null values stay, last of a key kept."""
     rows = _records(raw, "response.data").select(
         F.concat_ws(".", F.lit("EIA930"), "r.type", "r.respondent").alias("instrument_id"), hour(F.col("r.period")).alias("valid_time"),
-        F.col("r.respondent").alias("respondent"), F.col("r.value").try_cast("double").alias("value"), "_file", "_pos",
+        F.col("r.respondent").alias("respondent"), number("r.value").alias("value"), "_file", "_pos",
     )
     return _keep(rows, ["instrument_id", "valid_time"], "last")
 
@@ -76,7 +76,7 @@ def hourly_by_fuel(raw: DataFrame) -> DataFrame:
     rows = _records(raw, "response.data").select(
         F.concat(F.lit("EIA930.GEN_FUEL."), "r.respondent").alias("instrument_id"), hour(F.col("r.period")).alias("valid_time"),
         F.col("r.respondent").alias("respondent"), F.col("r.fueltype").alias("fuel_type"),
-        F.col("r.value").try_cast("double").alias("value"), "_file", "_pos",
+        number("r.value").alias("value"), "_file", "_pos",
     )
     return _keep(rows, ["instrument_id", "valid_time", "fuel_type"], "last")
 
@@ -106,7 +106,7 @@ def real_time_prices(raw: DataFrame) -> DataFrame:
     end = (m["deliveryHour"].try_cast("int") - 1) * 60 + m["deliveryInterval"].try_cast("int") * 15
     rows = report_rows(raw).select(
         local_ending_to_utc(F.to_date(m["deliveryDate"]), end, _flag("DSTFlag"), 15, CENTRAL).alias("valid_time"),
-        m["settlementPoint"].alias("settlement_point"), m["settlementPointPrice"].try_cast("double").alias("price"), "_file", "_pos",
+        m["settlementPoint"].alias("settlement_point"), number(m["settlementPointPrice"]).alias("price"), "_file", "_pos",
     )
     return _settled(rows, "ERCOT.SPP")
 
@@ -117,7 +117,7 @@ def day_ahead_prices(raw: DataFrame) -> DataFrame:
     end = hour_ending_minutes(m["hourEnding"])
     rows = report_rows(raw).select(
         local_ending_to_utc(F.to_date(m["deliveryDate"]), end, _flag("DSTFlag"), 60, CENTRAL).alias("valid_time"),
-        m["settlementPoint"].alias("settlement_point"), m["settlementPointPrice"].try_cast("double").alias("price"), "_file", "_pos",
+        m["settlementPoint"].alias("settlement_point"), number(m["settlementPointPrice"]).alias("price"), "_file", "_pos",
     )
     return _settled(rows, "ERCOT.DASPP")
 
@@ -129,7 +129,7 @@ def system_load(raw: DataFrame) -> DataFrame:
     rows = report_rows(raw).select(
         F.lit("ERCOT.LOAD.SYSTEM").alias("instrument_id"),
         local_ending_to_utc(F.to_date(m["operatingDay"]), end, _flag("DSTFlag"), 60, CENTRAL).alias("valid_time"),
-        m["total"].try_cast("double").alias("value"), "_file", "_pos",
+        number(m["total"]).alias("value"), "_file", "_pos",
     )
     return _keep(rows.where("value is not null"), ["instrument_id", "valid_time"], "last")
 
@@ -145,7 +145,7 @@ def spot(raw: DataFrame, instrument_id: Column | str) -> DataFrame:
     """Daily spot prices: "." and other non-numbers dropped, first of a date kept; several series may stand in ``raw``."""
     name = F.lit(instrument_id) if isinstance(instrument_id, str) else instrument_id
     rows = _records(raw.withColumn("instrument_id", name), "observations", "instrument_id").select(
-        "instrument_id", F.col("r.date").try_cast("timestamp").alias("valid_time"), F.col("r.value").try_cast("double").alias("value"), "_file", "_pos",
+        "instrument_id", F.col("r.date").try_cast("timestamp").alias("valid_time"), number("r.value").alias("value"), "_file", "_pos",
     )
     return _keep(rows.where("value is not null and valid_time is not null"), ["instrument_id", "valid_time"], "first")
 
@@ -165,7 +165,7 @@ def degree_days(lines: DataFrame, element: str, value_col: str) -> DataFrame:
         F.concat(F.lit("NOAA.HDD."), regions[F.substring(v, 1, 3)]).alias("instrument_id"), F.substring(v, 7, 4).cast("int").alias("year"),
         F.posexplode(months).alias("m", "field"),
     )
-    value = F.nullif(F.col("field").try_cast("double"), F.lit(-9999.0))
+    value = F.nullif(number("field"), F.lit(-9999.0))
     return rows.where("field != ''").select(
         "instrument_id", F.make_date("year", F.col("m") + 1, F.lit(1)).cast("timestamp").alias("valid_time"), value.alias(value_col)
     )
@@ -181,7 +181,7 @@ def bars(raw: DataFrame, instrument_id: Column | str, time: str = "Datetime") ->
     name = F.lit(instrument_id) if isinstance(instrument_id, str) else instrument_id
     return raw.select(
         name.alias("instrument_id"), F.col(time).cast("timestamp").alias("valid_time"),
-        *(F.col(c).cast("double").alias(c) for c in ("Open", "High", "Low", "Close")),
+        *(number(c).alias(c) for c in ("Open", "High", "Low", "Close")),
         F.coalesce(F.col("Volume").try_cast("bigint"), F.lit(0).cast("bigint")).alias("Volume"),
     )
 
@@ -208,7 +208,7 @@ def contract_bars(raw: DataFrame, calendar: DataFrame) -> DataFrame:
     """Dated bars (ticker, Datetime, prices) with commodity and month; open interest is not given and null."""
     return raw.join(F.broadcast(calendar), "ticker").select(
         F.col("Datetime").cast("timestamp").alias("Datetime"), "Commodity", "ContractMonth", F.col("ticker").alias("Symbol"),
-        *(F.col(c).cast("double").alias(c) for c in ("Open", "High", "Low", "Close")),
+        *(number(c).alias(c) for c in ("Open", "High", "Low", "Close")),
         F.coalesce(F.col("Volume").try_cast("bigint"), F.lit(0).cast("bigint")).alias("Volume"), F.lit(None).cast("bigint").alias("OpenInterest"),
     )
 

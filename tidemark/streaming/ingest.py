@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC
 
 from pyspark.sql import DataFrame
@@ -15,16 +16,18 @@ from tidemark.operators.store import Store
 def commit_stream(rows: DataFrame, store: Store, source: str) -> DataStreamWriter:
     """Commit each micro-batch of canonical rows.
 
-    A batch's as_of is the newest ``fetched_at`` of its rows, so a batch that is run
-    again commits nothing new.
+    Rows become known when they were fetched: a batch is committed once for each
+    ``fetched_at`` in it (one for each landed payload), in order.  Commits carry the
+    number of their micro-batch, so one that is run again after a failure commits
+    nothing twice, and batches of one ``fetched_at`` add to each other.
     """
+    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{store.root} {source}")
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.agg(F.max("fetched_at")).first()[0]
-        if newest is None:
-            return
-        at = newest if newest.tzinfo else newest.replace(tzinfo=UTC)
-        store.commit(routed(batch.drop("fetched_at")), as_of=at, fetched_at=at, source=source)
+        for (fetched,) in batch.where("fetched_at is not null").select("fetched_at").distinct().orderBy("fetched_at").collect():
+            at = fetched if fetched.tzinfo else fetched.replace(tzinfo=UTC)
+            part = batch.where(F.col("fetched_at") == F.lit(at)).drop("fetched_at")
+            store.commit(routed(part), as_of=at, fetched_at=at, source=source, batch=f"{name}/{batch_id}/{at.isoformat()}")
 
     return rows.writeStream.foreachBatch(commit)
 
