@@ -202,7 +202,7 @@ def test_kneser_ney(spark, docs_of):
     other = kneser_ney.perplexities(df, lab, strata=("en", "de", "other"), broadcast_grams=0).collect()
     key = lambda r: (str(r.doc_id), r.n_bytes, r.log_p)
     for a, b in zip(sorted(got, key=key), sorted(other, key=key), strict=True):
-        assert a.doc_id == b.doc_id and math.isclose(a.log_p, b.log_p, rel_tol=1e-5, abs_tol=1e-4)
+        assert a.doc_id == b.doc_id and a.log_p == b.log_p  # to the last bit
 
 
 def test_classifier_keeps_clean_and_rejects_junk(spark, docs_of):
@@ -226,3 +226,52 @@ def test_repeated_ids_give_one_training_row(spark, docs_of, monkeypatch):
     for given in (rows, rows[::-1], [(i, t) for i, t in dict(rows).items()]):
         toxicity.fit(docs_of(given).select("doc_id", "text"), labels)
     assert len(set(seen)) == 1 and seen[0][0] <= 30
+
+
+def test_training_against_a_plain_version(monkeypatch):
+    """Forward and backward pass and Adam row by row and bucket by bucket."""
+    monkeypatch.setattr(toxicity, "BITS", 6)
+    monkeypatch.setattr(toxicity, "EPOCHS", 3)
+    monkeypatch.setattr(toxicity, "BATCH", 5)
+    rng = np.random.default_rng(1)
+    bags, labels = [], np.array([i % 3 == 0 for i in range(23)]).astype(np.int64)
+    for y in labels:
+        b = np.unique(rng.integers(0, 40, 9) + 10 * y)
+        bags.append((b.astype(np.int32), toxicity.shares(rng.integers(1, 5, len(b)))))
+    bags[4] = (np.zeros(0, np.int32), np.zeros(0, np.float32))
+    got = toxicity.train(bags, labels, 0.2, seed=3)
+
+    rng, dim, gain = np.random.default_rng(3), toxicity.DIM, toxicity.GAIN
+    emb = np.zeros((64, dim))
+    soft, bias = (rng.standard_normal((dim, 2)) * 0.5).astype(np.float32).astype(float), np.zeros(2)
+    moments = {}
+    share = labels.mean()
+    weight = np.array([0.2 / share if y else 0.8 / (1 - share) for y in labels])
+    weight /= weight.mean()
+    step = 0
+
+    def adam(name, param, grad, rate):
+        m, v = moments.get(name, (np.zeros_like(grad), np.zeros_like(grad)))
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        moments[name] = (m, v)
+        return param - rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step) * m / (np.sqrt(v) + 1e-8)
+
+    for epoch in range(3):
+        order = rng.permutation(len(bags))
+        for i in range(0, len(order), 5):
+            rows, step = order[i : i + 5], step + 1
+            d_emb, d_soft, d_bias = {}, np.zeros_like(soft), np.zeros(2)
+            for r in rows:
+                mean = sum((gain * w * emb[b] for b, w in zip(*bags[r], strict=True)), np.zeros(dim))
+                e = np.exp(mean @ soft + bias)
+                d = (e / e.sum() - np.eye(2)[labels[r]]) * weight[r] / len(rows)
+                d_soft += np.outer(mean, d)
+                d_bias += d
+                for b, w in zip(*bags[r], strict=True):
+                    d_emb[b] = d_emb.get(b, np.zeros(dim)) + gain * w * (soft @ d)
+            rate = toxicity.RATE * (1 - epoch / 3)
+            for b, g in d_emb.items():
+                emb[b] = adam(("emb", b), emb[b], g, rate)
+            soft, bias = adam("soft", soft, d_soft, rate), adam("bias", bias, d_bias, rate)
+    assert np.allclose(got.weights, emb @ (soft[:, 1] - soft[:, 0]), rtol=1e-3, atol=1e-4) and abs(got.bias - (bias[1] - bias[0])) < 1e-3
+    assert np.abs(got.weights).max() > 0.1

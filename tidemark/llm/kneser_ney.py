@@ -10,9 +10,11 @@ whose labels say that they are good.  Steps:
    orders count distinct left neighbours; the discounts D1, D2, D3+ of each order
    and language come from its counts of counts; each order's discounted share is
    interpolated with the order below.  No table is held in one place.
-3. A second pass adds up the log-probabilities of each document's five-grams.  While
-   the table of scored five-grams is small (its size is checked) it is handed to the
-   tasks as a hash table; beyond that, five-grams and their scores are joined.
+3. A second pass adds up the log-probabilities of each document's five-grams, as whole
+   numbers of 2^-20, so that sums do not depend on their order.  While the table of
+   scored five-grams is small (its size is checked) it is handed to the tasks as a hash
+   table, built once per Python worker; beyond that, five-grams and their scores are
+   joined.  Both ways give the same numbers to the last bit.
 4. Every tenth training document is held out of the counts.  For each language a
    high quantile of the perplexity of those documents is the threshold; a document
    over it is rejected.  Short documents are drawn towards the language's mean.
@@ -20,6 +22,8 @@ whose labels say that they are good.  Steps:
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -39,6 +43,8 @@ DRAW = 40
 HELD_OUT = 10
 #: Bounds up to which tables are handed to every task: ids of labelled documents, scored five-grams.
 BROADCAST_IDS = 2_000_000
+#: Log-probabilities are whole numbers of one part in this.
+UNIT = 1 << 20
 BROADCAST_GRAMS = 4_000_000
 BLOCK_BYTES = 1_000_000
 
@@ -75,12 +81,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Table:
-    """Hash table from int64 keys to float32 values, looked up in bulk."""
+    """Hash table from int64 keys to int32 values, looked up in bulk."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.shift = np.uint64(64 - max(4, int(2 * len(keys)).bit_length()))
         size = 1 << (64 - int(self.shift))
-        self.keys, self.values, self.mask = np.full(size, -1, np.int64), np.zeros(size, np.float32), size - 1
+        self.keys, self.values, self.mask = np.full(size, -1, np.int64), np.zeros(size, np.int32), size - 1
         rest, slot = np.arange(len(keys)), self._slot(keys)
         while len(rest):
             free = self.keys[slot[rest]] == -1
@@ -105,8 +111,31 @@ class Table:
         return self.values[slot]
 
 
-def _sums(batches: Iterator[pa.RecordBatch], keys, values) -> Iterator[pa.RecordBatch]:
-    table = Table(keys.value, values.value)
+@functools.lru_cache(maxsize=1)
+def _table(keys, values) -> Table:
+    """The table of a pair of broadcasts; a worker builds it for the first of its tasks."""
+    return Table(keys.value, values.value)
+
+
+class _Shared:
+    """A broadcast that is equal to itself after pickling, as a key of a worker's cache."""
+
+    def __init__(self, broadcast, name: str):
+        self.broadcast, self.name = broadcast, name
+
+    @property
+    def value(self) -> np.ndarray:
+        return self.broadcast.value
+
+    def __hash__(self) -> int:
+        return hash(self.name)
+
+    def __eq__(self, other) -> bool:
+        return self.name == other.name
+
+
+def _sums(batches: Iterator[pa.RecordBatch], keys: _Shared, values: _Shared) -> Iterator[pa.RecordBatch]:
+    table = _table(keys, values)
     for batch in batches:
         strata = batch.column(2).to_numpy()
         total, sizes = [], []
@@ -117,7 +146,7 @@ def _sums(batches: Iterator[pa.RecordBatch], keys, values) -> Iterator[pa.Record
         sums = np.concatenate(total) if total else np.zeros(0)
         sizes = pa.array(sizes, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), batch.column(4), sizes, pa.array(sums)],
+            [batch.column(0), batch.column(2), batch.column(4), sizes, pa.array(sums / UNIT)],
             ["doc_id", "stratum", "fold", "n_bytes", "log_p"],
         )
 
@@ -180,7 +209,7 @@ def discounted(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def scored_grams(counts: DataFrame) -> DataFrame:
-    """(key, log_p) of every five-gram of ``counts`` (key, c), c from training texts."""
+    """(key, log_p int, in parts of ``UNIT``) of every five-gram of ``counts`` (key, c), c from training texts."""
     seen = counts.where("c > 0")
     by_order = {ORDER: seen}
     for n in range(ORDER - 1, 0, -1):  # how many different bytes stand before it
@@ -198,7 +227,7 @@ def scored_grams(counts: DataFrame) -> DataFrame:
             at = at.withColumn("lower", _suffix(F.col("key"), n - 1))
             p = at.join(below.select(F.col("key").alias("lower"), F.col("p").alias("q")), "lower").select("key", (share + gamma * F.col("q")).alias("p"))
         below = materialise(p, f"order{n}")
-    return below.select("key", F.ln("p").alias("log_p"))
+    return below.select("key", F.round(F.ln("p") * UNIT).cast("int").alias("log_p"))
 
 
 def perplexities(
@@ -228,15 +257,16 @@ def perplexities(
     n_grams = scored.count()
     if n_grams <= broadcast_grams:
         got = scored.toArrow()
-        keys = sc.broadcast(got.column("key").to_numpy())
-        values = sc.broadcast(got.column("log_p").to_numpy().astype(np.float32))
+        name = uuid.uuid4().hex
+        keys = _Shared(sc.broadcast(got.column("key").to_numpy()), f"{name}-keys")
+        values = _Shared(sc.broadcast(got.column("log_p").to_numpy()), f"{name}-values")
         return source.mapInArrow(lambda b: _sums(b, keys, values), out)
     rows = source.withColumn("row", F.monotonically_increasing_id())
     each = rows.mapInArrow(_exploded, "row long, doc_id long, stratum int, fold int, n_bytes long, key long, n long")
     return (
         each.join(scored, "key", "left")
         .groupBy("row", "doc_id", "stratum", "fold", "n_bytes")
-        .agg(F.sum(F.col("n") * F.coalesce("log_p", F.lit(0.0))).alias("log_p"))
+        .agg((F.sum(F.col("n") * F.coalesce("log_p", F.lit(0))) / UNIT).alias("log_p"))
         .drop("row")
     )
 
