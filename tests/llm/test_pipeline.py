@@ -52,9 +52,9 @@ def test_stages(spark, docs_of, tmp_path):
     assert sorted((r.doc_id, r.text, r.n_chars) for r in docs.collect()) == sorted((i, t, len(t)) for i, t in want)
     assert len({i for i, _ in want}) < len({i for i, t in rows if not base(t)[5]})
 
-    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, sf).collect()}
+    got = {r.doc_id: (r.ids, r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, sf).collect()}
     ids = {i: TIKTOKEN.encode_ordinary(t) for i, t in want}
-    assert got == {i: (len(x), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest()) for i, x in ids.items()}
+    assert got == {i: (x, len(x), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest()) for i, x in ids.items()}
 
 
 def test_empty_documents(spark, docs_of, tmp_path):

@@ -20,6 +20,7 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -155,20 +156,22 @@ def codec_of(vocabulary: str, pattern: str) -> Codec:
     return Codec(vocabulary, pattern)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) -> Iterator[pa.RecordBatch]:
+def _hashed(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     codec = codec_of(vocabulary, pattern)
     sha = hashlib.sha256
     for batch in batches:
-        n, a, b = [], [], []
+        n, a, b, kept = [], [], [], []
         for _, _, texts in text_blocks(batch.column(1), BLOCK_BYTES):
             for ids, back in codec.block(decoded(texts)):
                 n.append(ids.count(b" "))
                 a.append(sha(ids[1:]).hexdigest())
                 b.append(sha(back).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+                if keep_ids:
+                    kept.append(np.array(ids.split(), np.int32))
+        columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+        if keep_ids:
+            columns.append(pa.array(kept, pa.list_(pa.int32())))
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, pattern: str) -> Iterator[pa.RecordBatch]:
@@ -218,13 +221,16 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, *, id_col="doc_id"
 
 
 def encode_digests(
-    docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, *, id_col="doc_id", text_col="text"
+    docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, *, id_col="doc_id", text_col="text", keep_ids: bool = False
 ) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): an encode and decode round in one pass.
 
     ids_sha256 is of the decimal ids joined by one space, decoded_sha256 of the
     bytes that decoding the ids gives back.  Null and empty texts: no tokens, the
     digests of nothing.  Rows in, rows out, also for repeats and null doc_ids.
+    ``keep_ids`` adds the ids themselves (array<int>).
     """
     vocabulary, pattern = vocabulary or vocabulary_path(), pattern or public_tokenizers.PATTERN
-    return pick(docs, id_col, text_col).mapInArrow(lambda b: _hashed(b, vocabulary, pattern), SCHEMA)
+    return pick(docs, id_col, text_col).mapInArrow(
+        lambda b: _hashed(b, vocabulary, pattern, keep_ids), SCHEMA + ", ids array<int>" * keep_ids
+    )

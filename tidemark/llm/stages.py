@@ -1,4 +1,8 @@
-"""Stages of the corpus pipeline: thin adapters of the operators to (spark, docs, sf_dir)."""
+"""Stages of the corpus pipeline: thin adapters of the operators to (spark, docs, sf_dir).
+
+Null and empty texts, repeated rows, ties, empty tables and further columns are handled
+as the operators behind them say; all but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
@@ -32,5 +36,5 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token digests of every document kept."""
-    return encode_digests(docs)
+    """Token ids of every document kept, with their number and digests."""
+    return encode_digests(docs, keep_ids=True)
