@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -141,13 +142,13 @@ def test_block_scores_are_those_of_single_texts():
 # -- language model -----------------------------------------------------------
 
 
-def brute_kn(train, order=5):
-    """Interpolated modified Kneser-Ney over bytes, straight from the definition; returns p(byte | four before)."""
+def brute_kn(train, order=3):
+    """Interpolated modified Kneser-Ney over words, straight from the definition; returns p((two words before, word))."""
     counts = {order: Counter()}
     for t in train:
-        b = b"\0" * (order - 1) + t
-        for i in range(len(b) - order + 1):
-            counts[order][b[i : i + order]] += 1
+        w = ["<s>"] * (order - 1) + t.split() + ["</s>"]
+        for i in range(len(w) - order + 1):
+            counts[order][tuple(w[i : i + order])] += 1
     for n in range(order - 1, 0, -1):
         counts[n] = Counter(g[1:] for g in counts[n + 1])
     loss, total, lost = {}, {}, {}
@@ -157,65 +158,106 @@ def brute_kn(train, order=5):
         d = [0.0]
         for k in (1, 2, 3):
             v = k / 2 if y is None or not cc[k] else k - (k + 1) * y * cc[k + 1] / cc[k]
-            d.append(min(k, max(0.0, v)))
+            d.append(min(k, max(kneser_ney.LEAST_LOSS, v)))
         loss[n], total[n], lost[n] = d, defaultdict(int), defaultdict(float)
         for g, c in cs.items():
             total[n][g[:-1]] += c
             lost[n][g[:-1]] += d[min(c, 3)]
 
-    def p(g):
-        if not g:
-            return 1 / 256
+    def ln_p(g):
+        if len(g) == 1 and not counts[1][g]:  # by bytes; far below what a float holds
+            size = 0 if g[0] == "</s>" else min(255, len(g[0].encode()))
+            return -(size + 1) * math.log(256) + (math.log(lost[1][()] / total[1][()]) if total[1][()] else 0)
         n, h = len(g), g[:-1]
-        low = p(g[1:])
+        if n == 1:
+            low = -math.log(256) * ((0 if g[0] == "</s>" else min(255, len(g[0].encode()))) + 1)
+        else:
+            low = ln_p(g[1:])
         if not total[n][h]:
             return low
         c = counts[n][g]
-        return ((c - loss[n][min(c, 3)]) if c else 0) / total[n][h] + lost[n][h] / total[n][h] * low
+        if not c:
+            return math.log(lost[n][h] / total[n][h]) + low
+        return math.log((c - loss[n][min(c, 3)]) / total[n][h] + lost[n][h] / total[n][h] * math.exp(low))
 
-    return p
+    return ln_p
 
 
 def test_kneser_ney(spark, docs_of):
     rng = random.Random(6)
     rows = [(i, " ".join(passage(rng, rng.randrange(5, 40))), ("en", "de", "xx")[i % 3]) for i in range(90)]
-    rows += [(500 + k, t, None) for k, (_, t) in enumerate(ODD)] + [(None, "one two", "en"), (800, "Zzz## zzz##", "en")]
+    rows += [(500 + k, t, None) for k, (_, t) in enumerate(ODD) if t] + [(None, "one two", "en"), (800, "Zzz## zzz##", "en"), (801, "q" * 400, "en")]
+    rows += [(810, None, "de"), (811, "", "en"), (812, " \n\t", "xx"), (813, "\x0bone\x0ctwo\rthree ", "en")]
     labels = [(i, i % 5 != 0 and 1 or 0, 0) for i in range(60)] + [(1, 1, 0), (3, None, 0)]
     df, lab = docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    got = kneser_ney.perplexities(df, lab, strata=("en", "de", "other")).collect()
+    got = kneser_ney.perplexities(df, lab, strata=("en", "de", "other"), heavy=0.01).collect()
     assert len(got) == len(rows)
     fold = {r.doc_id: r.fold for r in got}
+    plain = lambda t: re.sub(r"[\x20\x09-\x0D]+", "\n", t or "").split("\n")
     models = {}
     for s, name in ((1, "en"), (2, "de"), (3, None)):
-        own = [t.encode() for i, t, lang in rows if (lang == name or (s == 3 and lang not in ("en", "de"))) and i is not None and fold[i] > 0 and t]
-        models[s] = brute_kn(own)
-    texts = {i: (t or "").encode() for i, t, _ in rows}
+        models[s] = brute_kn([t for i, t, lang in rows if (lang == name or (s == 3 and lang not in ("en", "de"))) and i is not None and fold[i] > 0])
+    texts = {i: t or "" for i, t, _ in rows}
     for r in got:
         t = texts[r.doc_id]
-        if len(t) > 3000:
-            continue
-        b = b"\0" * 4 + t
-        want = sum(math.log(models[r.stratum](b[i : i + 5])) for i in range(len(t)))
-        assert math.isclose(r.log_p, want, rel_tol=1e-5, abs_tol=1e-4)
-    p = models[1]
-    assert math.isclose(sum(p(b"\0\0\0\0" + bytes([x])) for x in range(256)), 1, rel_tol=1e-9)
-    other = kneser_ney.perplexities(df, lab, strata=("en", "de", "other"), broadcast_grams=0).collect()
+        w = ["<s>", "<s>", *(w for w in plain(t) if w), "</s>"]
+        assert r.n_words == len(w) - 2 and r.n_bytes == len(t.encode())
+        want = sum(models[r.stratum](tuple(w[i - 2 : i + 1])) for i in range(2, len(w)))
+        assert math.isclose(r.log_p, want, rel_tol=1e-5, abs_tol=1e-3), (r, want)
+    seen = {w for i, t, lang in rows if lang == "en" and i is not None and fold[i] > 0 for w in t.split()}
+    # what is left belongs to words that training has not seen: 255 bytes and an end
+    unseen = math.exp(models[1](("w?w?",)) + 5 * math.log(256))
+    mass = lambda ws: sum(256.0 ** -(len(w.encode()) + 1) for w in ws) + 1 / 256
+    total = sum(math.exp(models[1]((w,))) for w in [*seen, "</s>"]) + unseen * (1 - mass(seen))
+    assert math.isclose(total, 1, rel_tol=1e-9)
     key = lambda r: (str(r.doc_id), r.n_bytes, r.log_p)
-    for a, b in zip(sorted(got, key=key), sorted(other, key=key), strict=True):
-        assert a.doc_id == b.doc_id and a.log_p == b.log_p  # to the last bit
+    for heavy in (1.0, 1e-9):  # nothing and everything broadcast
+        other = kneser_ney.perplexities(df, lab, strata=("en", "de", "other"), heavy=heavy).collect()
+        for a, b in zip(sorted(got, key=key), sorted(other, key=key), strict=True):
+            assert a.doc_id == b.doc_id and a.log_p == b.log_p  # to the last bit
+
+
+def test_keys_are_those_of_sql(spark):
+    values = np.array([0, 1, -1, 1 << 62, -(1 << 63), 12345], np.int64)
+    df = spark.createDataFrame([(int(v), int(w)) for v, w in zip(values, values[::-1], strict=True)], "a long, b long")
+    want = [r.k for r in df.selectExpr("xxhash64(a, b) AS k").collect()]
+    assert kneser_ney.keys_of(values.view(np.uint64), values[::-1].view(np.uint64)).view(np.int64).tolist() == want
 
 
 def test_classifier_keeps_clean_and_rejects_junk(spark, docs_of):
     rng = random.Random(7)
     rows = [(i, " ".join(passage(rng, 60)), "en") for i in range(400)]
     junk = [(1000 + i, "".join(chr(rng.randrange(33, 127)) for _ in range(300)), "en") for i in range(20)]
+    junk += [(1100 + i, " ".join("".join(chr(rng.randrange(33, 127)) for _ in range(7)) for _ in range(60)), "en") for i in range(20)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in kneser_ney.quality_classifier(docs_of(rows + junk + [(2000, "", "en"), (2001, "was ist", "de")]), labels).collect()}
-    assert sum(got[i].kept for i in range(400)) >= 398 and not any(got[i].kept for i, _, _ in junk)
+    assert sum(got[i].kept for i in range(400)) >= 380 and not any(got[i].kept for i, _, _ in junk)
     assert got[2000].kept and got[2001].kept and got[2001].threshold is None
     assert kneser_ney.quality_classifier(docs_of([(1, "x")]).where("false"), labels).count() == 0
 
 
+def test_order_of_words_counts(spark, docs_of):
+    rng = random.Random(9)
+    follow = {i: [rng.randrange(200) for _ in range(3)] for i in range(200)}
+
+    def prose(n):
+        w, out = rng.randrange(200), []
+        for _ in range(n):
+            out.append(f"w{w}")
+            w = rng.choice(follow[w])
+        return out
+
+    rows = [(i, " ".join(prose(80)), "en") for i in range(600)]
+    mixed = []
+    for i in range(30):
+        w = prose(80)
+        rng.shuffle(w)
+        mixed.append((1000 + i, " ".join(w), "en"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(500)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in kneser_ney.quality_classifier(docs_of(rows + mixed), labels).collect()}
+    assert sum(got[i].kept for i in range(500, 600)) >= 90 and not any(got[i].kept for i, _, _ in mixed)
+
+
 def test_repeated_ids_give_one_training_row(spark, docs_of, monkeypatch):
     rng = random.Random(8)
     rows = [(i, " ".join(passage(rng, 20))) for i in range(30)]

@@ -1,21 +1,26 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
-The model is over bytes, five at a time, one per language, trained on documents
-whose labels say that they are good.  Steps:
-
-1. One pass over all texts counts five-grams: tasks reduce a block of texts to its
-   distinct five-grams and their counts among training documents, and Spark adds
-   them up by key.  The result is every five-gram of the corpus, so it grows with it.
-2. Probabilities by joins of sharded tables, order by order from one byte up.  Lower
-   orders count distinct left neighbours; the discounts D1, D2, D3+ of each order
-   and language come from its counts of counts; each order's discounted share is
-   interpolated with the order below.  No table is held in one place.
-3. A second pass adds up the log-probabilities of each document's five-grams, as whole
-   numbers of 2^-20, so that sums do not depend on their order.  While the table of
-   scored five-grams is small (its size is checked) it is handed to the tasks as a hash
-   table, built once per Python worker; beyond that, five-grams and their scores are
-   joined.  Both ways give the same numbers to the last bit.
-4. Every tenth training document is held out of the counts.  For each language a
+The model is over words, three at a time, one per language, trained on documents
+whose labels say that they are good.  Words are runs of anything but ASCII white
+space; a document is framed by two signs of its beginning and one of its end.  Below
+single words stands a spelling by bytes (255 bytes and an end, all alike), so unknown
+words have a probability too.  Steps:
+
+1. One pass over the training texts counts trigrams: tasks reduce a block of texts to
+   its distinct trigrams, and Spark adds them up.  The table grows with the corpus.
+2. Probabilities by joins of sharded tables, order by order.  Lower orders count
+   distinct left neighbours; the discounts D1, D2, D3+ of each order and language come
+   from its counts of counts; each order's discounted share is interpolated with the
+   order below.  No table is held in one place.
+3. Interpolation backs off along the words, so a document's log-probability is a sum:
+   each trigram, bigram and word that training has seen adds a correction to what is
+   below it, and what it has not seen adds nothing.  ``corrections`` is one table of
+   (key, value) of all three orders; texts give (row, key, n), and one join and one sum
+   by row score them.  Values are whole numbers of 2^-20, so no sum depends on its order.
+4. Keys with a large share of the counts of their order, of which there are at most
+   ``1 / HEAVY`` an order, are broadcast and added up where the text is read.  So the hot
+   words of a language never enter the shuffle; every other key does, at any size.
+5. Every tenth training document is held out of the counts.  For each language a
    high quantile of the perplexity of those documents is the threshold; a document
    over it is rejected.  Short documents are drawn towards the language's mean.
 """
@@ -23,7 +28,7 @@ whose labels say that they are good.  Steps:
 from __future__ import annotations
 
 import functools
-import uuid
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,266 +36,257 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, pick, text_blocks
+from tidemark.llm.common import materialise, pick, small, text_blocks
 
-ORDER = 5
 STRATA = ("en", "de", "fr", "es", "other")
 QUANTILE = 0.995
-#: The threshold is the quantile times this.
-MARGIN = 1.1
-#: Bytes at the language's mean that are added to each document.
-DRAW = 40
+#: Words at the language's mean that are added to each document.
+DRAW = 20
 HELD_OUT = 10
-#: Bounds up to which tables are handed to every task: ids of labelled documents, scored five-grams.
-BROADCAST_IDS = 2_000_000
+#: Share of an order's counts from which a key is broadcast.
+HEAVY = 1 / 50_000
 #: Log-probabilities are whole numbers of one part in this.
 UNIT = 1 << 20
-BROADCAST_GRAMS = 4_000_000
 BLOCK_BYTES = 1_000_000
-
-
-def grams(texts: list[bytes], strata: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all five-grams of the texts (language in bits 40 up), and each one's text.
-
-    A text is preceded by four zero bytes, so it has a key for every byte.
-    """
-    pad = b"\0" * (ORDER - 1)
-    raw = np.frombuffer(pad + pad.join(texts), np.uint8).astype(np.uint64)
-    sizes = np.array([len(t) for t in texts])
-    n = len(raw) - ORDER + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = np.zeros(n, np.uint64)
-    for i in range(ORDER):
-        key = (key << np.uint64(8)) | raw[i : i + n]
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    # windows that end in a text's padding are left out
-    starts = np.cumsum([0, *(sizes[:-1] + ORDER - 1)])
-    at = np.arange(int(sizes.sum())) + (starts - (np.cumsum(sizes) - sizes))[owner]
-    return (key[at] | (strata[owner].astype(np.uint64) << np.uint64(40))).astype(np.int64), owner
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: No discount is less, so every context leaves something to the order below.
+LEAST_LOSS = 0.1
+
+# A word's code: language (from bit 60), length in bytes up to 255 (from bit 52), hash (52 bits).
+LENGTH_AT, LANGUAGE_AT = 52, 60
+LONGEST = 255
+SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BYTE_HASH = np.random.default_rng(42).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
+# fixed values: primes of XXH64
+P1, P2, P3, P4, P5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _hashed(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
+    """XXH64 of whole numbers of eight bytes, as ``xxhash64`` of a long column gives it."""
+    h = (seed + P5 + np.uint64(8)) ^ (_turned(x * P2, 31) * P1)
+    h = _turned(h, 27) * P1 + P4
+    h = (h ^ (h >> np.uint64(33))) * P2
+    h = (h ^ (h >> np.uint64(29))) * P3
+    return h ^ (h >> np.uint64(32))
+
+
+def keys_of(*words: np.ndarray) -> np.ndarray:
+    """Keys of grams; the same as ``xxhash64`` of the columns of their words."""
+    h = np.uint64(42)
+    for w in words:
+        h = _hashed(w, h)
+    return h
+
+
+def sequences(texts: list[bytes], strata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes of all words and signs, text of each, place of each text's first sign)."""
+    raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    edge = np.diff(np.concatenate([[True], SPACES[raw], [True]]).astype(np.int8))
+    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    after = np.cumsum([len(t) + 1 for t in texts])  # where each text and its separator end
+    owner, length = np.searchsorted(after, start, "right"), end - start
+    counts = np.bincount(owner, minlength=len(texts))
+    first = np.cumsum(counts + 3) - counts - 3
+    text_of = np.repeat(np.arange(len(texts)), counts + 3)
+    language = strata.astype(np.uint64) << np.uint64(LANGUAGE_AT)
+    codes = language[text_of]  # the sign of a beginning is hash 0, that of the end 1
+    codes[first + counts + 2] += np.uint64(1)
+    if len(start):
+        inside = np.repeat(start, length)
+        at = np.arange(len(inside)) - np.repeat(np.cumsum(length) - length, length)
+        power = np.full(int(length.max()), P1)
+        power[0] = 1
+        power = np.cumprod(power)
+        sums = np.add.reduceat(BYTE_HASH[raw[inside + at]] * power[at], np.cumsum(length) - length)
+        code = _hashed(sums, np.uint64(42)) & np.uint64((1 << LENGTH_AT) - 1)
+        code |= np.minimum(length, LONGEST).astype(np.uint64) << np.uint64(LENGTH_AT)
+        codes[np.arange(len(start)) + 3 * owner + 2] = code | language[owner]
+    return codes, text_of, first
+
+
+def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        strata, train = batch.column(2).to_numpy(), batch.column(3).to_numpy(zero_copy_only=False)
-        for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
-            keys, owner = grams(texts, strata[i:j])
-            # training grams and others side by side: the last bit says which
-            both, n = np.unique(keys << 1 | train[i:j][owner], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(both >> 1), pa.array(n * (both & 1))], ["key", "n"])
-
-
-class Table:
-    """Hash table from int64 keys to int32 values, looked up in bulk."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.shift = np.uint64(64 - max(4, int(2 * len(keys)).bit_length()))
-        size = 1 << (64 - int(self.shift))
-        self.keys, self.values, self.mask = np.full(size, -1, np.int64), np.zeros(size, np.int32), size - 1
-        rest, slot = np.arange(len(keys)), self._slot(keys)
-        while len(rest):
-            free = self.keys[slot[rest]] == -1
-            tried = rest[free]
-            self.keys[slot[tried]] = keys[tried]  # of several for one slot the last stays
-            self.values[slot[tried]] = values[tried]
-            rest = rest[self.keys[slot[rest]] != keys[rest]]
-            slot[rest] = (slot[rest] + 1) & self.mask
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
-        slot = self._slot(keys)
-        rest = np.flatnonzero(self.keys[slot] != keys)
-        while len(rest):
-            slot[rest] = (slot[rest] + 1) & self.mask
-            seen = self.keys[slot[rest]]
-            if (seen == -1).any():
-                raise KeyError("a five-gram without a score")
-            rest = rest[seen != keys[rest]]
-        return self.values[slot]
-
-
-@functools.lru_cache(maxsize=1)
-def _table(keys, values) -> Table:
-    """The table of a pair of broadcasts; a worker builds it for the first of its tasks."""
-    return Table(keys.value, values.value)
-
-
-class _Shared:
-    """A broadcast that is equal to itself after pickling, as a key of a worker's cache."""
-
-    def __init__(self, broadcast, name: str):
-        self.broadcast, self.name = broadcast, name
-
-    @property
-    def value(self) -> np.ndarray:
-        return self.broadcast.value
-
-    def __hash__(self) -> int:
-        return hash(self.name)
-
-    def __eq__(self, other) -> bool:
-        return self.name == other.name
-
-
-def _sums(batches: Iterator[pa.RecordBatch], keys: _Shared, values: _Shared) -> Iterator[pa.RecordBatch]:
-    table = _table(keys, values)
+        strata = batch.column(1).to_numpy()
+        for i, j, texts in text_blocks(batch.column(0), BLOCK_BYTES):
+            codes, _, first = sequences(texts, strata[i:j])
+            third = np.ones(len(codes), bool)
+            third[first] = third[first + 1] = False
+            t = np.flatnonzero(third)
+            _, at, n = np.unique(keys_of(codes[t - 2], codes[t - 1], codes[t]), return_index=True, return_counts=True)
+            t = t[at]
+            yield pa.RecordBatch.from_arrays([*(pa.array(codes[t - k].view(np.int64)) for k in (2, 1, 0)), pa.array(n)], ["a", "b", "c", "n"])
+
+
+def _scored(batches: Iterator[pa.RecordBatch], heavy) -> Iterator[pa.RecordBatch]:
+    """For each text one row about it, under a key of its own, and one for each key that is not heavy."""
+    known, value = heavy.value
     for batch in batches:
-        strata = batch.column(2).to_numpy()
-        total, sizes = [], []
+        strata, rows = batch.column(2).to_numpy(), batch.column(4).to_numpy()
         for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
-            got, owner = grams(texts, strata[i:j])
-            total.append(np.bincount(owner, table[got], j - i) if len(got) else np.zeros(j - i))
-            sizes += map(len, texts)
-        sums = np.concatenate(total) if total else np.zeros(0)
-        sizes = pa.array(sizes, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), batch.column(4), sizes, pa.array(sums / UNIT)],
-            ["doc_id", "stratum", "fold", "n_bytes", "log_p"],
-        )
-
-
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, doc_id, stratum, fold, n_bytes, key, n): each text's distinct five-grams."""
-    for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        for i, t in enumerate(texts):
-            keys, n = np.unique(grams([t], batch.column(2).to_numpy()[i : i + 1])[0], return_counts=True)
-            if not len(keys):
-                keys, n = np.array([-1]), np.array([0])
-            rows = len(keys)
-            yield pa.RecordBatch.from_arrays(
+            codes, owner, first = sequences(texts, strata[i:j])
+            second = np.ones(len(codes), bool)
+            second[first] = False
+            third = second.copy()
+            third[first + 1] = False
+            s, t = np.flatnonzero(second), np.flatnonzero(third)
+            keys = np.concatenate([keys_of(codes[s]), keys_of(codes[s - 1], codes[s]), keys_of(codes[t - 2], codes[t - 1], codes[t])]).view(np.int64)
+            text = np.concatenate([owner[s], owner[s], owner[t]])
+            spelled = ((codes[t] >> np.uint64(LENGTH_AT)) & np.uint64(LONGEST)).astype(np.int64) + 1
+            base = -np.bincount(owner[t], spelled, j - i).astype(np.int64) * round(math.log(256) * UNIT)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                found = known[at] == keys
+                # below 2^53, so exact
+                base += np.bincount(text[found], value[at[found]], j - i).astype(np.int64)
+                keys, text = keys[~found], text[~found]
+            order = np.lexsort((keys, text))
+            keys, text = keys[order], text[order]
+            new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])) if len(keys) else np.zeros(0, int)
+            n = np.diff(np.append(new, len(keys)))
+            about = pa.StructArray.from_arrays(
                 [
-                    *(pa.array([batch.column(c)[i].as_py()] * rows, k) for c, k in ((5, pa.int64()), (0, pa.int64()), (2, pa.int32()), (4, pa.int32()))),
-                    pa.array([len(t)] * rows, pa.int64()), pa.array(keys), pa.array(n),
+                    batch.column(0).slice(i, j - i).cast(pa.int64()), pa.array(strata[i:j], pa.int32()), batch.column(3).slice(i, j - i).cast(pa.int32()),
+                    pa.array([len(x) for x in texts], pa.int64()), pa.array(np.bincount(owner[t], minlength=j - i)), pa.array(base),
                 ],
-                ["row", "doc_id", "stratum", "fold", "n_bytes", "key", "n"],
+                ["doc_id", "stratum", "fold", "n_bytes", "n_words", "base"],
             )
+            own = rows[i:j]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(keys_of(own.astype(np.uint64)).view(np.int64)), pa.array(np.zeros(j - i, np.int64)), about], ["row", "key", "n", "about"])
+            if len(new):
+                none = pa.nulls(len(new), about.type)
+                yield pa.RecordBatch.from_arrays([pa.array(own[text[new]]), pa.array(keys[new]), pa.array(n), none], ["row", "key", "n", "about"])
 
 
-def _bits(n: int) -> int:
-    return (1 << 8 * n) - 1
+def _lang(code: Column) -> Column:
+    return F.shiftrightunsigned(code, LANGUAGE_AT)
 
 
-def _suffix(key: Column, n: int) -> Column:
-    """The last n bytes of a key, with its language."""
-    return key.bitwiseAND(F.lit(~_bits(ORDER) | _bits(n)))
+def losses(seen: DataFrame) -> DataFrame:
+    """Of counts (…, c the last word, n > 0) of one order: (lang, d1, d2, d3).
 
+    Discounts by Chen and Goodman: with Y = n1 / (n1 + 2 n2), a count of k loses
+    k - (k + 1) Y n(k+1) / n(k); where a count of counts is missing, k / 2.
+    """
+    cc = seen.groupBy(_lang(F.col("c")).alias("lang")).agg(*(F.count_if(F.col("n") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
+    d = [k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}")) for k in (1, 2, 3)]
+    return cc.select("lang", *(F.least(F.lit(float(k)), F.greatest(F.lit(LEAST_LOSS), F.coalesce(x, F.lit(k / 2)))).alias(f"d{k}") for k, x in enumerate(d, 1)))
 
-def _context(key: Column) -> Column:
-    """All but the last byte, with the language."""
-    return F.shiftright(key.bitwiseAND(F.lit(_bits(ORDER))), 8).bitwiseOR(key.bitwiseAND(F.lit(~_bits(ORDER))))
 
+def _cut(seen: DataFrame) -> DataFrame:
+    """``seen`` with ``loss``, what its discount takes from each count; one row per language is broadcast."""
+    loss = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    return seen.join(F.broadcast(losses(seen)), _lang(F.col("c")) == F.col("lang")).withColumn("loss", loss).drop("d1", "d2", "d3")
 
-def discounted(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of counts (key, c > 0) of one order: (context, total, back-off weight) and (key, share).
 
-    Discounts by Chen and Goodman: with Y = n1 / (n1 + 2 n2), a count of k loses
-    k - (k + 1) Y n(k+1) / n(k); where a count of counts is missing, k / 2.
+def _contexts(cut: DataFrame, *words: str) -> DataFrame:
+    """(words, total, gamma): counts of a context and the share that it leaves to the order below."""
+    total = F.sum("n").cast("double")
+    return cut.groupBy(*words).agg(total.alias("total"), (F.sum("loss") / total).alias("gamma"))
+
+
+def corrections(trigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((order, key, n, value) of every gram and context of training, (lang, unknown) per language).
+
+    ``value`` and ``unknown`` are in parts of ``UNIT``.  With p1, p2, p3 the interpolated
+    probabilities and g the share that a context leaves, a word adds ln p1 - ln g - spelling,
+    a bigram ln p2 - ln g - ln p1, a trigram ln p3 - ln g - ln p2; words and bigrams also add
+    the ln g of what follows them.  ``unknown`` is the ln g below single words.
     """
-    lang = F.shiftright("key", 40)
-    n = {k: F.count_if(F.col("c") == k).cast("double") for k in (1, 2, 3, 4)}
-    cc = seen.groupBy(lang.alias("lang")).agg(*(n[k].alias(f"n{k}") for k in n))
-    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
-    d = [
-        F.least(F.lit(float(k)), F.greatest(F.lit(0.0), F.coalesce(k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}")), F.lit(k / 2))))
-        for k in (1, 2, 3)
-    ]
-    discounts = cc.select("lang", *(x.alias(f"d{k}") for k, x in zip((1, 2, 3), d, strict=True)))
-    # one row per language, which are a parameter
-    cut = seen.withColumn("lang", lang).join(F.broadcast(discounts), "lang")
-    loss = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    cut = cut.select("key", _context(F.col("key")).alias("context"), "c", loss.alias("loss"))
-    contexts = cut.groupBy("context").agg(F.sum("c").cast("double").alias("total"), F.sum("loss").alias("lost"))
-    contexts = contexts.select("context", "total", (F.col("lost") / F.col("total")).alias("gamma"))
-    shares = cut.select("key", (F.col("c") - F.col("loss")).alias("kept"))
-    return contexts, shares
-
-
-def scored_grams(counts: DataFrame) -> DataFrame:
-    """(key, log_p int, in parts of ``UNIT``) of every five-gram of ``counts`` (key, c), c from training texts."""
-    seen = counts.where("c > 0")
-    by_order = {ORDER: seen}
-    for n in range(ORDER - 1, 0, -1):  # how many different bytes stand before it
-        seen = seen.groupBy(_suffix(F.col("key"), n).alias("key")).agg(F.count("*").alias("c"))
-        by_order[n] = seen = materialise(seen, f"grams{n}")
-    below = None
-    for n in range(1, ORDER + 1):
-        contexts, shares = discounted(by_order[n])
-        keys = counts.select(_suffix(F.col("key"), n).alias("key")) if n == ORDER else counts.select(_suffix(F.col("key"), n).alias("key")).distinct()
-        at = keys.withColumn("context", _context(F.col("key"))).join(shares, "key", "left").join(contexts, "context", "left")
-        gamma, share = F.coalesce("gamma", F.lit(1.0)), F.coalesce(F.try_divide("kept", "total"), F.lit(0.0))
-        if below is None:
-            p = at.select("key", (share + gamma / 256).alias("p"))
-        else:
-            at = at.withColumn("lower", _suffix(F.col("key"), n - 1))
-            p = at.join(below.select(F.col("key").alias("lower"), F.col("p").alias("q")), "lower").select("key", (share + gamma * F.col("q")).alias("p"))
-        below = materialise(p, f"order{n}")
-    return below.select("key", F.round(F.ln("p") * UNIT).cast("int").alias("log_p"))
+    bigrams = materialise(trigrams.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
+    cut3, cut2 = _cut(trigrams), _cut(bigrams)
+    cut1 = materialise(_cut(bigrams.groupBy("c").agg(F.count("*").alias("n"))), "words")
+    after3 = materialise(_contexts(cut3, "a", "b"), "contexts3")
+    after2 = _contexts(cut2, "b")
+    all1 = _contexts(cut1, "lang")
+    spelled = F.exp(-math.log(256.0) * (F.shiftrightunsigned(F.col("c"), LENGTH_AT).bitwiseAND(F.lit(LONGEST)) + 1))
+    # a gram of 255 bytes has 1e-614: the logarithm is taken of the part that is not spelled
+    ln_low = F.ln("gamma") - math.log(256.0) * (F.shiftrightunsigned(F.col("c"), LENGTH_AT).bitwiseAND(F.lit(LONGEST)) + 1)
+    p1 = cut1.join(F.broadcast(all1), "lang").select("c", "n", ((F.col("n") - F.col("loss")) / F.col("total") + F.col("gamma") * spelled).alias("p1"), ln_low.alias("low"))
+    p1 = materialise(p1, "order1")
+    kept = (F.col("n") - F.col("loss")) / F.col("total")
+    p2 = cut2.join(after2, "b").join(p1.select("c", "p1"), "c").select("b", "c", "n", "gamma", "p1", (kept + F.col("gamma") * F.col("p1")).alias("p2"))
+    p2 = materialise(p2, "order2")
+    lower = p2.select("b", "c", "p2")
+    p3 = cut3.join(after3, ["a", "b"]).join(lower, ["b", "c"]).select("a", "b", "c", "n", "gamma", "p2", (kept + F.col("gamma") * F.col("p2")).alias("p3"))
+
+    def entry(order: int, words: list[str], value: Column) -> list[Column]:
+        return [F.lit(order).alias("order"), F.xxhash64(*words).alias("key"), F.coalesce("n", F.lit(0)).alias("n"), F.round(value * UNIT).cast("long").alias("value")]
+
+    none = F.lit(0.0)
+    v1 = p1.join(after2.select(F.col("b").alias("c"), F.col("gamma").alias("g")), "c", "full")
+    v1 = v1.select(*entry(1, ["c"], F.coalesce(F.ln("p1") - F.col("low"), none) + F.coalesce(F.ln("g"), none)))
+    v2 = p2.join(after3.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("gamma").alias("g")), ["b", "c"], "full")
+    v2 = v2.select(*entry(2, ["b", "c"], F.coalesce(F.ln("p2") - F.ln("gamma") - F.ln("p1"), none) + F.coalesce(F.ln("g"), none)))
+    v3 = p3.select(*entry(3, ["a", "b", "c"], F.ln("p3") - F.ln("gamma") - F.ln("p2")))
+    return materialise(v1.unionAll(v2).unionAll(v3), "corrections"), all1.select("lang", F.round(F.ln("gamma") * UNIT).cast("long").alias("unknown"))
 
 
 def perplexities(
     docs: DataFrame,
     labels: DataFrame,
     strata: Sequence[str] = STRATA,
-    broadcast_grams: int = BROADCAST_GRAMS,
+    heavy: float = HEAVY,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> DataFrame:
-    """(doc_id, stratum, fold, n_bytes, log_p) of every row; fold is 0 for held-out good documents, -1 for unlabelled ones."""
+    """(doc_id, stratum, fold, n_bytes, n_words, log_p) of every row; fold is 0 for held-out good documents, -1 for unlabelled ones.
+
+    ``n_words`` counts the end as a word.  At most 15 languages; ``heavy`` decides what is
+    broadcast (at most 3 / heavy keys) and no result.
+    """
+    if len(strata) > 15:
+        raise ValueError("at most 15 languages")
     sc = docs.sparkSession.sparkContext
     good = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"))
     good = materialise(good.where("q = 1").select(F.col("doc_id").alias("good_id")), "good")
-    small = good.count() <= BROADCAST_IDS
     lang = F.array_position(F.array(*map(F.lit, strata)), F.coalesce(F.col("lang"), F.lit(""))).cast("int")
     stratum = F.when(lang > 0, lang).otherwise(F.lit(len(strata)))
     source = pick(docs.withColumnRenamed(lang_col, "lang") if lang_col != "lang" else docs, id_col, text_col, "lang")
-    source = source.join(F.broadcast(good) if small else good, F.col("doc_id") == F.col("good_id"), "left")
+    source = source.join(small(good), F.col("doc_id") == F.col("good_id"), "left")
     fold = F.when(F.col("good_id").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)).cast("int"))
-    source = source.select("doc_id", "text", stratum.alias("stratum"), (fold > 0).alias("train"), fold.alias("fold"))
-    counted = source.mapInArrow(_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("c"))
-    scored = scored_grams(materialise(counted, "counts"))
-    out = "doc_id long, stratum int, fold int, n_bytes long, log_p double"
-    n_grams = scored.count()
-    if n_grams <= broadcast_grams:
-        got = scored.toArrow()
-        name = uuid.uuid4().hex
-        keys = _Shared(sc.broadcast(got.column("key").to_numpy()), f"{name}-keys")
-        values = _Shared(sc.broadcast(got.column("log_p").to_numpy()), f"{name}-values")
-        return source.mapInArrow(lambda b: _sums(b, keys, values), out)
+    source = source.select("doc_id", "text", stratum.alias("stratum"), fold.alias("fold"))
+    counted = source.where("fold > 0").select("text", "stratum").mapInArrow(_trigrams, "a long, b long, c long, n long")
+    values, unknown = corrections(materialise(counted.groupBy("a", "b", "c").agg(F.sum("n").alias("n")), "trigrams"))
+    # the counts of an order add up to its total, so no more than 1 / heavy keys have such a share
+    totals = values.groupBy("order").agg(F.sum("n").alias("all"))
+    top = values.join(F.broadcast(totals), "order").where(F.col("n") > F.col("all") * heavy).select("key", "value").orderBy("key").toArrow()
+    table = sc.broadcast((top.column("key").to_numpy(), top.column("value").to_numpy()))
     rows = source.withColumn("row", F.monotonically_increasing_id())
-    each = rows.mapInArrow(_exploded, "row long, doc_id long, stratum int, fold int, n_bytes long, key long, n long")
-    return (
-        each.join(scored, "key", "left")
-        .groupBy("row", "doc_id", "stratum", "fold", "n_bytes")
-        .agg((F.sum(F.col("n") * F.coalesce("log_p", F.lit(0))) / UNIT).alias("log_p"))
-        .drop("row")
-    )
+    about = "doc_id long, stratum int, fold int, n_bytes long, n_words long, base long"
+    each = rows.mapInArrow(functools.partial(_scored, heavy=table), f"row long, key long, n long, about struct<{about.replace(' ', ':').replace(',:', ',')}>")
+    names = [c.split()[0] for c in about.split(", ")]
+    each = each.join(values.select("key", "value"), "key", "left").select("row", (F.col("n") * F.coalesce("value", F.lit(0))).alias("part"), "about.*")
+    # one row of a document carries what is known of it
+    summed = each.groupBy("row").agg(F.sum("part").alias("part"), *(F.max(c).alias(c) for c in names))
+    summed = summed.join(F.broadcast(unknown), summed.stratum == unknown.lang, "left")
+    log_p = F.col("part") + F.col("base") + F.col("n_words") * F.coalesce("unknown", F.lit(0))
+    return summed.select("doc_id", "stratum", "fold", "n_bytes", "n_words", (log_p / UNIT).alias("log_p"))
 
 
-def quality_classifier(
-    docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, strata: Sequence[str] = STRATA, **options
-) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity, threshold, kept) of every row of ``docs``.
+def quality_classifier(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, strata: Sequence[str] = STRATA, **options) -> DataFrame:
+    """(doc_id, lang, n_bytes, perplexity, threshold, kept) of every row of ``docs``; the perplexity is one of a word.
 
     ``lang`` is the language whose model was used; unknown and null ones are
     "other".  Where a language has no held-out good documents there is no threshold
-    and its documents are kept.  A null or empty text has the language's mean
-    perplexity, and is kept.  Repeated rows give a row each; null ids are carried,
-    but never labelled; further columns are ignored.
+    and its documents are kept.  A text without words is judged by its end alone, drawn
+    to the language's mean; null counts as empty.  Repeated rows give a row each; null
+    ids are carried, but never labelled; further columns are ignored.
     """
     each = materialise(perplexities(docs, labels, strata, **options), "perplexities")
     held = each.where((F.col("fold") == 0) & (F.col("n_bytes") > 0))
-    means = held.groupBy("stratum").agg((F.sum("log_p") / F.sum("n_bytes")).alias("mean"))
+    means = held.groupBy("stratum").agg((F.sum("log_p") / F.sum("n_words")).alias("mean"))
     # one row per language, which are a parameter
     drawn = each.join(F.broadcast(means), "stratum", "left").withColumn(
-        "perplexity", F.exp(-F.try_divide(F.col("log_p") + DRAW * F.coalesce("mean", F.lit(0.0)), F.col("n_bytes") + DRAW))
+        "perplexity", F.exp(-F.try_divide(F.col("log_p") + DRAW * F.coalesce("mean", F.lit(0.0)), F.col("n_words") + DRAW))
     )
     cut = drawn.where((F.col("fold") == 0) & (F.col("n_bytes") > 0)).groupBy("stratum")
-    cut = cut.agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
+    cut = cut.agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     return drawn.join(F.broadcast(cut), "stratum", "left").select(
         "doc_id", F.get(F.array(*map(F.lit, strata)), F.col("stratum") - 1).alias("lang"), "n_bytes", "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"),
