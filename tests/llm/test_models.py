@@ -164,15 +164,19 @@ def brute_kn(train, order=3):
             total[n][g[:-1]] += c
             lost[n][g[:-1]] += d[min(c, 3)]
 
+    pairs, firsts = Counter(), Counter()
+    for t in train:
+        b = "".join(f" {w}" for w in t.split()).encode() + b"  "
+        pairs.update(zip(b, b[1:], strict=False))
+        firsts.update(b[:-1])
+
+    def spelled(w):
+        b = (" " if w == "</s>" else f" {w} ").encode() + (b" " if w == "</s>" else b"")
+        return sum(math.log((pairs[x] + 1) / (firsts[x[0]] + 256)) for x in zip(b, b[1:], strict=False))
+
     def ln_p(g):
-        if len(g) == 1 and not counts[1][g]:  # by bytes; far below what a float holds
-            size = 0 if g[0] == "</s>" else min(255, len(g[0].encode()))
-            return -(size + 1) * math.log(256) + (math.log(lost[1][()] / total[1][()]) if total[1][()] else 0)
         n, h = len(g), g[:-1]
-        if n == 1:
-            low = -math.log(256) * ((0 if g[0] == "</s>" else min(255, len(g[0].encode()))) + 1)
-        else:
-            low = ln_p(g[1:])
+        low = spelled(g[0]) if n == 1 else ln_p(g[1:])
         if not total[n][h]:
             return low
         c = counts[n][g]
@@ -180,6 +184,7 @@ def brute_kn(train, order=3):
             return math.log(lost[n][h] / total[n][h]) + low
         return math.log((c - loss[n][min(c, 3)]) / total[n][h] + lost[n][h] / total[n][h] * math.exp(low))
 
+    ln_p.spelled = spelled
     return ln_p
 
 
@@ -204,12 +209,11 @@ def test_kneser_ney(spark, docs_of):
         assert r.n_words == len(w) - 2 and r.n_bytes == len(t.encode())
         want = sum(models[r.stratum](tuple(w[i - 2 : i + 1])) for i in range(2, len(w)))
         assert math.isclose(r.log_p, want, rel_tol=1e-5, abs_tol=1e-3), (r, want)
-    seen = {w for i, t, lang in rows if lang == "en" and i is not None and fold[i] > 0 for w in t.split()}
-    # what is left belongs to words that training has not seen: 255 bytes and an end
-    unseen = math.exp(models[1](("w?w?",)) + 5 * math.log(256))
-    mass = lambda ws: sum(256.0 ** -(len(w.encode()) + 1) for w in ws) + 1 / 256
-    total = sum(math.exp(models[1]((w,))) for w in [*seen, "</s>"]) + unseen * (1 - mass(seen))
-    assert math.isclose(total, 1, rel_tol=1e-9)
+    en = [t for i, t, lang in rows if lang == "en" and i is not None and fold[i] > 0]
+    known = {w for t in en for w in t.split()} | {"</s>"}
+    for before in ((), ("<s>", "<s>"), ("<s>", en[0].split()[0])):  # what known words leave is the unknown ones' share
+        p, unknown = models[1], math.exp(models[1]((*before, "w?w?")) - models[1].spelled("w?w?"))
+        assert math.isclose(sum(math.exp(p((*before, w))) for w in known) + unknown * (1 - sum(math.exp(p.spelled(w)) for w in known)), 1, rel_tol=1e-9)
     key = lambda r: (str(r.doc_id), r.n_bytes, r.log_p)
     for heavy in (1.0, 1e-9):  # nothing and everything broadcast
         other = kneser_ney.perplexities(df, lab, strata=("en", "de", "other"), heavy=heavy).collect()

@@ -3,10 +3,11 @@
 The model is over words, three at a time, one per language, trained on documents
 whose labels say that they are good.  Words are runs of anything but ASCII white
 space; a document is framed by two signs of its beginning and one of its end.  Below
-single words stands a spelling by bytes (255 bytes and an end, all alike), so unknown
-words have a probability too.  Steps:
+single words stands their spelling, each byte given the one before it in words of the
+language's training texts, so unknown words have a probability too.  Steps:
 
-1. One pass over the training texts counts trigrams: tasks reduce a block of texts to
+1. One pass over the training texts counts pairs of bytes (a table of fixed size), another
+   spells the words, and one counts trigrams: tasks reduce a block of texts to
    its distinct trigrams, and Spark adds them up.  The table grows with the corpus.
 2. Probabilities by joins of sharded tables, order by order.  Lower orders count
    distinct left neighbours; the discounts D1, D2, D3+ of each order and language come
@@ -28,7 +29,6 @@ words have a probability too.  Steps:
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -51,9 +51,9 @@ BLOCK_BYTES = 1_000_000
 #: No discount is less, so every context leaves something to the order below.
 LEAST_LOSS = 0.1
 
-# A word's code: language (from bit 60), length in bytes up to 255 (from bit 52), hash (52 bits).
-LENGTH_AT, LANGUAGE_AT = 52, 60
-LONGEST = 255
+#: Where a word's code holds its language; below it stands a hash.
+LANGUAGE_AT = 60
+SPACE = 32
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 BYTE_HASH = np.random.default_rng(42).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 # fixed values: primes of XXH64
@@ -81,8 +81,12 @@ def keys_of(*words: np.ndarray) -> np.ndarray:
     return h
 
 
-def sequences(texts: list[bytes], strata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes of all words and signs, text of each, place of each text's first sign)."""
+def sequences(texts: list[bytes], strata: np.ndarray, spelling: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(codes of all words and signs, text of each, place of each text's first sign, ln p of each one's spelling).
+
+    ``spelling`` holds ln p in parts of ``UNIT`` by language, byte before and byte, a
+    space standing for the ends of a word; the sign of an end is the empty word.
+    """
     raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     edge = np.diff(np.concatenate([[True], SPACES[raw], [True]]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
@@ -94,24 +98,62 @@ def sequences(texts: list[bytes], strata: np.ndarray) -> tuple[np.ndarray, np.nd
     language = strata.astype(np.uint64) << np.uint64(LANGUAGE_AT)
     codes = language[text_of]  # the sign of a beginning is hash 0, that of the end 1
     codes[first + counts + 2] += np.uint64(1)
+    spelled = np.zeros(len(codes), np.int64)
+    if spelling is not None:
+        spelled[first + counts + 2] = spelling[strata, SPACE, SPACE]
     if len(start):
-        inside = np.repeat(start, length)
-        at = np.arange(len(inside)) - np.repeat(np.cumsum(length) - length, length)
+        begin, place = np.cumsum(length) - length, np.arange(len(start)) + 3 * owner + 2
+        inside = np.repeat(start - begin, length) + np.arange(int(length.sum()))
+        at = inside - np.repeat(start, length)
         power = np.full(int(length.max()), P1)
         power[0] = 1
         power = np.cumprod(power)
-        sums = np.add.reduceat(BYTE_HASH[raw[inside + at]] * power[at], np.cumsum(length) - length)
-        code = _hashed(sums, np.uint64(42)) & np.uint64((1 << LENGTH_AT) - 1)
-        code |= np.minimum(length, LONGEST).astype(np.uint64) << np.uint64(LENGTH_AT)
-        codes[np.arange(len(start)) + 3 * owner + 2] = code | language[owner]
-    return codes, text_of, first
+        sums = np.add.reduceat(BYTE_HASH[raw[inside]] * power[at], begin)
+        codes[place] = (_hashed(sums, np.uint64(42)) & np.uint64((1 << LANGUAGE_AT) - 1)) | language[owner]
+        if spelling is not None:
+            before = np.where(at > 0, raw[np.maximum(inside - 1, 0)], SPACE)
+            spelled[place] = np.add.reduceat(spelling[np.repeat(strata[owner], length), before, raw[inside]], begin)
+            spelled[place] += spelling[strata[owner], raw[end - 1], SPACE]
+    return codes, text_of, first, spelled
+
+
+def _byte_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, n): language, byte and the byte after it, any white space counting as one space, of a text framed by spaces."""
+    for batch in batches:
+        strata = batch.column(1).to_numpy()
+        for i, j, texts in text_blocks(batch.column(0), BLOCK_BYTES):
+            framed = [b" " + b" ".join(t.split()) + b" " if t.split() else b" " for t in texts]
+            raw = np.frombuffer(b"".join(x + b" " for x in framed), np.uint8).astype(np.int64)
+            ends = np.cumsum([len(x) + 1 for x in framed])
+            cells = (np.repeat(strata[i:j].astype(np.int64), [len(x) + 1 for x in framed])[:-1] << 16) | raw[:-1] << 8 | raw[1:]
+            cells = np.delete(cells, ends[:-1] - 1)  # from one text to the next
+            cell, n = np.unique(cells, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
+
+
+def _spelling(training: DataFrame, n_strata: int) -> np.ndarray:
+    """ln p of each byte after each byte in parts of ``UNIT``, one added to every count; 65,536 numbers per language."""
+    got = training.mapInArrow(_byte_pairs, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.ones((n_strata + 1) << 16)
+    counts[got.column("cell").to_numpy()] += got.column("n").to_numpy()
+    counts = counts.reshape(n_strata + 1, 256, 256)
+    return np.rint(np.log(counts / counts.sum(2, keepdims=True)) * UNIT).astype(np.int64)
+
+
+def _words(batches: Iterator[pa.RecordBatch], spelling) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        strata = batch.column(1).to_numpy()
+        for i, j, texts in text_blocks(batch.column(0), BLOCK_BYTES):
+            codes, _, _, spelled = sequences(texts, strata[i:j], spelling.value)
+            codes, at = np.unique(codes.view(np.int64), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(spelled[at])], ["c", "spelled"])
 
 
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         strata = batch.column(1).to_numpy()
         for i, j, texts in text_blocks(batch.column(0), BLOCK_BYTES):
-            codes, _, first = sequences(texts, strata[i:j])
+            codes, _, first, _ = sequences(texts, strata[i:j])
             third = np.ones(len(codes), bool)
             third[first] = third[first + 1] = False
             t = np.flatnonzero(third)
@@ -120,13 +162,13 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(pa.array(codes[t - k].view(np.int64)) for k in (2, 1, 0)), pa.array(n)], ["a", "b", "c", "n"])
 
 
-def _scored(batches: Iterator[pa.RecordBatch], heavy) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], heavy, spelling) -> Iterator[pa.RecordBatch]:
     """For each text one row about it, under a key of its own, and one for each key that is not heavy."""
     known, value = heavy.value
     for batch in batches:
         strata, rows = batch.column(2).to_numpy(), batch.column(4).to_numpy()
         for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
-            codes, owner, first = sequences(texts, strata[i:j])
+            codes, owner, first, spelled = sequences(texts, strata[i:j], spelling.value)
             second = np.ones(len(codes), bool)
             second[first] = False
             third = second.copy()
@@ -134,12 +176,11 @@ def _scored(batches: Iterator[pa.RecordBatch], heavy) -> Iterator[pa.RecordBatch
             s, t = np.flatnonzero(second), np.flatnonzero(third)
             keys = np.concatenate([keys_of(codes[s]), keys_of(codes[s - 1], codes[s]), keys_of(codes[t - 2], codes[t - 1], codes[t])]).view(np.int64)
             text = np.concatenate([owner[s], owner[s], owner[t]])
-            spelled = ((codes[t] >> np.uint64(LENGTH_AT)) & np.uint64(LONGEST)).astype(np.int64) + 1
-            base = -np.bincount(owner[t], spelled, j - i).astype(np.int64) * round(math.log(256) * UNIT)
+            # below 2^53, so exact
+            base = np.bincount(owner[t], spelled[t], j - i).astype(np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 found = known[at] == keys
-                # below 2^53, so exact
                 base += np.bincount(text[found], value[at[found]], j - i).astype(np.int64)
                 keys, text = keys[~found], text[~found]
             order = np.lexsort((keys, text))
@@ -188,7 +229,7 @@ def _contexts(cut: DataFrame, *words: str) -> DataFrame:
     return cut.groupBy(*words).agg(total.alias("total"), (F.sum("loss") / total).alias("gamma"))
 
 
-def corrections(trigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
+def corrections(trigrams: DataFrame, spellings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((order, key, n, value) of every gram and context of training, (lang, unknown) per language).
 
     ``value`` and ``unknown`` are in parts of ``UNIT``.  With p1, p2, p3 the interpolated
@@ -202,10 +243,10 @@ def corrections(trigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
     after3 = materialise(_contexts(cut3, "a", "b"), "contexts3")
     after2 = _contexts(cut2, "b")
     all1 = _contexts(cut1, "lang")
-    spelled = F.exp(-math.log(256.0) * (F.shiftrightunsigned(F.col("c"), LENGTH_AT).bitwiseAND(F.lit(LONGEST)) + 1))
-    # a gram of 255 bytes has 1e-614: the logarithm is taken of the part that is not spelled
-    ln_low = F.ln("gamma") - math.log(256.0) * (F.shiftrightunsigned(F.col("c"), LENGTH_AT).bitwiseAND(F.lit(LONGEST)) + 1)
-    p1 = cut1.join(F.broadcast(all1), "lang").select("c", "n", ((F.col("n") - F.col("loss")) / F.col("total") + F.col("gamma") * spelled).alias("p1"), ln_low.alias("low"))
+    spelled = F.col("spelled") / UNIT
+    p1 = cut1.join(F.broadcast(all1), "lang").join(spellings, "c").select(
+        "c", "n", ((F.col("n") - F.col("loss")) / F.col("total") + F.col("gamma") * F.exp(spelled)).alias("p1"), (F.ln("gamma") + spelled).alias("low")
+    )
     p1 = materialise(p1, "order1")
     kept = (F.col("n") - F.col("loss")) / F.col("total")
     p2 = cut2.join(after2, "b").join(p1.select("c", "p1"), "c").select("b", "c", "n", "gamma", "p1", (kept + F.col("gamma") * F.col("p1")).alias("p2"))
@@ -251,15 +292,18 @@ def perplexities(
     source = source.join(small(good), F.col("doc_id") == F.col("good_id"), "left")
     fold = F.when(F.col("good_id").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)).cast("int"))
     source = source.select("doc_id", "text", stratum.alias("stratum"), fold.alias("fold"))
-    counted = source.where("fold > 0").select("text", "stratum").mapInArrow(_trigrams, "a long, b long, c long, n long")
-    values, unknown = corrections(materialise(counted.groupBy("a", "b", "c").agg(F.sum("n").alias("n")), "trigrams"))
+    training = source.where("fold > 0").select("text", "stratum")
+    spelling = sc.broadcast(_spelling(training, len(strata)))
+    spellings = training.mapInArrow(functools.partial(_words, spelling=spelling), "c long, spelled long").groupBy("c").agg(F.max("spelled").alias("spelled"))
+    counted = training.mapInArrow(_trigrams, "a long, b long, c long, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    values, unknown = corrections(materialise(counted, "trigrams"), spellings)
     # the counts of an order add up to its total, so no more than 1 / heavy keys have such a share
     totals = values.groupBy("order").agg(F.sum("n").alias("all"))
     top = values.join(F.broadcast(totals), "order").where(F.col("n") > F.col("all") * heavy).select("key", "value").orderBy("key").toArrow()
     table = sc.broadcast((top.column("key").to_numpy(), top.column("value").to_numpy()))
     rows = source.withColumn("row", F.monotonically_increasing_id())
     about = "doc_id long, stratum int, fold int, n_bytes long, n_words long, base long"
-    each = rows.mapInArrow(functools.partial(_scored, heavy=table), f"row long, key long, n long, about struct<{about.replace(' ', ':').replace(',:', ',')}>")
+    each = rows.mapInArrow(functools.partial(_scored, heavy=table, spelling=spelling), f"row long, key long, n long, about struct<{about.replace(' ', ':').replace(',:', ',')}>")
     names = [c.split()[0] for c in about.split(", ")]
     each = each.join(values.select("key", "value"), "key", "left").select("row", (F.col("n") * F.coalesce("value", F.lit(0))).alias("part"), "about.*")
     # one row of a document carries what is known of it
