@@ -5,7 +5,8 @@ from datetime import UTC, date, datetime, timedelta
 
 import pytest
 
-from tidemark.operators import charts, futures, quality, relational, sentiment, volatility
+from tidemark import functions
+from tidemark.operators import charts, futures, observe, quality, relational, sentiment, volatility
 
 T0 = datetime(2024, 1, 2, 14, 30, tzinfo=UTC)
 BAR = "Datetime timestamp, Symbol string, Open double, High double, Low double, Close double, Volume long"
@@ -139,3 +140,43 @@ def test_upsert(spark):
     assert got.where("Symbol = 'CL=F'").orderBy("Datetime").first().Close == pytest.approx(76.05)
     with pytest.raises(ValueError, match="missing columns: Close"):
         relational.upsert_bars(old, new.drop("Close"))
+
+
+def uneven(spark):
+    """Bars of two symbols with empty hours, full hours and rows without a time."""
+    at = [0, 1, 2, 3, 200, 201, 500, 501, 502, 503, 504, 505, 506, 507, 508, 900, 1000, 1100, 1200, 1201, 1202, 1300, 2900, 2901, 2902, 3000]
+    rows = []
+    for s, step in (("A", 1), ("B", 2)):
+        for i, m in enumerate(at[::step]):
+            c = 100 + (i * 7919 + step * 31) % 23
+            rows.append((T0 + timedelta(minutes=m), s, c - 1.0, c + 3.0 + i % 3, c - 4.0, float(c), 100 + (i * i) % 50))
+    rows.append((None, "A", 1.0, 2.0, 1.0, 1.5, 3))
+    rows.append((T0, None, 1.0, 2.0, 1.0, 1.5, 3))
+    return spark.createDataFrame(rows, BAR)
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 9])
+def test_windows_are_the_same_whatever_the_block(spark, monkeypatch, size):
+    jobs = (
+        lambda b: volatility.metrics(b, 4), lambda b: volatility.realized(b, 7), lambda b: charts.simple_volatility(b, 3), charts.pct_change,
+        lambda b: quality.price_gaps(b, 5.0), lambda b: quality.volume_anomalies(b, 0.5, 5), lambda b: quality.price_reversals(b, 2.0, 6),
+        quality.tick_quality, lambda b: observe.cadence_gaps(b, "Symbol", "Datetime"),
+    )
+    bars = uneven(spark)
+    whole = [sorted(map(str, job(bars).collect())) for job in jobs]
+    monkeypatch.setattr(functions, "BLOCK_ROWS", size)
+    assert functions.in_blocks(bars, 3).select("Symbol", "_block").distinct().count() > 4
+    assert functions.own_rows(functions.in_blocks(bars, 3)).count() == bars.count()
+    assert [sorted(map(str, job(bars).collect())) for job in jobs] == whole
+
+
+def test_scores_are_carried_over_days(spark):
+    bars = uneven(spark)
+    minutes = ((-4000, "A"), (0, "A"), (499, "A"), (505, "A"), (2901, "B"))
+    stamps = [(s, T0 + timedelta(minutes=m), float(i + 1), 0.5, i + 1) for i, (m, s) in enumerate(minutes)]
+    scores = spark.createDataFrame(stamps, "Symbol string, window_end timestamp, sentiment_score double, confidence double, news_count long")
+    got = sentiment.as_of_join(bars, scores).collect()
+    assert len(got) == bars.count()
+    for r in got:
+        before = [x for x in stamps if r.Datetime and x[0] == r.Symbol and x[1] <= r.Datetime.replace(tzinfo=UTC)]
+        assert r.sentiment_score == (max(before, key=lambda x: x[1])[2] if before else 0)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Futures month codes, January to December.
 MONTH_CODES = "FGHJKMNQUVXZ"
+#: Rows of one symbol that a task sorts for a window, about.
+BLOCK_ROWS = 1_000_000
 
 
 def number(c: Column | str) -> Column:
@@ -59,5 +61,37 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
+def in_blocks(df: DataFrame, carry: int, symbol: str = "Symbol", time: str = "Datetime", rows: int | None = None) -> DataFrame:
+    """``df`` cut along time into blocks of about ``rows`` rows a symbol, with ``_block`` and ``_carried``.
+
+    A block also holds, as carried rows, at least the ``carry`` rows before it, so
+    that a window over ``by_block`` which looks back no further gives each own row
+    what a window over the whole symbol would.  Which hours make a block is read off
+    their counts: a row per symbol and hour, and of the rows only those next to a cut
+    are doubled.  An hour of a symbol stays whole.  Rows without a time come first.
+    """
+    hour = F.date_trunc("hour", time)
+    counts = df.groupBy(F.col(symbol).alias("_s"), hour.alias("_h")).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy("_s").orderBy("_h")
+    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    size = BLOCK_ROWS if rows is None else rows
+    placed = counts.withColumn("_at", before).withColumn("_own", F.floor(F.col("_at") / size))
+    # no hour is empty, so the next ``carry`` rows lie in the next ``carry`` hours
+    ahead = F.collect_list(F.struct("_at", "_own")).over(w.rowsBetween(0, max(carry, 1)))
+    near = F.filter("_ahead", lambda x: x["_at"] < F.col("_at") + F.col("_n") + carry)
+    plan = placed.withColumn("_ahead", ahead).select("_s", "_h", "_own", F.array_distinct(F.transform(near, lambda x: x["_own"])).alias("_to"))
+    joined = df.join(plan, F.col(symbol).eqNullSafe(F.col("_s")) & hour.eqNullSafe(F.col("_h")))
+    return joined.select(*df.columns, "_own", F.explode("_to").alias("_block")).withColumn("_carried", F.col("_block") != F.col("_own")).drop("_own")
+
+
+def own_rows(df: DataFrame) -> DataFrame:
+    """Rows of ``in_blocks`` that are not carried, without its columns."""
+    return df.where(~F.col("_carried")).drop("_carried", "_block")
+
+
+def by_block(symbol: str = "Symbol", time: str = "Datetime") -> WindowSpec:
+    return Window.partitionBy(symbol, "_block").orderBy(time)
+
+
 def by_symbol(symbol: str = "Symbol", time: str = "Datetime") -> WindowSpec:
     return Window.partitionBy(symbol).orderBy(time)

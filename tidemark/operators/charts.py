@@ -7,19 +7,21 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import by_symbol, over_full
+from tidemark.functions import by_block, in_blocks, over_full, own_rows
+
+
+def _pct_change(blocks: DataFrame) -> DataFrame:
+    return blocks.withColumn("pct_change", F.try_divide("Close", F.lag("Close").over(by_block())) - 1)
 
 
 def pct_change(bars: DataFrame) -> DataFrame:
-    last = F.lag("Close").over(by_symbol())
-    return bars.withColumn("pct_change", F.try_divide("Close", last) - 1)
+    return own_rows(_pct_change(in_blocks(bars, 1)))
 
 
 def simple_volatility(bars: DataFrame, window: int = 30) -> DataFrame:
     """Deviation of simple (not log) returns over ``window`` bars, annualised by minutes."""
-    df = pct_change(bars)
-    vol = over_full(by_symbol(), window, F.col("pct_change"), F.stddev_samp("pct_change")) * math.sqrt(252 * 1440)
-    return df.withColumn("realized_vol", vol)
+    vol = over_full(by_block(), window, F.col("pct_change"), F.stddev_samp("pct_change")) * math.sqrt(252 * 1440)
+    return own_rows(_pct_change(in_blocks(bars, window)).withColumn("realized_vol", vol))
 
 
 def range_distribution(bars: DataFrame) -> DataFrame:

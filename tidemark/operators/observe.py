@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import business_days
+from tidemark.functions import business_days, by_block, in_blocks
 from tidemark.operators.gate import Gate, failures
 from tidemark.operators.quality import tick_quality
 
@@ -99,8 +99,8 @@ def overview(rows: DataFrame) -> DataFrame:
 
 def cadence_gaps(rows: DataFrame, by: str = "symbol", time: str = "valid_time") -> DataFrame:
     """(by, modal_seconds, n_gaps): steps longer than the series' most common one (the least of equals); needs over 2 rows."""
-    step = F.unix_timestamp(time) - F.unix_timestamp(F.lag(time).over(Window.partitionBy(by).orderBy(time)))
-    counts = rows.select(by, step.alias("step")).where("step is not null").groupBy(by, "step").agg(F.count("*").alias("n"))
+    step = F.unix_timestamp(time) - F.unix_timestamp(F.lag(time).over(by_block(by, time)))
+    counts = in_blocks(rows.select(by, time), 1, by, time).select(by, step.alias("step"), "_carried").where("not _carried and step is not null").groupBy(by, "step").agg(F.count("*").alias("n"))
     per = counts.groupBy(by).agg(F.max_by("step", F.struct("n", -F.col("step"))).alias("modal_seconds"), F.sum("n").alias("steps"))
     longer = F.coalesce(F.sum(F.when(F.col("step") > F.col("modal_seconds"), F.col("n"))), F.lit(0))
     return counts.join(per.where("steps > 1"), by).groupBy(by, "modal_seconds").agg(longer.alias("n_gaps"))

@@ -1,31 +1,37 @@
-"""Audits of OHLCV bars, each per symbol in time order: one shuffle by symbol."""
+"""Audits of OHLCV bars, each per symbol in time order, over blocks of a symbol's time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import by_symbol, over_full
+from tidemark.functions import by_block, in_blocks, over_full, own_rows
 
 
 def price_gaps(bars: DataFrame, threshold_pct: float = 0.5, most_seconds: int = 300) -> DataFrame:
     """Bars whose close moved by more than ``threshold_pct`` percent, or that come more than ``most_seconds`` after the last."""
-    w = by_symbol()
+    w = by_block()
     last = F.lag("Close").over(w)
     gap = F.unix_timestamp("Datetime") - F.unix_timestamp(F.lag("Datetime").over(w))
-    return bars.select(
+    steps = in_blocks(bars.select("Symbol", "Datetime", "Close"), 1).select(
         "Symbol", "Datetime", "Close",
-        (F.try_divide(F.col("Close") - last, last) * 100).alias("price_change_pct"), gap.alias("gap_seconds"),
-    ).where((F.abs("price_change_pct") > threshold_pct) | (F.col("gap_seconds") > most_seconds))
+        (F.try_divide(F.col("Close") - last, last) * 100).alias("price_change_pct"), gap.alias("gap_seconds"), "_carried",
+    )
+    return steps.where(~F.col("_carried")).drop("_carried").where(
+        (F.abs("price_change_pct") > threshold_pct) | (F.col("gap_seconds") > most_seconds)
+    )
 
 
 def volume_anomalies(bars: DataFrame, z_threshold: float = 3.0, window: int = 20) -> DataFrame:
     """Bars whose volume lies more than ``z_threshold`` deviations from the mean of the last ``window`` bars."""
     volume = F.col("Volume").cast("double")
-    mean = over_full(by_symbol(), window, volume, F.avg(volume))
-    std = over_full(by_symbol(), window, volume, F.stddev_samp(volume))
+    mean = over_full(by_block(), window, volume, F.avg(volume))
+    std = over_full(by_block(), window, volume, F.stddev_samp(volume))
     return (
-        bars.select("Symbol", "Datetime", "Volume", mean.alias("volume_mean"), std.alias("volume_std"))
+        in_blocks(bars.select("Symbol", "Datetime", "Volume"), window)
+        .select("Symbol", "Datetime", "Volume", mean.alias("volume_mean"), std.alias("volume_std"), "_carried")
+        .where(~F.col("_carried"))
+        .drop("_carried")
         .withColumn("z_score", F.try_divide(F.col("Volume") - F.col("volume_mean"), F.nullif("volume_std", F.lit(0.0))))
         .where(F.abs("z_score") > z_threshold)
     )
@@ -33,10 +39,13 @@ def volume_anomalies(bars: DataFrame, z_threshold: float = 3.0, window: int = 20
 
 def price_reversals(bars: DataFrame, threshold_pct: float = 1.0, window: int = 5) -> DataFrame:
     """Bars where high and low of the last ``window`` bars are more than ``threshold_pct`` percent apart."""
-    high = over_full(by_symbol(), window, F.col("High"), F.max("High"))
-    low = over_full(by_symbol(), window, F.col("Low"), F.min("Low"))
+    high = over_full(by_block(), window, F.col("High"), F.max("High"))
+    low = over_full(by_block(), window, F.col("Low"), F.min("Low"))
     return (
-        bars.select("Symbol", "Datetime", high.alias("rolling_high"), low.alias("rolling_low"))
+        in_blocks(bars.select("Symbol", "Datetime", "High", "Low"), window)
+        .select("Symbol", "Datetime", high.alias("rolling_high"), low.alias("rolling_low"), "_carried")
+        .where(~F.col("_carried"))
+        .drop("_carried")
         .withColumn("range_pct", F.try_divide(F.col("rolling_high") - F.col("rolling_low"), F.col("rolling_low")) * 100)
         .where(F.col("range_pct") > threshold_pct)
     )
@@ -44,13 +53,13 @@ def price_reversals(bars: DataFrame, threshold_pct: float = 1.0, window: int = 5
 
 def tick_quality(bars: DataFrame, most_seconds: int = 300) -> DataFrame:
     """One row: counts of bad prices, inconsistent bars and gaps; all bars, symbols, and the span of time."""
-    gap = F.unix_timestamp("Datetime") - F.unix_timestamp(F.lag("Datetime").over(by_symbol()))
+    gap = F.unix_timestamp("Datetime") - F.unix_timestamp(F.lag("Datetime").over(by_block()))
     least = F.least("Open", "High", "Low", "Close")
     broken = (
         (F.col("High") < F.col("Low")) | (F.col("Open") > F.col("High")) | (F.col("Open") < F.col("Low"))
         | (F.col("Close") > F.col("High")) | (F.col("Close") < F.col("Low"))
     )
-    return bars.withColumn("_gap", gap).agg(
+    return own_rows(in_blocks(bars, 1).withColumn("_gap", gap)).agg(
         F.count_if(least <= 0).alias("invalid_prices"), F.count_if(broken).alias("invalid_ohlc"),
         F.count_if(F.col("_gap") > most_seconds).alias("time_gaps"), F.count("*").alias("total_records"),
         F.array_join(F.sort_array(F.collect_set("Symbol")), ",").alias("symbols"),

@@ -90,19 +90,27 @@ def window_scores(news: DataFrame, minutes: int = 60, method: str = "mean") -> D
 def as_of_join(bars: DataFrame, scores: DataFrame, carry: tuple[str, ...] = ("sentiment_score", "confidence", "news_count")) -> DataFrame:
     """Each bar with the last scores stamped at or before it; zeros where there are none.
 
-    Both sides are stacked and the last score is carried forward: one shuffle by
-    symbol and one sort, no range join.
+    Both sides are stacked and the last score is carried forward within each day of
+    a symbol: one shuffle and one sort, no range join.  What is known when a day
+    begins comes from a table of days, with a row per symbol and day.
     """
     names = bars.columns
     value = F.struct(*(F.col(c) for c in carry))
-    left = bars.select(F.struct(*names).alias("_bar"), F.lit(None).cast(scores.select(value.alias("v")).schema["v"].dataType).alias("_score"),
+    typed = scores.select(F.col("Symbol").alias("_symbol"), F.col("window_end").alias("_at"), value.alias("_score"))
+    day = F.to_date("_at").alias("_day")
+    left = bars.select(F.struct(*names).alias("_bar"), F.lit(None).cast(typed.schema["_score"].dataType).alias("_score"),
                        F.col("Symbol").alias("_symbol"), F.col("Datetime").alias("_at"), F.lit(1).alias("_side"))
-    right = scores.select(F.lit(None).cast(left.schema["_bar"].dataType).alias("_bar"), value.alias("_score"),
-                          F.col("Symbol").alias("_symbol"), F.col("window_end").alias("_at"), F.lit(0).alias("_side"))
-    w = Window.partitionBy("_symbol").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last("_score", ignorenulls=True).over(w)
-    both = left.unionByName(right).withColumn("_last", last).where("_side = 1")
-    return both.select("_bar.*", *(F.coalesce(F.col(f"_last.{c}"), F.lit(0)).alias(c) for c in carry))
+    no_bar = F.lit(None).cast(left.schema["_bar"].dataType).alias("_bar")
+    ends = typed.groupBy("_symbol", day).agg(F.max_by("_score", "_at").alias("_end"))
+    seen = left.select("_symbol", day).distinct().withColumn("_end", F.lit(None).cast(typed.schema["_score"].dataType))
+    days = ends.unionByName(seen).groupBy("_symbol", "_day").agg(F.first("_end", ignorenulls=True).alias("_end"))
+    earlier = Window.partitionBy("_symbol").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    known = days.select("_symbol", "_day", F.last("_end", ignorenulls=True).over(earlier).alias("_score")).where("_score is not null")
+    opening = known.select(no_bar, "_score", "_symbol", F.col("_day").cast(left.schema["_at"].dataType).alias("_at"), F.lit(-1).alias("_side"))
+    both = left.unionByName(typed.select(no_bar, "_score", "_symbol", "_at", F.lit(0).alias("_side"))).unionByName(opening)
+    w = Window.partitionBy("_symbol", "_day").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_day", F.to_date("_at")).withColumn("_last", F.last("_score", ignorenulls=True).over(w)).where("_side = 1")
+    return found.select("_bar.*", *(F.coalesce(F.col(f"_last.{c}"), F.lit(0)).alias(c) for c in carry))
 
 
 def prices_with_sentiment(bars: DataFrame, news: DataFrame | None, minutes: int = 60, method: str = "mean") -> DataFrame:

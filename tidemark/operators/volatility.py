@@ -1,6 +1,7 @@
 """Volatility estimators per symbol.
 
-The rolling ones share one window specification, so Spark sorts each symbol once.
+The rolling ones share one window specification over blocks of a symbol's time, so
+Spark sorts each block once and a long history is no task of its own.
 Logarithms of non-positive prices are null, and a window with a null in it has no
 value.
 """
@@ -9,17 +10,18 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import by_symbol, over_full
+from tidemark.functions import by_block, by_symbol, in_blocks, over_full, own_rows
 
 MINUTES = math.sqrt(252 * 1440)
 DAYS = math.sqrt(252)
 
 
 def log_return() -> Column:
-    return F.ln("Close") - F.lag(F.ln("Close")).over(by_symbol())
+    """Over rows of ``in_blocks``."""
+    return F.ln("Close") - F.lag(F.ln("Close")).over(by_block())
 
 
 def _range2() -> Column:
@@ -30,28 +32,40 @@ def _garman_klass2() -> Column:
     return 0.5 * _range2() - (2 * math.log(2) - 1) * F.pow(F.ln(F.try_divide("Close", "Open")), 2)
 
 
+def _realized(blocks: DataFrame, window: int, annual: float) -> DataFrame:
+    vol = over_full(by_block(), window, F.col("log_return"), F.stddev_samp("log_return")) * annual
+    return blocks.withColumn("log_return", log_return()).withColumn("realized_vol", vol)
+
+
+def _parkinson(blocks: DataFrame, window: int, annual: float) -> DataFrame:
+    mean = over_full(by_block(), window, _range2(), F.avg(_range2()))
+    return blocks.withColumn("parkinson_vol", F.sqrt(mean / (4 * math.log(2))) * annual)
+
+
+def _garman_klass(blocks: DataFrame, window: int, annual: float) -> DataFrame:
+    mean = over_full(by_block(), window, _garman_klass2(), F.avg(_garman_klass2()))
+    return blocks.withColumn("garman_klass_vol", F.sqrt(mean) * annual)
+
+
 def realized(bars: DataFrame, window: int = 30, annual: float = MINUTES) -> DataFrame:
     """Deviation of log returns over ``window`` bars, annualised."""
-    r = bars.withColumn("log_return", log_return())
-    vol = over_full(by_symbol(), window, F.col("log_return"), F.stddev_samp("log_return")) * annual
-    return r.withColumn("realized_vol", vol)
+    return own_rows(_realized(in_blocks(bars, window), window, annual))
 
 
 def parkinson(bars: DataFrame, window: int = 30, annual: float = MINUTES) -> DataFrame:
     """From the range of each bar."""
-    mean = over_full(by_symbol(), window, _range2(), F.avg(_range2()))
-    return bars.withColumn("parkinson_vol", F.sqrt(mean / (4 * math.log(2))) * annual)
+    return own_rows(_parkinson(in_blocks(bars, window), window, annual))
 
 
 def garman_klass(bars: DataFrame, window: int = 30, annual: float = MINUTES) -> DataFrame:
     """From range and open-to-close; a negative mean gives NaN."""
-    mean = over_full(by_symbol(), window, _garman_klass2(), F.avg(_garman_klass2()))
-    return bars.withColumn("garman_klass_vol", F.sqrt(mean) * annual)
+    return own_rows(_garman_klass(in_blocks(bars, window), window, annual))
 
 
 def metrics(bars: DataFrame, window: int = 30) -> DataFrame:
     """All three, their ratios to the first, and each bar's range in percent of its open."""
-    df = garman_klass(parkinson(realized(bars, window), window), window)
+    blocks = in_blocks(bars, window)
+    df = own_rows(_garman_klass(_parkinson(_realized(blocks, window, MINUTES), window, MINUTES), window, MINUTES))
     return df.withColumns(
         {
             "parkinson_ratio": F.try_divide("parkinson_vol", "realized_vol"),
@@ -69,11 +83,12 @@ def averages(bars: DataFrame, window: int = 30) -> DataFrame:
 
 def daily_variance(bars: DataFrame) -> DataFrame:
     """Sum of squared log returns within each day (the step over night is left out), and its annualised root."""
-    w = by_symbol()
     day = F.to_date("Datetime")
-    same = F.to_date(F.lag("Datetime").over(w)) == day
-    r2 = F.when(same, F.pow(log_return(), 2))
-    sums = bars.select("Symbol", day.alias("date"), r2.alias("r2")).groupBy("Symbol", "date")
+    # a day is a window of its own, and the grouping after it needs no other shuffle
+    w = Window.partitionBy("Symbol", "date").orderBy("Datetime")
+    r2 = F.pow(F.ln("Close") - F.lag(F.ln("Close")).over(w), 2)
+    days = bars.select("Symbol", "Datetime", "Close", day.alias("date"))
+    sums = days.select("Symbol", "date", F.when(F.col("date").isNotNull(), r2).alias("r2")).groupBy("Symbol", "date")
     sums = sums.agg(F.coalesce(F.sum("r2"), F.lit(0.0)).alias("realized_variance"))
     return sums.withColumn("daily_realized_vol", F.sqrt("realized_variance") * DAYS)
 
