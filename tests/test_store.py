@@ -5,7 +5,7 @@ from datetime import UTC, datetime, timedelta
 
 import pytest
 
-from tidemark.operators import gate, routing
+from tidemark.operators import gate, observe, routing
 from tidemark.operators.store import Store
 
 D = [datetime(2024, 1, d, tzinfo=UTC) for d in (1, 8, 15, 22)]
@@ -90,8 +90,10 @@ def test_compact_keeps_the_series(spark, store):
     assert store.vintages().where("size(chain) = 1").count() == 2
 
 
-def test_random_commits_against_a_model(spark, store):
+@pytest.mark.parametrize("fold", [1, 2, 64])
+def test_random_commits_against_a_model(spark, store, fold):
     """Merge commits in any order: a commit builds on the newest vintage before its own moment, as it was then."""
+    store.fold = fold
     rng = random.Random(5)
     model = []  # (as_of, series)
     moments = [datetime(2024, 2, 1, tzinfo=UTC) + timedelta(days=i) for i in range(6)]
@@ -105,6 +107,17 @@ def test_random_commits_against_a_model(spark, store):
     for at in moments:
         known = [m for m in model if m[0] <= at]
         assert got(store, at) == (max(known, key=lambda m: m[0])[1] if known else {})
+    assert store.vintages().where(f"size(chain) > {fold}").count() == 0
+    assert store.vintages().where("row_count > 2").count() == 0  # a commit's own rows
+
+
+def test_unreadable_series(spark, store):
+    put(store, spark, A[0], {D[0]: 10})
+    (lost,) = put(store, spark, A[1], {D[0]: 11}, "EIA.PET.CRUDE.STOCKS")
+    assert store.unreadable(LIB).count() == 0
+    store.discard(LIB, lost)
+    one = observe.readable(store.vintages(), store.unreadable(LIB)).first()
+    assert (one.library, one.mode, one.n_symbols, one.unreadable) == (LIB, "bitemporal_merge", 1, 1)
 
 
 def test_routes(spark):

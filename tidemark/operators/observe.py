@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import business_days, by_block, in_blocks
-from tidemark.operators.gate import Gate, failures
+from tidemark.operators.gate import Gate, failure_cases, failures
 from tidemark.operators.quality import tick_quality
+from tidemark.operators.routing import gates, modes_of_libraries
 
 
 def capped(rows: DataFrame, most: int = 500_000, bounded: bool = False) -> DataFrame:
@@ -49,9 +50,9 @@ def records(rows: DataFrame) -> DataFrame:
 
 
 def catalog(vintages: DataFrame) -> DataFrame:
-    """(library, symbol, mode, row_count, latest_valid_time, vintage_count, reconstructed_pct) from the vintages alone.
+    """(library, symbol, mode, schema_name, row_count, latest_valid_time, vintage_count, reconstructed_pct) from the vintages alone.
 
-    The last two are null for degenerate series.  A merged series' row count is the
+    ``schema_name`` is the gate's, null where none applies; the last two are null for degenerate series.  A merged series' row count is the
     sum over its commits, an upper bound; the store's ``read`` gives the exact one.
     """
     by = vintages.groupBy("library", "symbol", "mode").agg(
@@ -59,8 +60,8 @@ def catalog(vintages: DataFrame) -> DataFrame:
         F.countDistinct("as_of").alias("n"), (F.avg(F.col("vintage_reconstructed").cast("int")) * 100).alias("pct"),
     )
     keeps = F.col("mode") != "degenerate"
-    return by.select(
-        "library", "symbol", "mode", "row_count", "latest_valid_time",
+    return gates(by).select(
+        "library", "symbol", "mode", F.col("gate").alias("schema_name"), "row_count", "latest_valid_time",
         F.when(keeps, F.col("n")).alias("vintage_count"), F.when(keeps, F.col("pct")).alias("reconstructed_pct"),
     )
 
@@ -70,10 +71,21 @@ def catalog_of(rows: DataFrame, vintages: DataFrame | None = None) -> DataFrame:
     by = rows.groupBy("library", "symbol").agg(F.count("*").alias("row_count"), F.max("valid_time").alias("latest_valid_time"))
     if vintages is None:
         return by
-    known = catalog(vintages).select("library", "symbol", "mode", "vintage_count", "reconstructed_pct")
+    known = catalog(vintages).select("library", "symbol", "mode", "schema_name", "vintage_count", "reconstructed_pct")
     return by.join(known, ["library", "symbol"], "left")
 
 
+def readable(vintages: DataFrame, unreadable: DataFrame) -> DataFrame:
+    """(library, mode, n_symbols, unreadable): symbols of each library, and how many of them cannot be read.
+
+    ``unreadable``: (library, symbol), as ``Store.unreadable`` gives them.
+    """
+    lost = unreadable.select("library", "symbol", F.lit(1).alias("_lost")).distinct()
+    every = vintages.select("library", "symbol").distinct().join(lost, ["library", "symbol"], "left")
+    by = every.groupBy("library").agg(F.count_if(F.col("_lost").isNull()).alias("n_symbols"), F.count("_lost").alias("unreadable"))
+    return modes_of_libraries(by).withColumn("mode", F.coalesce("mode", F.lit("unknown")))
+
+
 def health(listed: DataFrame, max_age: DataFrame, now: datetime) -> DataFrame:
     """Catalog rows with their age in business days and a status: ok, stale, or error without rows.
 
@@ -86,15 +98,18 @@ def health(listed: DataFrame, max_age: DataFrame, now: datetime) -> DataFrame:
     return listed.join(F.broadcast(max_age), "library", "left").withColumn("age_days", age).withColumn("status", status)
 
 
-def overview(rows: DataFrame) -> DataFrame:
-    """One row over health rows: volume, velocity, variety, veracity."""
-    broken = F.filter(F.array_sort(F.collect_list(F.when(F.col("status") != "ok", F.concat_ws("/", "library", "symbol")))), lambda x: x.isNotNull())
-    return rows.agg(
+def overview(rows: DataFrame, most: int = 50) -> DataFrame:
+    """One row over health rows: volume, velocity, variety (schemas and modes too), veracity; the first ``most`` broken series by name."""
+    name = F.concat_ws("/", "library", "symbol")
+    broken = rows.where("status != 'ok'").select(name.alias("_name")).orderBy("_name").limit(most)
+    broken = broken.agg(F.array_join(F.array_sort(F.collect_list("_name")), ",").alias("broken"))
+    counts = modes_of_libraries(gates(rows.drop("gate", "mode"))).agg(
         F.sum("row_count").alias("total_rows"), F.count("*").alias("n_symbols"), F.max("latest_valid_time").alias("newest"),
-        F.countDistinct("library").alias("n_libraries"), F.count_if(F.col("status") == "ok").alias("n_ok"),
+        F.countDistinct("library").alias("n_libraries"), F.countDistinct("gate").alias("n_schemas"),
+        F.array_join(F.array_sort(F.collect_set("mode")), ",").alias("modes"), F.count_if(F.col("status") == "ok").alias("n_ok"),
         F.count_if(F.col("status") == "stale").alias("n_stale"), F.count_if(F.col("status") == "error").alias("n_error"),
-        F.array_join(F.slice(broken, 1, 50), ",").alias("broken"),
     )
+    return counts.join(F.broadcast(broken))  # one row each
 
 
 def cadence_gaps(rows: DataFrame, by: str = "symbol", time: str = "valid_time") -> DataFrame:
@@ -107,8 +122,12 @@ def cadence_gaps(rows: DataFrame, by: str = "symbol", time: str = "valid_time")
 
 
 def symbol_quality(rows: DataFrame, gate: Gate, now: datetime, most: int = 50) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(failures against now, the first ``most``; cadence gaps; bar audit if the rows are bars)."""
+    """(failures against now with failing values, the first ``most``; cadence gaps; bar audit if the rows are bars).
+
+    A check with several failing values at hand has a row for each; one that is not about values has a null ``failure_case``.
+    """
     bars = None
     if {"Open", "High", "Low", "Close", "Volume"} <= set(rows.columns):
         bars = tick_quality(rows.withColumnsRenamed({"symbol": "Symbol", "valid_time": "Datetime"}))
-    return failures(rows, gate, now).orderBy("check", "column").limit(most), cadence_gaps(rows), bars
+    found = failures(rows, gate, now).join(failure_cases(rows, gate), ["check", "column"], "left")
+    return found.orderBy("check", "column", "failure_case").limit(most), cadence_gaps(rows), bars

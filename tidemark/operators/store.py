@@ -6,7 +6,10 @@ commit).  A commit writes its rows first and its vintages last, so rows of a com
 that broke off are never read (``orphans`` finds them).  Each vintage carries the
 chain of commits that its series is made of: its base's chain at the time of the
 commit, and itself.  A read takes the newest vintage known at T for each symbol,
-and of each key the row from the last commit in the chain.  One writer per library.
+and of each key the row from the last commit in the chain.  A chain that has grown to
+``fold`` commits is folded: the next commit to the series holds its whole state and
+starts a new chain, so a read opens a bounded number of commits and the vintages stay
+in proportion to their number.  One writer per library.
 
 Modes: ``bitemporal_merge`` rows replace those of the same key, others survive;
 ``bitemporal_replace`` each commit is a whole series; ``degenerate`` only new keys
@@ -65,10 +68,10 @@ def changed(new: DataFrame, old: DataFrame, key: list[str], values: list[str], w
 
 
 class Store:
-    """A root folder; see the module."""
+    """A root folder, and the number of commits at which a chain is folded; see the module."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, fold: int = 64):
+        self.spark, self.root, self.fold = spark, root.rstrip("/"), fold
 
     def keep(self, rows: DataFrame, folder: str) -> DataFrame:
         """``rows``, written under the root and read back."""
@@ -232,18 +235,34 @@ class Store:
                     values = [c for c in new.columns if c not in (*key, *PROVENANCE)]
                     differs = changed(new, base, key, values, mode == "bitemporal_replace" and batch is None)
                     new = new.join(differs, ["library", "symbol"], "left_semi")
+                if base is not None and (mode == "bitemporal_merge" or batch is not None):
+                    new, heads = self._folded(new, base, heads, ["symbol", "valid_time", *extra])
             done = self._write(library, mode, new.drop("library"), heads, as_of, fetched_at, reconstructed, batch)
             ids += [done] if done else []
         return ids
 
-    def _write(self, library, mode, rows: DataFrame, heads: DataFrame | None, as_of, fetched_at, reconstructed, batch=None) -> str | None:
+    def _folded(self, new: DataFrame, base: DataFrame, heads: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+        """``new`` with all that stays of series whose chains are long, and the heads of the others."""
+        long = heads.where(F.size("chain") >= self.fold).select("symbol")
+        if long.isEmpty():
+            return new, heads
+        stays = base.drop("commit_id").join(long, "symbol", "left_semi").join(new.select("symbol").distinct(), "symbol", "left_semi")
+        return new.unionByName(stays.join(new.select(*key), key, "left_anti"), allowMissingColumns=True), heads.where(F.size("chain") < self.fold)
+
+    def _write(self, library, mode, rows: DataFrame, heads: DataFrame | None, as_of, fetched_at, reconstructed, batch=None, whole=False) -> str | None:
+        """``row_count`` has the rows known since ``as_of``, not what a folded chain brought; all of them if ``whole``."""
         commit_id = uuid.uuid4().hex
         path = f"{self.root}/observations/{library}/commit_id={commit_id}"
         rows.write.parquet(path)
+        stored = self.spark.read.schema(rows.schema).parquet(path)
+        if stored.isEmpty():
+            self._delete(path)
+            return None
         seq = (self.vintages().agg(F.max("commit_seq")).first()[0] or 0) + 1
-        written = self.spark.read.parquet(path).groupBy("symbol").agg(
-            F.count("*").alias("row_count"), F.min("valid_time").alias("min_valid_time"), F.max("valid_time").alias("max_valid_time")
-        )
+        written = stored.groupBy("symbol").agg(
+            F.count_if(F.lit(whole) | (F.col("as_of") == F.lit(as_of))).alias("row_count"),
+            F.min("valid_time").alias("min_valid_time"), F.max("valid_time").alias("max_valid_time"),
+        )
         own = F.array(F.lit(commit_id))
         if heads is not None and (mode == "bitemporal_merge" or batch is not None):
             written = written.join(heads, "symbol", "left").withColumn("chain", F.concat(F.coalesce("chain", F.array().cast("array<string>")), own))
@@ -255,9 +274,6 @@ class Store:
                 "as_of": F.lit(as_of), "fetched_at": F.lit(fetched_at), "mode": F.lit(mode), "vintage_reconstructed": F.lit(reconstructed), "batch": F.lit(batch).cast("string"),
             }
         ).select(*(c.split()[0] for c in VINTAGES.split(", ")))
-        if stamped.isEmpty():
-            self._delete(path)
-            return None
         # the commit point: one small file
         stamped.coalesce(1).write.mode("append").parquet(f"{self.root}/vintages")
         return commit_id
@@ -267,7 +283,7 @@ class Store:
         if LIBRARY_MODE[library] == "degenerate":
             return None
         rows = self._series(library, self._heads(library, None))
-        return self._write(library, "bitemporal_replace", rows.drop("library", "commit_id"), None, as_of, fetched_at, False)
+        return self._write(library, "bitemporal_replace", rows.drop("library", "commit_id"), None, as_of, fetched_at, False, whole=True)
 
     # -- orphans ------------------------------------------------------------
 
@@ -280,17 +296,29 @@ class Store:
         fs, p = self._fs(path)
         fs.delete(p, True)
 
-    def orphans(self, library: str) -> DataFrame:
-        """(commit_id) of rows written by commits that never reached the vintages."""
+    def _folders(self, library: str) -> DataFrame:
+        """(commit_id) of all that has a folder."""
         fs, p = self._fs(f"{self.root}/observations/{library}")
         names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-        ids = [(n.split("=", 1)[1],) for n in names if n.startswith("commit_id=")]
-        return self.spark.createDataFrame(ids, "commit_id string").join(self.vintages(library), "commit_id", "left_anti")
+        return self.spark.createDataFrame([(n.split("=", 1)[1],) for n in names if n.startswith("commit_id=")], "commit_id string")
+
+    def orphans(self, library: str) -> DataFrame:
+        """(commit_id) of rows written by commits that never reached the vintages."""
+        return self._folders(library).join(self.vintages(library), "commit_id", "left_anti")
+
+    def unreadable(self, library: str) -> DataFrame:
+        """(library, symbol) of series that name a commit whose rows are gone."""
+        links = self.vintages(library).select("library", "symbol", F.explode("chain").alias("commit_id"))
+        return links.join(self._folders(library), "commit_id", "left_anti").select("library", "symbol").distinct()
+
+    def discard(self, library: str, commit_id: str) -> None:
+        """Removes the rows of a commit; series whose chains name it are unreadable from then on."""
+        self._delete(f"{self.root}/observations/{library}/commit_id={commit_id}")
 
     def remove_orphans(self, library: str) -> list[str]:
         ids = [r["commit_id"] for r in self.orphans(library).collect()]
         for i in ids:
-            self._delete(f"{self.root}/observations/{library}/commit_id={i}")
+            self.discard(library, i)
         return ids
 
 

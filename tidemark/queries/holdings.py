@@ -374,12 +374,37 @@ def k08(s, d):
 
 
 def k09(s, d):
-    return observe.overview(_health(s, d)).select("total_rows", "n_symbols", "n_libraries", "n_ok", "n_stale", "n_error", "broken")
+    return observe.overview(_health(s, d)).select("total_rows", "n_symbols", "n_libraries", "n_schemas", "modes", "n_ok", "n_stale", "n_error", "broken")
 
 
-def k10(s, d):
+def _symbol_quality(s, d):
+    """Bars without a close where the volume is even."""
     b = bars(s, d).withColumn("instrument_id", F.col("Symbol")).withColumnsRenamed({"Symbol": "symbol", "Datetime": "valid_time"})
-    return observe.symbol_quality(b, gate.GATES["OHLCV"], datetime(2024, 2, 20, tzinfo=UTC))[0]
+    b = b.withColumn("Close", F.when(F.col("Volume") % 2 != 0, F.col("Close")))
+    return observe.symbol_quality(b, gate.GATES["OHLCV"], datetime(2024, 2, 20, tzinfo=UTC))
+
+
+def k10(s, d):
+    return _symbol_quality(s, d)[0]
+
+
+def k10b(s, d):
+    return _symbol_quality(s, d)[1]
+
+
+def k10c(s, d):
+    return _symbol_quality(s, d)[2]
+
+
+def k07b(s, d):
+    """A library with one commit gone, whose series are then unreadable."""
+    store = filled_store(s, d)
+    at, rows = _batches(s, d, "ERCOT.SPP.")[2]
+    later = at + timedelta(days=1)
+    more = rows.where(F.col("settlement_point") == "view").withColumn("price", F.col("price") + 1)
+    for lost in store.commit(routing.routed(more), as_of=later, fetched_at=later, source="lost"):
+        store.discard("power.lmp", lost)
+    return observe.readable(store.vintages(), store.unreadable("power.lmp"))
 
 
 def k11(s, d):
@@ -402,6 +427,11 @@ _HEALTH = """listed AS (SELECT 'power.demand' AS library, event_type AS symbol,
 health AS (SELECT *, (SELECT count(*) FROM range(latest::DATE::TIMESTAMP, TIMESTAMP '2024-02-02', INTERVAL 1 DAY) r(x) WHERE isodow(x) < 6)::INTEGER AS age_days FROM listed),
 rated AS (SELECT *, CASE WHEN age_days > 2 THEN 'stale' ELSE 'ok' END AS status FROM health)"""
 
+_CADENCE = f"""WITH {BARS}, x AS (SELECT "Symbol", (epoch("Datetime") - epoch(lag("Datetime") OVER o))::BIGINT AS step FROM bars {'WINDOW o AS (PARTITION BY "Symbol" ORDER BY "Datetime")'}),
+c AS (SELECT "Symbol", step, count(*) AS n FROM x WHERE step IS NOT NULL GROUP BY 1, 2), m AS (
+SELECT "Symbol", step AS modal_seconds FROM c QUALIFY row_number() OVER (PARTITION BY "Symbol" ORDER BY n DESC, step) = 1)
+SELECT "Symbol", modal_seconds, coalesce(sum(n) FILTER (step > modal_seconds), 0)::BIGINT AS n_gaps FROM c JOIN m USING ("Symbol") GROUP BY 1, 2"""
+
 ENTRIES = {
     "B01_route": (b01, f"WITH {_ROUTED} SELECT instrument_id, library, symbol, {_MODE} AS mode FROM routed"),
     "B02_route_by_rule": (b02, "SELECT 'power.generation_by_fuel' AS library, lower(event_type) AS symbol, 'degenerate' AS mode, count(*) AS n FROM events GROUP BY 2"),
@@ -463,16 +493,23 @@ FROM bars WHERE "Symbol" IN ('click', 'view')"""),
     "K04_libraries": (k04, "SELECT DISTINCT 'power.lmp' AS library, event_type AS symbol FROM events"),
     "K05_latest_as_of": (k05, f"WITH {_BATCHES} SELECT max(as_of) AS as_of FROM batches"),
     "K06_records": (k06, """SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}' AS record FROM orders"""),
-    "K07_catalog": (k07, f"""WITH {_BATCHES} SELECT 'power.lmp' AS library, symbol, count(DISTINCT valid_time) AS row_count, max(valid_time) AS latest_valid_time, 'bitemporal_merge' AS mode,
+    "K07_catalog": (k07, f"""WITH {_BATCHES} SELECT 'power.lmp' AS library, symbol, count(DISTINCT valid_time) AS row_count, max(valid_time) AS latest_valid_time, 'bitemporal_merge' AS mode, 'ERCOT_SPP' AS schema_name,
 count(DISTINCT k) AS vintage_count, 0.0::DOUBLE AS reconstructed_pct FROM batches GROUP BY 2"""),
+    "K07_readable": (k07b, f"""WITH {_BATCHES} SELECT 'power.lmp' AS library, 'bitemporal_merge' AS mode, count(DISTINCT symbol) FILTER (symbol <> 'view') AS n_symbols,
+count(DISTINCT symbol) FILTER (symbol = 'view') AS unreadable FROM batches"""),
     "K08_health": (k08, f"WITH {_HEALTH} SELECT library, symbol, row_count, age_days, status FROM rated"),
-    "K09_overview": (k09, f"""WITH {_HEALTH} SELECT sum(row_count)::BIGINT AS total_rows, count(*) AS n_symbols, count(DISTINCT library) AS n_libraries, count(*) FILTER (status = 'ok') AS n_ok,
+    "K09_overview": (k09, f"""WITH {_HEALTH} SELECT sum(row_count)::BIGINT AS total_rows, count(*) AS n_symbols, count(DISTINCT library) AS n_libraries, 1::BIGINT AS n_schemas, 'degenerate' AS modes, count(*) FILTER (status = 'ok') AS n_ok,
 count(*) FILTER (status = 'stale') AS n_stale, 0::BIGINT AS n_error, coalesce(string_agg(library || '/' || symbol, ',' ORDER BY symbol) FILTER (status <> 'ok'), '') AS broken FROM rated"""),
-    "K10_symbol_quality": (k10, """SELECT 'age' AS "check", 'valid_time' AS "column", 1::BIGINT AS n_failed FROM events LIMIT 1"""),
-    "K11_cadence_gaps": (k11, f"""WITH {BARS}, x AS (SELECT "Symbol", (epoch("Datetime") - epoch(lag("Datetime") OVER o))::BIGINT AS step FROM bars {'WINDOW o AS (PARTITION BY "Symbol" ORDER BY "Datetime")'}),
-c AS (SELECT "Symbol", step, count(*) AS n FROM x WHERE step IS NOT NULL GROUP BY 1, 2), m AS (
-SELECT "Symbol", step AS modal_seconds FROM c QUALIFY row_number() OVER (PARTITION BY "Symbol" ORDER BY n DESC, step) = 1)
-SELECT "Symbol", modal_seconds, coalesce(sum(n) FILTER (step > modal_seconds), 0)::BIGINT AS n_gaps FROM c JOIN m USING ("Symbol") GROUP BY 1, 2"""),
+    "K10_symbol_quality": (k10, f"""WITH {BARS}, n AS (SELECT count(*) FILTER ("Volume" % 2 = 0) AS n FROM bars)
+SELECT 'age' AS "check", 'valid_time' AS "column", 1::BIGINT AS n_failed, NULL::VARCHAR AS failure_case FROM n UNION ALL
+SELECT 'not_null', 'Close', n, 'null' FROM n, range(least(n, 10)) r(i)"""),
+    "K10_cadence": (k10b, f"""SELECT "Symbol" AS symbol, modal_seconds, n_gaps FROM ({_CADENCE})"""),
+    "K10_bar_audit": (k10c, f"""WITH {BARS}, c AS (SELECT *, CASE WHEN "Volume" % 2 <> 0 THEN "Close" END AS close, epoch("Datetime") - epoch(lag("Datetime") OVER (PARTITION BY "Symbol" ORDER BY "Datetime")) AS g FROM bars)
+SELECT count(*) FILTER (least("Open", "High", "Low", close) <= 0) AS invalid_prices,
+count(*) FILTER ("High" < "Low" OR "Open" > "High" OR "Open" < "Low" OR close > "High" OR close < "Low") AS invalid_ohlc,
+count(*) FILTER (g > 300) AS time_gaps, count(*) AS total_records, string_agg(DISTINCT "Symbol", ',' ORDER BY "Symbol") AS symbols,
+min("Datetime") AS first_time, max("Datetime") AS last_time FROM c"""),
+    "K11_cadence_gaps": (k11, _CADENCE),
     "K12_no_vintages": (k12, "SELECT ts AS as_of, event_id AS row_count FROM events WHERE FALSE"),
     "L06_freshness": (l06, f"""WITH {_HEALTH} SELECT library, count(*) AS n_symbols, count(*) FILTER (status = 'stale') AS n_stale,
 string_agg(symbol || ':' || status, ',' ORDER BY symbol || ':' || status) AS symbols FROM rated GROUP BY 1"""),
