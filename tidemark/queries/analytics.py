@@ -46,7 +46,10 @@ def h03(s, d):
 
 
 def h04(s, d):
-    return rounded(volatility.metrics(bars(s, d)).select("Symbol", "Datetime", "parkinson_ratio", "hl_range_pct"), 4)
+    df = _gk(volatility.metrics(bars(s, d)))
+    df = df.withColumn("garman_klass_ratio", F.nanvl("garman_klass_ratio", F.lit(None).cast("double")))
+    names = ("realized_vol", "parkinson_vol", "garman_klass_vol", "parkinson_ratio", "garman_klass_ratio", "hl_range_pct")
+    return rounded(df.select("Symbol", "Datetime", *names), 4)
 
 
 def h05(s, d):
@@ -62,7 +65,7 @@ def h07(s, d):
 
 
 def h08(s, d):
-    return rounded(volatility.averages(bars(s, d)).select("Symbol", "avg_realized_vol", "avg_parkinson_vol", "avg_parkinson_ratio", "avg_hl_range_pct"), 3)
+    return rounded(volatility.averages(bars(s, d)), 3)
 
 
 def i01(s, d):
@@ -229,7 +232,8 @@ def _full(x: str, agg: str, n: int) -> str:
 _RETURNS = f'r AS (SELECT *, ln("Close") - lag(ln("Close")) OVER o AS lr FROM bars {_LAG})'
 _METRICS = f"""{BARS}, {_RETURNS}, m AS (
   SELECT "Symbol", "Datetime", {_full('lr', 'stddev_samp(lr)', 30)} * sqrt(252 * 1440) AS rv,
-         sqrt({_full('1', f'avg({_R2})', 30)} / (4 * ln(2))) * sqrt(252 * 1440) AS pk, ("High" - "Low") / "Open" * 100 AS hl
+         sqrt({_full('1', f'avg({_R2})', 30)} / (4 * ln(2))) * sqrt(252 * 1440) AS pk,
+         {_full('1', f'avg({_GK})', 30)} AS g, CASE WHEN g >= 0 THEN sqrt(g) END * sqrt(252 * 1440) AS gk, ("High" - "Low") / "Open" * 100 AS hl
   FROM r {_W.format(m=29)})"""
 _DAILY = """daily AS (
   SELECT "Symbol", "Datetime"::DATE AS date, arg_min("Open", "Datetime") AS "Open", max("High") AS "High", min("Low") AS "Low",
@@ -270,7 +274,8 @@ min("Datetime") AS first_time, max("Datetime") AS last_time FROM x"""),
     "H02_parkinson": (h02, f"WITH {_METRICS} SELECT \"Symbol\", \"Datetime\", round(pk, 4) AS parkinson_vol FROM m"),
     "H03_garman_klass": (h03, f"""WITH {BARS}, x AS (SELECT "Symbol", "Datetime", {_full('1', f'avg({_GK})', 30)} AS v FROM bars {_W.format(m=29)})
 SELECT "Symbol", "Datetime", round(CASE WHEN v >= 0 THEN sqrt(v) END * sqrt(252 * 1440), 4) AS garman_klass_vol FROM x"""),
-    "H04_metrics": (h04, f"WITH {_METRICS} SELECT \"Symbol\", \"Datetime\", round(pk / nullif(rv, 0), 4) AS parkinson_ratio, round(hl, 4) AS hl_range_pct FROM m"),
+    "H04_metrics": (h04, f"WITH {_METRICS} SELECT \"Symbol\", \"Datetime\", round(rv, 4) AS realized_vol, round(pk, 4) AS parkinson_vol, round(gk, 4) AS garman_klass_vol, "
+                      "round(pk / nullif(rv, 0), 4) AS parkinson_ratio, round(gk / nullif(rv, 0), 4) AS garman_klass_ratio, round(hl, 4) AS hl_range_pct FROM m"),
     "H05_daily_variance": (h05, f"""WITH {BARS}, {_RETURNS}, x AS (SELECT "Symbol", "Datetime"::DATE AS date,
 CASE WHEN lag("Datetime"::DATE) OVER o = "Datetime"::DATE THEN lr * lr END AS r2 FROM r {_LAG}), y AS (
 SELECT "Symbol", date, coalesce(sum(r2), 0) AS v FROM x GROUP BY 1, 2)
@@ -283,6 +288,7 @@ SELECT "Symbol", count(*) AS n_days, var_samp(o) AS vo, var_samp(c) AS vc, avg(h
 SELECT *, 0.34::DOUBLE / (1.34::DOUBLE + (n_days + 1)::DOUBLE / nullif(n_days - 1, 0)) AS k FROM y)
 SELECT "Symbol", n_days, round(sqrt(vo + k * vc + (1 - k) * vr) * sqrt(252), 6) AS yang_zhang_vol FROM z"""),
     "H08_vol_averages": (h08, f"""WITH {_METRICS} SELECT "Symbol", round(avg(rv), 3) AS avg_realized_vol, round(avg(pk), 3) AS avg_parkinson_vol,
+round(avg(gk), 3) AS avg_garman_klass_vol, round(avg(gk / nullif(rv, 0)), 3) AS avg_garman_klass_ratio,
 round(avg(pk / nullif(rv, 0)), 3) AS avg_parkinson_ratio, round(avg(hl), 3) AS avg_hl_range_pct FROM m GROUP BY 1"""),
     "I01_spread": (i01, f"""WITH {BARS} SELECT a."Datetime", round(a."Close" - b."Close", 6) AS spread, round((a."Close" - b."Close") / b."Close" * 100, 6) AS spread_pct,
 a."Volume" + b."Volume" AS total_volume FROM bars a JOIN bars b USING ("Datetime") WHERE a."Symbol" = 'click' AND b."Symbol" = 'view'"""),
