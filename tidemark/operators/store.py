@@ -22,7 +22,7 @@ import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import one_per_key
@@ -322,8 +322,10 @@ class Store:
         return ids
 
 
-def reconstructed(period_end: datetime, run_time: datetime, grace_days: int | None) -> bool:
-    """Whether a vintage was fetched so long after its period that it can't tell what was known then."""
+def reconstructed(period_end: datetime | Column, run_time: datetime, grace_days: int | None) -> bool | Column:
+    """Whether a vintage was fetched so long after its period that it can't tell what was known then; by row for a column."""
+    if isinstance(period_end, Column):
+        return F.lit(False) if grace_days is None else F.lit(run_time) > period_end + F.make_dt_interval(days=F.lit(grace_days))
     return grace_days is not None and (run_time - period_end).total_seconds() > grace_days * 86_400
 
 

@@ -316,9 +316,8 @@ def d15(s, d):
 
 
 def d16(s, d):
-    run = datetime(2024, 3, 1, tzinfo=UTC)
-    late = reconstructed(datetime(2024, 1, 1, tzinfo=UTC), run, 10)
-    return vintages(s, d).groupBy("instrument_id").agg(F.count("*").alias("n")).withColumn("vintage_reconstructed", F.lit(late))
+    late = reconstructed(F.col("valid_time"), datetime(2024, 1, 25, tzinfo=UTC), 10)
+    return vintages(s, d).groupBy("instrument_id", late.alias("vintage_reconstructed")).agg(F.count("*").alias("n"))
 
 
 def d17(s, d):
@@ -483,7 +482,8 @@ QUALIFY row_number() OVER (PARTITION BY instrument_id, valid_time ORDER BY as_of
     "D14_curve": (d14, f"""WITH {BARS} SELECT CASE "Symbol" WHEN 'click' THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time, round("Close", 6) AS "Close"
 FROM bars WHERE "Symbol" IN ('click', 'view')"""),
     "D15_typed": (d15, f'WITH {CONTRACTS} SELECT "Commodity", "ContractMonth", count(*) AS n FROM contracts GROUP BY 1, 2'),
-    "D16_reconstructed": (d16, "SELECT event_type AS instrument_id, count(*) AS n, TRUE AS vintage_reconstructed FROM events GROUP BY 1"),
+    "D16_reconstructed": (d16, f"""WITH {VINTAGES} SELECT instrument_id, TIMESTAMP '2024-01-25' - valid_time > INTERVAL 10 DAY AS vintage_reconstructed, count(*) AS n
+FROM vintages GROUP BY 1, 2"""),
     "D17_row_provenance": (d17, f"""WITH {_BATCHES}, x AS (SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY symbol, valid_time ORDER BY k DESC) = 1)
 SELECT 's' || k AS source, k = 0 AS vintage_reconstructed, count(*) AS n FROM x GROUP BY 1, 2"""),
     "K01_series": (k01, _read_sql("k < 2 AND symbol = 'click' AND valid_time >= TIMESTAMP '2024-01-05'")),
