@@ -10,10 +10,14 @@ from tidemark.llm.bpe import encode_digests
 from tidemark.llm.decontam import leaks
 from tidemark.llm.kneser_ney import quality_classifier
 from tidemark.llm.licenses import license_scan
+from tidemark.llm.manifest_sql import MANIFEST, SPELLING
+from tidemark.llm.merkle import tampering_check
+from tidemark.llm.mixing import mix_shares
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.quality_sql import SQL as QUALITY_SQL
 from tidemark.llm.secret_scan import secret_scan
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.url_filter import url_filter
@@ -63,16 +67,31 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tampering_check(table(spark, sf_dir, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_shares(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_toxicity, op3_decontamination, op4_quality_rules, op5_token_counts,
         op6_secret_scan, op7_url_filter, op8_license_scan, op9_bpe, op10_quality_classifier,
+        op11_spelling_variants, op12_merkle_manifest, op13_source_mix,
     )
 }
 
 SQL: dict[str, str] = {
     "op4_quality_rules": QUALITY_SQL,
+    "op11_spelling_variants": SPELLING,
+    "op12_merkle_manifest": MANIFEST,
     "op7_url_filter": r"""
 WITH u AS (
   SELECT page_id,
