@@ -10,9 +10,10 @@ shard, each filled with a block:
    weight, until none is above.  A source's target in words makes a number of slots.
 2. ``drawn``: every shard draws how many of its slots each source gets from a multinomial
    distribution with the targets' shares: its slots each draw a source by a number from a
-   hash of (seed, shard, slot), and the draws of a shard are counted per source.  Chance leaves
-   some sources with draws beyond their slots and others short of them; the i-th draw too many
-   gets the i-th slot that is missing, so each source ends with its own number of slots.
+   hash of (seed, shard, slot), and the draws of a shard are counted per source.  Chance gives
+   some sources more draws than they have slots, and others fewer; the former keep the same share of
+   their draws in each shard, and the i-th draw left over goes to the i-th slot that is missing, so each
+   source ends with its own number of slots.
 3. A source's slots are numbered over the shards, and slot q takes block p(q) of its round,
    q div the number of blocks.  p is a pseudorandom permutation of the source's blocks, another one each
    round: a Feistel network over the next power of four, walked until it falls inside.  So in a round
@@ -161,15 +162,17 @@ def drawn(spark: SparkSession, plan: DataFrame, slots: int = SHARD_SLOTS, seed:
     draws = materialise(draws.select("shard", "slot", "sid", among.alias("_among")), "mix-draws")
     counts = draws.groupBy("sid", "shard").agg(F.count("*").alias("n"))
     starts = placed(materialise(counts, "mix-counts"), ["sid"], ["shard"], "mix-starts", "n")
-    have = plan.select("sid", "n_slots")
-    numbered = draws.join(starts.select("sid", "shard", "_at"), ["sid", "shard"]).join(small(have), "sid")
-    numbered = numbered.select("shard", "slot", "sid", (F.col("_at") + F.col("_among")).alias("q"), "n_slots")
-    over = materialise(numbered.where("q >= n_slots").select("shard", "slot", F.lit(0).alias("all")), "mix-over")
-    got = have.join(starts.groupBy("sid").agg(F.sum("n").alias("n")), "sid", "left").withColumn("n", F.coalesce("n", F.lit(0))).where("n < n_slots")
+    have = small(plan.select("sid", "n_slots").join(starts.groupBy("sid").agg(F.sum("n").alias("_drawn")), "sid", "left").withColumn("_drawn", F.coalesce("_drawn", F.lit(0))))
+    # a source with too many draws keeps its share of those of each shard, so no shard is left without it
+    kept = lambda c: F.expr(f"if(_drawn > n_slots, cast(cast({c} as decimal(20)) * n_slots div _drawn as long), {c})")
+    starts = starts.join(have, "sid").select("sid", "shard", kept("_at").alias("_first"), (kept("(_at + n)") - kept("_at")).alias("_kept"))
+    numbered = draws.join(starts, ["sid", "shard"]).select("shard", "slot", "sid", (F.col("_first") + F.col("_among")).alias("q"), (F.col("_among") < F.col("_kept")).alias("own"))
+    over = materialise(numbered.where("not own").select("shard", "slot", F.lit(0).alias("all")), "mix-over")
+    got = have.where("_drawn < n_slots").withColumnRenamed("_drawn", "n")
     lack = got.select("sid", F.explode(F.sequence(F.col("n"), F.col("n_slots") - 1)).alias("q"))
     lack = materialise(lack.select("sid", "q", F.lit(0).alias("all"), F.xxhash64(F.lit(seed), "sid", "q").alias("_by")), "mix-lacking")
     pairs = placed(over, ["all"], ["shard", "slot"], "mix-over").join(placed(lack, ["all"], ["_by", "sid", "q"], "mix-lacking"), "_at")
-    return numbered.where("q < n_slots").drop("n_slots").unionByName(pairs.select("shard", "slot", "sid", "q"))
+    return numbered.where("own").drop("own").unionByName(pairs.select("shard", "slot", "sid", "q"))
 
 
 def filled(slots: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
