@@ -52,16 +52,19 @@ def records(rows: DataFrame) -> DataFrame:
 def catalog(vintages: DataFrame) -> DataFrame:
     """(library, symbol, mode, schema_name, row_count, latest_valid_time, vintage_count, reconstructed_pct) from the vintages alone.
 
-    ``schema_name`` is the gate's, null where none applies; the last two are null for degenerate series.  A merged series' row count is the
-    sum over its commits, an upper bound; the store's ``read`` gives the exact one.
+    ``schema_name`` is the gate's, null where none applies; the last two are null for degenerate series.  Rows and times are those of the
+    latest series, as counted when it was committed: no observation is read.
     """
-    by = vintages.groupBy("library", "symbol", "mode").agg(
-        F.sum("row_count").alias("row_count"), F.max("max_valid_time").alias("latest_valid_time"),
+    newest = F.max_by(F.struct("total_rows", "last_valid_time", "mode"), F.struct("as_of", "commit_seq"))
+    by = vintages.groupBy("library", "symbol").agg(
+        newest.alias("_v"), F.sum("total_rows").alias("_sum"), F.max("max_valid_time").alias("_max"),
         F.countDistinct("as_of").alias("n"), (F.avg(F.col("vintage_reconstructed").cast("int")) * 100).alias("pct"),
     )
     keeps = F.col("mode") != "degenerate"
+    by = modes_of_libraries(by)  # the library's mode; a compaction's vintage has its own
+    row_count, latest = F.when(keeps, F.col("_v.total_rows")).otherwise(F.col("_sum")), F.when(keeps, F.col("_v.last_valid_time")).otherwise(F.col("_max"))
     return gates(by).select(
-        "library", "symbol", "mode", F.col("gate").alias("schema_name"), "row_count", "latest_valid_time",
+        "library", "symbol", "mode", F.col("gate").alias("schema_name"), row_count.alias("row_count"), latest.alias("latest_valid_time"),
         F.when(keeps, F.col("n")).alias("vintage_count"), F.when(keeps, F.col("pct")).alias("reconstructed_pct"),
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -47,12 +48,18 @@ def ingest(store: Store, name: str, *raw, as_of: datetime, fetched_at: datetime,
     plan and one partitioned write for all instruments of a library.
     """
     p = PIPELINES[name]
-    shaped = store.keep(p.shape(*raw), "runs")
-    rows = G.validate(shaped, G.GATES[p.gate], period_end or as_of)
-    late = period_end is not None and reconstructed(period_end, fetched_at, p.grace_days)
-    batch = routed(rows)
-    store.commit(batch, as_of=as_of, fetched_at=fetched_at, source=p.source, source_url=source_url, reconstructed=late)
-    return batch.groupBy("instrument_id").agg(F.count("*").alias("n_rows"))
+    landed = f"{store.root}/staging/{uuid.uuid4().hex}"
+    shape = p.shape(*raw)
+    shape.write.parquet(landed)
+    try:
+        rows = G.validate(store.spark.read.schema(shape.schema).parquet(landed), G.GATES[p.gate], period_end or as_of)
+        late = period_end is not None and reconstructed(period_end, fetched_at, p.grace_days)
+        batch = routed(rows)
+        counts = batch.groupBy("instrument_id").agg(F.count("*").alias("n_rows")).collect()
+        store.commit(batch, as_of=as_of, fetched_at=fetched_at, source=p.source, source_url=source_url, reconstructed=late)
+    finally:
+        store.files.delete(landed)
+    return store.spark.createDataFrame(counts, "instrument_id string, n_rows long")
 
 
 def read_back(store: Store, name: str, library: str, as_of: datetime | None = None) -> DataFrame:

@@ -17,17 +17,26 @@ def commit_stream(rows: DataFrame, store: Store, source: str) -> DataStreamWrite
     """Commit each micro-batch of canonical rows.
 
     Rows become known when they were fetched: a batch is committed once for each
-    ``fetched_at`` in it (one for each landed payload), in order.  Commits carry the
-    number of their micro-batch, so one that is run again after a failure commits
-    nothing twice, and batches of one ``fetched_at`` add to each other.
+    ``fetched_at`` in it (one for each landed payload), in order.  Parts of one ``fetched_at`` add to each
+    other, and rows that the store was given at that moment before are left out, so the store is
+    the ledger: a stream that starts again, from another checkpoint and with batches cut
+    otherwise, loses and doubles nothing.  A row without ``fetched_at`` stops the stream.
     """
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{store.root} {source}")
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        for (fetched,) in batch.where("fetched_at is not null").select("fetched_at").distinct().orderBy("fetched_at").collect():
-            at = fetched if fetched.tzinfo else fetched.replace(tzinfo=UTC)
-            part = batch.where(F.col("fetched_at") == F.lit(at)).drop("fetched_at")
-            store.commit(routed(part), as_of=at, fetched_at=at, source=source, batch=f"{name}/{batch_id}/{at.isoformat()}")
+        landed = f"{store.root}/staging/{uuid.uuid4().hex}"
+        batch.write.parquet(landed)
+        try:
+            kept = store.spark.read.schema(batch.schema).parquet(landed)
+            moments = [r["fetched_at"] for r in kept.groupBy("fetched_at").count().orderBy("fetched_at").collect()]
+            if None in moments:
+                raise ValueError(f"{source}: rows without fetched_at")
+            for fetched in moments:
+                at = fetched if fetched.tzinfo else fetched.replace(tzinfo=UTC)
+                part = kept.where(F.col("fetched_at") == F.lit(at)).drop("fetched_at")
+                store.commit(routed(part), as_of=at, fetched_at=at, source=source, batch=f"{source}/{batch_id}")
+        finally:
+            store.files.delete(landed)
 
     return rows.writeStream.foreachBatch(commit)
 
