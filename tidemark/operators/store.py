@@ -27,12 +27,13 @@ small ones or the merged one, whichever their number of the log says.
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,7 +44,7 @@ from tidemark.operators.routing import LIBRARY_MODE
 VINTAGES = (
     "library string, symbol string, commit_id string, commit_seq long, as_of timestamp, fetched_at timestamp, mode string, vintage_reconstructed boolean, "
     "row_count long, min_valid_time timestamp, max_valid_time timestamp, chain array<string>, batch string, "
-    "total_rows long, last_valid_time timestamp, columns string, files array<struct<name:string,low:timestamp,high:timestamp>>, merges array<string>"
+    "total_rows long, last_valid_time timestamp, columns string, files array<struct<name:string,low:timestamp,high:timestamp,n:bigint>>, merges array<string>"
 )
 NAMES = [c.split()[0] for c in VINTAGES.split(", ")]
 PROVENANCE = ("as_of", "fetched_at", "source", "source_url", "vintage_reconstructed")
@@ -55,6 +56,8 @@ FILE_ROWS = 1_000_000
 ATTEMPTS = 50
 #: Marks rows whose key the series did not have.
 FIRST = "_first"
+#: Symbols of a batch that the driver looks at by name.
+FEW = 1000
 
 
 def canonical(df: DataFrame, extra: tuple[str, ...] = (), order: str | None = None, **provenance) -> DataFrame:
@@ -103,8 +106,8 @@ class Store:
         """All rows of one log, or of all."""
         if library is not None:
             return self.log(library).read()
-        found = [f for name in self.files.names(f"{self.root}/vintages") for f in self.log(name).listed()[1]]
-        return Log(self.spark, f"{self.root}/vintages", VINTAGES).frame(found)
+        logs = [self.log(name).read() for name in self.files.names(f"{self.root}/vintages") if not name.startswith("_")]
+        return functools.reduce(DataFrame.unionAll, logs) if logs else self.spark.createDataFrame([], VINTAGES)
 
     def vintages(self, library: str | None = None) -> DataFrame:
         """All committed vintages; merging commits makes none."""
@@ -125,30 +128,32 @@ class Store:
             vintages = vintages.where(F.col("min_valid_time") <= F.lit(end))
         return vintages
 
-    def _rows(self, library: str, vintages: DataFrame, start=None, end=None, whole: bool = False) -> DataFrame | None:
+    def _rows(self, library: str, vintages: DataFrame, start=None, end=None, whole: bool = False, one_task: bool = False) -> DataFrame | None:
         """Rows in the files of ``vintages`` (commit_id, columns, files) whose times overlap a range; None without any.
 
         The driver gets the names of the files to open, as it does of any table that Spark lists; with ``whole`` those of
-        the folders.  Files of other commits, and of broken ones, are not even listed.
+        the folders.  Files of other commits, and of broken ones, are not even listed.  ``one_task``: the rows of the
+        symbols are read by one task if they are no more than those of a file, so that nothing is shuffled.
         """
         base = f"{self.root}/observations/{library}"
         if whole:
-            named = vintages.select("commit_id", "columns", F.lit("").alias("name"))
+            named = vintages.select("commit_id", "columns", F.lit("").alias("name"), "row_count")
         else:
             inside = lambda f: (F.lit(True) if start is None else f["high"] >= F.lit(start)) & (F.lit(True) if end is None else f["low"] <= F.lit(end))
-            named = vintages.select("commit_id", "columns", F.explode(F.filter("files", inside)).alias("f")).select("commit_id", "columns", "f.name")
-        found = sorted(map(tuple, named.distinct().collect()))
+            named = vintages.select("commit_id", "columns", F.explode(F.filter("files", inside)).alias("f")).select("commit_id", "columns", "f.name", F.col("f.n").alias("row_count"))
+        found = sorted(map(tuple, named.groupBy("commit_id", "columns", "name").agg(F.sum("row_count")).collect()))
         if not found:
             return None
         schema = StructType()
-        for columns in sorted({c for _, c, _ in found}):
+        for columns in sorted({c for _, c, _, _ in found}):
             for field in StructType.fromJson(json.loads(columns)).fields:
                 if field.name not in schema.names:
                     schema.add(field)
                 elif schema[field.name].dataType != field.dataType:
                     raise ValueError(f"{library}: {field.name} is {schema[field.name].dataType.simpleString()} in one commit and {field.dataType.simpleString()} in another")
         schema.add("commit_id", "string")
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*(f"{base}/commit_id={c}/{n}".rstrip("/") for c, _, n in found))
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*(f"{base}/commit_id={c}/{n}".rstrip("/") for c, _, n, _ in found))
+        return rows.coalesce(1) if one_task and sum(n for *_, n in found) <= self.file_rows else rows
 
     @staticmethod
     def _heads(vintages: DataFrame, as_of: datetime | None, strictly: bool = False) -> DataFrame:
@@ -161,10 +166,10 @@ class Store:
 
     # -- reads --------------------------------------------------------------
 
-    def _series(self, library: str, logged: DataFrame, heads: DataFrame, start=None, end=None, whole: bool = False) -> DataFrame | None:
+    def _series(self, library: str, logged: DataFrame, heads: DataFrame, start=None, end=None, whole: bool = False, one_task: bool = False) -> DataFrame | None:
         links = heads.select("symbol", F.posexplode("chain").alias("_place", "commit_id"))
         named = self._overlapping(logged, start, end).join(links, ["symbol", "commit_id"])
-        rows = self._rows(library, named, start, end, whole)
+        rows = self._rows(library, named, start, end, whole, one_task)
         if rows is None:
             return None
         key = ["symbol", "valid_time", *EXTRA_KEYS.get(library, ())]
@@ -271,52 +276,64 @@ class Store:
 
     def _commit(self, library, part, *, as_of, fetched_at, source, source_url="", reconstructed=False, order=None, force=False, batch=None) -> list[str]:
         stamps = {"as_of": as_of, "fetched_at": fetched_at, "source": source, "source_url": source_url, "vintage_reconstructed": reconstructed}
-        new = canonical(part, EXTRA_KEYS.get(library, ()), order, **stamps)
-        new = (new.drop(order) if order else new).drop("library")
-        low, high, size = part.agg(F.min("valid_time"), F.max("valid_time"), F.count("*")).first()
+        per = part.groupBy("symbol").agg(F.min("valid_time").alias("low"), F.max("valid_time").alias("high"), F.count("*").alias("n"))
+        some = per.limit(FEW + 1).collect()
+        if len(some) > FEW:
+            low, high, size = part.agg(F.min("valid_time"), F.max("valid_time"), F.count("*")).first()
+            names = part.select("symbol").distinct()
+            of_batch = lambda df: df.join(names, "symbol", "left_semi")
+        else:
+            times = [t for r in some for t in (r["low"], r["high"]) if t is not None]
+            low, high, size = min(times, default=None), max(times, default=None), sum(r["n"] for r in some)
+            of_batch = lambda df: df.where(F.col("symbol").isin(*(r["symbol"] for r in some)))
         if low is None:
             return []
+        if size <= self.file_rows:
+            part = part.coalesce(1)  # one file in the end, so one task from the start
+        new = canonical(part, EXTRA_KEYS.get(library, ()), order, **stamps)
+        new = (new.drop(order) if order else new).drop("library")
         decide = self._append if LIBRARY_MODE[library] == "degenerate" else self._revise
         for _ in range(ATTEMPTS):
             log = self.log(library)
             number, files = log.listed()
             logged = log.frame(files)
-            own = logged.join(part.select("symbol").distinct(), "symbol", "left_semi")
-            rows, heads, size = decide(library, new, logged, own, low, high, size, as_of, force, batch)
+            rows, heads, n = decide(library, new, logged, of_batch, low, high, size, as_of, force, batch)
             made = {"as_of": F.lit(as_of), "fetched_at": F.lit(fetched_at), "vintage_reconstructed": F.lit(reconstructed), "batch": F.lit(batch).cast("string")}
-            done = self._write(library, rows, size, number + 1, heads, made)
+            done = self._write(library, rows, n, number + 1, heads, made)
             if done is None:
                 return []
             commit_id, rows_of = done
             if log.append(rows_of, number + 1):
+                if LIBRARY_MODE[library] == "degenerate" and (number + 1) % self.fold == 0:
+                    self.compact(library)
                 return [commit_id]
             self.discard(library, commit_id)  # another writer was first: what it wrote may change what is new
         raise RuntimeError(f"{library}: other writers were first {ATTEMPTS} times")
 
-    def _append(self, library, new, logged, own, low, high, size, as_of, force, batch):
+    def _append(self, library, new, logged, of_batch, low, high, size, as_of, force, batch):
         """Rows whose keys a degenerate library does not have."""
         key = ["symbol", "valid_time", *EXTRA_KEYS.get(library, ())]
-        live = self._live(logged).join(new.select("symbol").distinct(), "symbol", "left_semi")
-        old = self._rows(library, self._overlapping(live, low, high), low, high)
+        old = self._rows(library, self._overlapping(of_batch(self._live(logged)), low, high), low, high, one_task=size <= self.file_rows)
         return (new if old is None else new.join(old.select(*key), key, "left_anti")).withColumn(FIRST, F.lit(True)), None, size
 
-    def _revise(self, library, new, logged, own, low, high, size, as_of, force, batch):
+    def _revise(self, library, new, logged, of_batch, low, high, size, as_of, force, batch):
         """Rows of the series that have something new to say, what they build on, and about how many they are."""
         replace, key = LIBRARY_MODE[library] == "bitemporal_replace", ["symbol", "valid_time", *EXTRA_KEYS.get(library, ())]
         values = [c for c in new.columns if c not in (*key, *PROVENANCE)]
+        own = of_batch(logged)
         now = own.where(F.col("as_of") == F.lit(as_of))
         whole = replace and batch is None  # a commit is the whole series
         if not force and batch is None:
             new = new.join(now.select("symbol").distinct(), "symbol", "left_anti")
         heads = self._heads(now if replace and batch is not None else own, as_of, strictly=batch is None)
+        span = (None, None) if whole else (low, high)
         longest = 0 if whole else heads.agg(F.max(F.size("chain"))).first()[0] or 0
-        span = (None, None) if whole or longest >= self.fold else (low, high)
-        base = self._series(library, own, heads, *span)
+        base = self._series(library, own, heads, *((None, None) if longest >= self.fold else span), one_task=size <= self.file_rows)
         if base is None:
             return new.withColumn(FIRST, F.lit(True)), None if whole else heads, size
         base = filled_up(base, [*values, *PROVENANCE], new.schema)
         if batch is not None and not force:
-            seen = self._rows(library, self._overlapping(now, low, high), low, high)
+            seen = self._rows(library, self._overlapping(now, low, high), low, high, one_task=size <= self.file_rows)
             if seen is not None:
                 seen = filled_up(seen.where(F.col("as_of") == F.lit(as_of)), values, new.schema)
                 seen = seen.select(*key, content(values).alias("_content")).distinct()
@@ -328,7 +345,10 @@ class Store:
         if not force:
             # a symbol is committed if any value of it differs, or if a whole series lacks a key
             differs = F.bool_or(F.col("_in_new").isNull() | F.col("_in_old").isNull() | ~F.col("_new").eqNullSafe(F.col("_old")))
-            rows = rows.join(both.groupBy("symbol").agg(differs.alias("_d")).where("_d").select("symbol"), "symbol", "left_semi")
+            if size <= self.file_rows:  # one task holds the batch already
+                rows = both.withColumn("_d", differs.over(Window.partitionBy("symbol"))).where("_d and _in_new").select(rows.columns)
+            else:
+                rows = rows.join(both.groupBy("symbol").agg(differs.alias("_d")).where("_d").select("symbol"), "symbol", "left_semi")
         if whole:
             return rows.withColumn(FIRST, F.lit(True)), None, size
         if longest >= self.fold:  # the next commit of a long chain holds the whole series
@@ -347,7 +367,6 @@ class Store:
         """
         commit_id = uuid.uuid4().hex
         base = f"{self.root}/observations/{library}"
-        seen = Observation()
         count = math.ceil(size / self.file_rows)
         if count > 1:  # cut by range: Spark samples what it cuts, so that is a table
             held = f"{self.root}/staging/{uuid.uuid4().hex}"
@@ -355,20 +374,22 @@ class Store:
             rows = self.spark.read.schema(rows.schema).parquet(held).repartitionByRange(count, "symbol", "valid_time")
         else:
             held, rows = None, rows.repartition(1)
-        rows.sortWithinPartitions("symbol", "valid_time").observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/commit_id={commit_id}")
+        rows.sortWithinPartitions("symbol", "valid_time").write.parquet(f"{base}/commit_id={commit_id}")
         if held:
             self.files.delete(held)
-        if not seen.get["n"]:
+        stored = self.spark.read.schema(rows.schema).option("basePath", base).parquet(f"{base}/commit_id={commit_id}")
+        if stored.isEmpty():
             self.discard(library, commit_id)
             return None
-        stored = self.spark.read.schema(rows.schema).option("basePath", base).parquet(f"{base}/commit_id={commit_id}")
         known = F.lit(True) if "as_of" not in made else F.col("as_of") == made["as_of"]
+        if count <= 1:
+            stored = stored.coalesce(1)
         by_file = stored.groupBy("symbol", F.col("_metadata.file_name").alias("name")).agg(
-            F.min("valid_time").alias("low"), F.max("valid_time").alias("high"), F.count_if(known).alias("n"), F.count_if(FIRST).alias("n_first")
+            F.min("valid_time").alias("low"), F.max("valid_time").alias("high"), F.count("*").alias("n"), F.count_if(known).alias("n_known"), F.count_if(FIRST).alias("n_first")
         )
         written = by_file.groupBy("symbol").agg(
-            F.sum("n").alias("row_count"), F.sum("n_first").alias("n_first"), F.min("low").alias("min_valid_time"), F.max("high").alias("max_valid_time"),
-            F.array_sort(F.collect_list(F.struct("name", "low", "high"))).alias("files"),
+            F.sum("n_known").alias("row_count"), F.sum("n_first").alias("n_first"), F.min("low").alias("min_valid_time"), F.max("high").alias("max_valid_time"),
+            F.array_sort(F.collect_list(F.struct("name", "low", "high", "n"))).alias("files"),
         )
         own = F.array(F.lit(commit_id))
         if heads is None:

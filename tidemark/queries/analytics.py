@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import charts, futures, quality, relational, sentiment, volatility
 from tidemark.queries.derived import ARTICLES, BARS, CONTRACTS, NEWS, articles, bars, contracts, news, rounded, table
+from tidemark.queries.holdings import scratch_store
 from tidemark.sources import landed
 
 SECTOR_SYMBOLS = ["CL=F", "BZ=F", "NG=F"]
@@ -171,7 +172,7 @@ def l05(s, d):
     return rounded(futures.spread(bars(s, d), "click", "view").select("Datetime", "Close", "Close_back", "spread"))
 
 
-def f01(s, d):
+def _bar_halves(s, d):
     c = table(s, d, "customer")
     row = c.select(
         F.timestamp_seconds(F.col("c_custkey") * 60).alias("Datetime"), F.col("c_mktsegment").alias("Symbol"),
@@ -179,7 +180,19 @@ def f01(s, d):
     )
     old = row.where("c_custkey % 2 = 0").withColumn("Close", F.lit(0.0)).drop("c_custkey")
     new = row.where("c_custkey % 3 = 0").drop("c_custkey")
-    return rounded(relational.upsert_bars(old, new).select("Symbol", "Datetime", "Close", "Volume"))
+    return old, new
+
+
+def f01(s, d):
+    return rounded(relational.upsert_bars(*_bar_halves(s, d)).select("Symbol", "Datetime", "Close", "Volume"))
+
+
+def f08(s, d):
+    """The same upsert into a table in buckets by day and symbol, of which only those with new rows are rewritten."""
+    bars = relational.KeyedTable(s, f"{scratch_store(s).root}/bars", relational.BAR_KEY, relational.BAR_COLUMNS, span="day", width=2)
+    for half in _bar_halves(s, d):
+        bars.upsert(half)
+    return rounded(bars.read().select("Symbol", "Datetime", "Close", "Volume"))
 
 
 def f02(s, d):
@@ -344,6 +357,8 @@ SELECT "Symbol", bin, round(min(lo) + bin * min(width), 6) AS price_from, sum("V
     "L05_spread_series": (l05, f"""WITH {BARS} SELECT a."Datetime", round(a."Close", 6) AS "Close", round(b."Close", 6) AS "Close_back", round(a."Close" - b."Close", 6) AS spread
 FROM bars a JOIN bars b USING ("Datetime") WHERE a."Symbol" = 'click' AND b."Symbol" = 'view'"""),
     "F01_upsert_bars": (f01, """SELECT c_mktsegment AS "Symbol", (to_timestamp(c_custkey * 60) AT TIME ZONE 'UTC')::TIMESTAMP AS "Datetime",
+round(CASE WHEN c_custkey % 3 = 0 THEN c_acctbal ELSE 0 END, 6)::DOUBLE AS "Close", c_nationkey::BIGINT AS "Volume" FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0"""),
+    "F08_incremental_upsert": (f08, """SELECT c_mktsegment AS "Symbol", (to_timestamp(c_custkey * 60) AT TIME ZONE 'UTC')::TIMESTAMP AS "Datetime",
 round(CASE WHEN c_custkey % 3 = 0 THEN c_acctbal ELSE 0 END, 6)::DOUBLE AS "Close", c_nationkey::BIGINT AS "Volume" FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0"""),
     "F02_upsert_contracts": (f02, """WITH li AS (SELECT l_orderkey, l_returnflag, l_linenumber, max(l_quantity) AS q FROM lineitem GROUP BY 1, 2, 3)
 SELECT l_returnflag AS "Commodity", (DATE '2024-01-01' + to_months(l_linenumber))::DATE AS "ContractMonth", count(*) AS n,

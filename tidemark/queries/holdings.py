@@ -160,14 +160,14 @@ def c12(s, d):
 # -- store --------------------------------------------------------------------
 
 
-def scratch_store(s: SparkSession) -> Store:
+def scratch_store(s: SparkSession, **how) -> Store:
     """A store in a folder of its own under the shared folder of the cluster."""
     base = s.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not s.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-store-")
-    return Store(s, f"{base.rstrip('/')}/store-{uuid.uuid4().hex}")
+    return Store(s, f"{base.rstrip('/')}/store-{uuid.uuid4().hex}", **how)
 
 
 def _batches(s, d, library_prefix: str, days=(12, 22, 32)) -> list[tuple[datetime, DataFrame]]:
@@ -327,6 +327,34 @@ def d17(s, d):
     return store.read("power.lmp").groupBy("source", "vintage_reconstructed").agg(F.count("*").alias("n"))
 
 
+def d18(s, d):
+    """Nine batches into a first-wins library that merges its commits after every third, then once more: known at two moments."""
+    store = scratch_store(s, fold=3)
+    for at, rows in _batches(s, d, "EIA930.D.", range(12, 39, 3)):
+        store.commit(routing.routed(rows), as_of=at, fetched_at=at, source="test")
+    store.compact("power.demand")
+    store.vacuum("power.demand")
+    old, new = store.read("power.demand", THEN), store.read("power.demand")
+    return rounded(old.select(F.lit("T").alias("moment"), "symbol", "valid_time", "price").unionByName(new.select(F.lit("latest").alias("moment"), "symbol", "valid_time", "price")))
+
+
+_NINE = """e AS (SELECT event_type, date_trunc('hour', ts) AS valid_time, max(value) AS v FROM events GROUP BY 1, 2),
+batches AS (SELECT k, event_type AS symbol, valid_time, v * (k + 1) AS price, as_of FROM e,
+  (SELECT k, TIMESTAMP '2024-01-12' + INTERVAL 3 DAY * k AS as_of FROM range(9) r(k))
+  WHERE valid_time < as_of AND valid_time >= as_of - INTERVAL 12 DAY),
+firsts AS (SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY symbol, valid_time ORDER BY k) = 1)"""
+
+
+def d19(s, d):
+    """A library cut into many files by symbol and time; of each symbol one day is read, as known at a moment."""
+    store = scratch_store(s, file_rows=500)
+    for at, rows in _batches(s, d, "ERCOT.SPP."):
+        store.commit(routing.routed(rows), as_of=at, fetched_at=at, source="test")
+    day = datetime(2024, 1, 15, tzinfo=UTC)
+    read = store.read("power.lmp", THEN, ["click", "error", "view"], day, day + timedelta(hours=23))
+    return rounded(read.select(*_SERIES))
+
+
 # -- observability ------------------------------------------------------------
 
 
@@ -357,8 +385,7 @@ def k06(s, d):
 
 
 def k07(s, d):
-    store = filled_store(s, d)
-    return observe.catalog_of(store.read("power.lmp"), store.vintages())
+    return observe.catalog(filled_store(s, d).vintages())
 
 
 def _health(s, d):
@@ -486,6 +513,9 @@ FROM bars WHERE "Symbol" IN ('click', 'view')"""),
 FROM vintages GROUP BY 1, 2"""),
     "D17_row_provenance": (d17, f"""WITH {_BATCHES}, x AS (SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY symbol, valid_time ORDER BY k DESC) = 1)
 SELECT 's' || k AS source, k = 0 AS vintage_reconstructed, count(*) AS n FROM x GROUP BY 1, 2"""),
+    "D18_merged_commits": (d18, f"""WITH {_NINE} SELECT 'T' AS moment, symbol, valid_time, round(price, 6) AS price FROM firsts WHERE as_of <= TIMESTAMP '2024-01-25'
+UNION ALL SELECT 'latest' AS moment, symbol, valid_time, round(price, 6) AS price FROM firsts"""),
+    "D19_day_of_symbols": (d19, _read_sql("k < 2 AND symbol IN ('click', 'error', 'view') AND date_trunc('day', valid_time) = TIMESTAMP '2024-01-15'")),
     "K01_series": (k01, _read_sql("k < 2 AND symbol = 'click' AND valid_time >= TIMESTAMP '2024-01-05'")),
     "K02_row_cap": (k02, f'WITH {BARS} SELECT "Symbol", "Datetime", round("Close", 6) AS "Close" FROM bars'),
     "K03_curve": (k03, f"""WITH {BARS} SELECT CASE "Symbol" WHEN 'click' THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time, round("Close", 6) AS "Close"

@@ -53,6 +53,22 @@ def x04(s, d):
     return rounded(store.read("power.lmp").select("symbol", "valid_time", "price"))
 
 
+def x05(s, d):
+    """Six landed files of one ``fetched_at``: two are taken one by one, then all in batches of three, without the first run's checkpoint."""
+    store = scratch_store(s)
+    folder = f"{store.root}/landed"
+    rows = table(s, d, "events").select(
+        F.concat(F.lit("ERCOT.SPP."), F.upper("event_type")).alias("instrument_id"), F.date_trunc("hour", "ts").alias("valid_time"),
+        F.col("event_type").alias("settlement_point"), F.col("value").alias("price"), F.lit("2024-02-01").cast("timestamp").alias("fetched_at"),
+    )
+    last = rows.groupBy("instrument_id", "valid_time", "settlement_point", "fetched_at").agg(F.max("price").alias("price"))
+    last.repartition(6, F.hour("valid_time")).write.parquet(folder)
+    for files, names in ((1, "part-0000[01]*"), (3, "part-*")):
+        stream = s.readStream.schema(last.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/{names}")
+        commit_stream(stream, store, "stream").option("checkpointLocation", f"{store.root}/state-{files}").trigger(availableNow=True).start().awaitTermination()
+    return rounded(store.read("power.lmp").select("symbol", "valid_time", "price"))
+
+
 def x02(s, d):
     rows = _stream(s, d).select("event_type", F.date_trunc("hour", "ts").alias("valid_time"))
     return _to_end(s, first_rows(rows, ["event_type", "valid_time"]))
@@ -66,6 +82,7 @@ def x03(s, d):
 ENTRIES = {
     "X01_stream_commit": (x01, "SELECT event_type AS symbol, count(DISTINCT date_trunc('hour', ts)) AS n FROM events GROUP BY 1"),
     "X04_stream_merge": (x04, "SELECT event_type AS symbol, date_trunc('hour', ts) AS valid_time, round(max(value), 6) AS price FROM events GROUP BY 1, 2"),
+    "X05_stream_restart": (x05, "SELECT event_type AS symbol, date_trunc('hour', ts) AS valid_time, round(max(value), 6) AS price FROM events GROUP BY 1, 2"),
     "X02_stream_first_rows": (x02, "SELECT DISTINCT event_type, date_trunc('hour', ts) AS valid_time FROM events"),
     "X03_stream_bars": (x03, """SELECT event_type AS "Symbol", date_trunc('hour', ts) AS "Datetime", arg_min(value, ts) AS "Open", max(value) AS "High", min(value) AS "Low",
 arg_max(value, ts) AS "Close", count(*) AS "Volume" FROM events GROUP BY 1, 2 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""),

@@ -21,6 +21,8 @@ def commit_stream(rows: DataFrame, store: Store, source: str) -> DataStreamWrite
     other, and rows that the store was given at that moment before are left out, so the store is
     the ledger: a stream that starts again, from another checkpoint and with batches cut
     otherwise, loses and doubles nothing.  A row without ``fetched_at`` stops the stream.
+    A payload that was fetched before one that is committed already is a late commit, as any: it is read
+    as of its own moment, and is not in series that were committed for later ones.
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
@@ -46,14 +48,14 @@ def first_rows(rows: DataFrame, keys: list[str], time: str = "valid_time", late:
     return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def stream_bars(ticks: DataFrame, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """OHLC bars (Symbol, Datetime, …) of ticks (symbol, ts, value), emitted when their window is closed."""
+def stream_bars(ticks: DataFrame, width: str = "1 hour", late: str = "1 hour", tie: str = "value") -> DataFrame:
+    """OHLC bars (Symbol, Datetime, …) of ticks (symbol, ts, value), emitted when their window is closed; of one ``ts`` in order of ``tie``."""
     return (
         ticks.withWatermark("ts", late)
         .groupBy("symbol", F.window("ts", width))
         .agg(
-            F.min_by("value", "ts").alias("Open"), F.max("value").alias("High"), F.min("value").alias("Low"),
-            F.max_by("value", "ts").alias("Close"), F.count("*").alias("Volume"),
+            F.min_by("value", F.struct("ts", tie)).alias("Open"), F.max("value").alias("High"), F.min("value").alias("Low"),
+            F.max_by("value", F.struct("ts", tie)).alias("Close"), F.count("*").alias("Volume"),
         )
         .select(F.col("symbol").alias("Symbol"), F.col("window.start").alias("Datetime"), "Open", "High", "Low", "Close", "Volume")
     )
