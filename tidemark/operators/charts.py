@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import by_block, in_blocks, over_full, own_rows
 
 
+#: Quantiles of the five numbers.
+FIVE = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
+
+
 def _pct_change(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("pct_change", F.try_divide("Close", F.lag("Close").over(by_block())) - 1)
 
@@ -29,11 +33,34 @@ def range_distribution(bars: DataFrame) -> DataFrame:
     pct = F.try_divide(F.col("High") - F.col("Low"), F.col("Open")) * 100
     five = bars.select("Symbol", pct.alias("r")).groupBy("Symbol")
     return five.agg(
-        *(F.percentile("r", F.lit(q)).alias(name) for q, name in ((0.0, "low"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1.0, "high"))),
+        *(F.percentile("r", F.lit(q)).alias(name) for name, q in FIVE.items()),
         F.count("r").alias("n"),
     )
 
 
+#: Size of a quantile sketch: ranks are off by about 0.4 % at most, with 99 % confidence, whatever was merged; some 10 kB.
+SKETCH_K = 800
+
+
+def range_sketches(bars: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """(Symbol, day, sketch, n): a KLL quantile sketch of each symbol's ranges of a day, to be kept and merged.
+
+    No group holds its values, and days that are known already need not be read again.
+    """
+    pct = (F.try_divide(F.col("High") - F.col("Low"), F.col("Open")) * 100).alias("r")
+    known = bars.select("Symbol", F.to_date("Datetime").alias("day"), pct).where("r is not null and not isnan(r)")
+    return known.groupBy("Symbol", "day").agg(F.kll_sketch_agg_double("r", k).alias("sketch"), F.count("*").alias("n"))
+
+
+def distribution_of_sketches(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """Five numbers by symbol, as ``range_distribution`` has them, from any days' sketches.
+
+    The least and greatest are exact; the others are values whose rank is within the sketch's error.
+    """
+    merged = sketches.groupBy("Symbol").agg(F.kll_merge_agg_double("sketch", k).alias("s"), F.sum("n").alias("n"))
+    return merged.select("Symbol", *(F.kll_sketch_get_quantile_double("s", F.lit(q)).alias(name) for name, q in FIVE.items()), "n")
+
+
 def volume_profile(bars: DataFrame, bins: int = 50) -> DataFrame:
     """Volume by equal price bins between a symbol's least and greatest close."""
     ends = bars.groupBy("Symbol").agg(F.min("Close").alias("lo"), F.max("Close").alias("hi"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import business_days, number
@@ -160,6 +162,50 @@ def failures(df: DataFrame, gate: Gate, as_of: datetime | None = None) -> DataFr
     return found
 
 
+def watched(df: DataFrame, gate: Gate) -> tuple[DataFrame, Callable[[datetime | None], list[dict]]]:
+    """Coerced rows that are checked as they are written, and what failed once they are; no scan for the checks themselves.
+
+    The second one may be called after an action has read all rows once.  It has the checks of ``failures``
+    but the key's, which ``repeated_keys`` counts on what was written.
+    """
+    seen = Observation()
+    missing = [{"check": "column", "column": f.name, "n_failed": 1} for f in gate.all_fields if f.name not in df.columns]
+    both = df.withColumn("_c", F.struct(*(coerced_column(f, gate) for f in gate.all_fields if f.name in df.columns)))
+    checks = row_checks(gate, df.columns)
+    newest = F.max("_c.valid_time") if "valid_time" in df.columns else F.max(F.lit(None).cast("timestamp"))
+    both = both.observe(seen, F.count(F.lit(1)).alias("rows"), F.to_date(newest).alias("newest"), *(F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(checks)))
+    declared = {f.name for f in gate.all_fields}
+
+    def found(as_of: datetime | None) -> list[dict]:
+        got = seen.get
+        out = missing + [{"check": c, "column": col, "n_failed": got[f"n{i}"]} for i, (c, col, _) in enumerate(checks) if got[f"n{i}"]]
+        if not got["rows"]:
+            out.append({"check": "rows", "column": "", "n_failed": 1})
+        if as_of is not None and "valid_time" in df.columns and (got["newest"] is None or np.busday_count(got["newest"], as_of.date()) > gate.max_age):
+            out.append({"check": "age", "column": "valid_time", "n_failed": 1})
+        return out
+
+    return both.select(*(F.col(f"_c.{c}").alias(c) if c in declared else F.col(c) for c in df.columns)), found
+
+
+def repeated_keys(rows: DataFrame, gate: Gate) -> list[dict]:
+    """What ``failures`` says of the key of coerced rows."""
+    if not all(k in rows.columns for k in gate.all_key):
+        return []
+    n = rows.groupBy(*gate.all_key).count().where("count > 1").count()
+    return [{"check": "unique", "column": ",".join(gate.all_key), "n_failed": n}] if n else []
+
+
+def refuse(df: DataFrame, gate: Gate, found: list[dict]) -> None:
+    """A QualityGateError with every failed check, and with some of the failing values of ``df``; nothing if none failed."""
+    if not found:
+        return
+    some: dict[tuple[str, str], list[str]] = {}
+    for r in failure_cases(df, gate, [(f["check"], f["column"]) for f in found]).collect():  # at most CASES rows per check
+        some.setdefault((r["check"], r["column"]), []).append(r["failure_case"])
+    raise QualityGateError(gate.name, [f | {"cases": some.get((f["check"], f["column"]), [])} for f in found])
+
+
 def failure_cases(df: DataFrame, gate: Gate, wanted: list[tuple[str, str]] | None = None, most: int = CASES) -> DataFrame:
     """(check, column, failure_case): values that fail, up to ``most`` of each check on rows or keys.
 
@@ -183,13 +229,7 @@ def failure_cases(df: DataFrame, gate: Gate, wanted: list[tuple[str, str]] | Non
 
 def validate(df: DataFrame, gate: Gate, as_of: datetime | None = None) -> DataFrame:
     """The coerced frame, or a QualityGateError with every failed check."""
-    found = failures(df, gate, as_of).collect()  # at most one row per check
-    if found:
-        cases = failure_cases(df, gate, [(r["check"], r["column"]) for r in found])
-        some: dict[tuple[str, str], list[str]] = {}
-        for r in cases.collect():  # at most CASES rows per check
-            some.setdefault((r["check"], r["column"]), []).append(r["failure_case"])
-        raise QualityGateError(gate.name, [r.asDict() | {"cases": some.get((r["check"], r["column"]), [])} for r in found])
+    refuse(df, gate, [r.asDict() for r in failures(df, gate, as_of).collect()])  # at most one row per check
     return coerced(df, gate)
 
 

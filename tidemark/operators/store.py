@@ -238,6 +238,10 @@ class Store:
         rows.write.partitionBy("library").parquet(staged)
         return staged
 
+    def staged(self, staged: str, schema: StructType) -> DataFrame:
+        """What ``stage`` has written; empty if it had no rows."""
+        return self.spark.read.schema(schema).parquet(staged)
+
     def commit(
         self, rows: DataFrame, *, as_of: datetime, fetched_at: datetime, source: str, source_url: str = "",
         reconstructed: bool = False, order: str | None = None, force: bool = False, batch: str | None = None,

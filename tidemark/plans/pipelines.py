@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -44,21 +43,23 @@ def ingest(store: Store, name: str, *raw, as_of: datetime, fetched_at: datetime,
     """Run a pipeline on landed payloads; (instrument_id, n_rows) of the batch.
 
     Age is gated against the end of the period where there is one, else ``as_of``.
-    The payloads are parsed once, into a table that gate, commit and count read.  One
-    plan and one partitioned write for all instruments of a library.
+    The payloads are parsed once: rows are checked while they are written to a folder by library, and committed
+    from there only if the checks have found nothing.  One plan and one partitioned write for all instruments of a library.
     """
     p = PIPELINES[name]
-    landed = f"{store.root}/staging/{uuid.uuid4().hex}"
-    shape = p.shape(*raw)
-    shape.write.parquet(landed)
+    checked, found = G.watched(p.shape(*raw), gate := G.GATES[p.gate])
+    batch = routed(checked)
+    staged = store.stage(batch)
     try:
-        rows = G.validate(store.spark.read.schema(shape.schema).parquet(landed), G.GATES[p.gate], period_end or as_of)
+        rows = store.staged(staged, batch.schema)
+        failed = found(period_end or as_of) + G.repeated_keys(rows, gate)
+        if failed:
+            G.refuse(p.shape(*raw), gate, failed)
         late = period_end is not None and reconstructed(period_end, fetched_at, p.grace_days)
-        batch = routed(rows)
-        counts = batch.groupBy("instrument_id").agg(F.count("*").alias("n_rows")).collect()
-        store.commit(batch, as_of=as_of, fetched_at=fetched_at, source=p.source, source_url=source_url, reconstructed=late)
+        counts = rows.groupBy("instrument_id").agg(F.count("*").alias("n_rows")).collect()
+        store.commit_staged(staged, batch.schema, as_of=as_of, fetched_at=fetched_at, source=p.source, source_url=source_url, reconstructed=late)
     finally:
-        store.files.delete(landed)
+        store.files.delete(staged)
     return store.spark.createDataFrame(counts, "instrument_id string, n_rows long")
 
 

@@ -164,6 +164,18 @@ def l03(s, d):
     return rounded(charts.range_distribution(bars(s, d)))
 
 
+def l07(s, d):
+    """Five numbers of sketches by symbol and day: whether each one's rank among all ranges of the symbol is within 1 % of its own."""
+    b = bars(s, d)
+    five = charts.distribution_of_sketches(charts.range_sketches(b))
+    asked = F.array(*(F.struct(F.lit(name).alias("number"), F.lit(q).alias("q"), F.col(name).alias("v")) for name, q in charts.FIVE.items()))
+    each = five.select("Symbol", "n", F.inline(asked))
+    ranges = b.select("Symbol", (F.try_divide(F.col("High") - F.col("Low"), F.col("Open")) * 100).alias("r")).where("r is not null")
+    ranks = ranges.join(F.broadcast(each), "Symbol").groupBy("Symbol", "number", "n", "q").agg(F.count_if(F.col("r") < F.col("v")).alias("below"), F.count_if(F.col("r") <= F.col("v")).alias("upto"))
+    near = (F.col("below") / F.col("n") - 0.01 <= F.col("q")) & (F.col("upto") / F.col("n") + 0.01 >= F.col("q"))
+    return ranks.select("Symbol", "number", "n", near.alias("near"))
+
+
 def l04(s, d):
     return rounded(charts.volume_profile(bars(s, d)))
 
@@ -262,7 +274,7 @@ _SCORED = f"""{ARTICLES}, u AS (SELECT *, {_UP} AS up, {_DOWN} AS dn FROM articl
          {_SECTOR} AS impact_sector FROM u)"""
 _MATCHED = "list_filter([" + ", ".join(f"CASE WHEN {_ANY(landed.KEYWORDS[s])} THEN '{s}' END" for s in SECTOR_SYMBOLS) + "], lambda x: x IS NOT NULL)"
 _END = """date_trunc('hour', "Datetime") + INTERVAL 1 HOUR"""
-_WINDOWS = f"""{NEWS}, w AS (
+WINDOWS = f"""{NEWS}, w AS (
   SELECT "Symbol", {_END} AS window_end, avg(sentiment_score) AS sentiment_score, avg(confidence) AS confidence, count(*) AS news_count
   FROM news GROUP BY 1, 2)"""
 
@@ -324,17 +336,17 @@ SELECT "Commodity", CASE WHEN span > 0 AND b > f THEN 'contango' WHEN span > 0 A
     "J04_article_symbols": (j04, f"""WITH {_SCORED}, x AS (SELECT *, {_MATCHED} AS own FROM scored)
 SELECT event_id, unnest(CASE WHEN len(own) > 0 THEN own WHEN impact_sector = 'Oil' THEN ['CL=F'] WHEN impact_sector = 'Natural Gas' THEN ['NG=F']
 WHEN impact_sector = 'Brent' THEN ['BZ=F'] ELSE ['CL=F', 'BZ=F', 'NG=F'] END) AS "Symbol", sentiment_score FROM x"""),
-    "J05_both_sides_utc": (j05, f"""WITH {BARS}, {_WINDOWS} SELECT b."Symbol", (b."Datetime" AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS "Datetime", round(b."Close", 6) AS "Close",
+    "J05_both_sides_utc": (j05, f"""WITH {BARS}, {WINDOWS} SELECT b."Symbol", (b."Datetime" AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS "Datetime", round(b."Close", 6) AS "Close",
 round(coalesce(w.sentiment_score, 0), 6) AS sentiment_score, round(coalesce(w.confidence, 0), 6) AS confidence, coalesce(w.news_count, 0) AS news_count
 FROM bars b ASOF LEFT JOIN w ON b."Symbol" = w."Symbol" AND b."Datetime" >= w.window_end"""),
     "J06_window_end": (j06, f"""WITH {NEWS} SELECT date_trunc('hour', "Datetime") + INTERVAL 1 HOUR AS window_end, count(*) AS news_count FROM news GROUP BY 1"""),
-    "J07_window_mean": (_scores("mean"), f"""WITH {_WINDOWS} SELECT "Symbol", window_end, round(sentiment_score, 6) AS sentiment_score, round(confidence, 6) AS confidence, news_count FROM w"""),
+    "J07_window_mean": (_scores("mean"), f"""WITH {WINDOWS} SELECT "Symbol", window_end, round(sentiment_score, 6) AS sentiment_score, round(confidence, 6) AS confidence, news_count FROM w"""),
     "J08_window_weighted": (_scores("weighted"), f"""WITH {NEWS} SELECT "Symbol", {_END} AS window_end,
 round(CASE WHEN sum(confidence) <> 0 THEN sum(sentiment_score * confidence) / sum(confidence) ELSE avg(sentiment_score) END, 6) AS sentiment_score,
 round(avg(confidence), 6) AS confidence, count(*) AS news_count FROM news GROUP BY 1, 2"""),
     "J09_window_latest": (_scores("latest"), f"""WITH {NEWS} SELECT "Symbol", {_END} AS window_end, round(arg_max(sentiment_score, "Datetime"), 6) AS sentiment_score,
 round(arg_max(confidence, "Datetime"), 6) AS confidence, count(*) AS news_count FROM news GROUP BY 1, 2"""),
-    "J10_as_of_join": (j10, f"""WITH {BARS}, {_WINDOWS} SELECT b."Symbol", b."Datetime", round(b."Close", 6) AS "Close", round(coalesce(w.sentiment_score, 0), 6) AS sentiment_score,
+    "J10_as_of_join": (j10, f"""WITH {BARS}, {WINDOWS} SELECT b."Symbol", b."Datetime", round(b."Close", 6) AS "Close", round(coalesce(w.sentiment_score, 0), 6) AS sentiment_score,
 round(coalesce(w.confidence, 0), 6) AS confidence, coalesce(w.news_count, 0) AS news_count
 FROM bars b ASOF LEFT JOIN w ON b."Symbol" = w."Symbol" AND b."Datetime" >= w.window_end"""),
     "J11_no_news": (j11, f'WITH {BARS} SELECT "Symbol", "Datetime", NULL::DOUBLE AS sentiment_score, NULL::DOUBLE AS confidence, 0::BIGINT AS news_count FROM bars'),
@@ -351,6 +363,8 @@ SELECT "Symbol", "Datetime", round({_full('pc', 'stddev_samp(pc)', 30)} * sqrt(2
     "L03_range_distribution": (l03, f"""WITH {BARS}, x AS (SELECT "Symbol", ("High" - "Low") / "Open" * 100 AS r FROM bars)
 SELECT "Symbol", round(min(r), 6) AS low, round(quantile_cont(r, 0.25), 6) AS q1, round(quantile_cont(r, 0.5), 6) AS median, round(quantile_cont(r, 0.75), 6) AS q3,
 round(max(r), 6) AS high, count(r) AS n FROM x GROUP BY 1"""),
+    "L07_range_sketches": (l07, f"""WITH {BARS} SELECT "Symbol", number, count(*) AS n, TRUE AS near FROM bars, (VALUES ('low'), ('q1'), ('median'), ('q3'), ('high')) f(number)
+WHERE "Open" <> 0 GROUP BY 1, 2"""),
     "L04_volume_profile": (l04, f"""WITH {BARS}, e AS (SELECT "Symbol", min("Close") AS lo, (max("Close") - min("Close")) / 50 AS width FROM bars GROUP BY 1), x AS (
 SELECT "Symbol", coalesce(least(floor(("Close" - lo) / nullif(width, 0)), 49), 0)::INTEGER AS bin, "Volume", lo, width FROM bars JOIN e USING ("Symbol"))
 SELECT "Symbol", bin, round(min(lo) + bin * min(width), 6) AS price_from, sum("Volume")::BIGINT AS volume FROM x GROUP BY 1, 2"""),

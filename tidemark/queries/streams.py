@@ -7,8 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.queries.derived import rounded, table
+from tidemark.operators import sentiment
+from tidemark.queries.analytics import WINDOWS
+from tidemark.queries.derived import BARS, bars, news, rounded, table
 from tidemark.queries.holdings import scratch_store
+from tidemark.streaming.asof import as_of_stream
 from tidemark.streaming.ingest import commit_stream, first_rows, stream_bars
 
 
@@ -69,6 +72,18 @@ def x05(s, d):
     return rounded(store.read("power.lmp").select("symbol", "valid_time", "price"))
 
 
+def j14(s, d):
+    """Bars and scores landed in files in order of time, read as two streams; bars up to ten days before the newest time are given out."""
+    root = scratch_store(s).root
+    b = bars(s, d).select("Symbol", "Datetime", "Close")
+    w = sentiment.window_scores(news(s, d), 60, "mean").select("Symbol", "window_end", "sentiment_score", "confidence", "news_count")
+    for name, df, time in (("bars", b, "Datetime"), ("scores", w, "window_end")):
+        for week in range(5):  # one file after the other, so that their order is that of time
+            df.where(F.greatest(F.lit(0), F.least(F.lit(4), F.floor(F.datediff(time, F.lit("2024-01-01")) / 7))) == week).coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+    left, right = (s.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}") for name, df in (("bars", b), ("scores", w)))
+    return rounded(_to_end(s, as_of_stream(left, right, late="10 days")))
+
+
 def x02(s, d):
     rows = _stream(s, d).select("event_type", F.date_trunc("hour", "ts").alias("valid_time"))
     return _to_end(s, first_rows(rows, ["event_type", "valid_time"]))
@@ -80,6 +95,10 @@ def x03(s, d):
 
 
 ENTRIES = {
+    "J14_as_of_stream": (j14, f"""WITH {BARS}, {WINDOWS} SELECT b."Symbol", b."Datetime", round(b."Close", 6) AS "Close", round(coalesce(w.sentiment_score, 0), 6) AS sentiment_score,
+round(coalesce(w.confidence, 0), 6) AS confidence, coalesce(w.news_count, 0) AS news_count
+FROM bars b ASOF LEFT JOIN w ON b."Symbol" = w."Symbol" AND b."Datetime" >= w.window_end
+WHERE b."Datetime" < greatest((SELECT max("Datetime") FROM bars), (SELECT max(window_end) FROM w)) - INTERVAL 10 DAY"""),
     "X01_stream_commit": (x01, "SELECT event_type AS symbol, count(DISTINCT date_trunc('hour', ts)) AS n FROM events GROUP BY 1"),
     "X04_stream_merge": (x04, "SELECT event_type AS symbol, date_trunc('hour', ts) AS valid_time, round(max(value), 6) AS price FROM events GROUP BY 1, 2"),
     "X05_stream_restart": (x05, "SELECT event_type AS symbol, date_trunc('hour', ts) AS valid_time, round(max(value), 6) AS price FROM events GROUP BY 1, 2"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +36,25 @@ REPORT = "data array<array<string>>, fields array<struct<name:string>>"
 OBSERVATIONS = "observations array<struct<date:string,value:string>>"
 
 
+def _arrival(raw: DataFrame, array: str) -> Column:
+    """What payloads are ordered by: ``_order`` if the caller gives it, else the name of the file that they were landed in, and the place in it.
+
+    Files are to be named in the order in which they were fetched.  Rows that come from no file are ordered by a hash of their content.
+    """
+    if "_order" in raw.columns:
+        return F.col("_order")
+    try:
+        raw.select("_metadata.file_name")
+    except AnalysisException:
+        return F.xxhash64(array)
+    # rows of a split are numbered as they are read
+    return F.struct(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n"))
+
+
 def _records(raw: DataFrame, array: str, *more: str) -> DataFrame:
-    """Records in order: of the payload (``_order``, or else a hash of its content, so that the split of files does not matter), and the place in it."""
-    order = F.col("_order") if "_order" in raw.columns else F.xxhash64(array)
-    return raw.select(*more, order.alias("_file"), F.posexplode(array).alias("_pos", "r"))
+    """Records in order of arrival, and the place of each in its payload."""
+    ordered = raw.select(*more, _arrival(raw, array).alias("_file"), F.col(array).alias("_array"))
+    return ordered.select(*more, "_file", F.posexplode("_array").alias("_pos", "r"))
 
 
 def _keep(df: DataFrame, keys: list[str], which: str) -> DataFrame:
@@ -84,7 +100,7 @@ def hourly_by_fuel(raw: DataFrame) -> DataFrame:
 def report_rows(raw: DataFrame) -> DataFrame:
     """Rows of paged reports as maps from field name to text; rows without a list of fields are an error."""
     named = F.assert_true((F.size("data") == 0) | (F.size("fields") > 0), F.lit("report rows without fields"))
-    rows = _records(raw.withColumn("_ok", named).where("_ok is null"), "data", "fields")
+    rows = _records(raw.where(named.isNull()), "data", "fields")
     names = F.transform("fields", lambda f: f["name"])
     return rows.select("_file", "_pos", F.map_from_arrays(names, "r").alias("m"))
 
