@@ -31,7 +31,10 @@ def as_of_stream(
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = pickle.loads(state.get[0]) if state.exists else None
-        rows = pd.concat([*([] if held is None else [held]), *batches], ignore_index=True).sort_values("_at", kind="stable")
+        parts = [p for p in ([] if held is None else [held]) + list(batches) if len(p)]
+        if not parts:
+            return
+        rows = pd.concat(parts, ignore_index=True).sort_values("_at", kind="stable")
         mark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
         asks = rows["_asks"].astype(bool)
         known, due = rows[~asks], rows[asks & (rows["_at"] < mark)]
