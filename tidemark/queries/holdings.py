@@ -301,12 +301,11 @@ def d13(s, d):
 
 
 def d14(s, d):
+    """Five types of events are two contracts; the highest close of those that meet in an hour."""
     store = scratch_store(s)
-    rows = bars(s, d).where(F.col("Symbol").isin("click", "view")).select(
-        F.when(F.col("Symbol") == "click", F.lit("CME.CL.CLF26")).otherwise(F.lit("CME.CL.CLG26")).alias("instrument_id"),
-        F.col("Datetime").alias("valid_time"), "Close", F.lit("2026-01-01").cast("timestamp").alias("ContractMonth"),
-    )
-    store.commit(routing.routed(rows), as_of=T, fetched_at=T, source="t")
+    ticker = F.when(F.col("Symbol").isin("click", "error", "purchase"), F.lit("CME.CL.CLF26")).otherwise(F.lit("CME.CL.CLG26"))
+    closes = bars(s, d).groupBy(ticker.alias("instrument_id"), F.col("Datetime").alias("valid_time")).agg(F.max("Close").alias("Close"))
+    store.commit(routing.routed(closes.withColumn("ContractMonth", F.lit("2026-01-01").cast("timestamp"))), as_of=T, fetched_at=T, source="t")
     return rounded(store.curve("prices.futures", routing.contracts_for(s, "crude")).select("instrument_id", "valid_time", "Close"))
 
 
@@ -506,8 +505,8 @@ QUALIFY row_number() OVER (PARTITION BY instrument_id, valid_time ORDER BY as_of
     "D11_vintages": (d11, f"WITH {_BATCHES} SELECT as_of, FALSE AS vintage_reconstructed, count(*) AS row_count FROM batches WHERE symbol = 'click' GROUP BY 1"),
     "D12_latest_vintage": (d12, f"WITH {_BATCHES} SELECT symbol, max(as_of) AS as_of, max(k) + 1::BIGINT AS commit_seq FROM batches GROUP BY 1"),
     "D13_orphans": (d13, f"WITH {_BATCHES} SELECT 'lost' AS commit_id, count(DISTINCT (symbol, valid_time))::INTEGER AS n_read FROM batches"),
-    "D14_curve": (d14, f"""WITH {BARS} SELECT CASE "Symbol" WHEN 'click' THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time, round("Close", 6) AS "Close"
-FROM bars WHERE "Symbol" IN ('click', 'view')"""),
+    "D14_curve": (d14, f"""WITH {BARS} SELECT CASE WHEN "Symbol" IN ('click', 'error', 'purchase') THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time,
+round(max("Close"), 6) AS "Close" FROM bars GROUP BY 1, 2"""),
     "D15_typed": (d15, f'WITH {CONTRACTS} SELECT "Commodity", "ContractMonth", count(*) AS n FROM contracts GROUP BY 1, 2'),
     "D16_reconstructed": (d16, f"""WITH {VINTAGES} SELECT instrument_id, TIMESTAMP '2024-01-25' - valid_time > INTERVAL 10 DAY AS vintage_reconstructed, count(*) AS n
 FROM vintages GROUP BY 1, 2"""),
@@ -518,8 +517,8 @@ UNION ALL SELECT 'latest' AS moment, symbol, valid_time, round(price, 6) AS pric
     "D19_day_of_symbols": (d19, _read_sql("k < 2 AND symbol IN ('click', 'error', 'view') AND date_trunc('day', valid_time) = TIMESTAMP '2024-01-15'")),
     "K01_series": (k01, _read_sql("k < 2 AND symbol = 'click' AND valid_time >= TIMESTAMP '2024-01-05'")),
     "K02_row_cap": (k02, f'WITH {BARS} SELECT "Symbol", "Datetime", round("Close", 6) AS "Close" FROM bars'),
-    "K03_curve": (k03, f"""WITH {BARS} SELECT CASE "Symbol" WHEN 'click' THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time, round("Close", 6) AS "Close"
-FROM bars WHERE "Symbol" IN ('click', 'view')"""),
+    "K03_curve": (k03, f"""WITH {BARS} SELECT CASE WHEN "Symbol" IN ('click', 'error', 'purchase') THEN 'CME.CL.CLF26' ELSE 'CME.CL.CLG26' END AS instrument_id, "Datetime" AS valid_time,
+round(max("Close"), 6) AS "Close" FROM bars GROUP BY 1, 2"""),
     "K04_libraries": (k04, "SELECT DISTINCT 'power.lmp' AS library, event_type AS symbol FROM events"),
     "K05_latest_as_of": (k05, f"WITH {_BATCHES} SELECT max(as_of) AS as_of FROM batches"),
     "K06_records": (k06, """SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}' AS record FROM orders"""),

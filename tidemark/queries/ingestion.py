@@ -191,9 +191,13 @@ def a17(s, d):
     return rounded(landed.bars(b, F.concat(F.lit("CME."), "Symbol")))
 
 
+#: A contract for each type of event.
+_TICKERS = {"click": "CLF24", "error": "CLG24", "purchase": "CLH24", "signup": "NGF24", "view": "NGG24"}
+
+
 def a18(s, d):
     b = bars(s, d)
-    return rounded(landed.commodity_bars(b.where(F.col("Symbol") == "click"), b.where(F.col("Symbol") == "view")))
+    return rounded(landed.commodity_bars(*(b.where(F.col("Symbol") == kind) for kind in _TICKERS)))
 
 
 _ROOTS = {"crude": "CL", "gas": "NG"}
@@ -207,9 +211,9 @@ def a19(s, d):
 
 
 def a20(s, d):
-    cal = landed.contract_calendar(s, _ROOTS, date(2024, 1, 1), 2)
-    b = bars(s, d).where(F.col("Symbol").isin("click", "view"))
-    raw = b.withColumn("ticker", F.when(F.col("Symbol") == "click", F.lit("CLF24")).otherwise(F.lit("NGG24"))).drop("Symbol")
+    cal = landed.contract_calendar(s, _ROOTS, date(2024, 1, 1), 3)
+    names = F.create_map(*(F.lit(x) for kv in _TICKERS.items() for x in kv))
+    raw = bars(s, d).withColumn("ticker", names[F.col("Symbol")]).drop("Symbol")
     return rounded(landed.contract_bars(raw, cal).select("Datetime", "Commodity", "ContractMonth", "Symbol", "Close", "Volume", "OpenInterest"))
 
 
@@ -251,8 +255,12 @@ def _pipeline(name: str, library: str, raw, at: datetime = datetime(2024, 1, 31,
 
 
 def e01(s, d):
-    names = F.create_map(*(F.lit(x) for kv in {"click": "CME.CL.FRONT", "view": "CME.BZ.FRONT", "error": "CME.NG.FRONT"}.items() for x in kv))
-    b = bars(s, d).where(F.col("Symbol").isin("click", "view", "error")).withColumn("id", names[F.col("Symbol")])
+    """Five types of events are three instruments: bars of two types in an hour become one."""
+    kinds = {"click": "CL", "purchase": "CL", "view": "BZ", "signup": "BZ", "error": "NG"}
+    names = F.create_map(*(F.lit(x) for k, v in kinds.items() for x in (k, f"CME.{v}.FRONT")))
+    b = bars(s, d).groupBy(names[F.col("Symbol")].alias("id"), "Datetime").agg(
+        F.min_by("Open", "Symbol").alias("Open"), F.max("High").alias("High"), F.min("Low").alias("Low"), F.max_by("Close", "Symbol").alias("Close"), F.sum("Volume").alias("Volume"),
+    )
     return _pipeline("intraday_bars", "prices.intraday", lambda *_: (b, F.col("id")))(s, d)
 
 
@@ -368,20 +376,20 @@ FROM events WHERE event_id % 5 <> 0 AND event_id % 17 <> 0 GROUP BY 1, 2"""),
     "A15_degree_days": (a15, f"WITH {_LINES} SELECT instrument_id, valid_time, v AS hdd FROM cells"),
     "A16_both_degree_days": (a16, f"""WITH {_LINES} SELECT instrument_id, valid_time, CASE WHEN instrument_id <> 'NOAA.HDD.CONUS' THEN v END AS hdd, v AS cdd FROM cells WHERE v IS NOT NULL"""),
     "A17_bars": (a17, f"""WITH {BARS} SELECT 'CME.' || "Symbol" AS instrument_id, "Datetime" AS valid_time, "Open", "High", "Low", "Close", CASE WHEN "Volume" = 1 THEN 0 ELSE "Volume" END::BIGINT AS "Volume" FROM bars"""),
-    "A18_commodities": (a18, f"""WITH {BARS} SELECT "Datetime", "Symbol", "Open", "High", "Low", "Close", "Volume" FROM bars WHERE "Symbol" IN ('click', 'view')"""),
+    "A18_commodities": (a18, f"""WITH {BARS} SELECT "Datetime", "Symbol", "Open", "High", "Low", "Close", "Volume" FROM bars"""),
     "A19_contract_calendar": (a19, """WITH o AS (SELECT date_trunc('month', o_orderdate)::DATE AS m FROM orders)
 SELECT c AS "Commodity", m AS "ContractMonth", r || substr('FGHJKMNQUVXZ', month(m)::INTEGER, 1) || strftime(m, '%y') AS ticker, count(*) AS n
 FROM o, (VALUES ('crude', 'CL'), ('gas', 'NG')) AS x(c, r) WHERE m >= DATE '1995-01-01' AND m < DATE '1997-01-01' GROUP BY 1, 2, 3"""),
-    "A20_contract_bars": (a20, f"""WITH {BARS} SELECT "Datetime", CASE "Symbol" WHEN 'click' THEN 'crude' ELSE 'gas' END AS "Commodity",
-CASE "Symbol" WHEN 'click' THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END AS "ContractMonth", CASE "Symbol" WHEN 'click' THEN 'CLF24' ELSE 'NGG24' END AS "Symbol", round("Close", 6) AS "Close", "Volume",
-NULL::BIGINT AS "OpenInterest" FROM bars WHERE "Symbol" IN ('click', 'view')"""),
+    "A20_contract_bars": (a20, f"""WITH {BARS}, t(kind, commodity, month, ticker) AS (VALUES ('click', 'crude', DATE '2024-01-01', 'CLF24'), ('error', 'crude', DATE '2024-02-01', 'CLG24'),
+('purchase', 'crude', DATE '2024-03-01', 'CLH24'), ('signup', 'gas', DATE '2024-01-01', 'NGF24'), ('view', 'gas', DATE '2024-02-01', 'NGG24'))
+SELECT "Datetime", commodity AS "Commodity", month AS "ContractMonth", ticker AS "Symbol", round("Close", 6) AS "Close", "Volume", NULL::BIGINT AS "OpenInterest" FROM bars JOIN t ON "Symbol" = kind"""),
     "A21_to_utc": (a21, "SELECT o_orderkey, (o_orderdate AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS t FROM orders"),
     "A22_recent_articles": (a22, f"WITH {ARTICLES} SELECT event_id, published_at FROM articles WHERE published_at >= TIMESTAMP '2024-01-20'"),
     "A23_article_symbols": (a23, f"WITH {ARTICLES}, x AS (SELECT event_id, {_MATCH} AS l FROM articles) SELECT event_id, CASE WHEN len(l) > 0 THEN array_to_string(l, ',') END AS symbols FROM x"),
     "A24_all_articles": (a24, f"WITH {ARTICLES} SELECT url, max(published_at) AS published_at FROM articles GROUP BY 1"),
     "A25_revision_window": (a25, f"""WITH {BARS} SELECT "Symbol", count(*) AS n, min("Datetime") AS first_time FROM bars WHERE "Datetime" >= TIMESTAMP '2024-01-18' GROUP BY 1"""),
-    "E01_intraday_bars": (e01, """SELECT 'prices.intraday' AS library, CASE event_type WHEN 'click' THEN 'CL_FRONT' WHEN 'view' THEN 'BZ_FRONT' ELSE 'NG_FRONT' END AS symbol,
-count(DISTINCT date_trunc('hour', ts)) AS n, 0::BIGINT AS n_failures FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY 2"""),
+    "E01_intraday_bars": (e01, """SELECT 'prices.intraday' AS library, CASE WHEN event_type IN ('click', 'purchase') THEN 'CL_FRONT' WHEN event_type IN ('view', 'signup') THEN 'BZ_FRONT' ELSE 'NG_FRONT' END AS symbol,
+count(DISTINCT date_trunc('hour', ts)) AS n, 0::BIGINT AS n_failures FROM events GROUP BY 2"""),
     "E02_spot_prices": (e02, """SELECT 'prices.spot' AS library, CASE event_id % 3 WHEN 0 THEN 'wti_spot' WHEN 1 THEN 'brent_spot' ELSE 'henryhub_spot' END AS symbol,
 count(DISTINCT ts::DATE) AS n, 0::BIGINT AS n_failures FROM events WHERE event_id % 5 <> 0 AND event_id % 17 <> 0 GROUP BY 2"""),
     "E03_degree_days": (e03, """SELECT 'weather' AS library, (['hdd_conus', 'hdd_northeast', 'hdd_texas'])[l_orderkey % 4 + 1] AS symbol, count(DISTINCT l_orderkey % 100) * 12 AS n,
