@@ -87,6 +87,51 @@ def test_leaks_without_the_filter_and_the_broadcast(spark, docs_of, monkeypatch)
     assert {tuple(r) for r in decontam.leaks(df, bench).collect()} == one and len(one) == 10
 
 
+def test_rare_seeds_meet_every_leak():
+    """Whatever seeds a document shares: if they cover the share of the item, one of the rare ones is among them."""
+    rng = random.Random(8)
+    for _ in range(400):
+        k, n = rng.randrange(1, 6), rng.randrange(1, 40)
+        seeds = [rng.randrange(30) for _ in range(n)]
+        often = {x: rng.randrange(1, 9) for x in set(seeds)}
+        share = rng.choice([0.0, 0.2, 0.5, 0.8, 1.0])
+        rare = decontam.rare_seeds(seeds, [often[x] for x in seeds], k, share)
+        assert set(rare) <= set(seeds)
+        for _ in range(20):
+            held = {x for x in often if rng.random() < rng.choice([0.2, 0.6, 0.9])}
+            tokens = {p + i for p, x in enumerate(seeds) if x in held for i in range(k)}
+            assert decontam.covered(np.flatnonzero([x in held for x in seeds]), k) == len(tokens)
+            if held & set(seeds) and len(tokens) / (n + k - 1) >= share:
+                assert held & set(rare)
+
+
+def test_a_passage_in_all_items_and_documents_makes_no_pairs(spark, docs_of, monkeypatch):
+    rng = random.Random(9)
+    common = passage(rng, 20)
+    own = {i: passage(rng, 24) for i in range(30)}
+    bench = spark.createDataFrame([(i, " ".join(common + w)) for i, w in own.items()], "item_id long, text string")
+    rows = [(d, " ".join(passage(rng, 50) + common + (own[d] if d < 10 else []))) for d in range(200)]
+    tiled = spark.sparkContext.accumulator(0)
+    real = decontam._tiled
+
+    def counted(batches, k, coverage):
+        def each():
+            for b in batches:
+                tiled.add(b.num_rows)
+                yield b
+
+        return real(each(), k, coverage)
+
+    monkeypatch.setattr(decontam, "_tiled", counted)
+    got = sorted((r.doc_id, r.item_id, r.n_covered) for r in decontam.leaks(docs_of(rows), bench).collect())
+    words = {i: common + w for i, w in own.items()}
+    texts = {d: t.split() for d, t in rows}
+    cover = {(d, i): sum(m for _, _, m in brute_tiles(texts[d], words[i], 5)) for d in range(12) for i in range(12)}
+    assert got == [(d, i, n) for (d, i), n in sorted(cover.items()) if n / 44 >= 0.5]
+    assert len(got) == 10
+    assert tiled.value == 10  # of 6000 pairs that share the passage
+
+
 # -- toxicity -----------------------------------------------------------------
 
 BAD = ["grumblefoot", "snargwit", "blotterface"]

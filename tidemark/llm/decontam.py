@@ -5,9 +5,11 @@
    vectorised Karp-Rabin prefix sums and keeps only the stretches that hold a
    benchmark seed.  Where the benchmark's seeds outgrow a bound, this filter is
    left out and all stretches go into the join.
-2. Join.  Seeds of the stretches meet the benchmark's seeds; a document and item
-   go on together if the seeds they share could cover enough of the item.
-3. Tiling.  For each such pair, the longest common stretches of unmarked tokens
+2. Join.  Of each item the seeds that many items have are put aside, as many as
+   cannot cover the threshold share of it by themselves.  A leak shares one of the
+   rest, so only those meet the stretches' seeds: a phrase that stands in every item
+   and document makes no pairs.
+3. Tiling.  A pair goes on if all seeds that it shares could cover enough of the item.  Then the longest common stretches of unmarked tokens
    are found with running Karp-Rabin hashes, and marked, again and again, down to
    ``seed`` tokens.  As tiles do not overlap and may stand in any order, a passage
    whose parts were moved about is covered all the same.
@@ -155,6 +157,37 @@ def _items(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
         )
 
 
+def covered(places: np.ndarray, k: int) -> int:
+    """Tokens that runs of ``k`` tokens at these places, in order and each given once, cover together."""
+    return int(np.minimum(np.diff(places), k).sum()) + k if len(places) else 0
+
+
+def rare_seeds(seeds: list[int], counts: list[int], k: int, coverage: float) -> list[int]:
+    """The seeds of an item of which a document that covers it by ``coverage`` has at least one.
+
+    ``seeds`` stand at places 0, 1, … of the item; ``counts`` say how often the benchmark
+    has each.  The most frequent are put aside as long as all that were do not cover the share.
+    """
+    n = len(seeds) + k - 1
+    aside, total = np.zeros(n, bool), 0
+    order = sorted(range(len(seeds)), key=lambda p: (-counts[p], p))
+    for i, p in enumerate(order):
+        total += int((~aside[p : p + k]).sum())
+        aside[p : p + k] = True
+        if total / n >= coverage:
+            return sorted({seeds[q] for q in order[i:]})
+    return []
+
+
+def _rare(batches: Iterator[pa.RecordBatch], k: int, coverage: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept = []
+        for places in batch.column(2).to_pylist():
+            places.sort(key=lambda x: x["place"])
+            kept.append(rare_seeds([x["seed"] for x in places], [x["n"] for x in places], k, coverage))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.list_(pa.int64()))], ["item_id", "item_key", "rare"])
+
+
 def tiles(stretches: list[tuple[int, list[int]]], item: list[int], least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (place in document, place in item, length), longest first.
 
@@ -214,15 +247,22 @@ def tiles(stretches: list[tuple[int, list[int]]], item: list[int], least: int) -
         length = max(least, length // 2)
 
 
-def _tiled(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _tiled(batches: Iterator[pa.RecordBatch], k: int, coverage: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for row in batch.select(["stretches", "item"]).to_pylist():
+        rows, of = [], []
+        for at, row in enumerate(batch.select(["seeds", "stretches", "item", "item_seeds"]).to_pylist()):
+            n = len(row["item"])
+            # no tiling can cover more than the shared seeds do
+            shared = np.flatnonzero(np.isin(np.array(row["item_seeds"], np.int64), np.array(row["seeds"], np.int64)))
+            if covered(shared, k) / n < coverage:
+                continue
             found = tiles([(s["start"], s["tokens"]) for s in row["stretches"]], row["item"], k)
-            rows.append((len(row["item"]), sum(n for _, _, n in found), len(found), max((n for _, _, n in found), default=0)))
+            of.append(at)
+            rows.append((n, sum(m for _, _, m in found), len(found), max((m for _, _, m in found), default=0)))
         counts = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [()] * 4)]
+        of = pa.array(of, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "copy", "item_id")), *counts],
+            [*(batch.column(c).take(of) for c in ("doc_id", "copy", "item_id")), *counts],
             ["doc_id", "copy", "item_id", "n_tokens", "n_covered", "n_tiles", "longest"],
         )
 
@@ -255,47 +295,39 @@ def leaks(
         .withColumn("item_key", F.xxhash64("item")),
         "items",
     )
-    benchmark_seeds = items.select("item_id", "item_key", F.posexplode("item_seeds").alias("place", "seed"))
-    distinct = benchmark_seeds.select("seed").distinct()
-    n_seeds = distinct.count()
+    item_rows = items.dropDuplicates(["item_id", "item_key"])
+    benchmark_seeds = item_rows.select("item_id", "item_key", F.posexplode("item_seeds").alias("place", "seed"))
+    often = materialise(benchmark_seeds.groupBy("seed").agg(F.count("*").alias("n")), "seeds")
+    n_seeds = often.count()
     wanted = None
     if n_seeds <= FILTER_SEEDS:
-        wanted = distinct.toArrow().column(0).to_numpy().view(np.uint64)
+        wanted = often.select("seed").toArrow().column(0).to_numpy().view(np.uint64)
+    rare = (
+        benchmark_seeds.join(F.broadcast(often) if n_seeds <= BROADCAST_SEEDS else often, "seed")
+        .groupBy("item_id", "item_key")
+        .agg(F.collect_list(F.struct("place", "seed", "n")).alias("places"))
+        .mapInArrow(lambda b: _rare(b, seed, coverage), "item_id long, item_key long, rare array<long>")
+        .select("item_id", "item_key", F.explode("rare").alias("seed"))
+    )
+    rare = small(materialise(rare, "rare"), BROADCAST_SEEDS)
     source = pick(docs, id_col, text_col).withColumn("copy", F.xxhash64("text"))
     found = source.mapInArrow(lambda b: _stretches(b, seed, wanted), _STRETCH)
     found = materialise(found.dropDuplicates(["doc_id", "copy", "start"]), "stretches")
 
-    n_places = benchmark_seeds.count()
-    other = F.broadcast(benchmark_seeds) if n_places <= BROADCAST_SEEDS else benchmark_seeds
-    shared = (
-        found.select("doc_id", "copy", F.explode("seeds").alias("seed"))
-        .distinct()
-        .join(other, "seed")
-        .groupBy("doc_id", "copy", "item_id", "item_key")
-        .agg(F.sort_array(F.collect_set("place")).alias("places"))
-    )
-    # tokens of the item that shared seeds cover: no tiling can cover more
-    most = F.aggregate(
-        F.arrays_zip(F.col("places").alias("a"), F.slice("places", F.lit(2), F.size("places")).alias("b")),
-        F.lit(0),
-        lambda n, p: n + F.least(F.lit(seed), F.coalesce(p["b"] - p["a"], F.lit(seed))),
-    )
-    item_rows = items.select("item_id", "item_key", "item").dropDuplicates(["item_id", "item_key"])
-    if n_places <= BROADCAST_SEEDS:
+    pairs = found.select("doc_id", "copy", F.explode("seeds").alias("seed")).join(rare, "seed").select("doc_id", "copy", "item_id", "item_key").distinct()
+    item_rows = item_rows.select(F.col("item_id").alias("i"), F.col("item_key").alias("k"), "item", "item_seeds")
+    if n_seeds <= BROADCAST_SEEDS and items.agg(F.coalesce(F.sum(F.size("item_seeds")), F.lit(0))).first()[0] <= BROADCAST_SEEDS:
         item_rows = F.broadcast(item_rows)
-    pairs = (
-        shared.withColumn("most", most)
-        .join(item_rows, (shared["item_id"].eqNullSafe(item_rows["item_id"])) & (shared["item_key"] == item_rows["item_key"]))
-        .where(F.col("most") >= coverage * F.size("item"))
-        .select("doc_id", "copy", shared["item_id"], "item")
+    grouped = found.groupBy(F.col("doc_id").alias("d"), F.col("copy").alias("c")).agg(
+        F.sort_array(F.collect_list(F.struct("start", "tokens"))).alias("stretches"), F.array_distinct(F.flatten(F.collect_list("seeds"))).alias("seeds")
+    )
+    both = (
+        pairs.join(grouped, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")))
+        .join(item_rows, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("k")))
+        .select("doc_id", "copy", "item_id", "seeds", "stretches", "item", "item_seeds")
     )
-    grouped = found.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_list(F.struct("start", "tokens"))).alias("stretches"))
-    both = pairs.join(
-        grouped.select(F.col("doc_id").alias("d"), F.col("copy").alias("c"), "stretches"),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")),
-    ).select("doc_id", "copy", "item_id", "stretches", "item")
     tiled = both.mapInArrow(
-        lambda b: _tiled(b, seed),
+        lambda b: _tiled(b, seed, coverage),
         "doc_id long, copy long, item_id long, n_tokens long, n_covered long, n_tiles long, longest long",
     )
     return tiled.withColumn("coverage", F.col("n_covered") / F.col("n_tokens")).where(F.col("coverage") >= coverage)
