@@ -56,6 +56,19 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """``df`` dealt out to all cores if the scan of ``source`` (by itself: of ``df``) has rows in fewer tasks than there are cores.
+
+    A file of one row group is one task, whatever is done with its texts.  Where there are as
+    many files as cores nothing is asked or shuffled; else one pass over footers tells.
+    """
+    source = df if source is None else source
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(source.inputFiles()) >= cores or source.select(F.spark_partition_id().alias("p")).distinct().count() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet table at ``path``, or an empty one where there is none yet."""
     try:

@@ -19,7 +19,7 @@ The work on a text with n findings grows with n^1.5 at most: running sums and ma
 are taken in blocks of about sqrt(n), and nothing compares findings pair by pair.
 
 DataFrame operations only.  Texts are read in one narrow pass; nothing is shuffled
-but counts by class and p-value.
+but counts by class and p-value, and the texts of a table of fewer splits than cores.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import materialise, spread
 
 #: Patterns of the contract, in its order.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -243,6 +243,7 @@ def scanned(docs: DataFrame, fdr: float = FDR, *, id_col: str = "doc_id", text_c
     row = F.struct(*(F.col(c) for c in docs.columns)) if carry else F.struct(F.col(id_col))
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.select(row.alias("_doc"), text.alias("_text"))
+    df = df if carry else spread(df, docs)
     text = F.col("_text")
     df = df.select("_doc", "_text", matches(text, ASSIGN).alias("_assign"), matches(text, ACCESS).alias("_access"),
                    matches(text, HEX.replace("+", "{24,}")).alias("_hex"), matches(text, RUN).alias("_found"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import pretokenizer
-from tidemark.llm.common import decoded, materialise, pick, read_or_empty, shared_dir, small, text_blocks
+from tidemark.llm.common import decoded, materialise, pick, read_or_empty, shared_dir, small, spread, text_blocks
 
 BLOCK_BYTES = 1_000_000
 CACHE_WORDS = 300_000
@@ -192,7 +192,7 @@ def token_counts(
         missing = digested.join(small(wanted), same(wanted), "left_semi")
     else:
         missing = digested.join(small(others), same(others), "left_anti")
-    counted = missing.select("digest", "text").mapInArrow(lambda b: _count(b, path), "digest binary, n_tokens long")
+    counted = spread(missing.select("digest", "text"), docs).mapInArrow(lambda b: _count(b, path), "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
     # as a table of its own it is shuffled anew for the join, and AQE can then split a digest with many copies
     needed = cached().join(keys.select("digest").distinct(), "digest", "left_semi")
