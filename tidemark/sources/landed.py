@@ -98,7 +98,12 @@ def hourly_by_fuel(raw: DataFrame) -> DataFrame:
 
 
 def report_rows(raw: DataFrame) -> DataFrame:
-    """Rows of paged reports as maps from field name to text; rows without a list of fields are an error."""
+    """Rows of paged reports as maps from field name to text; rows without a list of fields are an error.
+
+    ``raw`` has envelopes, or rows of the data source ``landed_reports``.
+    """
+    if "m" in raw.columns:
+        return raw.select(F.struct("file", "page").alias("_file"), F.col("pos").alias("_pos"), "m")
     named = F.assert_true((F.size("data") == 0) | (F.size("fields") > 0), F.lit("report rows without fields"))
     rows = _records(raw.where(named.isNull()), "data", "fields")
     names = F.transform("fields", lambda f: f["name"])
