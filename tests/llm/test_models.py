@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from tests.llm.conftest import ODD
 from tidemark.llm import decontam, kneser_ney, toxicity
@@ -260,12 +261,25 @@ def test_kneser_ney(spark, docs_of):
         p, unknown = models[1], math.exp(models[1]((*before, "w?w?")) - models[1].spelled("w?w?"))
         assert math.isclose(sum(math.exp(p((*before, w))) for w in known) + unknown * (1 - sum(math.exp(p.spelled(w)) for w in known)), 1, rel_tol=1e-9)
     key = lambda r: (str(r.doc_id), r.n_bytes, r.log_p)
-    for heavy in (1.0, 1e-9):  # nothing and everything broadcast
-        other = kneser_ney.perplexities(df, lab, strata=("en", "de", "other"), heavy=heavy).collect()
+    for heavy, bits in ((1.0, 1 << 28), (1e-9, 1 << 28), (1.0, 1 << 14), (1.0, 8)):  # nothing and everything broadcast; a filter that lets much through, and none
+        other = kneser_ney.perplexities(df, lab, strata=("en", "de", "other"), heavy=heavy, filter_bits=bits).collect()
         for a, b in zip(sorted(got, key=key), sorted(other, key=key), strict=True):
             assert a.doc_id == b.doc_id and a.log_p == b.log_p  # to the last bit
 
 
+@pytest.mark.parametrize("bits", [1 << 12, 1 << 21])
+def test_filter_of_seen_keys(spark, bits):
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(-(1 << 63), 1 << 63, 2000, np.int64))
+    table = spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(7)
+    got = kneser_ney.seen_filter(table, bits)
+    want = np.zeros(bits, bool)
+    want[keys.view(np.uint64) % np.uint64(bits)] = True
+    assert (np.unpackbits(got, bitorder="little").astype(bool) == want).all()
+    assert kneser_ney.seen_filter(table, 1 << 11) is None
+    assert not kneser_ney.seen_filter(table.where("false"), bits).any()
+
+
 def test_keys_are_those_of_sql(spark):
     values = np.array([0, 1, -1, 1 << 62, -(1 << 63), 12345], np.int64)
     df = spark.createDataFrame([(int(v), int(w)) for v, w in zip(values, values[::-1], strict=True)], "a long, b long")

@@ -21,7 +21,12 @@ language's training texts, so unknown words have a probability too.  Steps:
 4. Keys with a large share of the counts of their order, of which there are at most
    ``1 / HEAVY`` an order, are broadcast and added up where the text is read.  So the hot
    words of a language never enter the shuffle; every other key does, at any size.
-5. Every tenth training document is held out of the counts.  For each language a
+5. Keys that training has not seen add nothing, and most keys of a text are such.  A
+   filter of a fixed number of bits, broadcast, tells them where the text is read: a bit
+   for each key's hash, set by all keys of ``corrections``.  What it lets through by
+   chance adds nothing in the join.  Beyond half as many keys as bits it is left out, and
+   all keys are shuffled.
+6. Every tenth training document is held out of the counts.  For each language a
    high quantile of the perplexity of those documents is the threshold; a document
    over it is rejected.  Short documents are drawn towards the language's mean.
 """
@@ -29,6 +34,7 @@ language's training texts, so unknown words have a probability too.  Steps:
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -48,6 +54,11 @@ HEAVY = 1 / 50_000
 #: Log-probabilities are whole numbers of one part in this.
 UNIT = 1 << 20
 BLOCK_BYTES = 1_000_000
+#: Bits of the filter of seen keys, a power of two; 32 MB.
+FILTER_BITS = 1 << 28
+#: Bytes of the filter that are put together in one group, of at most ``FILTER_TASKS`` parts.
+FILTER_CHUNK = 1 << 16
+FILTER_TASKS = 256
 #: No discount is less, so every context leaves something to the order below.
 LEAST_LOSS = 0.1
 
@@ -162,9 +173,48 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(pa.array(codes[t - k].view(np.int64)) for k in (2, 1, 0)), pa.array(n)], ["a", "b", "c", "n"])
 
 
+def _places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(byte, bit as a byte) of each key in a filter."""
+    at = keys.view(np.uint64) & np.uint64(bits - 1)
+    return (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+
+
+def _set_bits(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """(chunk, compressed bytes) of a task's own filter, without chunks that are all zero."""
+    own = np.zeros(bits // 8, np.uint8)
+    for batch in batches:
+        byte, bit = _places(batch.column(0).to_numpy(), bits)
+        np.bitwise_or.at(own, byte, bit)
+    chunks = own.reshape(-1, min(FILTER_CHUNK, len(own)))
+    some = np.flatnonzero(chunks.any(1))
+    for i in range(0, len(some), 64):
+        part = some[i : i + 64]
+        packed = [zlib.compress(chunks[c].tobytes(), 1) for c in part]
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(packed, pa.binary())], ["chunk", "bits"])
+
+
+def _united(group: pa.Table) -> pa.Table:
+    parts = (np.frombuffer(zlib.decompress(b.as_py()), np.uint8) for b in group.column("bits"))
+    whole = functools.reduce(np.bitwise_or, parts)
+    return pa.table({"chunk": group.column("chunk").slice(0, 1), "bits": pa.array([whole.tobytes()], pa.binary())})
+
+
+def seen_filter(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray | None:
+    """``bits`` / 8 bytes in which the bit of every ``key`` is set; None if there are too many keys for it to tell anything."""
+    if values.count() > bits // 2:
+        return None
+    parts = values.select("key").coalesce(FILTER_TASKS).mapInArrow(functools.partial(_set_bits, bits=bits), "chunk int, bits binary")
+    got = parts.groupBy("chunk").applyInArrow(_united, "chunk int, bits binary").toArrow()
+    out = np.zeros(bits // 8, np.uint8)
+    chunks = out.reshape(-1, min(FILTER_CHUNK, len(out)))
+    for c, b in zip(got.column("chunk").to_pylist(), got.column("bits"), strict=True):
+        chunks[c] = np.frombuffer(b.as_py(), np.uint8)
+    return out
+
+
 def _scored(batches: Iterator[pa.RecordBatch], heavy, spelling) -> Iterator[pa.RecordBatch]:
-    """For each text one row about it, under a key of its own, and one for each key that is not heavy."""
-    known, value = heavy.value
+    """For each text one row about it, under a key of its own, and one for each key that is not heavy and may have been seen."""
+    known, value, seen = heavy.value
     for batch in batches:
         strata, rows = batch.column(2).to_numpy(), batch.column(4).to_numpy()
         for i, j, texts in text_blocks(batch.column(1), BLOCK_BYTES):
@@ -183,6 +233,10 @@ def _scored(batches: Iterator[pa.RecordBatch], heavy, spelling) -> Iterator[pa.R
                 found = known[at] == keys
                 base += np.bincount(text[found], value[at[found]], j - i).astype(np.int64)
                 keys, text = keys[~found], text[~found]
+            if seen is not None:
+                byte, bit = _places(keys, 8 * len(seen))
+                kept = (seen[byte] & bit) != 0
+                keys, text = keys[kept], text[kept]
             order = np.lexsort((keys, text))
             keys, text = keys[order], text[order]
             new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])) if len(keys) else np.zeros(0, int)
@@ -271,6 +325,7 @@ def perplexities(
     labels: DataFrame,
     strata: Sequence[str] = STRATA,
     heavy: float = HEAVY,
+    filter_bits: int = FILTER_BITS,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -279,7 +334,8 @@ def perplexities(
     """(doc_id, stratum, fold, n_bytes, n_words, log_p) of every row; fold is 0 for held-out good documents, -1 for unlabelled ones.
 
     ``n_words`` counts the end as a word.  At most 15 languages; ``heavy`` decides what is
-    broadcast (at most 3 / heavy keys) and no result.
+    broadcast (at most 3 / heavy keys), ``filter_bits`` (a power of two, 8 at least) how many keys that training has not
+    seen are shuffled; neither changes a result.
     """
     if len(strata) > 15:
         raise ValueError("at most 15 languages")
@@ -300,7 +356,7 @@ def perplexities(
     # the counts of an order add up to its total, so no more than 1 / heavy keys have such a share
     totals = values.groupBy("order").agg(F.sum("n").alias("all"))
     top = values.join(F.broadcast(totals), "order").where(F.col("n") > F.col("all") * heavy).select("key", "value").orderBy("key").toArrow()
-    table = sc.broadcast((top.column("key").to_numpy(), top.column("value").to_numpy()))
+    table = sc.broadcast((top.column("key").to_numpy(), top.column("value").to_numpy(), seen_filter(values, filter_bits)))
     rows = source.withColumn("row", F.monotonically_increasing_id())
     about = "doc_id long, stratum int, fold int, n_bytes long, n_words long, base long"
     each = rows.mapInArrow(functools.partial(_scored, heavy=table, spelling=spelling), f"row long, key long, n long, about struct<{about.replace(' ', ':').replace(',:', ',')}>")
