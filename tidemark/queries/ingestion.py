@@ -169,13 +169,13 @@ def a14(s, d):
     return landed.newest_file(o, "hddcst")
 
 
-def _lines(s, d, element: str) -> DataFrame:
-    """Fixed-width lines: a region and one of 8000 years for each order, the greatest quantity of those that meet in one."""
+def _lines(s, d, element: str, once: bool = False) -> DataFrame:
+    """Fixed-width lines: a region and one of 8000 years for each order; with ``once`` the greatest quantity of the orders that meet in one."""
     codes = F.array(*map(F.lit, ("110", "101", "041", "999")))
-    li = table(s, d, "lineitem").groupBy((F.col("l_orderkey") % 8000).alias("l_orderkey")).agg(F.max("l_quantity").alias("q"))
+    li = table(s, d, "lineitem").groupBy((F.col("l_orderkey") % 8000 if once else F.col("l_orderkey")).alias("l_orderkey")).agg(F.max("l_quantity").alias("q"))
     code = F.get(codes, (F.col("l_orderkey") % 4).cast("int"))
     cells = [F.lpad(F.when((F.col("l_orderkey") + m) % 9 == 0, F.lit("-9999.")).otherwise(F.format_string("%.0f.", F.col("q") + m)), 7, " ") for m in range(12)]
-    return li.select(F.concat(code, F.lit("0"), F.lit(element), F.format_string("%04d", F.col("l_orderkey") + 1000), *cells).alias("value"))
+    return li.select(F.concat(code, F.lit("0"), F.lit(element), F.format_string("%04d", F.col("l_orderkey") % 8000 + 1000), *cells).alias("value"))
 
 
 def a15(s, d):
@@ -183,7 +183,7 @@ def a15(s, d):
 
 
 def a16(s, d):
-    return landed.both_degree_days(landed.degree_days(_lines(s, d, "25").where("value not like '110%'"), "25", "hdd"), landed.degree_days(_lines(s, d, "26"), "26", "cdd"))
+    return landed.both_degree_days(landed.degree_days(_lines(s, d, "25", True).where("value not like '110%'"), "25", "hdd"), landed.degree_days(_lines(s, d, "26", True), "26", "cdd"))
 
 
 def a17(s, d):
@@ -345,9 +345,10 @@ _PRICES = f"""{_ORDERS}, rt AS (SELECT point, {_QUARTER} AS valid_time, round(o_
 da AS (SELECT point, {_HOUR} AS valid_time, round(o_totalprice / 1000, 2) AS price FROM o
   WHERE o_orderkey % 11 <> 0 AND point IN ('HB_NORTH', 'LZ_WEST', 'LZ_SOUTH') {_LAST.format(key="point, " + _HOUR)}),
 load AS (SELECT {_HOUR} AS valid_time, floor(o_totalprice / 10)::DOUBLE AS value FROM o WHERE o_orderkey % 11 <> 0 {_LAST.format(key=_HOUR)})"""
-_LINES = """li AS (SELECT l_orderkey % 8000 AS l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY 1),
-cells AS (SELECT 'NOAA.HDD.' || (['CONUS', 'NORTHEAST', 'TEXAS'])[l_orderkey % 4 + 1] AS instrument_id, make_timestamp(1000 + l_orderkey, m + 1, 1, 0, 0, 0) AS valid_time,
+_CELLS = """cells AS (SELECT 'NOAA.HDD.' || (['CONUS', 'NORTHEAST', 'TEXAS'])[l_orderkey % 4 + 1] AS instrument_id, make_timestamp(1000 + l_orderkey % 8000, m + 1, 1, 0, 0, 0) AS valid_time,
   CASE WHEN (l_orderkey + m) % 9 = 0 THEN NULL ELSE round(q + m)::DOUBLE END AS v FROM li, range(12) r(m) WHERE l_orderkey % 4 < 3)"""
+_LINES = f"li AS (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY 1), {_CELLS}"
+_LINES_ONCE = f"li AS (SELECT l_orderkey % 8000 AS l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY 1), {_CELLS}"
 _MATCH = "list_filter([" + ", ".join(
     "CASE WHEN " + " OR ".join(f"contains(lower(title), '{w}')" for w in landed.KEYWORDS.get(s, (s.lower(),))) + f" THEN '{s}' END"
     for s in ("CL=F", "BZ=F", "NG=F", "MARKETS")
@@ -374,7 +375,7 @@ SELECT o_orderkey, {_HOUR} AS valid_time FROM o"""),
 FROM events WHERE event_id % 5 <> 0 AND event_id % 17 <> 0 GROUP BY 1, 2"""),
     "A14_newest_file": (a14, "SELECT 'climdiv-hddcst-v1.0.0-' || strftime(max(o_orderdate), '%Y%m%d') AS name FROM orders"),
     "A15_degree_days": (a15, f"WITH {_LINES} SELECT instrument_id, valid_time, v AS hdd FROM cells"),
-    "A16_both_degree_days": (a16, f"""WITH {_LINES} SELECT instrument_id, valid_time, CASE WHEN instrument_id <> 'NOAA.HDD.CONUS' THEN v END AS hdd, v AS cdd FROM cells WHERE v IS NOT NULL"""),
+    "A16_both_degree_days": (a16, f"""WITH {_LINES_ONCE} SELECT instrument_id, valid_time, CASE WHEN instrument_id <> 'NOAA.HDD.CONUS' THEN v END AS hdd, v AS cdd FROM cells WHERE v IS NOT NULL"""),
     "A17_bars": (a17, f"""WITH {BARS} SELECT 'CME.' || "Symbol" AS instrument_id, "Datetime" AS valid_time, "Open", "High", "Low", "Close", CASE WHEN "Volume" = 1 THEN 0 ELSE "Volume" END::BIGINT AS "Volume" FROM bars"""),
     "A18_commodities": (a18, f"""WITH {BARS} SELECT "Datetime", "Symbol", "Open", "High", "Low", "Close", "Volume" FROM bars"""),
     "A19_contract_calendar": (a19, """WITH o AS (SELECT date_trunc('month', o_orderdate)::DATE AS m FROM orders)
