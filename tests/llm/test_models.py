@@ -299,6 +299,32 @@ def test_classifier_keeps_clean_and_rejects_junk(spark, docs_of):
     assert kneser_ney.quality_classifier(docs_of([(1, "x")]).where("false"), labels).count() == 0
 
 
+def test_thresholds_and_verdicts(spark, docs_of):
+    """Mean, drawn perplexity, nearest-rank quantile and verdict, by hand from the log-probabilities."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(passage(rng, rng.randrange(1, 60))), ("en", "de", "zz", None)[i % 4]) for i in range(240)] + [(500, "", "en"), (501, None, "fr"), (502, "q", "fr")]
+    df, labels = docs_of(rows), spark.createDataFrame([(i, int(i % 7 > 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    strata = ("en", "de", "fr", "other")
+    each = kneser_ney.perplexities(df, labels, strata).collect()
+    for quantile in (0.5, 0.9):
+        got = {r.doc_id: r for r in kneser_ney.quality_classifier(df, labels, quantile, strata).collect()}
+        rejected = 0
+        for s, lang in enumerate(strata, 1):
+            mine = [r for r in each if r.stratum == s]
+            held = [r for r in mine if r.fold == 0 and r.n_bytes]
+            mean = sum(r.log_p for r in held) / sum(r.n_words for r in held) if held else 0.0
+            of = {r.doc_id: math.exp(-(r.log_p + kneser_ney.DRAW * mean) / (r.n_words + kneser_ney.DRAW)) for r in mine}
+            ranked = sorted(of[r.doc_id] for r in held)
+            cut = ranked[math.ceil(quantile * len(ranked)) - 1] if ranked else None
+            for i, p in of.items():
+                r = got[i]
+                assert r.lang == lang and math.isclose(r.perplexity, p, rel_tol=1e-9)
+                assert (cut is None) == (r.threshold is None) and (cut is None or math.isclose(r.threshold, cut, rel_tol=1e-9))
+                assert r.kept == (r.threshold is None or r.perplexity <= r.threshold)
+                rejected += not r.kept
+        assert rejected and len(got) == len(rows) and got[502].threshold is None
+
+
 def test_order_of_words_counts(spark, docs_of):
     rng = random.Random(9)
     follow = {i: [rng.randrange(200) for _ in range(3)] for i in range(200)}
