@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import ODD
-from tidemark.llm import decontam, kneser_ney, toxicity
+from tidemark.llm import common, decontam, kneser_ney, toxicity
 
 WORDS = [a + b + c for a in "bdfgk" for b in "aeiou" for c in ("l", "m", "n", "r", "st")]
 
@@ -406,3 +406,32 @@ def test_training_against_a_plain_version(monkeypatch):
             soft, bias = adam("soft", soft, d_soft, rate), adam("bias", bias, d_bias, rate)
     assert np.allclose(got.weights, emb @ (soft[:, 1] - soft[:, 0]), rtol=1e-3, atol=1e-4) and abs(got.bias - (bias[1] - bias[0])) < 1e-3
     assert np.abs(got.weights).max() > 0.1
+
+
+def test_trigram_counts(spark, docs_of):
+    rng = random.Random(10)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(40))) for _ in range(30)] + ["x y z"]
+    rows = spark.createDataFrame([(t, k % 2 + 1) for k, t in enumerate(texts)], "text string, stratum int").repartition(5)
+    got = [r.asDict() for r in kneser_ney.trigram_counts(rows).collect()]
+    want, after = Counter(), defaultdict(Counter)
+    for k, t in enumerate(texts):
+        codes = kneser_ney.sequences([t.encode()], np.array([k % 2 + 1]))[0].view(np.int64).tolist()
+        want.update(zip(codes, codes[1:], codes[2:], strict=False))
+    for (a, b, c), n in want.items():
+        after[a, b][c] = n
+    assert {(r["a"], r["b"], r["c"]): r["n"] for r in got} == want and len(got) == len(want)
+    for r in got:
+        ns = list(after[r["a"], r["b"]].values())
+        assert (r["total"], r["m1"], r["m2"], r["m3"]) == (sum(ns), ns.count(1), ns.count(2), sum(n > 2 for n in ns))
+    assert Counter((r["a"], r["b"]) for r in got if r["first"]) == Counter(after.keys())
+
+
+def test_classifier_leaves_little_on_disk(spark, docs_of, tmp_path, monkeypatch):
+    """The model's tables go as soon as they are used."""
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    rng = random.Random(11)
+    rows = [(i, " ".join(passage(rng, 40)), "en") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    assert kneser_ney.quality_classifier(docs_of(rows), labels).count() == 200
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert left == {"good", "languages", "losses", "corrections1", "corrections2", "corrections3", "perplexities"}

@@ -8,11 +8,12 @@ language's training texts, so unknown words have a probability too.  Steps:
 
 1. One pass over the training texts counts pairs of bytes (a table of fixed size), another
    spells the words, and one counts trigrams: tasks reduce a block of texts to
-   its distinct trigrams, and Spark adds them up.  The table grows with the corpus.
+   its distinct trigrams, and Spark adds them up, with the counts of their contexts.
+   The table grows with the corpus.
 2. Probabilities by joins of sharded tables, order by order.  Lower orders count
    distinct left neighbours; the discounts D1, D2, D3+ of each order and language come
    from its counts of counts; each order's discounted share is interpolated with the
-   order below.  No table is held in one place.
+   order below.  No table is held in one place; each is deleted once it is used.
 3. Interpolation backs off along the words, so a document's log-probability is a sum:
    each trigram, bigram and word that training has seen adds a correction to what is
    below it, and what it has not seen adds nothing.  ``corrections`` is one table of
@@ -39,10 +40,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, pick, small, text_blocks
+from tidemark.llm.common import discard, materialise, pick, shuffles_cleared, small, text_blocks
 
 STRATA = ("en", "de", "fr", "es", "other")
 QUANTILE = 0.995
@@ -50,10 +51,12 @@ QUANTILE = 0.995
 DRAW = 20
 HELD_OUT = 10
 #: Share of an order's counts from which a key is broadcast.
-HEAVY = 1 / 50_000
+HEAVY = 1 / 4_000_000
 #: Log-probabilities are whole numbers of one part in this.
 UNIT = 1 << 20
 BLOCK_BYTES = 1_000_000
+#: Most words with what they leave as contexts that are broadcast.
+CONTEXT_ROWS = 500_000
 #: Bits of the filter of seen keys, a power of two; 32 MB.
 FILTER_BITS = 1 << 28
 #: Bytes of the filter that are put together in one group, of at most ``FILTER_TASKS`` parts.
@@ -228,15 +231,15 @@ def _scored(batches: Iterator[pa.RecordBatch], heavy, spelling) -> Iterator[pa.R
             text = np.concatenate([owner[s], owner[s], owner[t]])
             # below 2^53, so exact
             base = np.bincount(owner[t], spelled[t], j - i).astype(np.int64)
+            if seen is not None:
+                byte, bit = _places(keys, 8 * len(seen))
+                kept = (seen[byte] & bit) != 0
+                keys, text = keys[kept], text[kept]
             if len(known):
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 found = known[at] == keys
                 base += np.bincount(text[found], value[at[found]], j - i).astype(np.int64)
                 keys, text = keys[~found], text[~found]
-            if seen is not None:
-                byte, bit = _places(keys, 8 * len(seen))
-                kept = (seen[byte] & bit) != 0
-                keys, text = keys[kept], text[kept]
             order = np.lexsort((keys, text))
             keys, text = keys[order], text[order]
             new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])) if len(keys) else np.zeros(0, int)
@@ -271,10 +274,10 @@ def losses(seen: DataFrame) -> DataFrame:
     return cc.select("lang", *(F.least(F.lit(float(k)), F.greatest(F.lit(LEAST_LOSS), F.coalesce(x, F.lit(k / 2)))).alias(f"d{k}") for k, x in enumerate(d, 1)))
 
 
-def _cut(seen: DataFrame) -> DataFrame:
-    """``seen`` with ``loss``, what its discount takes from each count; one row per language is broadcast."""
+def _cut(seen: DataFrame, *also: str) -> DataFrame:
+    """``seen`` with ``loss``, what its discount takes from each count, and the discounts named; one row per language is broadcast."""
     loss = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    return seen.join(F.broadcast(losses(seen)), _lang(F.col("c")) == F.col("lang")).withColumn("loss", loss).drop("d1", "d2", "d3")
+    return seen.join(F.broadcast(materialise(losses(seen), "losses")), _lang(F.col("c")) == F.col("lang")).withColumn("loss", loss).drop(*{"d1", "d2", "d3"}.difference(also))
 
 
 def _contexts(cut: DataFrame, *words: str) -> DataFrame:
@@ -283,41 +286,70 @@ def _contexts(cut: DataFrame, *words: str) -> DataFrame:
     return cut.groupBy(*words).agg(total.alias("total"), (F.sum("loss") / total).alias("gamma"))
 
 
+def trigram_counts(training: DataFrame) -> DataFrame:
+    """(a, b, c, n) of the trigrams of (text, stratum) with what their context is: counts in all (total), of one, two and more (m1, m2, m3).
+
+    One shuffle by context, which has a row for each distinct word after it in a task at
+    most, does both.  ``first`` marks one row of each context.
+    """
+    counted = training.mapInArrow(_trigrams, "a long, b long, c long, n long").repartition("a", "b").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    of, n = Window.partitionBy("a", "b"), F.col("n")
+    counts = [F.count_if(x).over(of).alias(f"m{k}") for k, x in enumerate((n == 1, n == 2, n > 2), 1)]
+    return counted.select("a", "b", "c", "n", F.sum("n").over(of).alias("total"), *counts, (F.col("c") == F.min("c").over(of)).alias("first"))
+
+
 def corrections(trigrams: DataFrame, spellings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((order, key, n, value) of every gram and context of training, (lang, unknown) per language).
 
+    ``trigrams``, a table of ``materialise`` that is gone afterwards, holds ``trigram_counts``.
     ``value`` and ``unknown`` are in parts of ``UNIT``.  With p1, p2, p3 the interpolated
     probabilities and g the share that a context leaves, a word adds ln p1 - ln g - spelling,
     a bigram ln p2 - ln g - ln p1, a trigram ln p3 - ln g - ln p2; words and bigrams also add
     the ln g of what follows them.  ``unknown`` is the ln g below single words.
+
+    Each order is written by itself, so the files of one shuffle are gone before the next.
     """
+
+    def units(value: Column) -> Column:
+        return F.round(value * UNIT).cast("long")
+
+    none = F.lit(0.0)
+    kept = (F.col("n") - F.col("loss")) / F.col("total")
+    given = F.col("total").cast("double")
+    gamma = (F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / given
+    cut3 = _cut(trigrams, "d1", "d2", "d3").withColumn("gamma", gamma)
     bigrams = materialise(trigrams.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
-    cut3, cut2 = _cut(trigrams), _cut(bigrams)
+    cut2 = _cut(bigrams, "d1")
     cut1 = materialise(_cut(bigrams.groupBy("c").agg(F.count("*").alias("n"))), "words")
-    after3 = materialise(_contexts(cut3, "a", "b"), "contexts3")
-    after2 = _contexts(cut2, "b")
-    all1 = _contexts(cut1, "lang")
+    after2 = materialise(_contexts(cut2, "b"), "contexts2")
+    all1 = materialise(_contexts(cut1, "lang"), "languages")
     spelled = F.col("spelled") / UNIT
     p1 = cut1.join(F.broadcast(all1), "lang").join(spellings, "c").select(
         "c", "n", ((F.col("n") - F.col("loss")) / F.col("total") + F.col("gamma") * F.exp(spelled)).alias("p1"), (F.ln("gamma") + spelled).alias("low")
     )
     p1 = materialise(p1, "order1")
-    kept = (F.col("n") - F.col("loss")) / F.col("total")
-    p2 = cut2.join(after2, "b").join(p1.select("c", "p1"), "c").select("b", "c", "n", "gamma", "p1", (kept + F.col("gamma") * F.col("p1")).alias("p2"))
+    # a word that one bigram begins, once, leaves d1 of 1: most words are such and need no row
+    several = small(after2.where("total > 1"), CONTEXT_ROWS)
+    p2 = cut2.join(several, "b", "left").withColumn("gamma", F.coalesce("gamma", "d1")).withColumn("total", F.coalesce("total", F.lit(1.0)))
+    p2 = p2.join(p1.select("c", "p1"), "c").withColumn("p2", kept + F.col("gamma") * F.col("p1"))
+    p2 = p2.select(F.xxhash64("b", "c").alias("key"), "n", "p2", units(F.ln("p2") - F.ln("gamma") - F.ln("p1")).alias("value"))
     p2 = materialise(p2, "order2")
-    lower = p2.select("b", "c", "p2")
-    p3 = cut3.join(after3, ["a", "b"]).join(lower, ["b", "c"]).select("a", "b", "c", "n", "gamma", "p2", (kept + F.col("gamma") * F.col("p2")).alias("p3"))
+    discard(bigrams)
 
-    def entry(order: int, words: list[str], value: Column) -> list[Column]:
-        return [F.lit(order).alias("order"), F.xxhash64(*words).alias("key"), F.coalesce("n", F.lit(0)).alias("n"), F.round(value * UNIT).cast("long").alias("value")]
+    def entries(order: int, key: Column, value: Column) -> list[Column]:
+        return [F.lit(order).alias("order"), key.alias("key"), F.coalesce("n", F.lit(0)).alias("n"), value.alias("value")]
 
-    none = F.lit(0.0)
     v1 = p1.join(after2.select(F.col("b").alias("c"), F.col("gamma").alias("g")), "c", "full")
-    v1 = v1.select(*entry(1, ["c"], F.coalesce(F.ln("p1") - F.col("low"), none) + F.coalesce(F.ln("g"), none)))
-    v2 = p2.join(after3.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("gamma").alias("g")), ["b", "c"], "full")
-    v2 = v2.select(*entry(2, ["b", "c"], F.coalesce(F.ln("p2") - F.ln("gamma") - F.ln("p1"), none) + F.coalesce(F.ln("g"), none)))
-    v3 = p3.select(*entry(3, ["a", "b", "c"], F.ln("p3") - F.ln("gamma") - F.ln("p2")))
-    return materialise(v1.unionAll(v2).unionAll(v3), "corrections"), all1.select("lang", F.round(F.ln("gamma") * UNIT).cast("long").alias("unknown"))
+    v1 = v1.select(*entries(1, F.xxhash64("c"), units(F.coalesce(F.ln("p1") - F.col("low"), none) + F.coalesce(F.ln("g"), none))))
+    after3 = cut3.where("first").select(F.xxhash64("a", "b").alias("key"), units(F.ln("gamma")).alias("g"))
+    v2 = p2.select("key", "n", "value").join(after3, "key", "full")
+    v2 = v2.select(*entries(2, F.col("key"), F.coalesce("value", F.lit(0)) + F.coalesce("g", F.lit(0))))
+    v3 = cut3.select(F.xxhash64("a", "b", "c").alias("key3"), F.xxhash64("b", "c").alias("key"), "n", kept.alias("kept"), "gamma").join(p2.select("key", "p2"), "key")
+    v3 = v3.select(*entries(3, F.col("key3"), units(F.ln(F.col("kept") + F.col("gamma") * F.col("p2")) - F.ln("gamma") - F.ln("p2"))))
+    written = [materialise(v, f"corrections{k}") for k, v in enumerate((v1, v2, v3), 1)]
+    for used in (trigrams, p2, p1, after2, cut1):
+        discard(used)
+    return functools.reduce(DataFrame.unionAll, written), all1.select("lang", units(F.ln("gamma")).alias("unknown"))
 
 
 def perplexities(
@@ -351,17 +383,17 @@ def perplexities(
     training = source.where("fold > 0").select("text", "stratum")
     spelling = sc.broadcast(_spelling(training, len(strata)))
     spellings = training.mapInArrow(functools.partial(_words, spelling=spelling), "c long, spelled long").groupBy("c").agg(F.max("spelled").alias("spelled"))
-    counted = training.mapInArrow(_trigrams, "a long, b long, c long, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
-    values, unknown = corrections(materialise(counted, "trigrams"), spellings)
+    values, unknown = corrections(materialise(trigram_counts(training), "trigrams"), spellings)
     # the counts of an order add up to its total, so no more than 1 / heavy keys have such a share
     totals = values.groupBy("order").agg(F.sum("n").alias("all"))
-    top = values.join(F.broadcast(totals), "order").where(F.col("n") > F.col("all") * heavy).select("key", "value").orderBy("key").toArrow()
+    values = values.join(F.broadcast(totals), "order").select("key", "value", (F.col("n") > F.col("all") * heavy).alias("heavy"))
+    top = values.where("heavy").select("key", "value").orderBy("key").toArrow()
     table = sc.broadcast((top.column("key").to_numpy(), top.column("value").to_numpy(), seen_filter(values, filter_bits)))
     rows = source.withColumn("row", F.monotonically_increasing_id())
     about = "doc_id long, stratum int, fold int, n_bytes long, n_words long, base long"
     each = rows.mapInArrow(functools.partial(_scored, heavy=table, spelling=spelling), f"row long, key long, n long, about struct<{about.replace(' ', ':').replace(',:', ',')}>")
     names = [c.split()[0] for c in about.split(", ")]
-    each = each.join(values.select("key", "value"), "key", "left").select("row", (F.col("n") * F.coalesce("value", F.lit(0))).alias("part"), "about.*")
+    each = each.join(values.where("not heavy").select("key", "value"), "key", "left").select("row", (F.col("n") * F.coalesce("value", F.lit(0))).alias("part"), "about.*")
     # one row of a document carries what is known of it
     summed = each.groupBy("row").agg(F.sum("part").alias("part"), *(F.max(c).alias(c) for c in names))
     summed = summed.join(F.broadcast(unknown), summed.stratum == unknown.lang, "left")
@@ -378,7 +410,8 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, quantile: float = QUA
     to the language's mean; null counts as empty.  Repeated rows give a row each; null
     ids are carried, but never labelled; further columns are ignored.
     """
-    each = materialise(perplexities(docs, labels, strata, **options), "perplexities")
+    with shuffles_cleared(docs.sparkSession):
+        each = materialise(perplexities(docs, labels, strata, **options), "perplexities")
     held = each.where((F.col("fold") == 0) & (F.col("n_bytes") > 0))
     means = held.groupBy("stratum").agg((F.sum("log_p") / F.sum("n_words")).alias("mean"))
     # one row per language, which are a parameter
