@@ -38,16 +38,12 @@ def h02(s, d):
     return rounded(volatility.parkinson(bars(s, d)).select("Symbol", "Datetime", "parkinson_vol"), 4)
 
 
-def _gk(df):
-    return df.withColumn("garman_klass_vol", F.nanvl("garman_klass_vol", F.lit(None).cast("double")))
-
-
 def h03(s, d):
-    return rounded(_gk(volatility.garman_klass(bars(s, d))).select("Symbol", "Datetime", "garman_klass_vol"), 4)
+    return rounded(volatility.garman_klass(bars(s, d)).select("Symbol", "Datetime", "garman_klass_vol"), 4)
 
 
 def h04(s, d):
-    df = _gk(volatility.metrics(bars(s, d)))
+    df = volatility.metrics(bars(s, d))
     df = df.withColumn("garman_klass_ratio", F.nanvl("garman_klass_ratio", F.lit(None).cast("double")))
     names = ("realized_vol", "parkinson_vol", "garman_klass_vol", "parkinson_ratio", "garman_klass_ratio", "hl_range_pct")
     return rounded(df.select("Symbol", "Datetime", *names), 4)
