@@ -44,7 +44,6 @@ def h03(s, d):
 
 def h04(s, d):
     df = volatility.metrics(bars(s, d))
-    df = df.withColumn("garman_klass_ratio", F.nanvl("garman_klass_ratio", F.lit(None).cast("double")))
     names = ("realized_vol", "parkinson_vol", "garman_klass_vol", "parkinson_ratio", "garman_klass_ratio", "hl_range_pct")
     return rounded(df.select("Symbol", "Datetime", *names), 4)
 
