@@ -45,7 +45,7 @@ def plain(v):
     return v.replace(tzinfo=None) if isinstance(v, datetime) else v
 
 
-@pytest.mark.parametrize("name", ["H02_parkinson", "H03_garman_klass", "H04_metrics", "H07_yang_zhang", "H08_vol_averages"])
+@pytest.mark.parametrize("name", ["H02_parkinson", "H03_garman_klass", "H04_metrics", "H07_yang_zhang", "H08_vol_averages", "G03_price_reversals"])
 def test_odd_prices_as_in_sql(spark, odd, name):
     df = core.QUERIES[name](spark, odd)
     cols = sorted(df.columns)
